@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .measures import DOC_CUTS, doc_cuts, ratio
@@ -18,22 +18,15 @@ from .ordered import OrderedGroups
 GAIN_MEASURES = ("ndcg", "ndcg_rel", "Rndcg", "G")
 
 
-def gain_column(gains: dict[int, float] | None = None) -> Column:
+def gain_sql(gains: dict[int, float] | None = None) -> str:
     """Gain of a relevance value: its level unless overridden; unjudged gives 0."""
-    rel = F.col("rel")
-    gain = rel.cast("double")
-    for level, value in (gains or {}).items():
-        gain = F.when(rel == int(level), F.lit(float(value))).otherwise(gain)
-    return F.when(rel < 0, F.lit(0.0)).otherwise(gain)
-
-
-def discount(position: Column) -> Column:
-    return F.log2(position + 1)
+    cases = "".join(f" WHEN rel = {int(l)} THEN {float(g)!r}D" for l, g in (gains or {}).items())
+    return f"CASE WHEN rel < 0 THEN 0D{cases} ELSE cast(rel AS double) END"
 
 
 def ideal_ranking(qrels: DataFrame, gains: dict[int, float] | None = None, size=None) -> DataFrame:
     """(qid, pos, gain, idcg, cost) of the judged documents in best possible order."""
-    positive = qrels.withColumn("gain", gain_column(gains)).filter("gain > 0")
+    positive = qrels.withColumn("gain", F.expr(gain_sql(gains))).filter("gain > 0")
     return (
         OrderedGroups(
             positive.select("qid", "docno", "gain"),
@@ -44,9 +37,9 @@ def ideal_ranking(qrels: DataFrame, gains: dict[int, float] | None = None, size=
         .number("pos")
         .running(
             {
-                "idcg": F.col("gain") / discount(F.col("pos")),
+                "idcg": F.expr("gain / log2(pos + 1)"),
                 "ideal_gain": F.col("gain"),
-                "cost": F.greatest(F.col("gain"), F.lit(1.0)),
+                "cost": F.expr("greatest(gain, 1D)"),
             }
         )
         .df.select("qid", "pos", "gain", "idcg", "ideal_gain", "cost")
@@ -86,59 +79,49 @@ def gain_values(
     size=None,
 ) -> DataFrame:
     """One row per judged topic with a column per wanted measure."""
-    rank = F.col("rank")
-    groups.with_columns({"gain": gain_column(gains)})
-    groups.with_columns({"dg": F.col("gain") / discount(rank)})
+    groups.with_columns({"gain": F.expr(gain_sql(gains))})
+    groups.with_columns({"dg": F.expr("gain / log2(rank + 1)")})
+    judged = qrels.groupBy("qid").agg(F.count_if(F.col("rel") >= level).alias("num_rel"))
+    ideal = ideal_ranking(qrels, gains, size)
     if set(wanted) == {"ndcg"}:
-        ideal = ideal_ranking(qrels, gains, size)
         found = groups.df.groupBy("qid").agg(F.sum("dg").alias("dcg_all"))
-        joined = found.join(ideal.groupBy("qid").agg(F.max("idcg").alias("idcg_all")), "qid", "left")
-        judged = qrels.select("qid").distinct()
-        value = F.when(F.col("idcg_all") > 0, F.col("dcg_all") / F.col("idcg_all"))
-        return joined.join(judged, "qid", "left_semi").select(
-            "qid", F.coalesce(value, F.lit(0.0)).alias("ndcg")
-        )
+        best = ideal.groupBy("qid").agg(F.max("idcg").alias("idcg_all"))
+        topics = found.join(judged, "qid").join(best, "qid", "left").na.fill(0)
+        return topics.selectExpr("qid", f"{ratio('dcg_all', 'idcg_all')} AS ndcg")
 
-    ideal = ideal_ranking(qrels, gains, size)
-    levels = _gain_levels(ideal)
-    totals = _ideal_totals(ideal)
-    at = ideal.join(levels, ["qid", "gain"]).select(
-        "qid", F.col("pos").alias("rank"), F.col("idcg"), F.col("cost"), F.col("weight")
+    at = ideal.join(_gain_levels(ideal), ["qid", "gain"]).selectExpr(
+        "qid", "pos AS rank", "idcg", "cost", "weight"
     )
+    totals = _ideal_totals(ideal)
     rows = groups.running({"dcg": F.col("dg"), "gain_seen": F.col("gain")}).df
     counts = rows.groupBy("qid").agg(F.count("*").alias("num_ret"), F.sum("dg").alias("dcg_all"))
     useful = rows.filter("gain != 0").join(at, ["qid", "rank"], "left").join(totals, "qid")
-    cost = F.coalesce("cost", F.col("cost_all") + (rank - F.col("num_gain")))
     sums = useful.groupBy("qid").agg(
-        F.sum(
-            F.when(F.col("gain") > 0, F.col("dcg") / F.coalesce("idcg", "idcg_all"))
-        ).alias("rel_sum"),
-        F.count_if(F.col("gain") > 0).alias("num_gain_ret"),
-        F.sum(F.col("dg") * F.coalesce(F.col("weight"), F.lit(0.0))).alias("boundary_sum"),
-        F.sum(F.col("gain") / F.log2(2 + cost - F.col("gain_seen"))).alias("g_sum"),
+        F.expr("sum(if(gain > 0, dcg / coalesce(idcg, idcg_all), null)) AS rel_sum"),
+        F.expr("count_if(gain > 0) AS num_gain_ret"),
+        F.expr("sum(dg * coalesce(weight, 0D)) AS boundary_sum"),
+        F.expr(
+            "sum(gain / log2(2 + coalesce(cost, cost_all + (rank - num_gain)) - gain_seen)) AS g_sum"
+        ),
     )
-    judged = qrels.groupBy("qid").agg(F.count_if(F.col("rel") >= level).alias("num_rel"))
     topics = (
         counts.join(judged, "qid")
         .join(totals, "qid", "left")
         .join(sums, "qid", "left")
         .na.fill(0)
     )
-    c = F.col
-    tail = ratio(c("dcg_all"), c("idcg_all"))
-    past_ideal = c("num_ret") > c("num_gain") + 1
-    rel_total = c("rel_sum") + (c("num_gain") - c("num_gain_ret")) * tail
-    boundary_total = c("boundary_sum") + F.when(past_ideal, tail).otherwise(0.0)
-    boundaries = c("num_levels") + F.when(past_ideal, 1).otherwise(0)
+    tail = ratio("dcg_all", "idcg_all")
+    past_ideal = "num_ret > num_gain + 1"
+    rel_total = f"(rel_sum + (num_gain - num_gain_ret) * {tail})"
+    boundary_total = f"(boundary_sum + if({past_ideal}, {tail}, 0D))"
+    boundaries = f"(num_levels + if({past_ideal}, 1, 0))"
     formulas = {
         "ndcg": tail,
-        "ndcg_rel": F.when(rel_total > 0, ratio(rel_total, c("num_gain"))).otherwise(0.0),
-        "Rndcg": F.when((c("num_rel") == 0) | (c("num_gain") == 0), 0.0).otherwise(
-            ratio(boundary_total, boundaries)
-        ),
-        "G": ratio(c("g_sum"), c("gain_all")),
+        "ndcg_rel": f"if({rel_total} > 0, {ratio(rel_total, 'num_gain')}, 0D)",
+        "Rndcg": f"if(num_rel = 0 OR num_gain = 0, 0D, {ratio(boundary_total, boundaries)})",
+        "G": ratio("g_sum", "gain_all"),
     }
-    return topics.select("qid", *[formulas[name].alias(name) for name in wanted])
+    return topics.selectExpr("qid", *[f"{formulas[name]} AS {name}" for name in wanted])
 
 
 def ndcg_cut_values(
@@ -151,31 +134,23 @@ def ndcg_cut_values(
     """
     ks = doc_cuts(cuts)
     w = Window.partitionBy("qid").orderBy(F.col("rel").desc(), F.col("docno").asc())
-    ideal = (
+    first = (
         qrels.filter("rel > 0")
         .withColumn("pos", F.row_number().over(w))
         .filter(F.col("pos") <= ks[-1])
-        .groupBy("qid")
-        .agg(
-            *[
-                F.sum(F.when(F.col("pos") <= k, F.col("rel") / discount(F.col("pos")))).alias(f"idcg_{k}")
-                for k in ks
-            ]
-        )
     )
-    dg = F.when(F.col("rel") > 0, F.col("rel") / discount(F.col("rank"))).otherwise(0.0)
+    ideal = first.groupBy("qid").agg(
+        *[F.expr(f"sum(if(pos <= {k}, rel / log2(pos + 1), null)) AS idcg_{k}") for k in ks]
+    )
     found = run_ranked.groupBy("qid").agg(
-        *[F.sum(F.when(F.col("rank") <= k, dg).otherwise(0.0)).alias(f"dcg_{k}") for k in ks]
+        *[
+            F.expr(f"sum(if(rel > 0 AND rank <= {k}, rel / log2(rank + 1), 0D)) AS dcg_{k}")
+            for k in ks
+        ]
     )
     judged = qrels.select("qid").distinct()
     return (
         found.join(judged, "qid", "left_semi")
         .join(ideal, "qid", "left")
-        .select(
-            "qid",
-            *[
-                F.coalesce(F.col(f"dcg_{k}") / F.col(f"idcg_{k}"), F.lit(0.0)).alias(f"ndcg_cut_{k}")
-                for k in ks
-            ],
-        )
+        .selectExpr("qid", *[f"coalesce(dcg_{k} / idcg_{k}, 0D) AS ndcg_cut_{k}" for k in ks])
     )

@@ -1,6 +1,6 @@
 """Measures on ranked relevance lists.
 
-Every measure is a per-topic expression over sums of row expressions. ``Sheet`` collects
+Every measure is a per-topic SQL expression over sums of row expressions. ``Sheet`` collects
 the row sums that the chosen measures need, so one pass over the ranked rows and one
 ``groupBy`` per topic serve all of them. The functions below are generators of
 ``(name, value)`` pairs; ``register_measure`` adds further ones.
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ordered import OrderedGroups
@@ -73,48 +73,54 @@ COUNT_MEASURES = frozenset(
 GEOMETRIC_MEASURES = frozenset(["gm_map", "gm_bpref"])
 
 
-def ratio(top: Column, bottom: Column) -> Column:
+def ratio(top: str, bottom: str) -> str:
     """``top / bottom``, and 0 where ``bottom`` is 0."""
-    return F.when(bottom == 0, F.lit(0.0)).otherwise(top / bottom)
+    return f"if(({bottom}) = 0, 0D, ({top}) / ({bottom}))"
 
 
-def share_cut(point: float, total: Column) -> Column:
+def share_cut(point: float, total: str) -> str:
     """Number of documents at the share ``point`` of ``total``."""
-    return F.floor(F.lit(float(point)) * total + F.lit(ROUND_UP))
+    return f"floor({float(point)!r}D * {total} + {ROUND_UP}D)"
+
+
+def _name(text: str) -> str:
+    return "".join(ch if ch.isalnum() else "_" for ch in text)
 
 
 class Sheet:
-    """Row sums requested by measures, each computed once per topic."""
+    """Row sums requested by measures, each computed once per topic.
+
+    Expressions are SQL text; a method returns the name of the column it asks for.
+    """
 
     def __init__(self, level: int = 1, collection_size: int = 0) -> None:
         self.level = level
         self.collection_size = collection_size
-        self._sums: dict[str, Column] = {}
+        self._sums: dict[str, str] = {}
 
-    def _add(self, name: str, aggregate: Column) -> Column:
-        self._sums.setdefault(name, aggregate.alias(name))
-        return F.col(name)
+    def _add(self, name: str, aggregate: str) -> str:
+        self._sums.setdefault(_name(name), aggregate)
+        return _name(name)
 
-    def rel_sum(self, name: str, value: Column) -> Column:
+    def rel_sum(self, name: str, value: str) -> str:
         """Sum of ``value`` over the relevant retrieved documents."""
-        return F.coalesce(self._add(name, F.sum(F.when(F.col("is_rel"), value))), F.lit(0.0))
+        return self._add(name, f"coalesce(sum(if(is_rel, {value}, null)), 0D)")
 
-    def rel_max(self, name: str, value: Column) -> Column:
-        return F.coalesce(self._add(name, F.max(F.when(F.col("is_rel"), value))), F.lit(0.0))
+    def rel_max(self, name: str, value: str) -> str:
+        return self._add(name, f"coalesce(max(if(is_rel, {value}, null)), 0D)")
 
-    def hits(self, name: str, within: Column) -> Column:
+    def hits(self, within: str | int) -> str:
         """Relevant documents among the ranks up to ``within``."""
-        found = F.count_if(F.col("is_rel") & (F.col("rank") <= within))
-        return self._add(f"hits_{name}", found)
+        return self._add(f"hits_{within}", f"count_if(is_rel AND rank <= {within})")
 
-    def precision_sum(self) -> Column:
-        return self.rel_sum("precision_sum", F.col("rel_seen") / F.col("rank"))
+    def precision_sum(self) -> str:
+        return self.rel_sum("precision_sum", "rel_seen / rank")
 
-    def aggregates(self) -> list[Column]:
-        return list(self._sums.values())
+    def aggregates(self) -> list[str]:
+        return [f"{aggregate} AS {name}" for name, aggregate in self._sums.items()]
 
 
-Values = Iterator[tuple[str, Column]]
+Values = Iterator[tuple[str, str]]
 MeasureFunction = Callable[..., Values]
 _REGISTRY: dict[str, tuple[MeasureFunction, tuple]] = {}
 
@@ -161,66 +167,62 @@ def labelled(name: str, params: Sequence, default: Sequence) -> str:
 
 @measure("num_ret")
 def _num_ret(s: Sheet, params) -> Values:
-    yield "num_ret", F.col("num_ret")
+    yield "num_ret", "num_ret"
 
 
 @measure("num_rel")
 def _num_rel(s: Sheet, params) -> Values:
-    yield "num_rel", F.col("num_rel")
+    yield "num_rel", "num_rel"
 
 
 @measure("num_rel_ret")
 def _num_rel_ret(s: Sheet, params) -> Values:
-    yield "num_rel_ret", F.col("num_rel_ret")
+    yield "num_rel_ret", "num_rel_ret"
 
 
 @measure("num_nonrel_judged_ret")
 def _num_nonrel_judged_ret(s: Sheet, params) -> Values:
-    rest = F.col("num_nonpool") + F.col("num_unjudged") + F.col("num_rel_ret")
-    yield "num_nonrel_judged_ret", F.col("num_ret") - rest
+    yield "num_nonrel_judged_ret", "num_ret - num_nonpool - num_unjudged - num_rel_ret"
 
 
 @measure("map")
 def _map(s: Sheet, params) -> Values:
-    yield "map", ratio(s.precision_sum(), F.col("num_rel"))
+    yield "map", ratio(s.precision_sum(), "num_rel")
 
 
 @measure("gm_map")
 def _gm_map(s: Sheet, params) -> Values:
-    value = ratio(s.precision_sum(), F.col("num_rel"))
-    yield "gm_map", F.log(F.greatest(value, F.lit(GEOMETRIC_FLOOR)))
+    yield "gm_map", f"ln(greatest({ratio(s.precision_sum(), 'num_rel')}, {GEOMETRIC_FLOOR!r}D))"
 
 
 @measure("map_cut", DOC_CUTS)
 def _map_cut(s: Sheet, params) -> Values:
     for k in doc_cuts(params):
-        part = F.when(F.col("rank") <= k, F.col("rel_seen") / F.col("rank"))
-        yield f"map_cut_{k}", ratio(s.rel_sum(f"precision_sum_{k}", part), F.col("num_rel"))
+        total = s.rel_sum(f"precision_sum_{k}", f"if(rank <= {k}, rel_seen / rank, null)")
+        yield f"map_cut_{k}", ratio(total, "num_rel")
 
 
 @measure("yaap")
 def _yaap(s: Sheet, params) -> Values:
     total = s.precision_sum()
-    yield "yaap", F.log((1.0 + total) / (1.0 + F.col("num_rel") - total))
+    yield "yaap", f"ln((1 + {total}) / (1 + num_rel - {total}))"
 
 
 @measure("Rprec")
 def _rprec(s: Sheet, params) -> Values:
-    yield "Rprec", ratio(s.hits("R", F.col("num_rel")), F.col("num_rel"))
+    yield "Rprec", ratio(s.hits("num_rel"), "num_rel")
 
 
 @measure("Rprec_mult", R_MULTIPLES)
 def _rprec_mult(s: Sheet, params) -> Values:
     for x in points(params):
-        cut = share_cut(x, F.col("num_rel"))
-        yield f"Rprec_mult_{x:3.2f}", ratio(s.hits(f"R_{x!r}".replace(".", "p"), cut), cut)
+        cut = share_cut(x, "num_rel")
+        yield f"Rprec_mult_{x:3.2f}", ratio(s.hits(cut), cut)
 
 
-def _bpref_value(s: Sheet) -> Column:
-    R, bound = F.col("num_rel"), F.least(F.col("num_nonrel"), F.col("num_rel"))
-    before = F.col("nonrel_seen")
-    kept = F.when(before == 0, F.lit(1.0)).otherwise(1.0 - F.least(before, R) / bound)
-    return ratio(s.rel_sum("bpref_sum", kept), R)
+def _bpref_value(s: Sheet) -> str:
+    kept = "if(nonrel_seen = 0, 1D, 1 - least(nonrel_seen, num_rel) / least(num_nonrel, num_rel))"
+    return ratio(s.rel_sum("bpref_sum", kept), "num_rel")
 
 
 @measure("bpref")
@@ -230,21 +232,19 @@ def _bpref(s: Sheet, params) -> Values:
 
 @measure("gm_bpref")
 def _gm_bpref(s: Sheet, params) -> Values:
-    yield "gm_bpref", F.log(F.greatest(_bpref_value(s), F.lit(GEOMETRIC_FLOOR)))
+    yield "gm_bpref", f"ln(greatest({_bpref_value(s)}, {GEOMETRIC_FLOOR!r}D))"
 
 
 @measure("recip_rank")
 def _recip_rank(s: Sheet, params) -> Values:
-    yield "recip_rank", s.rel_max("recip_rank_max", 1.0 / F.col("rank"))
+    yield "recip_rank", s.rel_max("recip_rank_max", "1 / rank")
 
 
-def _iprec(s: Sheet, x: float) -> Column:
+def _iprec(s: Sheet, x: float) -> str:
     # The best precision from the c-th relevant document on sits on a relevant row
     # that has seen at least c of them, so a conditional maximum replaces a reverse scan.
-    seen, cut = F.col("rel_seen"), share_cut(x, F.col("num_rel"))
-    return s.rel_max(
-        f"iprec_{x!r}".replace(".", "p"), F.when(seen >= cut, seen / F.col("rank"))
-    )
+    cut = share_cut(x, "num_rel")
+    return s.rel_max(f"iprec_{x!r}", f"if(rel_seen >= {cut}, rel_seen / rank, null)")
 
 
 @measure("iprec_at_recall", RECALL_POINTS)
@@ -256,93 +256,85 @@ def _iprec_at_recall(s: Sheet, params) -> Values:
 @measure("11pt_avg", RECALL_POINTS)
 def _11pt_avg(s: Sheet, params) -> Values:
     values = [_iprec(s, x) for x in points(params)]
-    total = values[0]
-    for value in values[1:]:
-        total = total + value
-    yield labelled("11pt_avg", params, RECALL_POINTS), total / F.lit(float(len(values)))
+    yield labelled("11pt_avg", params, RECALL_POINTS), f"({' + '.join(values)}) / {len(values)}"
 
 
 @measure("P", DOC_CUTS)
 def _p(s: Sheet, params) -> Values:
     for k in doc_cuts(params):
-        yield f"P_{k}", s.hits(str(k), F.lit(k)) / F.lit(k)
+        yield f"P_{k}", f"{s.hits(k)} / {k}"
 
 
 @measure("recall", DOC_CUTS)
 def _recall(s: Sheet, params) -> Values:
     for k in doc_cuts(params):
-        yield f"recall_{k}", ratio(s.hits(str(k), F.lit(k)), F.col("num_rel"))
+        yield f"recall_{k}", ratio(s.hits(k), "num_rel")
 
 
 @measure("relative_P", DOC_CUTS)
 def _relative_p(s: Sheet, params) -> Values:
     for k in doc_cuts(params):
-        best = F.least(F.lit(k), F.col("num_rel"))
-        yield f"relative_P_{k}", ratio(s.hits(str(k), F.lit(k)), best)
+        yield f"relative_P_{k}", ratio(s.hits(k), f"least({k}, num_rel)")
 
 
 @measure("success", SUCCESS_CUTS)
 def _success(s: Sheet, params) -> Values:
     for k in doc_cuts(params):
-        yield f"success_{k}", F.when(s.hits(str(k), F.lit(k)) > 0, 1.0).otherwise(0.0)
+        yield f"success_{k}", f"if({s.hits(k)} > 0, 1D, 0D)"
 
 
 @measure("infAP")
 def _infap(s: Sheet, params) -> Values:
-    above = F.col("rank") - 1
-    rel_above = F.col("rel_seen") - 1
-    judged_above = rel_above + F.col("nonrel_seen")
-    in_pool = (judged_above + F.col("unjudged_seen")) / above
-    estimate = (rel_above + F.lit(INFAP_EPSILON)) / (judged_above + F.lit(2 * INFAP_EPSILON))
-    expected = F.when(above == 0, F.lit(1.0)).otherwise(
-        1.0 / F.col("rank") + (above / F.col("rank")) * in_pool * estimate
-    )
-    yield "infAP", ratio(s.rel_sum("infap_sum", expected), F.col("num_rel"))
+    above, epsilon = "(rank - 1)", f"{INFAP_EPSILON!r}D"
+    judged_above = "(rel_seen - 1 + nonrel_seen)"
+    in_pool = f"(({judged_above} + unjudged_seen) / {above})"
+    estimate = f"((rel_seen - 1 + {epsilon}) / ({judged_above} + 2 * {epsilon}))"
+    expected = f"if(rank = 1, 1D, 1 / rank + ({above} / rank) * {in_pool} * {estimate})"
+    yield "infAP", ratio(s.rel_sum("infap_sum", expected), "num_rel")
 
 
 @measure("utility", UTILITY_WEIGHTS)
 def _utility(s: Sheet, params) -> Values:
     if len(params) != 4:
         raise ValueError("utility takes 4 weights")
-    a, b, c, d = (F.lit(float(p)) for p in params)
-    n, R, rr = F.col("num_ret"), F.col("num_rel"), F.col("num_rel_ret")
-    outside = F.lit(s.collection_size) + rr - n - R
-    yield labelled("utility", params, UTILITY_WEIGHTS), a * rr + b * (n - rr) + c * (R - rr) + d * outside
+    a, b, c, d = (f"{float(p)!r}D" for p in params)
+    outside = f"({s.collection_size} + num_rel_ret - num_ret - num_rel)"
+    yield labelled("utility", params, UTILITY_WEIGHTS), (
+        f"{a} * num_rel_ret + {b} * (num_ret - num_rel_ret) + {c} * (num_rel - num_rel_ret)"
+        f" + {d} * {outside}"
+    )
 
 
 @measure("binG")
 def _bing(s: Sheet, params) -> Values:
-    gain = 1.0 / F.log2(2 + F.col("rank") - F.col("rel_seen"))
-    yield "binG", ratio(s.rel_sum("bing_sum", gain), F.col("num_rel"))
+    yield "binG", ratio(s.rel_sum("bing_sum", "1 / log2(2 + rank - rel_seen)"), "num_rel")
 
 
 @measure("set_P")
 def _set_p(s: Sheet, params) -> Values:
-    yield "set_P", ratio(F.col("num_rel_ret"), F.col("num_ret"))
+    yield "set_P", ratio("num_rel_ret", "num_ret")
 
 
 @measure("set_relative_P")
 def _set_relative_p(s: Sheet, params) -> Values:
-    yield "set_relative_P", ratio(F.col("num_rel_ret"), F.least(F.col("num_ret"), F.col("num_rel")))
+    yield "set_relative_P", ratio("num_rel_ret", "least(num_ret, num_rel)")
 
 
 @measure("set_recall")
 def _set_recall(s: Sheet, params) -> Values:
-    yield "set_recall", ratio(F.col("num_rel_ret"), F.col("num_rel"))
+    yield "set_recall", ratio("num_rel_ret", "num_rel")
 
 
 @measure("set_map")
 def _set_map(s: Sheet, params) -> Values:
-    rr = F.col("num_rel_ret")
-    yield "set_map", ratio(rr * rr, F.col("num_ret") * F.col("num_rel"))
+    yield "set_map", ratio("num_rel_ret * num_rel_ret", "num_ret * num_rel")
 
 
 @measure("set_F", (1.0,))
 def _set_f(s: Sheet, params) -> Values:
-    x = F.lit(float(params[0]))
-    p = ratio(F.col("num_rel_ret"), F.col("num_ret"))
-    r = ratio(F.col("num_rel_ret"), F.col("num_rel"))
-    yield labelled("set_F", params, (1.0,)), ratio((x + 1.0) * p * r, x * p + r)
+    x = f"{float(params[0])!r}D"
+    p, r = ratio("num_rel_ret", "num_ret"), ratio("num_rel_ret", "num_rel")
+    yield labelled("set_F", params, (1.0,)), ratio(f"({x} + 1) * {p} * {r}", f"{x} * {p} + {r}")
 
 
 def registered() -> list[str]:
@@ -359,7 +351,7 @@ def measure_values(
 ) -> DataFrame:
     """(keys..., measure, value) of the chosen measures for every judged topic."""
     sheet = Sheet(level, collection_size)
-    values: list[tuple[str, Column]] = []
+    values: list[tuple[str, str]] = []
     for name, params in chosen.items():
         function, default = _REGISTRY[name]
         values.extend(function(sheet, default if params is None else params))
@@ -369,24 +361,26 @@ def measure_values(
         .df.withColumn("is_rel", F.col("rel") >= level)
         .join(judged_counts(qrels, level, keys), list(keys))
     )
-    topics = rows.groupBy(*keys).agg(
-        F.count("*").alias("num_ret"),
-        F.count_if(F.col("rel") == NOT_POOLED).alias("num_nonpool"),
-        F.count_if(F.col("rel") == UNJUDGED).alias("num_unjudged"),
-        F.count_if(F.col("is_rel")).alias("num_rel_ret"),
-        F.first("num_rel").alias("num_rel"),
-        F.first("num_nonrel").alias("num_nonrel"),
+    aggregates = [
+        "count(*) AS num_ret",
+        f"count_if(rel = {NOT_POOLED}) AS num_nonpool",
+        f"count_if(rel = {UNJUDGED}) AS num_unjudged",
+        "count_if(is_rel) AS num_rel_ret",
+        "first(num_rel) AS num_rel",
+        "first(num_nonrel) AS num_nonrel",
         *sheet.aggregates(),
-    )
+    ]
+    topics = rows.groupBy(*keys).agg(*[F.expr(a) for a in aggregates])
     return long_form(topics, keys, values)
 
 
-def long_form(topics: DataFrame, keys: Sequence[str], values: list[tuple[str, Column]]) -> DataFrame:
-    """One row per topic and measure from one row per topic."""
-    pairs = F.array(
-        *[F.struct(F.lit(n).alias("measure"), v.cast("double").alias("value")) for n, v in values]
+def long_form(topics: DataFrame, keys: Sequence[str], values: list[tuple[str, str]]) -> DataFrame:
+    """One row per topic and measure from one row per topic; values are SQL text."""
+    pairs = ", ".join(
+        f"named_struct('measure', '{name}', 'value', cast({value} AS double))"
+        for name, value in values
     )
-    return topics.select(*keys, F.inline(pairs))
+    return topics.selectExpr(*keys, f"inline(array({pairs}))")
 
 
 def relevance_strings(

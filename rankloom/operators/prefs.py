@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from ..session import durable
 from .checks import InputError
 from .measures import long_form, ratio
-from .ordered import OrderedGroups
-from .ranking import Size, rank_run, topics_in_both
+from .ordered import GroupSize, OrderedGroups, group_size
+from .ranking import Size, rank_run, run_order, topics_in_both, with_key
 
 _JG = ["qid", "jg"]
 
@@ -42,15 +42,13 @@ def pref_documents(
     """
     if max_docs is not None:
         run = rank_run(run, ties="asc", max_docs=max_docs)
+    if size is None:
+        size = group_size(prefs, ["qid"])
     judged = topics_in_both(prefs, run).select("qid", "docno").distinct()
     scored = judged.join(run.select("qid", "docno", "score"), ["qid", "docno"], "left")
     rows = scored.withColumn("retrieved", F.col("score").isNotNull())
-    order = [
-        F.col("retrieved").desc(),
-        F.col("score").cast("float").desc(),
-        F.col("docno").asc(),
-    ]
-    numbered = OrderedGroups(rows, ["qid"], order, size).number("doc_rank").df
+    order = [F.col("retrieved").desc(), *run_order("asc")]
+    numbered = OrderedGroups(with_key(rows), ["qid"], order, size).number("doc_rank").df
     return numbered.select("qid", "docno", (F.col("doc_rank") - 1).alias("doc_rank"), "retrieved")
 
 
@@ -64,7 +62,6 @@ class Preferences:
         max_docs: int | None = None,
         size: Size = None,
     ) -> None:
-        self.size = size
         documents = pref_documents(run, prefs, max_docs, size)
         classes = prefs.groupBy("qid", "jg", "docno").agg(
             F.array_sort(
@@ -75,20 +72,23 @@ class Preferences:
         groups = prefs.groupBy("qid", "jg").agg(
             (F.min("jsg") == F.max("jsg")).alias("single")
         )
-        # (qid, jg, docno, class, members, level, single, doc_rank, retrieved)
-        self.judged = (
+        # (qid, jg, docno, class, members, level, single, doc_rank, retrieved). Every table
+        # below starts from these rows, so they are written once.
+        self.judged = durable(
             classes.withColumn("class", F.to_json("members"))
             .join(groups, _JG)
             .join(documents, ["qid", "docno"])
         )
         retrieved = F.col("retrieved")
-        self.classes = self.judged.groupBy("qid", "jg", "class").agg(
+        self.group_size = group_size(self.judged, _JG)
+        self.topic_size = group_size(self.judged, ["qid"])
+        self.classes = durable(self.judged.groupBy("qid", "jg", "class").agg(
             F.first("members").alias("members"),
             F.first("single").alias("single"),
             F.first("level").alias("level"),
             F.count_if(retrieved).alias("n_ret"),
             F.count_if(~retrieved).alias("n_un"),
-        )
+        ))
         self._closure: DataFrame | None = None
 
     # -- relations between classes ------------------------------------------------
@@ -152,7 +152,7 @@ class Preferences:
                 if same:
                     break
         below = members.withColumnRenamed("class", "below")
-        self._closure = (
+        self._closure = durable(
             state.join(below, [*_JG, "jsg"])
             .filter("level < reach")
             .select(*_JG, "class", "below")
@@ -198,9 +198,15 @@ class Preferences:
             total(nonrel, both).alias("num_nonrel"),
         )
 
-    def _inversions(self, rows: DataFrame, keys: list[str], by: list[str], total: Column) -> DataFrame:
-        """Sum ``total`` (over ``lo`` rows, with ``hi_seen`` preferred rows ranked above)."""
-        counted = OrderedGroups(rows, keys, [F.col("doc_rank").asc(), F.col("hi").desc()], self.size)
+    @staticmethod
+    def _inversions(
+        rows: DataFrame, keys: list[str], by: list[str], total: Column, size: GroupSize
+    ) -> DataFrame:
+        """Sum ``total`` (over ``lo`` rows, with ``hi_seen`` preferred rows ranked above).
+
+        A group of ``keys`` holds a document at most once, so ``size`` bounds it.
+        """
+        counted = OrderedGroups(rows, keys, [F.col("doc_rank").asc(), F.col("hi").desc()], size)
         return counted.running({"hi_seen": F.col("hi")}).df.groupBy(*by).agg(total.alias("ful_ret"))
 
     def _single_fulfilled(self, above_lowest: bool = False) -> DataFrame:
@@ -228,7 +234,7 @@ class Preferences:
         if above_lowest:
             counted = counted & (F.col("no") > 0)
         total = F.sum(F.when(counted, F.col("hi_seen")).otherwise(0))
-        return self._inversions(rows, [*_JG, "bit", "prefix"], _JG, total)
+        return self._inversions(rows, [*_JG, "bit", "prefix"], _JG, total, self.group_size)
 
     def _multi_fulfilled(self, documents: DataFrame) -> DataFrame:
         """Fulfilled pairs of retrieved documents, groups with several sub-groups."""
@@ -242,7 +248,7 @@ class Preferences:
             *_JG, F.col("class").alias("low"), "doc_rank", F.lit(0).alias("hi")
         )
         total = F.sum(F.when(F.col("hi") == 0, F.col("hi_seen")).otherwise(0))
-        return self._inversions(hi.unionByName(lo), [*_JG, "low"], _JG, total)
+        return self._inversions(hi.unionByName(lo), [*_JG, "low"], _JG, total, self.group_size)
 
     @staticmethod
     def _pair_sums() -> list[Column]:
@@ -349,7 +355,7 @@ class Preferences:
         )
         upper = c("retrieved") & ~c("low") if strict else c("retrieved")
         kept = (
-            OrderedGroups(rows, _JG, [c("doc_rank").asc()], self.size)
+            OrderedGroups(rows, _JG, [c("doc_rank").asc()], self.group_size)
             .running(
                 {
                     "low_seen": c("low").cast("int"),
@@ -398,7 +404,7 @@ class Preferences:
         rows = self.judged.filter("NOT single").join(counts, _JG)
         seen = (
             OrderedGroups(
-                rows.withColumn("nonrel", c("level") == 0), _JG, [c("doc_rank").asc()], self.size
+                rows.withColumn("nonrel", c("level") == 0), _JG, [c("doc_rank").asc()], self.group_size
             )
             .running({"nonrel_seen": c("nonrel").cast("int")})
             .df
@@ -500,7 +506,7 @@ class Preferences:
         )
         total = F.sum(F.when(c("lo") == 1, c("hi_seen")).otherwise(0.0))
         fulfilled = self._inversions(
-            hi.unionByName(lo), ["qid", "low"], ["qid"], total
+            hi.unionByName(lo), ["qid", "low"], ["qid"], total, self.topic_size
         ).withColumnRenamed("ful_ret", "sum_ret")
         return static.join(fulfilled, "qid", "left").na.fill(0)
 

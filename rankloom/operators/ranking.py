@@ -14,13 +14,22 @@ NOT_POOLED = -1
 UNJUDGED = -2
 
 
+_KEY = "_score"
+
+
+def with_key(run: DataFrame) -> DataFrame:
+    """Add the sort key, the score as a 32-bit float. A column of its own lets all windows
+    of a plan share one sort."""
+    return run.withColumn(_KEY, F.col("score").cast("float"))
+
+
 def run_order(ties: str = "desc") -> list:
-    """Score as a 32-bit float descending; equal scores by document id.
+    """Key descending; equal keys by document id.
 
     Relevance measures break ties by descending id, preference measures by ascending id.
     """
     docno = F.col("docno").desc() if ties == "desc" else F.col("docno").asc()
-    return [F.col("score").cast("float").desc(), docno]
+    return [F.col(_KEY).desc(), docno]
 
 
 def rank_run(
@@ -37,11 +46,16 @@ def rank_run(
     if max_docs is not None:
         w = Window.partitionBy("qid").orderBy(*run_order(ties))
         return (
-            run.withColumn("rank", F.row_number().over(w))
+            with_key(run)
+            .withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= max_docs)
             .withColumn("rank", F.col("rank").cast("long"))
+            .drop(_KEY)
         )
-    return OrderedGroups(run, ["qid"], run_order(ties), size).number("rank").df
+    if size is None:
+        size = group_size(run, ["qid"])
+    groups = OrderedGroups(with_key(run), ["qid"], run_order(ties), size).number("rank")
+    return groups.df.drop(_KEY)
 
 
 def with_relevance(run: DataFrame, qrels: DataFrame) -> DataFrame:
@@ -75,7 +89,7 @@ def ranked_groups(
     rows = with_relevance(run.select("qid", "docno", "score"), qrels)
     if judged_only:
         rows = rows.filter("rel >= 0")
-    return OrderedGroups(rows, ["qid"], run_order(), size).number("rank")
+    return OrderedGroups(with_key(rows).drop("score"), ["qid"], run_order(), size).number("rank")
 
 
 def ranked_relevance(run: DataFrame, qrels: DataFrame, **options) -> DataFrame:
@@ -102,7 +116,10 @@ def ranked_relevance_by_group(run: DataFrame, qrels_jg: DataFrame, size: Size =
             .otherwise(F.col("rel")),
         )
     )
-    return OrderedGroups(rows, ["qid", "jg"], run_order(), size).number("rank")
+    if size is None:
+        size = group_size(run, ["qid"])
+    keyed = with_key(rows).drop("score")
+    return OrderedGroups(keyed, ["qid", "jg"], run_order(), size).number("rank")
 
 
 def topics_in_both(run: DataFrame, qrels: DataFrame) -> DataFrame:
@@ -158,6 +175,8 @@ def interpolated_precision(
     run: DataFrame, qrels: DataFrame, level: int = 1, size: Size = None
 ) -> DataFrame:
     """Highest precision at this rank or a later one."""
+    if size is None:
+        size = group_size(run, ["qid"])
     ranked = ranked_groups(topics_in_both(run, qrels), qrels, size=size)
     counted = ranked.running({"rel_seen": F.when(F.col("rel") >= level, 1).otherwise(0)}).df
     rows = counted.select("qid", "docno", "rank", (F.col("rel_seen") / F.col("rank")).alias("prec"))

@@ -74,13 +74,13 @@ def evaluate(
     for pairs, names in by_gains.items():
         table = dict(pairs)
         topics = gain_ops.gain_values(groups, qrels, table, names, level)
-        values = [(_gain_label(n, table), F.col(n)) for n in names]
+        values = [(_gain_label(n, table), n) for n in names]
         parts.append(m.long_form(topics, ["qid"], values))
 
     if "ndcg_cut" in chosen:
         cuts = chosen["ndcg_cut"] or m.DOC_CUTS
         topics = gain_ops.ndcg_cut_values(groups.df, qrels, cuts)
-        values = [(f"ndcg_cut_{k}", F.col(f"ndcg_cut_{k}")) for k in m.doc_cuts(cuts)]
+        values = [(f"ndcg_cut_{k}", f"ndcg_cut_{k}") for k in m.doc_cuts(cuts)]
         parts.append(m.long_form(topics, ["qid"], values))
     if not parts:
         raise ValueError("no measure with values chosen")
