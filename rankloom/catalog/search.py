@@ -143,15 +143,12 @@ def vocab_stem(spark, folder):
 
 
 @query("tok_synonym", with_ctes([*TOKENS, ("syn", f"""
-  SELECT DISTINCT unnest(['and', 'ment']) AS term,
-         unnest(regexp_extract_all(lower(r_name), {_quoted(WORD)})) AS synonym
-  FROM region"""), ("syn2", f"""
   SELECT k.term, s.synonym FROM (VALUES ('ing'), ('ment')) AS k(term)
   CROSS JOIN (SELECT DISTINCT unnest(regexp_extract_all(lower(r_name), {_quoted(WORD)})) AS synonym
               FROM region) s""")], """
 SELECT docno, field, pos, term FROM tok
 UNION
-SELECT t.docno, t.field, t.pos, s.synonym AS term FROM tok t JOIN syn2 s ON t.term = s.term"""))
+SELECT t.docno, t.field, t.pos, s.synonym AS term FROM tok t JOIN syn s ON t.term = s.term"""))
 def tok_synonym(spark, folder):
     names = inputs.table(spark, folder, "region")
     keys = F.array(F.lit("ing"), F.lit("ment"))
@@ -336,10 +333,10 @@ def query_ctes(stem: bool, topics: str = SQL["topics"]) -> list[tuple[str, str]]
         (
             "qt",
             """
-  SELECT qid, f.field, term, sum(boost) * f.boost AS weight
+  SELECT qid, f.field, term, sum(boost) * f.fb AS weight
   FROM (SELECT qid, term, boost FROM qtok) CROSS JOIN
-       (VALUES ('headline', 0.1::DOUBLE), ('text', 0.9)) AS f(field, boost)
-  GROUP BY qid, f.field, term, f.boost""",
+       (VALUES ('headline', 0.1::DOUBLE), ('text', 0.9)) AS f(field, fb)
+  GROUP BY qid, f.field, term, f.fb""",
         ),
     ]
 

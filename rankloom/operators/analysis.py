@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stem import stemmed
 from ..functions.text import folded, without_possessive, words
+from ..session import durable
 
 # Shortest and longest word kept.
 MIN_LENGTH, MAX_LENGTH = 2, 20
@@ -87,8 +88,12 @@ def expand_synonyms(tokens: DataFrame, synonyms: DataFrame) -> DataFrame:
 
 
 def vocabulary_stems(tokens: DataFrame) -> DataFrame:
-    """(term, stem) of every distinct term: the work grows with the vocabulary."""
-    return stemmed(tokens.select("term").distinct())
+    """(term, stem) of every distinct term: the work grows with the vocabulary.
+
+    Written once. It is read more than once, and the table also keeps the optimizer from
+    moving filters on the stem into the long chain of expressions that makes it.
+    """
+    return durable(stemmed(tokens.select("term").distinct()))
 
 
 def stem(tokens: DataFrame) -> DataFrame:
