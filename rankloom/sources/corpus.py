@@ -158,12 +158,12 @@ def extract_fields(
     inner = kept
     for tag in text_tags[:-1]:
         inner = elements(inner, tag)
-    return df.withColumns(
-        {
-            "headline": plain_text(elements(F.col(markup), headline_tag)),
-            "text": plain_text(elements(inner, text_tags[-1])),
-        }
-    )
+    found = {
+        "headline": elements(F.col(markup), headline_tag),
+        "text": elements(inner, text_tags[-1]),
+    }
+    # A page without the element has an empty field.
+    return df.withColumns({n: F.coalesce(plain_text(c), F.lit("")) for n, c in found.items()})
 
 
 def read_topics(spark: SparkSession, path: str) -> DataFrame:
