@@ -122,7 +122,7 @@ class Preferences:
         """
         if self._closure is not None:
             return self._closure
-        members = durable(self.members(single=False))
+        members = self.members(single=False)
         other = members.select(
             *_JG, "class", F.col("jsg").alias("to_jsg"), F.col("level").alias("to_level")
         )
@@ -135,7 +135,6 @@ class Preferences:
         bridges = durable(bridges)
         state = members.groupBy(*_JG, "class", "jsg").agg(F.max("level").alias("reach"))
         if not bridges.isEmpty():
-            state = durable(state)
             while True:
                 carried = (
                     state.join(bridges, [*_JG, "jsg"])
@@ -511,14 +510,40 @@ class Preferences:
         return static.join(fulfilled, "qid", "left").na.fill(0)
 
 
-def _mean_ratio(top: Column, bottom: Column) -> Column:
-    return F.avg(ratio(top, bottom))
+def _mean_ratio(top: str, bottom: str) -> str:
+    return f"avg({ratio(top, bottom)})"
 
 
-def _balanced_mean(top: Column, bottom: Column) -> Column:
+def _balanced_mean(top: str, bottom: str) -> str:
     # A group without any preference makes the value of the whole topic 0.
-    broken = F.max(bottom == 0)
-    return F.when(broken, 0.0).otherwise(F.avg(ratio(top, bottom)))
+    return f"if(max({bottom} = 0), 0D, avg({ratio(top, bottom)}))"
+
+
+# Preference measures as SQL over the counts of a topic's groups ...
+_FUL, _SEEN = "(ful_ret + ful_imp)", "(poss_ret + poss_imp)"
+_POSS = "(poss_ret + poss_imp + poss_none)"
+_BY_GROUP = {
+    "prefs_num_prefs_poss": f"sum{_POSS}",
+    "prefs_num_prefs_ful": f"sum{_FUL}",
+    "prefs_num_prefs_ful_ret": "sum(ful_ret)",
+    "prefs_simp": ratio(f"sum{_FUL}", f"sum{_POSS}"),
+    "prefs_simp_ret": ratio("sum(ful_ret)", "sum(poss_ret)"),
+    "prefs_simp_imp": ratio(f"sum{_FUL}", f"sum{_SEEN}"),
+    "prefs_avgjg": _mean_ratio(_FUL, _POSS),
+    "prefs_avgjg_ret": _mean_ratio("ful_ret", "poss_ret"),
+    "prefs_avgjg_imp": _mean_ratio(_FUL, _SEEN),
+}
+# ... over the balanced counts of its groups ...
+_BY_BALANCE = {
+    "prefs_avgjg_Rnonrel": _balanced_mean("ful", "poss"),
+    "prefs_avgjg_Rnonrel_ret": _balanced_mean("ful_r", "poss_r"),
+}
+# ... and over its pair sums.
+_BY_PAIR = {
+    "prefs_pair": ratio("sum_ret + sum_imp", "pairs_ret + pairs_imp + pairs_none"),
+    "prefs_pair_ret": ratio("sum_ret", "pairs_ret"),
+    "prefs_pair_imp": ratio("sum_ret + sum_imp", "pairs_ret + pairs_imp"),
+}
 
 
 def pref_values(
@@ -531,44 +556,20 @@ def pref_values(
 ) -> DataFrame:
     """(qid, measure, value) of the wanted preference measures."""
     tables = Preferences(run, prefs, max_docs, size)
-    c = F.col
-    ful, poss = c("ful_ret") + c("ful_imp"), c("poss_ret") + c("poss_imp") + c("poss_none")
-    seen = c("poss_ret") + c("poss_imp")
-    by_group = {
-        "prefs_num_prefs_poss": F.sum(poss),
-        "prefs_num_prefs_ful": F.sum(ful),
-        "prefs_num_prefs_ful_ret": F.sum("ful_ret"),
-        "prefs_simp": ratio(F.sum(ful), F.sum(poss)),
-        "prefs_simp_ret": ratio(F.sum("ful_ret"), F.sum("poss_ret")),
-        "prefs_simp_imp": ratio(F.sum(ful), F.sum(seen)),
-        "prefs_avgjg": _mean_ratio(ful, poss),
-        "prefs_avgjg_ret": _mean_ratio(c("ful_ret"), c("poss_ret")),
-        "prefs_avgjg_imp": _mean_ratio(ful, seen),
-    }
-    by_balance = {
-        "prefs_avgjg_Rnonrel": _balanced_mean(c("ful"), c("poss")),
-        "prefs_avgjg_Rnonrel_ret": _balanced_mean(c("ful_r"), c("poss_r")),
-    }
-    total, ret, imp = c("sum_ret") + c("sum_imp"), c("pairs_ret"), c("pairs_imp")
-    by_pair = {
-        "prefs_pair": ratio(total, ret + imp + c("pairs_none")),
-        "prefs_pair_ret": ratio(c("sum_ret"), ret),
-        "prefs_pair_imp": ratio(total, ret + imp),
-    }
     parts = []
     sources = [
-        (by_group, tables.group_counts),
-        (by_balance, lambda: tables.balanced_counts(strict)),
+        (_BY_GROUP, tables.group_counts),
+        (_BY_BALANCE, lambda: tables.balanced_counts(strict)),
     ]
     for formulas, table in sources:
         names = [n for n in wanted if n in formulas]
         if names:
-            topics = table().groupBy("qid").agg(*[formulas[n].alias(n) for n in names])
-            parts.append(long_form(topics, ["qid"], [(n, c(n)) for n in names]))
-    names = [n for n in wanted if n in by_pair]
+            topics = table().groupBy("qid").agg(*[F.expr(f"{formulas[n]} AS {n}") for n in names])
+            parts.append(long_form(topics, ["qid"], [(n, n) for n in names]))
+    names = [n for n in wanted if n in _BY_PAIR]
     if names:
         topics = tables.judged.select("qid").distinct().join(tables.pair_sums(), "qid", "left").na.fill(0)
-        parts.append(long_form(topics, ["qid"], [(n, by_pair[n]) for n in names]))
+        parts.append(long_form(topics, ["qid"], [(n, _BY_PAIR[n]) for n in names]))
     if not parts:
         raise ValueError("no preference measure chosen")
     return reduce(DataFrame.unionByName, parts)
