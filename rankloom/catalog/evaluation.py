@@ -347,7 +347,7 @@ def m_num_q(spark, folder):
 
 
 @query("m_relstring", with_ctes([("run", SQL["run"]), ("qrels", SQL["qrels"]), *ranked_sql()], """
-SELECT qid, 'relstring_10' AS measure,
+SELECT qid, 'relstring' AS measure,
        string_agg(CASE WHEN rel > 9 THEN '>' WHEN rel >= 0 THEN rel::VARCHAR
                        WHEN rel = -1 THEN '-' ELSE '.' END, '' ORDER BY rank) AS text
 FROM ranked WHERE rank <= 10 GROUP BY qid"""))
@@ -707,7 +707,7 @@ SELECT qid, measure, CASE WHEN measure IN ('num_ret','num_rel','num_rel_ret','nu
     ELSE printf('%-22s' || chr(9) || '%s' || chr(9) || '%6.4f', measure, qid, value) END AS line
 FROM rows_
 UNION ALL
-SELECT qid, 'relstring_10' AS measure, printf('%-22s' || chr(9) || '%s' || chr(9) || '''%s''', 'relstring_10', qid,
+SELECT qid, 'relstring' AS measure, printf('%-22s' || chr(9) || '%s' || chr(9) || '''%s''', 'relstring', qid,
        string_agg(CASE WHEN rel > 9 THEN '>' WHEN rel >= 0 THEN rel::VARCHAR
                        WHEN rel = -1 THEN '-' ELSE '.' END, '' ORDER BY rank)) AS line
 FROM ranked WHERE rank <= 10 GROUP BY qid
@@ -717,7 +717,7 @@ _REPORT_NAMES = ["num_ret", "num_rel", "num_rel_ret", "map", "Rprec", "bpref", "
 query("report_lines", evaluation_sql(_REPORT_NAMES, body="", run="tagged_run").rstrip() + REPORT_SQL)(
     lambda spark, folder: report_lines(report(
         inputs.tagged_run(spark, folder), inputs.qrels(spark, folder),
-        [*_REPORT_NAMES, "relstring", "runid"], per_topic=True,
+        [*_REPORT_NAMES, "num_q", "relstring", "runid"], per_topic=True,
     ))
 )
 

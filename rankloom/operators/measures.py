@@ -399,8 +399,9 @@ def relevance_strings(
         "qid", F.struct("rank", letter.alias("letter")).alias("at")
     )
     text = F.array_join(F.transform(F.array_sort(F.collect_list("at")), lambda a: a["letter"]), "")
+    name = "relstring" if length == RELSTRING_LENGTH else f"relstring_{length}"
     return first.groupBy("qid").agg(text.alias("text")).select(
-        "qid", F.lit(f"relstring_{length}").alias("measure"), "text"
+        "qid", F.lit(name).alias("measure"), "text"
     )
 
 

@@ -35,6 +35,12 @@ def _summary_value(topics: Column, found: Column) -> Column:
     )
 
 
+def topic_count(evals: DataFrame) -> DataFrame:
+    """The ``num_q`` row: number of topics with values."""
+    count = evals.agg(F.count_distinct("qid").cast("double").alias("value"))
+    return count.select(F.lit("all").alias("qid"), F.lit("num_q").alias("measure"), "value")
+
+
 def summarize(
     evals: DataFrame, judgements: DataFrame | None = None, complete: bool = False
 ) -> DataFrame:
@@ -52,14 +58,12 @@ def summarize(
         if "rel" in judgements.columns:
             all_rel = judgements.agg(F.count_if(F.col("rel") > 0).cast("double").alias("n")).scalar()
             value = F.when(F.col("measure") == "num_rel", all_rel).otherwise(value)
-        num_q = judgements.agg(F.count_distinct("qid").cast("double").alias("value"))
+        num_q = topic_count(judgements)
     else:
         value = _summary_value(F.col("found"), F.col("found"))
-        num_q = evals.agg(F.count_distinct("qid").cast("double").alias("value"))
+        num_q = topic_count(evals)
     rows = totals.select(F.lit("all").alias("qid"), "measure", value.alias("value"))
-    return rows.unionByName(
-        num_q.select(F.lit("all").alias("qid"), F.lit("num_q").alias("measure"), "value")
-    )
+    return rows.unionByName(num_q)
 
 
 def report_rows(evals: DataFrame, per_topic: bool = True, summary: bool = True) -> DataFrame:

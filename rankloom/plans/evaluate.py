@@ -12,7 +12,7 @@ from ..operators import gains as gain_ops
 from ..operators import measures as m
 from ..operators import prefs as pref_ops
 from ..operators.ranking import Size, ranked_groups, ranked_relevance, ranked_relevance_by_group
-from ..operators.summary import report_rows, summarize, zscore
+from ..operators.summary import report_rows, summarize, topic_count, zscore
 
 # Measures that are texts or counts of topics, not values of one topic.
 _REPORT_ONLY = ("runid", "num_q", "relstring")
@@ -118,40 +118,46 @@ def evaluate_prefs(
     return pref_ops.pref_values(run, prefs, wanted, max_docs=max_docs, strict=strict, size=size)
 
 
+_EVALUATORS = {"qrels": evaluate, "qrels_jg": evaluate_groups, "prefs": evaluate_prefs}
+
+
 def report(
     run: DataFrame,
-    qrels: DataFrame,
+    judgements: DataFrame,
     measures: MeasureChoice = "official",
     *,
+    kind: str = "qrels",
     per_topic: bool = False,
     summary: bool = True,
     complete: bool = False,
     zscores: DataFrame | None = None,
     **options,
 ) -> DataFrame:
-    """Report rows (qid, measure, value, text): topic rows first if asked for, then ``all``."""
+    """Report rows (qid, measure, value, text): topic rows if asked for, and ``all`` rows.
+
+    ``kind`` names the judgements: ``qrels``, ``qrels_jg`` or ``prefs`` (judgements read as
+    preferences included). ``complete`` averages over all judged topics.
+    """
     chosen = choose(measures)
-    evals = evaluate(run, qrels, measures, **options)
+    evals = _EVALUATORS[kind](run, judgements, measures, **options)
     if zscores is not None:
         evals = zscore(evals, zscores)
     parts = []
-    if complete and summary:
-        parts.append(summarize(evals, qrels, complete=True))
-        if per_topic:
-            parts.append(report_rows(evals, summary=False))
+    if per_topic and summary and not complete:
+        parts.append(report_rows(evals))
+        if "num_q" in chosen:
+            parts.append(topic_count(evals))
     else:
-        parts.append(report_rows(evals, per_topic, summary))
-        if per_topic and summary:
-            parts.append(
-                evals.agg(F.count_distinct("qid").cast("double").alias("value")).select(
-                    F.lit("all").alias("qid"), F.lit("num_q").alias("measure"), "value"
-                )
-            )
+        if per_topic or not summary:
+            parts.append(report_rows(evals, summary=False))
+        if summary:
+            rows = summarize(evals, judgements, complete)
+            parts.append(rows if "num_q" in chosen else rows.filter("measure <> 'num_q'"))
     rows = reduce(DataFrame.unionByName, parts).withColumn("text", F.lit(None).cast("string"))
     texts = []
-    if per_topic and "relstring" in chosen:
+    if per_topic and kind == "qrels" and "relstring" in chosen:
         ranked_options = {k: options[k] for k in ("max_docs", "judged_only", "size") if k in options}
-        ranked = ranked_relevance(run, qrels, **ranked_options)
+        ranked = ranked_relevance(run, judgements, **ranked_options)
         length = int((chosen["relstring"] or [m.RELSTRING_LENGTH])[0])
         texts.append(m.relevance_strings(ranked, length))
     if summary and "runid" in chosen and "run_id" in run.columns:

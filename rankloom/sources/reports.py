@@ -36,9 +36,9 @@ def report_lines(rows: DataFrame, zscores: bool = False) -> DataFrame:
     """Report rows (qid, measure, value[, text]) as printed lines."""
     value = F.col("value")
     # Half-even first: the printed form of an exact tie follows the C library.
-    number = F.format_string(
-        "%-22s\t%s\t%6.4f", "measure", "qid", F.bround(value, 4)
-    )
+    number = F.format_string("%-22s\t%s\t%6.4f", "measure", "qid", F.bround(value, 4))
+    undefined = F.format_string("%-22s\t%s\tnan", "measure", "qid")
+    number = F.when(F.isnan(value), undefined).otherwise(number)
     if zscores:
         number = F.concat(F.lit("Z"), number)
     whole = F.format_string("%-22s\t%s\t%d", "measure", "qid", value.cast("long"))
@@ -49,9 +49,9 @@ def report_lines(rows: DataFrame, zscores: bool = False) -> DataFrame:
         quoted = F.format_string("%-22s\t%s\t'%s'", "measure", "qid", text)
         bare = F.format_string("%-22s\t%s\t%s", "measure", "qid", text)
         line = (
-            F.when(F.col("measure") == "runid", bare)
-            .when(text.isNotNull(), quoted)
-            .otherwise(line)
+            F.when(text.isNull(), line)
+            .when(F.col("measure") == "runid", bare)
+            .otherwise(quoted)
         )
     return rows.select("qid", "measure", line.alias("line"))
 
