@@ -381,6 +381,8 @@ class Preferences:
             F.sum(F.when(upper_rows, c("n_ret") * upper_low_ret).otherwise(0)).alias("up_poss_r"),
             F.sum(F.when(upper_rows | F.lit(not strict), c("n_ret") + c("n_un")).otherwise(0)).alias("n_all"),
             F.sum(F.when(upper_rows | F.lit(not strict), c("n_ret")).otherwise(0)).alias("n_all_ret"),
+            F.max(c("lowest_ret") + c("lowest_un")).alias("n_lowest"),
+            F.max("lowest_ret").alias("n_lowest_ret"),
         )
         upper_ful = self._single_fulfilled(above_lowest=True)
         joined = (
@@ -392,9 +394,10 @@ class Preferences:
         return joined.select(
             *_JG,
             (c("ful_ret") + c("up_ful_imp") + c("kept_ful")).alias("ful_cut"),
-            (c("up_poss") + c("n_all") * c("num_rel")).alias("poss_cut"),
+            # Several non-relevant levels: the lowest class may hold fewer documents.
+            (c("up_poss") + c("n_all") * F.least("num_rel", "n_lowest")).alias("poss_cut"),
             (c("ful_ret") + c("kept_ful_r")).alias("ful_r_cut"),
-            (c("up_poss_r") + c("n_all_ret") * c("num_rel_ret")).alias("poss_r_cut"),
+            (c("up_poss_r") + c("n_all_ret") * F.least("num_rel_ret", "n_lowest_ret")).alias("poss_r_cut"),
         )
 
     def _cut_multi(self) -> DataFrame:
