@@ -84,3 +84,11 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIG
        sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
 FROM said
 """
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from rankloom.llm.packing import pack, token_pieces
+
+    pieces = token_pieces(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), capacity=4096)
+    return pack(pieces, tokens=4096)
