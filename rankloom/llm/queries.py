@@ -92,3 +92,33 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
     pieces = token_pieces(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), capacity=4096)
     return pack(pieces, tokens=4096)
+
+
+#: Byte limit of a shard in the query; the given tables are far smaller than what 256 MiB are for.
+SHARD_BYTES = 1 << 20
+
+
+@query
+def op8_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    from rankloom.llm.sharding import shard
+
+    return shard(table(spark, folder, "documents").select("doc_id", "text"), limit=SHARD_BYTES).drop("text")
+
+
+ORACLES["op8_extendible_sharding"] = f"""
+WITH docs AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
+         CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS h
+  FROM documents
+), depths AS (SELECT CAST(unnest(range(0, 31)) AS INTEGER) AS depth
+), buckets AS (
+  SELECT depth, h >> (60 - depth) AS prefix, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_rows
+  FROM docs, depths GROUP BY ALL
+), leaves AS (
+  SELECT b.* FROM buckets b LEFT JOIN buckets p ON p.depth = b.depth - 1 AND p.prefix = b.prefix >> 1
+  WHERE b.shard_bytes <= {SHARD_BYTES} AND (b.depth = 0 OR p.shard_bytes > {SHARD_BYTES})
+)
+SELECT doc_id, n_bytes, depth, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth, '0') END AS shard,
+       shard_bytes, shard_rows
+FROM docs JOIN leaves ON h >> (60 - depth) = prefix
+"""
