@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.session import durable
+from rankloom.session import durable, new_folder
 
 #: Bytes of text that a Python task works on at once; also asked of Spark's Arrow batches.
 SLICE_BYTES = 8 << 20
@@ -72,44 +72,35 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to a new folder of the shared place and read it from there."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b): the smallest id reachable from it.
 
-    Alternates two steps until nothing changes: each id points its larger neighbours at the
-    smallest one it knows, then its smaller ones. Every step is a grouping with partial
-    aggregation or a join on ids, so a star of any size is spread over tasks, and each round
-    is written to the shared checkpoint folder.
+    Labels travel along links, then jump to their label's label, until none changes. What is
+    joined is written first, so that both sides of a join are shuffled for it and a hub's rows can
+    be split over tasks; the groupings add up inside tasks before they shuffle.
     """
-    edges = durable(
-        links.select(F.col("a").cast("long"), F.col("b").cast("long"))
-        .filter("a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct()
-    )
+    pairs = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
+    edges = durable(pairs.union(pairs.select("b", "a")).distinct())
+    labels = durable(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("c")))
     for _ in range(rounds):
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = (
-            both.join(low, "a")
-            .filter("b > a")
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
+        near = edges.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("c").alias("m"))
+        step = durable(
+            labels.join(near, F.col("id") == F.col("a")).select("id", "c", F.least("c", "m").alias("c1"))
         )
-        large = large.filter("a <> b").distinct()
-        small_low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(small_low, "a").select(F.col("b").alias("x"), "a", "m")
+        jump = step.select(F.col("id").alias("r"), F.col("c1").alias("c2"))
         new = durable(
-            small.select(F.col("x").alias("a"), F.col("m").alias("b"))
-            .unionByName(small.select("a", F.col("m").alias("b")))
-            .filter("a <> b")
-            .distinct()
+            step.join(jump, F.col("c1") == F.col("r")).select(
+                "id", F.least("c1", "c2").alias("n"), (F.least("c1", "c2") < F.col("c")).alias("moved")
+            )
         )
-        counts = [e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first() for e in (edges, new)]
-        edges = new
-        if counts[0] == counts[1]:
-            break
-    else:
-        raise RuntimeError("components did not settle")
-    roots = edges.select(F.col("b").alias("id")).distinct()
-    return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
-        roots.select("id", F.col("id").alias("component"))
-    )
+        labels = new.select("id", F.col("n").alias("c"))
+        if not new.filter("moved").agg(F.count(F.lit(1))).first()[0]:
+            return labels.select("id", F.col("c").alias("component"))
+    raise RuntimeError("components did not settle")

@@ -122,3 +122,33 @@ SELECT doc_id, n_bytes, depth, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix)
        shard_bytes, shard_rows
 FROM docs JOIN leaves ON h >> (60 - depth) = prefix
 """
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    from rankloom.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(table(spark, folder, "documents"), words=4, percent=85)
+
+
+ORACLES["op9_jaccard_join"] = r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s
+  FROM cut
+), items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT a AS id, b AS other FROM links
+  UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles,
+       coalesce((SELECT min(least(id, other)) FROM reach WHERE id = doc_id), doc_id) AS component_id
+FROM sets
+"""
