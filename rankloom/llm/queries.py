@@ -152,3 +152,14 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles,
        coalesce((SELECT min(least(id, other)) FROM reach WHERE id = doc_id), doc_id) AS component_id
 FROM sets
 """
+
+
+#: Secret of the query's pseudonyms; a production run takes its own from a secret store.
+PSEUDONYM_KEY = b"pseudonyms of the given tables"
+
+
+@query
+def op4_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    from rankloom.llm.pii import pseudonymise
+
+    return pseudonymise(table(spark, folder, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
