@@ -163,3 +163,32 @@ def op4_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     from rankloom.llm.pii import pseudonymise
 
     return pseudonymise(table(spark, folder, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+
+
+@query
+def op2_vector_neardups(spark: SparkSession, folder: str) -> DataFrame:
+    from rankloom.llm.vector_neardup import vector_neardups
+
+    return vector_neardups(table(spark, folder, "embeddings"), threshold=0.98)
+
+
+ORACLES["op2_vector_neardups"] = """
+WITH RECURSIVE plain AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+), valid AS (
+  SELECT vec_id, label, v FROM plain
+  WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(v, v) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+  SELECT a AS id, b AS other FROM links
+  UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a
+), found AS (
+  SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+         coalesce((SELECT min(least(id, other)) FROM reach WHERE id = vec_id), vec_id) AS component_id
+  FROM embeddings
+)
+SELECT *, vec_id = component_id AS kept FROM found
+"""
