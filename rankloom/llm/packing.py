@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from math import ceil
 
 import numpy as np
@@ -18,8 +19,8 @@ from rankloom.session import durable
 
 #: Tokens of a group of pieces that one task packs; one bin of a group may stay part empty.
 GROUP_TOKENS = 1 << 22
-#: Distinct words that a task remembers before it starts anew.
-WORDS_KEPT = 400_000
+#: Distinct words that a Python worker remembers, from task to task, before it starts anew.
+WORDS_KEPT = 800_000
 #: Stands between words that are encoded in one call.
 BETWEEN = "\x1e"
 WORDS_A_CALL = 500
@@ -95,6 +96,11 @@ class WordTokens(dict):
         return ids, np.diff(np.r_[0, ends])
 
 
+@lru_cache(maxsize=1)
+def word_tokens(path: str) -> WordTokens:
+    return WordTokens(path)
+
+
 def token_pieces(
     df: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, key: str = "doc_id", text: str = "text",
     with_ids: bool = False,
@@ -109,7 +115,7 @@ def token_pieces(
     names = ["_key", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(path)
+        words = word_tokens(path)
         for part, texts in text_slices(batches, "_text", 4 << 20):
             ids, counts = words.tokens(texts)
             full = counts + 1  # with the end id
