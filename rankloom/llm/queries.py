@@ -192,3 +192,10 @@ WITH RECURSIVE plain AS (
 )
 SELECT *, vec_id = component_id AS kept FROM found
 """
+
+
+@query
+def op10_pitman_yor_scores(spark: SparkSession, folder: str) -> DataFrame:
+    from rankloom.llm.pitman_yor import score_documents
+
+    return score_documents(table(spark, folder, "documents"))
