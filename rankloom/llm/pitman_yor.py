@@ -244,6 +244,35 @@ class Seats:
             self.party(rows, party, fresh[rows], discount)
             done[rows] += party
 
+    def reseat(self, rows: np.ndarray, guests: np.ndarray, fresh: np.ndarray, discount: float) -> None:
+        """All customers of some dishes leave and as many as ``guests`` are seated."""
+        new = Seats(np.zeros(0, np.int64), np.zeros(len(rows), np.int64), self.rng)
+        new.seat(guests, fresh, discount)
+        owner = np.repeat(np.arange(len(self.tables)), self.tables)
+        stay = ~np.isin(owner, rows)
+        owner = np.r_[owner[stay], np.repeat(rows, new.tables)]
+        order = np.argsort(owner, kind="stable")
+        self.sizes = np.r_[self.sizes[stay], new.sizes][order]
+        self.tables[rows] = new.tables
+
+    def follow(self, guests: np.ndarray, wanted: np.ndarray, fresh: np.ndarray, discount: float) -> None:
+        """Customers come and go until every dish has as many as wanted.
+
+        Where many do, the dish is seated anew.
+        """
+        many = np.flatnonzero(np.abs(wanted - guests) > ONE_BY_ONE)
+        if len(many):
+            self.reseat(many, wanted[many], fresh[many], discount)
+            guests = guests.copy()
+            guests[many] = wanted[many]
+        while (more := np.flatnonzero(wanted != guests)).size:
+            gone, came = more[wanted[more] < guests[more]], more[wanted[more] > guests[more]]
+            if len(gone):
+                self.remove(gone)
+            if len(came):
+                self.add(came, fresh[came], discount)
+            guests = guests + np.sign(wanted - guests)
+
     def dump(self) -> bytes:
         head = np.array([len(self.tables), len(self.sizes)], "<i8").tobytes()
         return head + self.tables.astype("<i4").tobytes() + self.sizes.astype("<i8").tobytes()
@@ -326,7 +355,7 @@ def _dishes(row: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return owner, context, count, np.frombuffer(row["alone"], "<i8")
 
 
-def _sweep(rooms: DataFrame, model: Model, number: int) -> DataFrame:
+def _sweep(rooms: DataFrame, model: Model, number: int, shards: int) -> DataFrame:
     """Rooms after one more Gibbs sweep, with their tables: child seats, then the parent's."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -337,16 +366,16 @@ def _sweep(rooms: DataFrame, model: Model, number: int) -> DataFrame:
                 owner, context, count, alone = _dishes(row)
                 first = row["seats"] is None
                 fresh_root = np.full(len(alone), (STRENGTH + model.root_discount * model.root_tables) / (model.vocabulary + 1))
-                if first:
+                if first:  # at first every dish has one table, in the parent too
                     none = np.zeros(0, np.int64)
                     seats = Seats(none, np.zeros(len(count), np.int64), rng)
-                    guests = alone + np.bincount(owner, minlength=len(alone))
                     root = Seats(none, np.zeros(len(alone), np.int64), rng)
-                    root.seat(guests, fresh_root, model.root_discount)
+                    guests = alone + np.bincount(owner, minlength=len(alone)).astype(np.int64)
+                    parent = model.parent(guests, np.minimum(guests, 1))
                 else:
                     seats, root = Seats.load(row["seats"], rng), Seats.load(row["root"], rng)
                     guests = alone + np.bincount(owner, seats.tables, len(alone)).astype(np.int64)
-                parent = model.parent(guests, root.tables)
+                    parent = model.parent(guests, root.tables)
                 fresh = (STRENGTH + model.discount * model.tables[context]) * parent[owner]
                 if first:
                     seats.seat(count, fresh, model.discount)
@@ -356,13 +385,11 @@ def _sweep(rooms: DataFrame, model: Model, number: int) -> DataFrame:
                     seats.add(everyone, fresh, model.discount)
                 # Each table of a child is a customer of the parent: those that came or went, then moves.
                 wanted = alone + np.bincount(owner, seats.tables, len(alone)).astype(np.int64)
-                while (more := np.flatnonzero(wanted != guests)).size:
-                    gone, came = more[wanted[more] < guests[more]], more[wanted[more] > guests[more]]
-                    if len(gone):
-                        root.remove(gone)
-                    if len(came):
-                        root.add(came, fresh_root[came], model.root_discount)
-                    guests = guests + np.sign(wanted - guests)
+                if first:
+                    root.seat(wanted, fresh_root, model.root_discount)
+                else:
+                    root.follow(guests, wanted, fresh_root, model.root_discount)
+                guests = wanted
                 movable = np.flatnonzero(guests > 1)
                 for _ in range(MOVES):
                     root.remove(movable)
@@ -377,7 +404,9 @@ def _sweep(rooms: DataFrame, model: Model, number: int) -> DataFrame:
         "shard bigint, dishes binary, alone binary, seats binary, root binary, tables array<bigint>, "
         "root_customers bigint, root_tables bigint"
     )
-    return stored(rooms.select("shard", "dishes", "alone", "seats", "root").mapInPandas(run, schema), "pitman_yor")
+    # Shards are small files or rows: deal them out, so that each is a task's whole work.
+    dealt = rooms.select("shard", "dishes", "alone", "seats", "root").repartition(shards, "shard")
+    return stored(dealt.mapInPandas(run, schema), "pitman_yor")
 
 
 def _answers(chunks: DataFrame, samples: list[DataFrame], models: list[Model], width: int) -> DataFrame:
@@ -421,7 +450,8 @@ def fitted(docs: DataFrame) -> tuple[DataFrame, list[DataFrame], list[Model], in
     """Chunks, sampled seatings, their models, and the contexts' number and one."""
     contexts, tokens = contexts_of(docs)
     width = len(contexts) + 1
-    chunks = _chunks(docs, contexts, max(1, ceil(tokens / SHARD_TOKENS)))
+    shards = max(1, ceil(tokens / SHARD_TOKENS))
+    chunks = _chunks(docs, contexts, shards)
     rooms = _restaurants(chunks, width)
     tokens, vocabulary, hapaxes, ones, twos, root_ones, root_twos = _summed(rooms, "stats", 7).tolist()
     customers, singles = _summed(rooms, "customers", width), _summed(rooms, "singles", width)
@@ -438,7 +468,7 @@ def fitted(docs: DataFrame) -> tuple[DataFrame, list[DataFrame], list[Model], in
     state = rooms.withColumn("seats", F.lit(None).cast("binary")).withColumn("root", F.lit(None).cast("binary"))
     samples, models = [], []
     for number in range(BURN_IN + SAMPLES):
-        state = _sweep(state, model, number)
+        state = _sweep(state, model, number, shards)
         sums = state.agg(F.sum("root_customers").alias("c"), F.sum("root_tables").alias("t")).first()
         model = Model(
             customers, singles + _summed(state, "tables", width), (sums["c"] or 0) + hapaxes, (sums["t"] or 0) + hapaxes,
