@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.session import durable, new_folder
+from rankloom.session import new_folder
 
 #: Bytes of text that a Python task works on at once; also asked of Spark's Arrow batches.
 SLICE_BYTES = 8 << 20
@@ -84,21 +84,24 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
     Labels travel along links, then jump to their label's label, until none changes. What is
     joined is written first, so that both sides of a join are shuffled for it and a hub's rows can
-    be split over tasks; the groupings add up inside tasks before they shuffle.
+    be split over tasks; the groupings add up inside tasks before they shuffle. Files, unlike
+    checkpoints, start with fresh size estimates: those of joined checkpoints multiply each round.
     """
     pairs = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
-    edges = durable(pairs.union(pairs.select("b", "a")).distinct())
-    labels = durable(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("c")))
+    edges = stored(pairs.union(pairs.select("b", "a")).distinct(), "links")
+    labels = stored(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("c")), "links")
     for _ in range(rounds):
         near = edges.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("c").alias("m"))
-        step = durable(
-            labels.join(near, F.col("id") == F.col("a")).select("id", "c", F.least("c", "m").alias("c1"))
+        step = stored(
+            labels.join(near, F.col("id") == F.col("a")).select("id", "c", F.least("c", "m").alias("c1")),
+            "links",
         )
         jump = step.select(F.col("id").alias("r"), F.col("c1").alias("c2"))
-        new = durable(
+        new = stored(
             step.join(jump, F.col("c1") == F.col("r")).select(
                 "id", F.least("c1", "c2").alias("n"), (F.least("c1", "c2") < F.col("c")).alias("moved")
-            )
+            ),
+            "links",
         )
         labels = new.select("id", F.col("n").alias("c"))
         if not new.filter("moved").agg(F.count(F.lit(1))).first()[0]:

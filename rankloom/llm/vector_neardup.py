@@ -17,20 +17,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import bounded_batches, components, stored
+from rankloom.llm.common import bounded_batches, components, ranges, stored
 from rankloom.session import broadcast_if_small, durable
 
 #: Vectors of a label for one medoid, and medoids at most (they are sent to every task).
-SHARD = 2048
+SHARD = 512
 MEDOIDS = 4096
 #: Vectors of a block; a cluster of several blocks is one shard for each pair of them.
 BLOCK = 4096
-#: Shards that a vector is in, if there are so many; doubled when an audit fails.
-OVERLAP = 3
+#: A vector is in the shards of all medoids whose cosine is this near to the best one's, and of
+#: OVERLAP ones at most; both are doubled when an audit fails.
+MARGIN, OVERLAP = 0.12, 6
 #: Nearest and random candidates for edges, edges kept, and the slack of pruning.
 NEAREST, RANDOM, DEGREE, SLACK = 64, 8, 24, 1.2
 #: Best places that the greedy search keeps open, and places expanded at once.
-BEAM, AT_ONCE = 16, 8
+BEAM, AT_ONCE = 16, 4
 #: Expansion goes on at vectors this much below the range.
 BELOW = 0.03
 #: Vectors audited, at most, and the recall they must show.
@@ -78,7 +79,7 @@ def _medoids(reps: DataFrame) -> dict[tuple[str, int], np.ndarray]:
     return {k: np.array([v for _, v in sorted(x)]) for k, x in found.items() if len(x) > 1}
 
 
-def _shards(reps: DataFrame, medoids: dict, overlap: int) -> DataFrame:
+def _shards(reps: DataFrame, medoids: dict, widen: int) -> DataFrame:
     """Rows (TASK, rep, weight, v, own, other): members of every shard; own: searched for here."""
     sent = reps.sparkSession.sparkContext.broadcast(medoids)
 
@@ -87,8 +88,12 @@ def _shards(reps: DataFrame, medoids: dict, overlap: int) -> DataFrame:
             places = []
             for name, dim, v in zip(rows["label"], rows["dim"], rows["v"], strict=True):
                 known = sent.value.get((name, dim))
-                near = [0] if known is None else np.argsort(-(known @ v), kind="stable")[:overlap].tolist()
-                places.append(near)
+                if known is None:
+                    places.append([0])
+                    continue
+                cos = known @ v
+                near = np.argsort(-cos, kind="stable")[: widen * OVERLAP]
+                places.append(near[cos[near] >= cos[near[0]] - widen * MARGIN].tolist())
             out = rows.assign(cluster=places, home=[p[0] for p in places]).explode("cluster", ignore_index=True)
             yield out.assign(cluster=out["cluster"].astype("int64"), home=out["home"] == out["cluster"])
 
@@ -151,27 +156,18 @@ def _build(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"rep": ids, "near": [ids[k] for k in kept]})
 
 
-def padded_graph(ids: np.ndarray, near: list[np.ndarray], x: np.ndarray) -> np.ndarray:
-    """Neighbours of each place, in both directions, nearest first and filled up with the place itself.
+def both_ways(ids: np.ndarray, near: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Edges in both directions as places: where each place's neighbours begin, and all neighbours.
 
-    Edges that lead out of the shard are left out; a place has twice DEGREE neighbours at most.
+    No edge is dropped for its number, so whatever has an edge can be reached; edges that lead out
+    of the shard are left out.
     """
     source = np.repeat(np.arange(len(ids)), [len(n) for n in near])
     names = np.concatenate(near) if len(near) else np.zeros(0, np.int64)
     at = np.minimum(np.searchsorted(ids, names), len(ids) - 1)
     ok = ids[at] == names
-    a, b = np.r_[source[ok], at[ok]], np.r_[at[ok], source[ok]]
-    edges = np.unique(a * len(ids) + b)
-    a, b = edges // len(ids), edges % len(ids)
-    cos = np.concatenate([np.einsum("ij,ij->i", x[a[s : s + 65536]], x[b[s : s + 65536]]) for s in range(0, len(a), 65536)] or [np.zeros(0)])
-    order = np.lexsort((-cos, a))
-    a, b = a[order], b[order]
-    place = np.arange(len(a)) - np.searchsorted(a, a)
-    width = max(1, min(2 * DEGREE, int(place.max()) + 1 if len(place) else 1))
-    graph = np.repeat(np.arange(len(ids))[:, None], width, axis=1)
-    inside = place < width
-    graph[a[inside], place[inside]] = b[inside]
-    return graph
+    edges = np.unique(np.r_[source[ok] * len(ids) + at[ok], at[ok] * len(ids) + source[ok]])
+    return np.searchsorted(edges, np.arange(len(ids) + 1) * len(ids)), edges % len(ids)
 
 
 def entry_medoids(x: np.ndarray) -> np.ndarray:
@@ -186,7 +182,7 @@ def entry_medoids(x: np.ndarray) -> np.ndarray:
     return np.array(found)
 
 
-def range_search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def range_search(x: np.ndarray, graph: tuple[np.ndarray, np.ndarray], queries: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(query places, found) for slices of the queries; found marks the places within the range."""
     entries = entry_medoids(x)
     step = max(16, min(256, (16 << 20) // (8 * len(x))))
@@ -196,24 +192,47 @@ def range_search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, threshol
         cos = np.full((len(q), len(x)), -2.0)  # -2: not seen yet
         done = np.zeros(cos.shape, bool)
         cos[:, entries] = x[q] @ x[entries].T
-        while True:
-            beam = min(BEAM, len(x))
-            floor = np.partition(cos, len(x) - beam, axis=1)[:, len(x) - beam]
-            ready = np.where((cos >= np.minimum(floor, threshold - BELOW)[:, None]) & (cos > -2) & ~done, cos, -3.0)
-            width = min(AT_ONCE, len(x))
-            top = np.argpartition(-ready, width - 1, axis=1)[:, :width]
-            live = np.take_along_axis(ready, top, axis=1) > -3
-            r, at = np.repeat(rows, live.sum(axis=1)), top[live]
-            if not len(at):
-                break
+
+        def visit(r: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Expand places: cosines of their neighbours not seen yet, each once."""
             done[r, at] = True
-            new = np.unique((r[:, None] * len(x) + graph[at]).ravel())
+            counts = graph[0][at + 1] - graph[0][at]
+            near = graph[1][np.repeat(graph[0][at], counts) + ranges(counts)]
+            r = np.repeat(r, counts)
+            fresh = cos[r, near] == -2
+            new = np.unique(r[fresh] * len(x) + near[fresh])
             r, at = new // len(x), new % len(x)
-            fresh = cos[r, at] == -2
-            r, at = r[fresh], at[fresh]
             for s in range(0, len(r), 65536):
                 part = slice(s, s + 65536)
                 cos[r[part], at[part]] = np.einsum("ij,ij->i", x[q[r[part]]], x[at[part]])
+            return r, at
+
+        # Greedily from the medoids: the best places seen are kept in a beam.
+        width = min(BEAM, len(entries))
+        beam = entries[np.argpartition(-cos[:, entries], width - 1, axis=1)[:, :width]]
+        while True:
+            ready = np.where(done[rows[:, None], beam], -3.0, cos[rows[:, None], beam])
+            best = np.argsort(-ready, axis=1)[:, :AT_ONCE]
+            live = np.take_along_axis(ready, best, axis=1) > -3
+            if not live.any():
+                break
+            r, at = visit(np.repeat(rows, live.sum(axis=1)), np.take_along_axis(beam, best, axis=1)[live])
+            place = np.arange(len(r)) - np.searchsorted(r, r)
+            more = np.full((len(q), int(place.max()) + 1 if len(r) else 0), -1)
+            more[r, place] = at
+            both = np.concatenate([beam, more], axis=1)
+            value = np.where(both < 0, -3.0, cos[rows[:, None], both])
+            width = min(BEAM, both.shape[1])
+            top = np.argpartition(-value, width - 1, axis=1)[:, :width]
+            beam = np.take_along_axis(both, top, axis=1)
+            beam = np.where(beam < 0, beam[:, :1], beam)
+            beam = np.where(beam < 0, entries[0], beam)
+        # Then over all places inside the range, or a little below it.
+        while True:
+            r, at = np.nonzero((cos >= threshold - BELOW) & ~done)
+            if not len(r):
+                break
+            visit(r, at)
         found = cos >= threshold
         found[rows, q] = False
         yield q, found
@@ -224,7 +243,7 @@ def _search(threshold: float, rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("rep", ignore_index=True)
     ids, weight = rows["rep"].to_numpy(), rows["weight"].to_numpy(float)
     x = np.stack(rows["v"].to_numpy())
-    graph = padded_graph(ids, rows["near"].tolist(), x)
+    graph = both_ways(ids, rows["near"].tolist())
     i, j = int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
     block, home = rows["block"].to_numpy(), rows["home"].to_numpy(bool)
     links, root = np.zeros(len(ids)), np.arange(len(ids))
@@ -248,9 +267,9 @@ def _search(threshold: float, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"rep": ids[touched], "links": (links[touched]).astype("int64"), "root": ids[root[touched]]})
 
 
-def _found_links(reps: DataFrame, medoids: dict, overlap: int, threshold: float) -> DataFrame:
+def _found_links(reps: DataFrame, medoids: dict, widen: int, threshold: float) -> DataFrame:
     """(rep, links, root) rows of every task."""
-    shards = _shards(reps, medoids, overlap)
+    shards = _shards(reps, medoids, widen)
     built = shards.groupBy(*TASK).applyInPandas(_build, "rep bigint, near array<bigint>")
     united = durable(built.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))
     return stored(
@@ -322,12 +341,14 @@ def vector_neardups(
     )
     medoids = _medoids(reps)
     most = max((len(m) for m in medoids.values()), default=1)
-    overlap = min(OVERLAP, most)
+    widen = 1
     while True:
-        found = _found_links(reps, medoids, overlap, threshold)
-        if overlap >= most or audited_recall(reps, found, threshold) >= LEAST_RECALL:
+        found = _found_links(reps, medoids, widen, threshold)
+        # Shards that overlap wholly hold all vectors of a label: nothing is left to widen.
+        whole = widen * OVERLAP >= most and widen * MARGIN >= 2
+        if most == 1 or whole or audited_recall(reps, found, threshold) >= LEAST_RECALL:
             break
-        overlap = min(2 * overlap, most)
+        widen *= 2
     copies = unit.select("id", *same).join(durable(reps.filter("weight > 1").select("rep", *same)), same)
     links = found.filter("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b"))
     reached = components(links.union(copies.filter("id <> rep").select("id", "rep")))
