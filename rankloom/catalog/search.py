@@ -10,7 +10,7 @@ from ..functions.text import LIGATURES, WORD, accent_table
 from ..operators import analysis, index, queries, scoring
 from ..operators.analysis import Analyzer, fields
 from ..plans import search as plans
-from ..session import new_folder
+from ..session import durable, new_folder
 from ..sources.reports import run_lines as lines_of_run
 from ..sources.reports import run_tag as tag_of_run
 from ..streaming.append import stored_index, stream_into_index
@@ -103,7 +103,8 @@ def stems_sql(words: str) -> str:
     return f"SELECT w, stem FROM ({sql})"
 
 
-TOKENS = [*DOCS, *chain_sql("flds", "docno, field", "tok", stem=False)]
+PLAIN_TOKENS = [*DOCS, *chain_sql("flds", "docno, field", "tok", stem=False)]
+TOKENS = [*DOCS, *chain_sql("flds", "docno, field", "tok", stem=True)]
 TOKEN_ROWS = "SELECT docno, field, pos, {term} AS term FROM raw"
 
 
@@ -111,7 +112,7 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
     return analysis.raw_tokens(fields(inputs.docs(spark, folder)), "docno", "field")
 
 
-def _tokens(spark: SparkSession, folder: str, analyzer: Analyzer = NO_STEM) -> DataFrame:
+def _tokens(spark: SparkSession, folder: str, analyzer: Analyzer = FULL) -> DataFrame:
     texts = fields(inputs.docs(spark, folder))
     return analysis.analyzed_tokens(texts, "docno", "field", analyzer=analyzer)
 
@@ -135,14 +136,14 @@ query("tok_stop", with_ctes(RAW, TOKEN_ROWS.format(term="term") + f" WHERE lower
 
 
 @query("vocab_stem", with_ctes(
-    [*TOKENS, ("stems", stems_sql("SELECT DISTINCT term AS w FROM tok"))],
+    [*PLAIN_TOKENS, ("stems", stems_sql("SELECT DISTINCT term AS w FROM tok"))],
     "SELECT w AS term, stem FROM stems",
 ))
 def vocab_stem(spark, folder):
-    return analysis.vocabulary_stems(_tokens(spark, folder))
+    return analysis.vocabulary_stems(_tokens(spark, folder, NO_STEM))
 
 
-@query("tok_synonym", with_ctes([*TOKENS, ("syn", f"""
+@query("tok_synonym", with_ctes([*PLAIN_TOKENS, ("syn", f"""
   SELECT k.term, s.synonym FROM (VALUES ('ing'), ('ment')) AS k(term)
   CROSS JOIN (SELECT DISTINCT unnest(regexp_extract_all(lower(r_name), {_quoted(WORD)})) AS synonym
               FROM region) s""")], """
@@ -153,10 +154,10 @@ def tok_synonym(spark, folder):
     names = inputs.table(spark, folder, "region")
     keys = F.array(F.lit("ing"), F.lit("ment"))
     synonyms = names.select(F.explode(keys).alias("term"), F.col("r_name").alias("synonym"))
-    return analysis.expand_synonyms(_tokens(spark, folder), synonyms)
+    return analysis.expand_synonyms(_tokens(spark, folder, NO_STEM), synonyms)
 
 
-@query("analyze", with_ctes([*DOCS, *chain_sql("flds", "docno, field", "tok", stem=True)], """
+@query("analyze", with_ctes(TOKENS, """
 SELECT docno, field, string_agg(term, ' ' ORDER BY pos) AS terms FROM tok GROUP BY docno, field"""))
 def analyze(spark, folder):
     texts = fields(inputs.docs(spark, folder))
@@ -215,25 +216,6 @@ def docs_per_source(spark, folder):
     return index.docs_per_source(inputs.docs(spark, folder))
 
 
-@query("append_index", with_ctes(INDEX, "SELECT field, term, df, ctf FROM ts"))
-def append_index(spark, folder):
-    path = new_folder(spark, "index")
-    schema = inputs.table(spark, folder, "documents").schema
-
-    def to_docs(rows: DataFrame) -> DataFrame:
-        text = F.col("text")
-        return rows.select(
-            F.concat(F.lit("D"), "doc_id").alias("docno"),
-            F.substring_index(text, "\n", 1).alias("headline"),
-            F.expr("substring(text, instr(text, '\n') + 1)").alias("text"),
-        )
-
-    stream_into_index(
-        spark, folder, schema, to_docs, path, f"{path}/progress", NO_STEM, glob="documents.parquet"
-    )
-    return stored_index(spark, path)["term_stats"]
-
-
 # -- narratives: passages in which common words are turned into stock phrases ----------------
 
 NARRATIVE_MARKS = {
@@ -347,18 +329,12 @@ def query_terms(spark, folder):
     return rounded(queries.query_terms(inputs.topics(spark, folder), FULL), "weight")
 
 
-SEARCH = [*INDEX, *query_ctes(stem=False)]
-SEARCH_STEMMED = [
-    *DOCS,
-    *chain_sql("flds", "docno, field", "tok", stem=True),
-    *INDEX[3:],
-    *query_ctes(stem=True),
-]
+SEARCH = [*INDEX, *query_ctes(stem=True)]
 
 
 def _terms_and_index(spark, folder):
-    terms = queries.query_terms(inputs.topics(spark, folder), NO_STEM)
-    return terms, index.matched_index(inputs.docs(spark, folder), terms, NO_STEM)
+    terms = queries.query_terms(inputs.topics(spark, folder), FULL)
+    return terms, index.matched_index(inputs.docs(spark, folder), terms, FULL)
 
 
 @query("match_terms", with_ctes(SEARCH, """
@@ -405,7 +381,8 @@ def scores_ctes(model: str) -> list[tuple[str, str]]:
 
 def _score_query(model: str) -> Query:
     def run_query(spark: SparkSession, folder: str) -> DataFrame:
-        return plans.scores(inputs.docs(spark, folder), inputs.topics(spark, folder), model, NO_STEM)
+        docs, topics = inputs.docs(spark, folder), inputs.topics(spark, folder)
+        return plans.scores(docs, topics, model, FULL, phrases=None)
 
     return run_query
 
@@ -428,7 +405,7 @@ def score_multifield(spark, folder):
     halves = []
     for name in analysis.FIELDS:
         part = scoring.scored(scoring.contributions(terms.filter(F.col("field") == name), found))
-        halves.append(part.select("qid", "docno", F.lit(name).alias("field"), "score"))
+        halves.append(part.withColumn("field", F.lit(name)))
     both = halves[0].unionByName(halves[1])
     return both.groupBy("qid", "docno").agg(
         *[
@@ -438,7 +415,7 @@ def score_multifield(spark, folder):
     )
 
 
-def phrase_ctes(stem: bool, analyzed: bool = True) -> list[tuple[str, str]]:
+def phrase_ctes(analyzed: bool = True) -> list[tuple[str, str]]:
     """CTE ``ph`` (qid, clause, docno, freq); analysed phrases come from ``qtok``."""
     words = (
         "SELECT qid, clause, pos, term FROM qtok"
@@ -468,28 +445,16 @@ def phrase_ctes(stem: bool, analyzed: bool = True) -> list[tuple[str, str]]:
     ]
 
 
-def _short_topics(spark: SparkSession, folder: str) -> DataFrame:
-    """Topics whose description is the first two words of the passage."""
-    short = F.regexp_extract("description", r"^[\p{L}]+ [\p{L}]+", 0)
-    return inputs.topics(spark, folder).withColumn("description", short)
-
-
-SHORT_SQL = f"""
-  SELECT qid, title, regexp_extract(description, '^[\\p{{L}}]+ [\\p{{L}}]+') AS description, narrative
-  FROM ({SQL['topics']})"""
-
-
 @query("phrase_match", with_ctes(
-    [*TOKENS, *query_ctes(False, SHORT_SQL), *phrase_ctes(False, analyzed=False)],
-    "SELECT qid, clause, docno, freq FROM ph",
+    [*TOKENS, *query_ctes(True), *phrase_ctes(analyzed=False)], "SELECT qid, clause, docno, freq FROM ph",
 ))
 def phrase_match(spark, folder):
-    words = queries.phrase_terms(_short_topics(spark, folder), analyzed=False)
-    return queries.phrase_match(words, plans.phrase_tokens(inputs.docs(spark, folder), words, NO_STEM))
+    words = queries.phrase_terms(inputs.topics(spark, folder), analyzed=False)
+    return queries.phrase_match(words, plans.phrase_tokens(inputs.docs(spark, folder), words, FULL))
 
 
 @query("phrase_match_analyzed", with_ctes(
-    [*DOCS, *chain_sql("flds", "docno, field", "tok", stem=True), *query_ctes(True), *phrase_ctes(True)],
+    [*TOKENS, *query_ctes(True), *phrase_ctes()],
     "SELECT qid, clause, docno, freq FROM ph",
 ))
 def phrase_match_analyzed(spark, folder):
@@ -497,7 +462,7 @@ def phrase_match_analyzed(spark, folder):
     return queries.phrase_match(words, plans.phrase_tokens(inputs.docs(spark, folder), words, FULL))
 
 
-@query("score_with_phrase", with_ctes([*SEARCH, *scores_ctes("BM25")[:1], *phrase_ctes(False), ("pidf", """
+WITH_PHRASES = [*SEARCH, *scores_ctes("BM25")[:1], *phrase_ctes(), ("pidf", """
   SELECT qid, clause, p.field, any_value(p.weight) AS weight, any_value(fs.avgdl) AS avgdl,
          sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5))) AS idf
   FROM pw p JOIN ts ON ts.field = p.field AND ts.term = p.term JOIN fs ON fs.field = p.field
@@ -506,11 +471,14 @@ def phrase_match_analyzed(spark, folder):
   UNION ALL
   SELECT h.qid, h.docno, weight * idf * freq / (freq + 1.2 * (0.25 + 0.75 * dl / avgdl)) AS part
   FROM ph h JOIN pidf i ON i.qid = h.qid AND i.clause = h.clause
-  JOIN len l ON l.docno = h.docno AND l.field = i.field""")], """
-SELECT qid, docno, round(sum(part), 6) AS score FROM both_parts GROUP BY qid, docno"""))
+  JOIN len l ON l.docno = h.docno AND l.field = i.field"""), (
+    "sc", "SELECT qid, docno, round(sum(part), 6) AS score FROM both_parts GROUP BY qid, docno")]
+
+
+@query("score_with_phrase", with_ctes(WITH_PHRASES, "SELECT qid, docno, score FROM sc"))
 def score_with_phrase(spark, folder):
     return plans.scores(
-        inputs.docs(spark, folder), inputs.topics(spark, folder), "BM25", NO_STEM, phrases=True
+        inputs.docs(spark, folder), inputs.topics(spark, folder), "BM25", FULL, phrases="analyzed"
     )
 
 
@@ -523,10 +491,10 @@ WHERE rank <= {k}"""
 @query("topk_run", with_ctes([*SEARCH, *scores_ctes("CLASSIC")], TOP.format(k=10)))
 def topk_run(spark, folder):
     docs, topics = inputs.docs(spark, folder), inputs.topics(spark, folder)
-    return plans.search(docs, topics, "CLASSIC", k=10, analyzer=NO_STEM)
+    return plans.search(docs, topics, "CLASSIC", k=10, analyzer=FULL, phrases=None)
 
 
-@query("search_bm25", with_ctes([*SEARCH_STEMMED, *scores_ctes("BM25")], TOP.format(k=1000)))
+@query("search_bm25", with_ctes(WITH_PHRASES, TOP.format(k=1000)))
 def search_bm25(spark, folder):
     docs, topics = inputs.docs(spark, folder), inputs.topics(spark, folder)
     return plans.search(docs, topics, "BM25", k=1000, analyzer=FULL)
@@ -535,12 +503,12 @@ def search_bm25(spark, folder):
 @query("run_lines", with_ctes([*SEARCH, *scores_ctes("BOOLEAN")], f"""
 SELECT qid, CAST(rank AS INTEGER) AS rank,
        printf('%s Q0 %s %d %.6f %s', qid, docno, rank, score, 'CustomBoolean') AS line
-FROM ({TOP.format(k=100)})"""))
+FROM ({TOP.format(k=1000)})"""))
 def run_lines(spark, folder):
     docs, topics = inputs.docs(spark, folder), inputs.topics(spark, folder)
-    scores = plans.scores(docs, topics, "BOOLEAN", NO_STEM)
-    tag = tag_of_run(NO_STEM.name, scoring.MODEL_TAGS["BOOLEAN"])
-    return lines_of_run(scores, tag, k=100)
+    scores = plans.scores(docs, topics, "BOOLEAN", FULL, phrases=None)
+    tag = tag_of_run(FULL.name, scoring.MODEL_TAGS["BOOLEAN"])
+    return lines_of_run(scores, tag, k=1000)
 
 
 @query("run_tag", with_ctes([("topics", SQL["topics"])], """
@@ -548,3 +516,63 @@ SELECT qid, 'CustomLMDirichlet' AS tag FROM topics"""))
 def run_tag(spark, folder):
     tag = tag_of_run(FULL.name, scoring.MODEL_TAGS["LM_DIRICHLET"])
     return inputs.topics(spark, folder).select("qid", tag.alias("tag"))
+
+
+@query("append_index", with_ctes(WITH_PHRASES, TOP.format(k=1000)))
+def append_index(spark, folder):
+    """Two files arrive in two batches of a stream; the stored index is then searched."""
+    source, path = new_folder(spark, "arrived"), new_folder(spark, "index")
+    arrived = inputs.table(spark, folder, "documents")
+    arrived.repartitionByRange(2, "doc_id").write.parquet(source)
+
+    def to_docs(rows: DataFrame) -> DataFrame:
+        text = F.col("text")
+        return rows.select(
+            F.concat(F.lit("D"), "doc_id").alias("docno"),
+            F.substring_index(text, "\n", 1).alias("headline"),
+            F.expr("substring(text, instr(text, '\n') + 1)").alias("text"),
+        )
+
+    stream_into_index(
+        spark, source, arrived.schema, to_docs, path, f"{path}/progress", FULL, glob="*.parquet", files_per_batch=1
+    )
+    topics = inputs.topics(spark, folder)
+    terms = durable(queries.query_terms(topics, FULL))
+    words = durable(queries.phrase_terms(topics, analyzer=FULL))
+    tables = stored_index(spark, path)
+    found = index.index_of_tables(
+        tables["postings"], tables["doc_len"], terms.select("term").union(words.select("term"))
+    )
+    return plans.search_index(found, terms, "BM25", 1000, words)
+
+
+# A third of the documents without docno, the others with docnos that occur again.
+UNNAMED = "SELECT doc_id, CASE WHEN doc_id % 3 > 0 THEN 'D' || doc_id % 50 END AS docno, headline, text FROM"
+
+
+@query("search_unnamed_docs", with_ctes([
+    ("docs", f"""
+  {UNNAMED} (SELECT doc_id, split_part(text, chr(10), 1) AS headline,
+                    substr(text, strpos(text, chr(10)) + 1) AS text FROM documents)"""),
+    ("flds", """
+  SELECT doc_id, docno, 'headline' AS field, headline AS text FROM docs
+  UNION ALL SELECT doc_id, docno, 'text' AS field, text FROM docs"""),
+    *chain_sql("flds", "doc_id, docno, field", "tok", stem=True),
+    ("post", "SELECT doc_id, docno, field, term, count(*) AS tf FROM tok GROUP BY doc_id, docno, field, term"),
+    ("len", "SELECT doc_id, field, count(*) AS dl FROM tok GROUP BY doc_id, field"),
+    *INDEX[-2:],
+    *query_ctes(stem=True),
+], f"""
+SELECT qid, docno, round(sum(weight * ({SIMILARITY['BM25']})::DOUBLE), 6) AS score
+FROM qt q JOIN post p ON p.field = q.field AND p.term = q.term
+JOIN len l ON l.doc_id = p.doc_id AND l.field = p.field
+JOIN ts ON ts.field = q.field AND ts.term = q.term JOIN fs ON fs.field = q.field
+GROUP BY qid, p.doc_id, docno"""))
+def search_unnamed_docs(spark, folder):
+    text = F.col("text")
+    docs = inputs.table(spark, folder, "documents").select(
+        F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit("D"), F.col("doc_id") % 50)).alias("docno"),
+        F.substring_index(text, "\n", 1).alias("headline"),
+        F.expr("substring(text, instr(text, '\n') + 1)").alias("text"),
+    )
+    return plans.scores(docs, inputs.topics(spark, folder), "BM25", FULL, phrases=None)

@@ -22,6 +22,7 @@ MIN_LENGTH, MAX_LENGTH = 2, 20
 # Words that stand for any entry of the synonym list.
 SYNONYM_KEYS = ("country", "countries")
 FIELDS = ("headline", "text")
+DOC_KEY = "doc_key"
 
 
 @dataclass(frozen=True)
@@ -38,10 +39,26 @@ class Analyzer:
         return "CustomAnalyzer"
 
 
-def fields(docs: DataFrame, names: Sequence[str] = FIELDS, key: str = "docno") -> DataFrame:
-    """One row per document field: (key, field, text)."""
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a ``doc_key`` for every row, whatever its docno; kept if there is one already.
+
+    The number is the row's place in the scan. It holds for one pass over the documents; whoever
+    reads them several times brings a key that is stored with them.
+    """
+    if DOC_KEY in docs.columns:
+        return docs
+    return docs.withColumn(DOC_KEY, F.monotonically_increasing_id())
+
+
+def document_columns(rows: DataFrame) -> list[str]:
+    """The columns that tell documents apart in a table made from documents."""
+    return [c for c in (DOC_KEY, "docno") if c in rows.columns]
+
+
+def fields(docs: DataFrame, names: Sequence[str] = FIELDS, *keys: str) -> DataFrame:
+    """One row per document field: (keys, field, text); ``docno`` is the key if none is named."""
     pairs = F.array(*[F.struct(F.lit(n).alias("field"), F.col(n).alias("text")) for n in names])
-    return docs.select(key, F.inline(pairs)).filter("text IS NOT NULL")
+    return docs.select(*(keys or ("docno",)), F.inline(pairs)).filter("text IS NOT NULL")
 
 
 def raw_tokens(texts: DataFrame, *keys: str) -> DataFrame:

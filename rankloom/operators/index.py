@@ -4,26 +4,29 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, durable
-from .analysis import Analyzer, fields, unstemmed_tokens
+from .analysis import DOC_KEY, FIELDS, Analyzer, document_columns, fields, keyed, unstemmed_tokens
 from .analysis import analyzed_tokens, vocabulary_stems
 
+# Buckets of terms in a stored index.
+TERM_BUCKETS = 64
+
 
 def postings(tokens: DataFrame) -> DataFrame:
     """Frequency and positions of a term in a document field.
 
     A group holds the positions of one term in one document, so it is bounded by the document.
     """
-    return tokens.groupBy("docno", "field", "term").agg(
+    return tokens.groupBy(*document_columns(tokens), "field", "term").agg(
         F.count("*").alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions")
     )
 
 
 def doc_len(tokens: DataFrame) -> DataFrame:
-    return tokens.groupBy("docno", "field").agg(F.count("*").alias("dl"))
+    return tokens.groupBy(*document_columns(tokens), "field").agg(F.count("*").alias("dl"))
 
 
 def term_stats(frequencies: DataFrame) -> DataFrame:
@@ -47,9 +50,14 @@ def docs_per_source(docs: DataFrame) -> DataFrame:
     return docs.groupBy("source").agg(F.count("*").alias("num_docs"))
 
 
+def term_bucket(term: str) -> Column:
+    """The bucket, of a fixed number, in which postings of a term are stored."""
+    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
+
+
 @dataclass
 class Index:
-    """What scoring needs: matched(docno, field, term, tf, dl) and the statistics."""
+    """What scoring needs: matched(doc_key, docno, field, term, tf, dl, positions) and the statistics."""
 
     matched: DataFrame
     term_stats: DataFrame
@@ -63,11 +71,13 @@ def matched_index(
 
     One pass over the texts: words outside the vocabulary are counted under a null term, so
     the first shuffle carries a few rows per document instead of its words, and lengths come
-    out of the same rows. These rows are written once; statistics and scores start from them.
+    out of the same rows, and so do the positions that phrases need. These rows are written once;
+    statistics and scores start from them. Every row of ``docs`` is a document of its own, also
+    without docno or with one that occurs again.
     """
     analyzer = analyzer or Analyzer()
-    texts = fields(docs)
-    tokens = unstemmed_tokens(texts, "docno", "field", analyzer=analyzer)
+    texts = fields(keyed(docs), FIELDS, DOC_KEY, "docno")
+    tokens = unstemmed_tokens(texts, DOC_KEY, "docno", "field", analyzer=analyzer)
     if analyzer.stem:
         # Words are not stemmed one by one: the stems of the distinct words say which words
         # the query terms stand for.
@@ -79,24 +89,28 @@ def matched_index(
         wanted = vocabulary.select("term", F.col("term").alias("hit")).distinct()
     counted = (
         tokens.join(broadcast_if_small(wanted), "term", "left")
-        .groupBy("docno", "field", F.col("hit").alias("term"))
-        .agg(F.count("*").alias("tf"))
+        .groupBy(DOC_KEY, "docno", "field", F.col("hit").alias("term"))
+        .agg(
+            F.count("*").alias("tf"),
+            # Those of one term in one document; none of words outside the vocabulary.
+            F.array_sort(F.collect_list(F.when(F.col("hit").isNotNull(), F.col("pos")))).alias("positions"),
+        )
     )
-    whole = Window.partitionBy("docno", "field")
+    whole = Window.partitionBy(DOC_KEY, "field")
     first = F.row_number().over(whole.orderBy("term")) == 1
     rows = durable(
         counted.withColumns({"dl": F.sum("tf").over(whole), "first": first})
     )
-    lengths = rows.filter("first").select("docno", "field", "dl")
-    matched = rows.filter("term IS NOT NULL").select("docno", "field", "term", "tf", "dl")
+    lengths = rows.filter("first").select(DOC_KEY, "docno", "field", "dl")
+    matched = rows.filter("term IS NOT NULL").drop("first")
     return Index(matched, term_stats(matched), field_stats(lengths))
 
 
 def full_index(docs: DataFrame, analyzer: Analyzer | None = None) -> dict[str, DataFrame]:
     """All index tables of a collection, for writing and reuse."""
-    tokens = analyzed_tokens(fields(docs), "docno", "field", analyzer=analyzer)
-    entries = postings(tokens)
-    lengths = entries.groupBy("docno", "field").agg(F.sum("tf").alias("dl"))
+    texts = fields(keyed(docs), FIELDS, DOC_KEY, "docno")
+    entries = postings(analyzed_tokens(texts, DOC_KEY, "docno", "field", analyzer=analyzer))
+    lengths = entries.groupBy(DOC_KEY, "docno", "field").agg(F.sum("tf").alias("dl"))
     return {
         "postings": entries,
         "doc_len": lengths,
@@ -108,10 +122,16 @@ def full_index(docs: DataFrame, analyzer: Analyzer | None = None) -> dict[str, D
 def index_of_tables(
     postings_table: DataFrame, lengths: DataFrame, vocabulary: DataFrame
 ) -> Index:
-    """Scoring input from stored tables; postings are pruned by the query terms first."""
+    """Scoring input from stored tables; postings are pruned by the query terms first.
+
+    Files that are cut by buckets of terms are left unread where no term of the query lies.
+    """
+    if "bucket" in postings_table.columns:
+        wanted = vocabulary.select(term_bucket("term").alias("b")).distinct().collect()
+        postings_table = postings_table.filter(F.col("bucket").isin([r["b"] for r in wanted])).drop("bucket")
     terms = broadcast_if_small(vocabulary.select("term").distinct())
     pruned = postings_table.join(terms, "term", "left_semi")
-    matched = pruned.join(lengths, ["docno", "field"]).select(
-        "docno", "field", "term", "tf", "dl"
+    matched = pruned.join(lengths.drop("docno"), [DOC_KEY, "field"]).select(
+        DOC_KEY, "docno", "field", "term", "tf", "dl", "positions"
     )
     return Index(matched, term_stats(pruned), field_stats(lengths))

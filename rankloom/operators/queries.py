@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import collapsed
-from .analysis import Analyzer, analyzed_tokens
+from .analysis import Analyzer, analyzed_tokens, document_columns
 
 # Boosts of the three clauses, of the two fields and of the phrase clauses.
 CLAUSE_BOOSTS = {"title": 3.5, "description": 2.5, "narrative": 2.0}
@@ -145,10 +145,11 @@ def phrase_match(phrases: DataFrame, tokens: DataFrame) -> DataFrame:
     ``pos`` in the phrase; the group is keyed by that start, so it has at most ``size`` rows.
     """
     words = phrases.select("qid", "clause", "field", F.col("pos").alias("offset"), "term", "size")
+    document = document_columns(tokens)
     starts = (
         tokens.join(words, ["field", "term"])
-        .groupBy("qid", "clause", "size", "docno", (F.col("pos") - F.col("offset")).alias("start"))
+        .groupBy("qid", "clause", "size", *document, (F.col("pos") - F.col("offset")).alias("start"))
         .agg(F.count("*").alias("found"))
         .filter("found = size")
     )
-    return starts.groupBy("qid", "clause", "docno").agg(F.count("*").alias("freq"))
+    return starts.groupBy("qid", "clause", *document).agg(F.count("*").alias("freq"))

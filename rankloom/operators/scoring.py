@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small
+from .analysis import document_columns
 from .index import Index
 
 # Parameters of the models.
@@ -94,13 +95,14 @@ def match(terms: DataFrame, index: Index) -> DataFrame:
 
 def match_any(matched: DataFrame) -> DataFrame:
     """A document matches a topic when one of its terms does; with the number that do."""
-    return matched.groupBy("qid", "docno").agg(F.count("*").alias("terms"))
+    found = matched.groupBy("qid", *document_columns(matched)).agg(F.count("*").alias("terms"))
+    return found.select("qid", "docno", "terms")
 
 
 def contributions(
     terms: DataFrame, index: Index, model: str = "BM25", **params
 ) -> DataFrame:
-    """(qid, docno, part): weight times similarity of each matched term."""
+    """(qid, doc_key, docno, part): weight times similarity of each matched term."""
     validate(model)
     similarity = MODELS[model](**params)
     # Statistics have one row per query term and field.
@@ -108,7 +110,7 @@ def contributions(
         F.broadcast(index.field_stats), "field"
     )
     rows = index.matched.join(broadcast_if_small(weighted), ["field", "term"])
-    return rows.selectExpr("qid", "docno", f"weight * ({similarity}) AS part")
+    return rows.selectExpr("qid", *document_columns(rows), f"weight * ({similarity}) AS part")
 
 
 def phrase_contributions(
@@ -133,15 +135,18 @@ def phrase_contributions(
         F.first("avgdl").alias("avgdl"),
     )
     similarity = MODELS[model](tf="freq", idf="idf", **params)
-    rows = found.join(per_phrase, ["qid", "clause"]).join(lengths, ["docno", "field"])
-    return rows.selectExpr("qid", "docno", f"weight * ({similarity}) AS part")
+    document = document_columns(found)
+    rows = found.join(per_phrase, ["qid", "clause"]).join(
+        lengths.select(document[0], "field", "dl"), [document[0], "field"]
+    )
+    return rows.selectExpr("qid", *document, f"weight * ({similarity}) AS part")
 
 
 def scored(parts: DataFrame) -> DataFrame:
-    """(qid, docno, score): sum of the parts, rounded so that the order in which a cluster
+    """(qid, doc_key, docno, score): sum of the parts, rounded so that the order in which a cluster
     adds them cannot change a rank."""
     total = F.round(F.sum("part"), SCORE_DIGITS)
-    return parts.groupBy("qid", "docno").agg(total.alias("score"))
+    return parts.groupBy("qid", *document_columns(parts)).agg(total.alias("score"))
 
 
 def top_k(scores: DataFrame, k: int = 1000) -> DataFrame:
@@ -150,6 +155,7 @@ def top_k(scores: DataFrame, k: int = 1000) -> DataFrame:
     The row-number filter is applied before the shuffle, so every task sends at most ``k``
     rows per topic.
     """
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("docno").asc())
+    keys = [F.col(c).asc() for c in reversed(document_columns(scores))]
+    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), *keys)
     ranked = scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return ranked.select("qid", "docno", F.col("rank").cast("long").alias("rank"), "score")

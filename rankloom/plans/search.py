@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.analysis import Analyzer, analyzed_tokens, fields
-from ..operators.index import Index, doc_len, matched_index
+from ..operators.analysis import Analyzer, analyzed_tokens, document_columns, fields
+from ..operators.index import Index, matched_index
 from ..operators.queries import phrase_match, phrase_terms, query_terms
 from ..operators.scoring import (
     contributions,
@@ -25,23 +25,43 @@ def scores(
     topics: DataFrame,
     model: str = "BM25",
     analyzer: Analyzer | None = None,
-    phrases: bool = False,
+    phrases: str | None = "analyzed",
     **params,
 ) -> DataFrame:
-    """(qid, docno, score) of every matching document."""
+    """(qid, docno, score) of every matching document.
+
+    ``phrases`` says how the exact-phrase clauses are made: ``analyzed`` by the same chain as the
+    texts, ``raw`` from the blank-separated words as they are; None leaves them out.
+    """
+    return _scores(docs, topics, model, analyzer, phrases, **params).select("qid", "docno", "score")
+
+
+def _scores(
+    docs: DataFrame, topics: DataFrame, model: str, analyzer: Analyzer | None, phrases: str | None, **params
+) -> DataFrame:
     validate(model)
+    if phrases not in ("analyzed", "raw", None):
+        raise ValueError(f"unknown kind of phrases: {phrases}")
     terms = durable(query_terms(topics, analyzer))
-    index = matched_index(docs, terms, analyzer)
-    parts = contributions(terms, index, model, **params)
+    vocabulary, words = terms.select("term"), None
     if phrases:
-        words = durable(phrase_terms(topics, analyzer=analyzer))
-        tokens = phrase_tokens(docs, words, analyzer)
-        found = phrase_match(words, tokens)
-        lengths = index.matched.select("docno", "field", "dl").distinct()
-        parts = parts.unionByName(
-            phrase_contributions(words, found, lengths, index, model, **params)
-        )
-    return scored(parts)
+        words = durable(phrase_terms(topics, phrases == "analyzed", analyzer))
+        vocabulary = vocabulary.union(words.select("term"))
+    index = matched_index(docs, vocabulary, analyzer)
+    return scored(_parts(index, terms, words, model, **params))
+
+
+def _parts(index: Index, terms: DataFrame, words: DataFrame | None, model: str, **params) -> DataFrame:
+    """Contributions of terms, and of phrases if there are any, from one set of index rows."""
+    parts = contributions(terms, index, model, **params)
+    if words is None:
+        return parts
+    wanted = broadcast_if_small(words.select("field", "term").distinct())
+    rows = index.matched.join(wanted, ["field", "term"], "left_semi")
+    tokens = rows.select(*document_columns(rows), "field", "term", F.explode("positions").alias("pos"))
+    lengths = index.matched.select(*document_columns(rows), "field", "dl").distinct()
+    found = phrase_match(words, tokens)
+    return parts.unionByName(phrase_contributions(words, found, lengths, index, model, **params))
 
 
 def phrase_tokens(
@@ -59,15 +79,15 @@ def search(
     model: str = "BM25",
     k: int = MAX_RESULTS,
     analyzer: Analyzer | None = None,
-    phrases: bool = False,
+    phrases: str | None = "analyzed",
     **params,
 ) -> DataFrame:
     """(qid, docno, rank, score): the run of the topics over the collection."""
-    return top_k(scores(docs, topics, model, analyzer, phrases, **params), k)
+    return top_k(_scores(docs, topics, model, analyzer, phrases, **params), k)
 
 
 def search_index(
-    index: Index, terms: DataFrame, model: str = "BM25", k: int = MAX_RESULTS, **params
+    index: Index, terms: DataFrame, model: str = "BM25", k: int = MAX_RESULTS, words: DataFrame | None = None, **params
 ) -> DataFrame:
-    """The same from index tables that already exist."""
-    return top_k(scored(contributions(terms, index, model, **params)), k)
+    """The same from index tables that already exist; ``words`` are the words of phrases."""
+    return top_k(scored(_parts(index, terms, words, model, **params)), k)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -41,11 +43,15 @@ def setting(spark: SparkSession, key: str, default: int) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (a test on one machine) a folder of our own is made.
+    Only when a session on one machine names none (a test) a folder of our own is made, and it
+    goes when Python ends; a cluster must name a folder that all its machines see.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         path = tempfile.mkdtemp(prefix="rankloom-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)

@@ -2,31 +2,46 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.analysis import Analyzer, analyzed_tokens, fields
-from ..operators.index import field_stats, postings, term_stats
+from ..operators.analysis import DOC_KEY, FIELDS, Analyzer, analyzed_tokens, fields, keyed
+from ..operators.index import field_stats, postings, term_bucket, term_stats
+from ..session import durable
 
 
-def append_index(docs: DataFrame, path: str, analyzer: Analyzer | None = None, batch: int = 0) -> None:
-    """Append the postings and lengths of ``docs`` below ``path``.
+def append_index(
+    docs: DataFrame, path: str, batch: str, analyzer: Analyzer | None = None, replay: bool = False
+) -> None:
+    """Append the postings and lengths of ``docs`` below ``path`` as the batch named ``batch``.
 
-    Every batch owns a partition and replaces it, so a batch that runs again after a failure
-    leaves no duplicate rows. Documents must be new ones.
+    Every row of ``docs`` becomes a document of its own. A batch is complete once its lengths are
+    there; a complete batch of that name is an error, unless ``replay`` says that the same rows
+    come again, which then replace it. Texts are analysed once: lengths come from the postings.
     """
-    tokens = analyzed_tokens(fields(docs), "docno", "field", analyzer=analyzer)
-    entries = postings(tokens).withColumn("batch", F.lit(batch))
-    # One shuffle by term: a reader of few terms finds them close together.
-    _replace(entries.repartition("batch", "term").sortWithinPartitions("term"), f"{path}/postings")
-    lengths = tokens.groupBy("docno", "field").agg(F.count("*").alias("dl"))
-    _replace(lengths.withColumn("batch", F.lit(batch)), f"{path}/doc_len")
+    if not replay and _exists(docs.sparkSession, f"{path}/doc_len/batch={batch}"):
+        raise ValueError(f"batch {batch} is in the index already")
+    named = keyed(docs).withColumn(DOC_KEY, F.concat(F.lit(f"{batch}:"), DOC_KEY))
+    tokens = analyzed_tokens(fields(named, FIELDS, DOC_KEY, "docno"), DOC_KEY, "docno", "field", analyzer=analyzer)
+    entries = durable(postings(tokens).withColumns({"batch": F.lit(batch), "bucket": term_bucket("term")}))
+    # Ranges of term and document: a frequent term is spread over tasks, and few terms lie close together.
+    order = ["bucket", "term", DOC_KEY]
+    _replace(entries.repartitionByRange(*order).sortWithinPartitions(*order), f"{path}/postings", "batch", "bucket")
+    lengths = entries.groupBy(DOC_KEY, "docno", "field").agg(F.sum("tf").alias("dl"))
+    _replace(lengths.withColumn("batch", F.lit(batch)), f"{path}/doc_len", "batch")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
-def _replace(rows: DataFrame, path: str) -> None:
+def _replace(rows: DataFrame, path: str, *parts: str) -> None:
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("batch").parquet(path)
+    writer.partitionBy(*parts).parquet(path)
 
 
 def stream_into_index(
@@ -43,8 +58,14 @@ def stream_into_index(
     """Index all files that appeared in ``source`` since the last call, then stop.
 
     ``to_docs`` maps the file rows to (docno, headline, text). The stream checkpoint
-    remembers which files are done.
+    remembers which files are done. Batches are named by the identity that the checkpoint
+    gives the stream and their number, so a stream with a new checkpoint adds new ones.
     """
+
+    def append(rows: DataFrame, number: int) -> None:
+        stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        append_index(rows, path, f"{stream}-{number}", analyzer, replay=True)
+
     stream = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", glob)
@@ -53,7 +74,7 @@ def stream_into_index(
     )
     query = (
         to_docs(stream)
-        .writeStream.foreachBatch(lambda df, number: append_index(df, path, analyzer, number))
+        .writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -62,7 +83,10 @@ def stream_into_index(
 
 
 def stored_index(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Index tables below ``path`` with statistics over all batches."""
+    """Index tables below ``path`` with statistics over all batches.
+
+    Postings keep the column by whose values their files are cut, for pruning.
+    """
     entries = spark.read.parquet(f"{path}/postings").drop("batch")
     lengths = spark.read.parquet(f"{path}/doc_len").drop("batch")
     return {

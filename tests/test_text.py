@@ -56,7 +56,7 @@ def test_search_ranks_the_matching_document_first(spark):
         "docno string, headline string, text string",
     )
     topics = spark.createDataFrame([("1", "wools", "sheep wool", "")], "qid string, title string, description string, narrative string")
-    run = search(docs.filter("docno IS NOT NULL"), topics, "BM25", phrases=True)
+    run = search(docs.filter("docno IS NOT NULL"), topics, "BM25", phrases="analyzed")
     assert [(r.docno, r.rank) for r in run.collect()] == [("d1", 1)]
     scores = spark.createDataFrame([("1", None, 3.0), ("1", "d1", 2.0), ("1", "d2", 1.0)], "qid string, docno string, score double")
     lines = [r.line for r in run_lines(scores, run_tag("CustomAnalyzer", "BM25Similarity")).orderBy("rank").collect()]
