@@ -416,6 +416,27 @@ def ranked_rel_jg(spark, folder):
     return groups.df.select("qid", "jg", "docno", "rank", "rel")
 
 
+def _jg_options(name: str, cut: str, **options) -> None:
+    """The three measures with an option; ``cut`` is the ranked list under it, in SQL."""
+    ranked = [(n, cut if n == "ranked" else sql) for n, sql in RANKED_JG]
+    ranked.insert(2, ("all_ranked", RANKED_JG[2][1]))
+    values = " UNION ALL ".join(
+        f"SELECT qid, measure, avg(coalesce(value, 0)) AS value FROM ({JG_SQL[n]}) GROUP BY qid, measure" for n in JG_SQL
+    )
+
+    def run_query(spark: SparkSession, folder: str) -> DataFrame:
+        run, qrels_jg = inputs.run(spark, folder), inputs.qrels_jg(spark, folder)
+        return rounded(summary.report_rows(evaluate_groups(run, qrels_jg, list(JG_SQL), **options)), "value")
+
+    query(name, with_ctes([*ranked, ("v", values)], TOPICS_AND_ALL))(run_query)
+
+
+_jg_options("eval_jg_max100", "SELECT * FROM all_ranked WHERE rank <= 100", max_docs=100)
+_jg_options("eval_jg_judged_only", """
+  SELECT qid, jg, docno, row_number() OVER (PARTITION BY qid, jg ORDER BY rank) AS rank, rel
+  FROM all_ranked WHERE rel >= 0""", judged_only=True)
+
+
 # -- ranking and joins ----------------------------------------------------------------
 
 RUN_QRELS = [("run", SQL["run"]), ("qrels", SQL["qrels"])]
@@ -531,8 +552,10 @@ SELECT qid, measure, round(value, 8) AS value FROM v WHERE qid = 'S7'
 UNION ALL SELECT 'all' AS qid, measure, round(value, 8) AS value FROM v WHERE qid = 'S7'"""))(
     _option_query(qid="S7")
 )
+# All measures that have a value for each topic.
+VALUED = [n for n in [*VALUES_SQL, *GAIN_SQL, "ndcg_cut"] if n in measures.ALL_QRELS]
 query("eval_grouping_sets", evaluation_sql(
-    [n for n in VALUES_SQL if n in measures.ALL_QRELS],
+    VALUED,
     body=f"""
 SELECT CASE WHEN grouping(qid) = 1 THEN 'all' ELSE qid END AS qid, measure,
        round({SUMMARY_VALUE}, {DIGITS}) AS value
@@ -540,7 +563,7 @@ FROM v GROUP BY GROUPING SETS ((qid, measure), (measure))
 HAVING grouping(qid) = 1 OR measure NOT IN {GEOMETRIC}""",
 ))(lambda spark, folder: rounded(summary.report_rows(evaluate(
     inputs.run(spark, folder), inputs.qrels(spark, folder),
-    [n for n in VALUES_SQL if n in measures.ALL_QRELS],
+    VALUED,
 )), "value"))
 
 
@@ -627,7 +650,8 @@ def _zscore_sql() -> list[tuple[str, str]]:
     union = " UNION ALL ".join(f"SELECT * FROM v{i}" for i in (1, 2, 3))
     ctes.append(("z", f"""
   SELECT qid, measure, avg(value) AS mean,
-         CASE WHEN max(value) = min(value) THEN 0 ELSE stddev(value) END AS stddev
+         CASE WHEN max(value) - min(value) <= 1e-9 * greatest(abs(max(value)), abs(min(value))) THEN 0
+              ELSE stddev(value) END AS stddev
   FROM ({union}) GROUP BY qid, measure"""))
     return ctes
 
@@ -638,31 +662,20 @@ def zscore_reference(spark, folder):
     return rounded(summary.zscore_reference(_many_evals(spark, folder)), "mean", "stddev")
 
 
-# Fixed value: a spread below this is rounding noise of equal values.
-Z_DIGITS = 6
-
-
-@query("eval_zscore", with_ctes(_zscore_sql(), f"""
-, zr AS (SELECT qid, measure, round(mean, {Z_DIGITS}) AS mean, round(stddev, {Z_DIGITS}) AS stddev FROM z),
-zs AS (SELECT v2.qid, v2.measure,
+@query("eval_zscore", with_ctes(_zscore_sql(), """
+, zs AS (SELECT v2.qid, v2.measure,
          CASE WHEN stddev <> 0 THEN (value - mean) / stddev
-              WHEN round(value, {Z_DIGITS}) = mean THEN 0 ELSE -1000000 END AS value
-       FROM v2 JOIN zr ON v2.qid = zr.qid AND v2.measure = zr.measure)
+              WHEN abs(value - mean) <= 1e-9 * greatest(abs(value), abs(mean)) THEN 0 ELSE -1000000 END AS value
+       FROM v2 JOIN z ON v2.qid = z.qid AND v2.measure = z.measure)
 SELECT qid, measure, round(value, 4) AS value FROM zs WHERE measure <> 'gm_map'
 UNION ALL
 SELECT 'all' AS qid, measure,
        round(CASE WHEN measure = 'gm_map' THEN exp(avg(value)) ELSE avg(value) END, 4) AS value
-FROM zs GROUP BY measure""".replace("\n, zr", ", zr", 1)))
+FROM zs GROUP BY measure""".replace("\n, zs", ", zs", 1)))
 def eval_zscore(spark, folder):
-    reference = summary.zscore_reference(_many_evals(spark, folder)).select(
-        "qid", "measure", F.round("mean", Z_DIGITS).alias("mean"), F.round("stddev", Z_DIGITS).alias("stddev")
-    )
     evals = evaluate(inputs.run(spark, folder), inputs.qrels(spark, folder), ZNAMES)
-    settled = evals.join(reference.filter("stddev = 0"), ["qid", "measure"], "left").select(
-        "qid", "measure",
-        F.when(F.col("stddev") == 0, F.round("value", Z_DIGITS)).otherwise(F.col("value")).alias("value"),
-    )
-    rows = summary.report_rows(summary.zscore(settled, reference))
+    reference = summary.zscore_reference(_many_evals(spark, folder))
+    rows = summary.report_rows(summary.zscore(evals, reference))
     return rows.withColumn("value", F.round("value", 4))
 
 

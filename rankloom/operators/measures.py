@@ -406,8 +406,10 @@ def relevance_strings(
 
 
 def run_id(run: DataFrame) -> DataFrame:
-    """Tag of the last run line (``line`` gives file order when present)."""
-    last = F.max_by("run_id", "line") if "line" in run.columns else F.max("run_id")
+    """Tag of the last run line; ``line`` gives the order of the file."""
+    if "line" not in run.columns:
+        raise ValueError("the tag of a run needs the order of its lines, column line")
+    last = F.max_by("run_id", "line")
     return run.agg(last.alias("text")).select(
         F.lit("all").alias("qid"), F.lit("runid").alias("measure"), "text"
     )

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .checks import InputError
+from .checks import InputError, preference_conflicts, require_none
 from .measures import long_form, ratio
 from .ordered import GroupSize, OrderedGroups, group_size
 from .ranking import Size, rank_run, run_order, topics_in_both, with_key
@@ -558,7 +558,8 @@ def pref_values(
     size: Size = None,
 ) -> DataFrame:
     """(qid, measure, value) of the wanted preference measures."""
-    tables = Preferences(run, prefs, max_docs, size)
+    require_none(preference_conflicts(prefs), "contradictory preferences")
+    tables = Preferences(run, prefs, max_docs, size).check()
     parts = []
     sources = [
         (_BY_GROUP, tables.group_counts),

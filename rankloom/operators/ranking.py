@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .checks import once
 from .ordered import GroupSize, OrderedGroups, group_size
 
 Size = int | GroupSize | None
@@ -61,6 +62,7 @@ def rank_run(
 def with_relevance(run: DataFrame, qrels: DataFrame) -> DataFrame:
     """Left join on (qid, docno); -1 not judged at all, -2 judged list member without a value."""
     judged = qrels.select("qid", "docno", F.col("rel").cast("int").alias("rel"))
+    judged = once(judged, ["qid", "docno"], "judgement")
     return run.join(judged, ["qid", "docno"], "left").withColumn(
         "rel",
         F.when(F.col("rel").isNull(), NOT_POOLED)
@@ -81,12 +83,13 @@ def ranked_groups(
     Relevance is joined before ranking so rank and running counts share one exchange. The
     join key contains the document, so a large topic does not make it skewed.
     """
+    run = once(run.select("qid", "docno", "score"), ["qid", "docno"], "result")
     if max_docs is not None:
         run = rank_run(run, max_docs=max_docs).drop("rank")
         size = max_docs
     elif size is None:
         size = group_size(run, ["qid"])
-    rows = with_relevance(run.select("qid", "docno", "score"), qrels)
+    rows = with_relevance(run, qrels)
     if judged_only:
         rows = rows.filter("rel >= 0")
     return OrderedGroups(with_key(rows).drop("score"), ["qid"], run_order(), size).number("rank")
@@ -98,16 +101,27 @@ def ranked_relevance(run: DataFrame, qrels: DataFrame, **options) -> DataFrame:
     return rows.select("qid", "docno", "rank", "rel")
 
 
-def ranked_relevance_by_group(run: DataFrame, qrels_jg: DataFrame, size: Size = None):
+def ranked_relevance_by_group(
+    run: DataFrame,
+    qrels_jg: DataFrame,
+    size: Size = None,
+    max_docs: int | None = None,
+    judged_only: bool = False,
+):
     """The ranked list once per judgement group, with that group's relevance values.
 
+    The cut to ``max_docs`` comes before the groups; ``judged_only`` keeps what a group judged.
     Returns :class:`OrderedGroups` over (qid, jg).
     """
     groups = qrels_jg.select("qid", "jg").distinct()
     judged = qrels_jg.select("qid", "jg", "docno", F.col("rel").cast("int").alias("rel"))
+    judged = once(judged, ["qid", "jg", "docno"], "judgement")
+    run = once(run.select("qid", "docno", "score"), ["qid", "docno"], "result")
+    if max_docs is not None:
+        run = rank_run(run, max_docs=max_docs).drop("rank")
+        size = max_docs
     rows = (
-        run.select("qid", "docno", "score")
-        .join(groups, "qid")
+        run.join(groups, "qid")
         .join(judged, ["qid", "jg", "docno"], "left")
         .withColumn(
             "rel",
@@ -118,6 +132,8 @@ def ranked_relevance_by_group(run: DataFrame, qrels_jg: DataFrame, size: Size =
     )
     if size is None:
         size = group_size(run, ["qid"])
+    if judged_only:
+        rows = rows.filter("rel >= 0")
     keyed = with_key(rows).drop("score")
     return OrderedGroups(keyed, ["qid", "jg"], run_order(), size).number("rank")
 

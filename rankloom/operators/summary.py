@@ -90,9 +90,14 @@ def report_rows(evals: DataFrame, per_topic: bool = True, summary: bool = True)
     )
 
 
+# Relative difference below which values are equal but for rounding.
+TOLERANCE = 1e-9
+
+
 def zscore(evals: DataFrame, reference: DataFrame) -> DataFrame:
     """Replace values by their distance from the reference mean in standard deviations."""
     value, mean, sd = F.col("value"), F.col("mean"), F.col("stddev")
+    equal = F.abs(value - mean) <= TOLERANCE * F.greatest(F.abs(value), F.abs(mean))
     missing = F.lit(MISSING_ZSCORE)
     joined = evals.join(reference, ["qid", "measure"], "left")
     return joined.select(
@@ -100,14 +105,20 @@ def zscore(evals: DataFrame, reference: DataFrame) -> DataFrame:
         "measure",
         F.when(mean.isNull() | sd.isNull(), missing)
         .when(sd != 0, (value - mean) / sd)
-        .when(value == mean, F.lit(0.0))
+        .when(equal, F.lit(0.0))
         .otherwise(missing)
         .alias("value"),
     )
 
 
 def zscore_reference(evals: DataFrame) -> DataFrame:
-    """Mean and standard deviation per topic and measure over the values of many runs."""
+    """Mean and standard deviation per topic and measure over the values of many runs.
+
+    Values that differ by rounding only have no spread.
+    """
+    low, high = F.min("value"), F.max("value")
+    spread = high - low > TOLERANCE * F.greatest(F.abs(low), F.abs(high))
     return evals.groupBy("qid", "measure").agg(
-        F.avg("value").alias("mean"), F.coalesce(F.stddev("value"), F.lit(0.0)).alias("stddev")
+        F.avg("value").alias("mean"),
+        F.when(spread, F.stddev("value")).otherwise(F.lit(0.0)).alias("stddev"),
     )

@@ -93,12 +93,17 @@ def evaluate_groups(
     measures: MeasureChoice = "qrels_jg",
     *,
     level: int = 1,
+    max_docs: int | None = None,
+    judged_only: bool = False,
+    qid: str | None = None,
     size: Size = None,
 ) -> DataFrame:
     """Measures per judgement group, averaged over the groups of a topic."""
+    if qid is not None:
+        run, qrels_jg = run.filter(F.col("qid") == qid), qrels_jg.filter(F.col("qid") == qid)
     inner = {"map_avgjg": "map", "P_avgjg": "P", "Rprec_mult_avgjg": "Rprec_mult"}
     chosen = {inner[n]: p for n, p in choose(measures).items() if n in inner}
-    groups = ranked_relevance_by_group(run, qrels_jg, size)
+    groups = ranked_relevance_by_group(run, qrels_jg, size, max_docs, judged_only)
     values = m.measure_values(groups, qrels_jg, chosen, level, keys=("qid", "jg"))
     name = F.regexp_replace("measure", r"^(map|P|Rprec_mult)(?=_|$)", "$1_avgjg")
     return values.groupBy("qid", name.alias("measure")).agg(F.avg("value").alias("value"))
@@ -111,9 +116,15 @@ def evaluate_prefs(
     *,
     max_docs: int | None = None,
     strict: bool = False,
+    qid: str | None = None,
     size: Size = None,
 ) -> DataFrame:
-    """Preference measures of the topics that have results and preferences."""
+    """Preference measures of the topics that have results and preferences.
+
+    Judgements that contradict each other are an error.
+    """
+    if qid is not None:
+        run, prefs = run.filter(F.col("qid") == qid), prefs.filter(F.col("qid") == qid)
     wanted = [n for n in choose(measures) if n not in _REPORT_ONLY]
     return pref_ops.pref_values(run, prefs, wanted, max_docs=max_docs, strict=strict, size=size)
 
@@ -160,7 +171,7 @@ def report(
         ranked = ranked_relevance(run, judgements, **ranked_options)
         length = int((chosen["relstring"] or [m.RELSTRING_LENGTH])[0])
         texts.append(m.relevance_strings(ranked, length))
-    if summary and "runid" in chosen and "run_id" in run.columns:
+    if summary and "runid" in chosen and {"run_id", "line"} <= set(run.columns):
         texts.append(m.run_id(run))
     for text in texts:
         rows = rows.unionByName(text.withColumn("value", F.lit(None).cast("double")))
