@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .measures import DOC_CUTS, doc_cuts, ratio
-from .ordered import OrderedGroups
+from .ordered import OrderedGroups, first_rows
 
 GAIN_MEASURES = ("ndcg", "ndcg_rel", "Rndcg", "G")
 
@@ -129,16 +129,11 @@ def ndcg_cut_values(
 ) -> DataFrame:
     """One row per judged topic with ``ndcg_cut_k`` columns; gain is the level itself.
 
-    Only the first ``max(cuts)`` ideal positions count, written as a row-number filter that
-    Spark applies before the shuffle.
+    Only the first ``max(cuts)`` ideal positions count.
     """
     ks = doc_cuts(cuts)
-    w = Window.partitionBy("qid").orderBy(F.col("rel").desc(), F.col("docno").asc())
-    first = (
-        qrels.filter("rel > 0")
-        .withColumn("pos", F.row_number().over(w))
-        .filter(F.col("pos") <= ks[-1])
-    )
+    order = [F.col("rel").desc(), F.col("docno").asc()]
+    first = first_rows(qrels.filter("rel > 0"), ["qid"], order, ks[-1], "pos")
     ideal = first.groupBy("qid").agg(
         *[F.expr(f"sum(if(pos <= {k}, rel / log2(pos + 1), null)) AS idcg_{k}") for k in ks]
     )

@@ -406,10 +406,16 @@ def relevance_strings(
 
 
 def run_id(run: DataFrame) -> DataFrame:
-    """Tag of the last run line; ``line`` gives the order of the file."""
-    if "line" not in run.columns:
-        raise ValueError("the tag of a run needs the order of its lines, column line")
-    last = F.max_by("run_id", "line")
+    """Tag of the last run line; ``line`` gives the order of the file.
+
+    Without that column several tags are an error.
+    """
+    if "line" in run.columns:
+        last = F.max_by("run_id", "line")
+    else:
+        message = F.lit("several run tags: the order of lines, column line, is needed")
+        several = F.min("run_id") != F.max("run_id")
+        last = F.when(several, F.raise_error(message)).otherwise(F.max("run_id"))
     return run.agg(last.alias("text")).select(
         F.lit("all").alias("qid"), F.lit("runid").alias("measure"), "text"
     )

@@ -21,6 +21,9 @@ from ..session import durable, setting
 GROUP_ROWS_CONF = "rankloom.groupRows"
 GROUP_ROWS = 2_000_000
 
+# The planner's own setting: row-number filters above it are not applied before the shuffle.
+GROUP_LIMIT_CONF, GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold", 1000
+
 _PIECE = "_piece"
 
 
@@ -36,11 +39,28 @@ def group_size(df: DataFrame, keys: Sequence[str]) -> GroupSize:
     return GroupSize(largest or 0, total or 0)
 
 
+def first_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int | None, name: str = "rank"
+) -> DataFrame:
+    """The first ``k`` rows of each group (all rows for None) with their position.
+
+    Up to the planner's limit a row-number filter is applied before the shuffle, so a task sends
+    ``k`` rows per group at most. Beyond it groups are numbered by pieces, whatever their size.
+    """
+    limit = setting(df.sparkSession, GROUP_LIMIT_CONF, GROUP_LIMIT)
+    if k is not None and k <= limit:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        ranked = df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
+        return ranked.withColumn(name, F.col(name).cast("long"))
+    ranked = OrderedGroups(df, keys, order).number(name).df
+    return ranked if k is None else ranked.filter(F.col(name) <= k)
+
+
 class OrderedGroups:
     """Rows of ``df`` grouped by ``keys`` and totally ordered by ``order``.
 
-    ``size`` states a known upper bound of rows per group (a run cut to 1000 results per
-    topic, say) or sizes counted before, and saves the count.
+    ``size`` holds sizes counted before and saves the count; a plain number is a bound of rows
+    per group that is checked.
     """
 
     def __init__(
@@ -54,10 +74,11 @@ class OrderedGroups:
         self.order = list(order)
         spark = df.sparkSession
         limit = setting(spark, GROUP_ROWS_CONF, GROUP_ROWS)
-        if size is None:
-            size = group_size(df, self.keys)
-        elif isinstance(size, int):
-            size = GroupSize(size, 0)
+        if not isinstance(size, GroupSize):
+            counted = group_size(df, self.keys)
+            if size is not None and counted.largest > size:
+                raise ValueError(f"a group has {counted.largest} rows, more than the bound of {size}")
+            size = counted
         self.split = size.largest > limit
         if self.split:
             partitions = setting(spark, "spark.sql.shuffle.partitions", 200)

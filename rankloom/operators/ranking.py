@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .checks import once
-from .ordered import GroupSize, OrderedGroups, group_size
+from .ordered import GROUP_LIMIT, GroupSize, OrderedGroups, first_rows, group_size
 
 Size = int | GroupSize | None
 
@@ -41,20 +41,11 @@ def rank_run(
 ) -> DataFrame:
     """Add ``rank``; with ``max_docs`` keep only the first ranks of each topic.
 
-    The cut is written as a row-number filter, which Spark applies before the shuffle, so a
-    topic of any size sends at most ``max_docs`` rows per task.
+    A cut up to the planner's limit is applied before the shuffle, so a topic of any size sends
+    at most ``max_docs`` rows per task; a larger one numbers pieces of the topic.
     """
     if max_docs is not None:
-        w = Window.partitionBy("qid").orderBy(*run_order(ties))
-        return (
-            with_key(run)
-            .withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= max_docs)
-            .withColumn("rank", F.col("rank").cast("long"))
-            .drop(_KEY)
-        )
-    if size is None:
-        size = group_size(run, ["qid"])
+        return first_rows(with_key(run), ["qid"], run_order(ties), max_docs).drop(_KEY)
     groups = OrderedGroups(with_key(run), ["qid"], run_order(ties), size).number("rank")
     return groups.df.drop(_KEY)
 
@@ -86,8 +77,8 @@ def ranked_groups(
     run = once(run.select("qid", "docno", "score"), ["qid", "docno"], "result")
     if max_docs is not None:
         run = rank_run(run, max_docs=max_docs).drop("rank")
-        size = max_docs
-    elif size is None:
+        size = GroupSize(max_docs, 0) if max_docs <= GROUP_LIMIT else None
+    if size is None:
         size = group_size(run, ["qid"])
     rows = with_relevance(run, qrels)
     if judged_only:
@@ -119,7 +110,7 @@ def ranked_relevance_by_group(
     run = once(run.select("qid", "docno", "score"), ["qid", "docno"], "result")
     if max_docs is not None:
         run = rank_run(run, max_docs=max_docs).drop("rank")
-        size = max_docs
+        size = GroupSize(max_docs, 0) if max_docs <= GROUP_LIMIT else None
     rows = (
         run.join(groups, "qid")
         .join(judged, ["qid", "jg", "docno"], "left")

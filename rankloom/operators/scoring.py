@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small
 from .analysis import document_columns
 from .index import Index
+from .ordered import first_rows
 
 # Parameters of the models.
 BM25_K1, BM25_B = 1.2, 0.75
@@ -152,10 +153,8 @@ def scored(parts: DataFrame) -> DataFrame:
 def top_k(scores: DataFrame, k: int = 1000) -> DataFrame:
     """First ``k`` documents per topic; equal scores by ascending id.
 
-    The row-number filter is applied before the shuffle, so every task sends at most ``k``
-    rows per topic.
+    For the usual ``k`` every task sends at most ``k`` rows per topic.
     """
     keys = [F.col(c).asc() for c in reversed(document_columns(scores))]
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), *keys)
-    ranked = scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return ranked.select("qid", "docno", F.col("rank").cast("long").alias("rank"), "score")
+    ranked = first_rows(scores, ["qid"], [F.col("score").desc(), *keys], k)
+    return ranked.select("qid", "docno", "rank", "score")

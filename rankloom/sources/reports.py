@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.measures import COUNT_MEASURES
+from ..operators.ordered import first_rows
 
 
 def run_tag(analyzer: str, model: str) -> Column:
@@ -18,10 +19,9 @@ def run_tag(analyzer: str, model: str) -> Column:
 
 def run_lines(scored: DataFrame, tag: Column, k: int | None = None) -> DataFrame:
     """``qid Q0 docno rank score tag`` lines; a document without id uses up no rank."""
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("docno").asc())
-    ranked = scored.filter(F.col("docno").isNotNull()).withColumn("rank", F.row_number().over(w))
-    if k is not None:
-        ranked = ranked.filter(F.col("rank") <= k)
+    order = [F.col("score").desc(), F.col("docno").asc()]
+    ranked = first_rows(scored.filter(F.col("docno").isNotNull()), ["qid"], order, k)
+    ranked = ranked.withColumn("rank", F.col("rank").cast("int"))
     line = F.format_string("%s Q0 %s %d %.6f %s", "qid", "docno", "rank", "score", tag)
     return ranked.select("qid", "rank", line.alias("line"))
 

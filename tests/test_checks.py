@@ -53,5 +53,7 @@ def test_rounding_is_no_spread(spark):
 
 
 def test_run_tag_needs_the_order_of_lines(spark):
-    with pytest.raises(ValueError):
-        run_id(spark.createDataFrame([("1", "a", "x")], "qid string, docno string, run_id string"))
+    columns = "qid string, docno string, run_id string"
+    assert run_id(spark.createDataFrame([("1", "a", "x")], columns)).first().text == "x"
+    with pytest.raises(Exception, match="several run tags"):
+        run_id(spark.createDataFrame([("1", "a", "x"), ("1", "b", "y")], columns)).collect()

@@ -2,8 +2,10 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from rankloom.operators import ranking
 from rankloom.operators.ordered import OrderedGroups
 from rankloom.plans.evaluate import evaluate, evaluate_prefs
 
@@ -74,3 +76,23 @@ def test_preference_measures_do_not_depend_on_group_size(spark):
         assert _values(evaluate_prefs(run, prefs, "all_prefs")) == plain
     finally:
         spark.conf.unset("rankloom.groupRows")
+
+
+@pytest.mark.parametrize("k", [3, 1000, 1001])
+def test_large_cuts_number_pieces(spark, small_groups, k):
+    """Beyond the planner's limit no window holds a whole topic."""
+    rows = [("1", f"d{i:05d}", float(i % 700)) for i in range(1500)] + [("2", "d", 1.0)]
+    run = spark.createDataFrame(rows, "qid string, docno string, score double")
+    found = ranking.rank_run(run, max_docs=k)
+    expected = sorted(rows[:-1], key=lambda r: (r[2], r[1]), reverse=True)[:k]
+    assert [r.docno for r in found.filter("qid = '1'").orderBy("rank").collect()] == [d for _, d, _ in expected]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("WindowGroupLimit" in plan) == (k <= 1000)
+    if k > 1000:
+        assert "_piece" in plan
+
+
+def test_wrong_bounds_are_errors(spark):
+    run = spark.createDataFrame([("1", "a", 1.0), ("1", "b", 2.0)], "qid string, docno string, score double")
+    with pytest.raises(ValueError, match="more than the bound"):
+        ranking.rank_run(run, size=1)
