@@ -72,6 +72,80 @@ def elements(text: Column, tag: str) -> Column:
     return F.when(F.size(found) > 0, F.array_join(found, " "))
 
 
+def _once(value: Column, function) -> Column:
+    """``function`` of a value that is computed once, however often the function uses it."""
+    return F.transform(F.array(value), function)[0]
+
+
+# Steps that are summed in one go; longer arrays are summed in chunks, so time stays in proportion.
+CHUNK = 256
+
+
+def depths(steps: Column) -> Column:
+    """Running sums of an array of whole numbers that never fall below 0.
+
+    A chunk turns a depth x into max(x + a, b), whatever x is; so chunks are summed up first, then
+    entered with the depth that the chunks before them lead to.
+    """
+
+    def climb(values: Column, start: Column) -> Column:
+        return F.aggregate(
+            values, F.array(start), lambda d, v: F.concat(d, F.array(F.greatest(F.element_at(d, -1) + v, F.lit(0))))
+        )
+
+    def of(s: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(s), F.lit(1)), F.lit(CHUNK))
+        effects = F.transform(
+            starts,
+            lambda at: F.aggregate(
+                F.slice(s, at, F.lit(CHUNK)),
+                F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")),
+                lambda e, v: F.struct((e["a"] + v).alias("a"), F.greatest(e["b"] + v, F.lit(0)).alias("b")),
+            ),
+        )
+        entered = F.aggregate(
+            effects,
+            F.array(F.lit(0)),
+            lambda d, e: F.concat(d, F.array(F.greatest(F.element_at(d, -1) + e["a"], e["b"]))),
+        )
+        return _once(
+            entered,
+            lambda b: F.flatten(
+                F.transform(
+                    starts,
+                    lambda at, k: F.slice(climb(F.slice(s, at, F.lit(CHUNK)), F.get(b, k)), 2, CHUNK),
+                )
+            ),
+        )
+
+    return _once(steps, of)
+
+
+def outermost(text: Column, tag: str) -> Column:
+    """Contents of all outermost ``<tag>`` elements joined by blanks, those inside them included.
+
+    Null when there is none. An element that is not closed reaches to the end of the text.
+    """
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?is)</?(?:{tag})(?:\s[^<>]*)?>|[^<]+|<"), F.lit(0))
+
+    def step(piece: Column) -> Column:
+        return (
+            F.when(~piece.startswith("<") | (F.length(piece) < 3) | piece.endswith("/>"), 0)
+            .when(piece.startswith("</"), -1)
+            .otherwise(1)
+        )
+
+    def content(found: Column, depth: Column) -> Column:
+        def kept(piece: Column, i: Column) -> Column:
+            after, before = F.get(depth, i), F.coalesce(F.get(depth, i - 1), F.lit(0))
+            return F.when((before > 0) & (after > 0), piece).when((before == 0) & (after > 0), " ").otherwise("")
+
+        joined = F.array_join(F.transform(found, kept), "")
+        return F.when(F.exists(depth, lambda d: d > 0), joined)
+
+    return _once(pieces, lambda found: _once(depths(F.transform(found, step)), lambda d: content(found, d)))
+
+
 def without_elements(text: Column, tags: list[str]) -> Column:
     """Remove whole elements of the given tags, their content included."""
     for tag in tags:

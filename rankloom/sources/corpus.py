@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import collapsed, element, elements, plain_text, without_elements
+from ..functions.text import collapsed, element, elements, outermost, plain_text, without_elements
 
 # Elements left out of the text, per collection.
 FR94_DROPPED = "DOCTITLE ADDRESS SIGNER SIGNJOB BILLING FRFILING DATE CRFNO RINDOCK".split()
@@ -150,6 +150,11 @@ def load_collection(spark: SparkSession, spec: dict[str, str]) -> DataFrame:
     )
 
 
+def _inner(markup: Column, tag: str) -> Column:
+    """Paragraphs cannot hold paragraphs; other elements may hold ones of their own name."""
+    return elements(markup, tag) if tag.lower() == "p" else outermost(markup, tag)
+
+
 def extract_fields(
     df: DataFrame, markup: str, headline_tag: str, text_tags: list[str], drop_tags: list[str]
 ) -> DataFrame:
@@ -157,10 +162,10 @@ def extract_fields(
     kept = without_elements(F.col(markup), drop_tags)
     inner = kept
     for tag in text_tags[:-1]:
-        inner = elements(inner, tag)
+        inner = _inner(inner, tag)
     found = {
-        "headline": elements(F.col(markup), headline_tag),
-        "text": elements(inner, text_tags[-1]),
+        "headline": _inner(F.col(markup), headline_tag),
+        "text": _inner(inner, text_tags[-1]),
     }
     # A page without the element has an empty field.
     return df.withColumns({n: F.coalesce(plain_text(c), F.lit("")) for n, c in found.items()})

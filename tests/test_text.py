@@ -1,5 +1,7 @@
 """Analysis, narratives, readers and names."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +109,24 @@ def test_writers_keep_order(spark, tmp_path):
     write_report(rows, str(tmp_path / "report"))
     files = sorted((tmp_path / "report").glob("part-*"))
     assert "".join(f.read_text() for f in files).split() == ["x", "y", "z"]
+
+
+def test_nested_elements_keep_their_text(spark):
+    rows = [
+        ("<div>a<div>b</div>c</div> x <DIV id='1'>d</div>", "a b c d"), ("</div>x<div>a</div>", "a"), ("none", ""),
+        ("<div>a<div>b</div>", "a b"), ("<div/>x", ""), (None, ""), ("<div>1 < 2</div>", "1 < 2"),
+    ]
+    df = spark.createDataFrame([(m,) for m, _ in rows], "html string")
+    found = corpus.extract_fields(df, "html", "title", ["div"], ["script"]).collect()
+    assert [r.text for r in found] == [t for _, t in rows]
+
+
+def test_depth_of_long_markup(spark):
+    """Many chunks, and a megabyte of elements that are never closed in reasonable time."""
+    text = "<div>" * 700 + "in" + "</div>" * 700 + "out" + "<div>x</div>"
+    many = "<div>a" * 150_000
+    df = spark.createDataFrame([(text,), (many,)], "html string")
+    start = time.monotonic()
+    found = [r.text for r in corpus.extract_fields(df, "html", "title", ["div"], []).collect()]
+    assert found[0] == "in x" and found[1].split() == ["a"] * 150_000
+    assert time.monotonic() - start < 60
