@@ -4,34 +4,46 @@
    decide how many groups there are, so that sets similar enough differ in fewer groups
    than either has. They meet in a cell: size band, group, and digest of the group.
 2. In each cell, members are compared with one of them, the centre. Links become components.
-3. Cells that still hold several components are compared wholly: members are cut into blocks,
-   their points packed into an R-tree, and pairs go on if the summed minima of their counts,
-   and before that of a leaf's largest counts, reach the overlap needed.
+3. Large cells get new centres for what is outside their largest component. Cells that still hold
+   several components are compared wholly. Pairs of small cells go on if the
+   summed minima of their counts reach the overlap needed. The members of large cells are cut into
+   blocks, of which those outside the largest component meet all, their points packed into an
+   R-tree, and leaves are bounded by their largest counts.
 4. Every pair that survives a bound is verified with its whole sets of 64-bit shingle hashes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm.common import bounded_batches, components, mixed, stored, text_slices
-from rankloom.session import broadcast_if_small, durable
+from rankloom.session import broadcast_if_small
 
 #: Ratio of the sizes at which size bands begin and end.
 BAND = 1.5
 #: Coordinates of a point; children of an R-tree node; members of a block.
 DIMENSIONS = 32
 FANOUT = 16
-BLOCK = 256
+BLOCK = 1024
+#: Shingles of a block, so that blocks of long texts hold fewer members.
+BLOCK_SHINGLES = 1_000_000
+#: Members up to which the pairs of a cell are listed; larger cells are compared in blocks.
+SMALL = 32
 #: Centres that cells with the same members can have.
 CENTRES = 4
+#: Rounds in which large cells get new centres before they are compared wholly.
+CENTRE_ROUNDS = 2
+#: Entries in a bucket of cells, and roughly those that a shingle makes at 85 percent.
+BUCKET_ENTRIES = 1_000_000
+ENTRIES_A_SHINGLE = 0.31
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -102,62 +114,132 @@ def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int) -> np.ndarray
     return -(-percent * (a + b) // (100 + percent))
 
 
-def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """key, set size, two digests of the set, and the set's cells."""
+def _described(docs: DataFrame, words: int) -> DataFrame:
+    """id, set size, two digests of the set, and its point: how many shingles fall in each group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = Cells(percent)
         for part, texts in text_slices(batches, "_text", 1 << 20):
-            sizes, first, second, keys = [], [], [], []
-            for text in texts:
-                found = shingle_hashes(text, words)
-                sizes.append(len(found))
-                first.append(int(mixed(found).sum(dtype=np.uint64).view(np.int64)))
-                second.append(int(mixed(found + np.uint64(77)).sum(dtype=np.uint64).view(np.int64)))
-                keys.append(cells.keys(found))
-            offsets = np.r_[0, np.cumsum([len(k) for k in keys])].astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))
-            numbers = [pa.array(x, pa.int64()) for x in (sizes, first, second)]
-            yield pa.RecordBatch.from_arrays([part.column(0), *numbers, lists], names=["id", "n", "d1", "d2", "keys"])
+            found = [shingle_hashes(t, words) for t in texts]
+            numbers = [[len(x) for x in found], [digest(x) for x in found], [digest(x, 77) for x in found]]
+            points = pa.array([point_of(x).astype(np.int32) for x in found], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), *(pa.array(x, pa.int64()) for x in numbers), points],
+                names=["id", "n", "d1", "d2", "point"],
+            )
 
-    return bounded_batches(docs).mapInArrow(run, "id bigint, n bigint, d1 bigint, d2 bigint, keys array<bigint>")
+    return bounded_batches(docs).mapInArrow(run, "id bigint, n bigint, d1 bigint, d2 bigint, point array<int>")
 
 
-def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """id, set size, point and shingle hashes."""
+def point_of(shingles: np.ndarray) -> np.ndarray:
+    return np.bincount((shingles >> np.uint64(59)).astype(np.int64), minlength=DIMENSIONS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_slices(batches, "_text", 1 << 20):
-            found = [shingle_hashes(t, words) for t in texts]
-            points = [np.bincount((x >> np.uint64(59)).astype(np.int64), minlength=DIMENSIONS) for x in found]
+
+def digest(shingles: np.ndarray, seed: int = 0) -> int:
+    return int(mixed(shingles + np.uint64(seed)).sum(dtype=np.uint64).view(np.int64))
+
+
+def _shared_cells(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
+    """(cell, d) of all cells with two different sets or more, each set by its digest.
+
+    Tasks pack cells and digests into one array for each bucket of cells, so a row travels for
+    thousands of cells. A cell that a task sees several times sends one entry to its bucket; all its
+    entries are known to be wanted and pass by the buckets, so a common cell fills none.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maker = Cells(percent)
+        flushes = 0
+        for _, texts in text_slices(batches, "_text"):
+            cells, sets = [], []
+            for text in texts:
+                found = shingle_hashes(text, words)
+                cells.append(maker.keys(found))
+                sets.append(np.full(len(cells[-1]), digest(found), np.int64))
+            cell, d = np.concatenate(cells), np.concatenate(sets)
+            order = np.lexsort((d, cell))
+            cell, d = cell[order], d[order]
+            new = np.r_[True, (cell[1:] != cell[:-1]) | (d[1:] != d[:-1])][: len(cell)]
+            cell, d = cell[new], d[new]
+            first = np.r_[True, cell[1:] != cell[:-1]][: len(cell)]
+            several = ~(first & np.r_[first[1:], True][: len(cell)])
+            out = [(buckets + flushes % buckets, cell[several], d[several])]
+            flushes += 1
+            cell, d = cell[first], d[first]
+            at = ((mixed(cell.view(np.uint64)) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            order = np.argsort(at, kind="stable")
+            ends = np.searchsorted(at[order], np.arange(buckets + 1, dtype=np.uint64))
+            for b in np.flatnonzero(np.diff(ends)).tolist():
+                part = order[ends[b] : ends[b + 1]]
+                out.append((b, cell[part], d[part]))
+            out = [x for x in out if len(x[1])]
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0), pa.array([len(x) for x in found], pa.int64()),
-                    pa.array([p.astype(np.int32) for p in points], pa.list_(pa.int32())),
-                    pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
+                    pa.array([b for b, _, _ in out], pa.int64()),
+                    pa.array([np.concatenate([c, s]).tobytes() for _, c, s in out], pa.binary()),
                 ],
-                names=["id", "n", "point", "shingles"],
+                names=["bucket", "packed"],
             )
 
-    return bounded_batches(docs).mapInArrow(run, "id bigint, n bigint, point array<int>, shingles array<bigint>")
+    def match(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        parts = [np.frombuffer(x, np.int64).reshape(2, -1) for x in rows["packed"]]
+        cell, d = np.concatenate(parts, axis=1)
+        if key[0] < buckets:
+            order = np.lexsort((d, cell))
+            cell, d = cell[order], d[order]
+            new = np.r_[True, (cell[1:] != cell[:-1]) | (d[1:] != d[:-1])]
+            cell, d = cell[new], d[new]
+            first = np.r_[True, cell[1:] != cell[:-1]]
+            several = ~(first & np.r_[first[1:], True])
+            cell, d = cell[several], d[several]
+        return pd.DataFrame({"cell": cell, "d": d})
 
+    packed = bounded_batches(docs.select("_text")).mapInArrow(pack, "bucket bigint, packed binary")
+    return packed.groupBy("bucket").applyInPandas(match, "cell bigint, d bigint").distinct()
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: first the bound of summed minima, then the sets themselves."""
+
+def durable(df: DataFrame) -> DataFrame:
+    """Written and read again. Size estimates of checkpoints would multiply with every join."""
+    return stored(df, "jaccard")
+
+
+def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, cells) whose summed minima reach the overlap that their sizes need."""
 
     def side(name: str) -> DataFrame:
-        return sets.select(
-            F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("point").alias(f"point_{name}"),
-            F.col("shingles").alias(f"shingles_{name}"),
-        )
+        return points.select(F.col("rep").alias(name), F.col("n").alias(f"n_{name}"), F.col("point").alias(f"point_{name}"))
+
+    minima = F.aggregate(
+        F.zip_with("point_a", "point_b", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y
+    )
+    reached = minima * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(reached)
+    return durable(both.groupBy("a", "b").agg(F.max("cells").alias("cells")))
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    minima = F.aggregate(F.zip_with("point_a", "point_b", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    bound = minima * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))
-    shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    return both.filter(
-        F.when(bound, shared * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))).otherwise(False)
-    ).select("a", "b")
+
+def _linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by their whole texts. Only texts of pairs travel."""
+    wanted = durable(pairs.select(F.col("a").alias("_key")).union(pairs.select("b")).distinct())
+    texts = docs.join(broadcast_if_small(wanted), "_key", "left_semi")
+    both = pairs.join(texts.select(F.col("_key").alias("b"), F.col("_text").alias("text_b")), "b").join(
+        texts.select(F.col("_key").alias("a"), F.col("_text").alias("text_a")), "a"
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, known = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            found = []
+            for a, b, text_a, text_b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if text_a != last:  # rows come sorted by a, so its set is made once
+                    last, known = text_a, shingle_hashes(text_a, words)
+                other = shingle_hashes(text_b, words)
+                shared = len(np.intersect1d(known, other, assume_unique=True))
+                if shared * (100 + percent) >= percent * (len(known) + len(other)):
+                    found.append((a, b))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"]
+            )
+
+    return durable(bounded_batches(both.select("a", "b", "text_a", "text_b")).mapInArrow(run, "a bigint, b bigint"))
 
 
 class RTree:
@@ -181,11 +263,11 @@ class RTree:
         return at[np.minimum(self.points[at], point).sum(axis=1) >= needed(size, self.sizes[at], percent)]
 
 
-def _block_links(percent: int, rows: pd.DataFrame) -> pd.DataFrame:
+def _block_links(words: int, percent: int, rows: pd.DataFrame) -> pd.DataFrame:
     """Links between components that the members of two blocks (or one) have; one per join."""
-    rows = rows.drop_duplicates(["id", "n", "d"]).sort_values(["id", "d"], ignore_index=True)
-    points, sizes = np.stack(rows["point"].to_numpy()).astype(np.int64), rows["n"].to_numpy(np.int64)
-    sets = rows["shingles"].to_numpy()
+    rows = rows.drop_duplicates(["id", "_text"]).sort_values(["id", "_text"], ignore_index=True)
+    sets = [shingle_hashes(t, words) for t in rows["_text"]]
+    points, sizes = np.stack([point_of(x) for x in sets]), np.array([len(x) for x in sets])
     ids, root = rows["id"].to_numpy(np.int64), {}
 
     def find(x: int) -> int:
@@ -206,6 +288,46 @@ def _block_links(percent: int, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
+def _recentred(labelled: DataFrame, salt: int) -> DataFrame:
+    """Pairs (a, b) of the members outside a cell's largest component with one member of that."""
+    order = F.xxhash64("id", F.pmod("cell", F.lit(CENTRES)), F.lit(salt))
+    parts = labelled.groupBy("cell", "component").agg(
+        F.count(F.lit(1)).alias("sets"), F.min(F.struct(order.alias("o"), "id")).alias("first")
+    )
+    largest = F.max(F.struct("sets", "component", "first"))
+    centres = durable(
+        parts.groupBy("cell").agg(largest.alias("l")).select(
+            "cell", F.col("l.component").alias("largest"), F.col("l.first.id").alias("centre")
+        )
+    )
+    return (
+        labelled.join(centres, "cell")
+        .filter("component <> largest")
+        .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
+        .distinct()
+    )
+
+
+def _blocks(sets: Column, shingles: Column) -> Column:
+    return F.ceil(F.greatest(sets / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (cell, id, d, component) of the cells that hold several components."""
+    labelled = durable(
+        members.join(labels.select("id", F.col("component").alias("known")), "id", "left").select(
+            "cell", "id", "d", "n", F.coalesce("known", "id").alias("component")
+        )
+    )
+    several = durable(
+        labelled.groupBy("cell")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low <> high")
+        .select("cell")
+    )
+    return durable(labelled.join(several, "cell"))
+
+
 def jaccard_components(
     docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -220,72 +342,117 @@ def jaccard_components(
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
     source = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
-    described = stored(_described(source, words, percent), "jaccard")
+    named = source.filter("_key IS NOT NULL")
+    described = stored(_described(source, words), "jaccard")
     live = described.filter("id IS NOT NULL AND n > 0")
 
     # Equal sets are one: the smallest key stands for all.
-    copies = durable(
-        live.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    reps = stored(
+        live.groupBy("n", "d1", "d2").agg(
+            F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows"), F.any_value("point").alias("point")
+        ),
+        "jaccard",
+    )
+    copies = live.select("id", "n", "d1", "d2").join(
+        reps.filter("rows > 1").select("n", "d1", "d2", "rep"), ["n", "d1", "d2"]
     )
-    mapped = live.select("id", "n", "d1", "d2").join(copies.drop("rows"), ["n", "d1", "d2"])
-    copy_links = mapped.filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    copy_links = copies.filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
     # Cells with several sets, each with a centre.
-    cells = live.select("id", "n", "d1", "d2", "keys").join(
-        broadcast_if_small(copy_links.select(F.col("a").alias("id")).distinct()), "id", "left_anti"
+    total = live.agg(F.sum("n")).first()[0] or 0
+    buckets = max(1, ceil(total * ENTRIES_A_SHINGLE * (100 - percent) / 15 / BUCKET_ENTRIES))
+    entries = stored(
+        stored(_shared_cells(named, words, percent, buckets), "jaccard")
+        .join(reps.select(F.col("d1").alias("d"), F.col("rep").alias("id"), "n"), "d")
+        .select("cell", "id", "d", "n"),
+        "jaccard",
     )
-    entries = cells.select(F.explode("keys").alias("cell"), "id", F.col("d1").alias("d"))
     order = F.xxhash64("id", F.pmod("cell", F.lit(CENTRES)))
     shared = durable(
         entries.groupBy("cell")
         .agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct(order.alias("o"), "id")).alias("first"))
-        .filter("rows > 1")
         .select("cell", "rows", F.col("first.id").alias("centre"))
     )
     members = stored(entries.join(shared, "cell"), "jaccard")
-    pairs = durable(
+    pairs = (
         members.filter("id <> centre")
-        .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
-        .distinct()
-    )
-    wanted = durable(members.select("id").distinct())
-    sets = stored(
-        _sets(
-            source.filter("_key IS NOT NULL").join(
-                broadcast_if_small(wanted.withColumnRenamed("id", "_key")), "_key", "left_semi"
-            ),
-            words,
-        ),
-        "jaccard",
+        .groupBy(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
+        .agg(F.count(F.lit(1)).alias("cells"))
     )
-    links = durable(_linked(pairs, sets, percent))
+    pairs = _bounded(pairs, reps, percent)
 
-    # Cells of three sets or more that hold several components yet: compared wholly, each set of members once.
+    # First each set and the one that it shares most cells with, then pairs that are still apart.
+    best = durable(pairs.groupBy("b").agg(F.max_by("a", F.struct("cells", -F.col("a"))).alias("a")).select("a", "b"))
+    links = _linked(best, named, words, percent)
     labels = components(links)
-    labelled = members.filter("rows > 2").join(
-        labels.select("id", F.col("component").alias("known")), "id", "left"
-    ).select("cell", "id", "d", F.coalesce("known", "id").alias("component"))
-    open_cells = (
-        labelled.groupBy("cell")
+    apart = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
+    for name in ("a", "b"):
+        own = labels.select(F.col("id").alias(name), F.col("component").alias(f"c_{name}"))
+        apart = apart.join(own, name, "left").withColumn(f"c_{name}", F.coalesce(f"c_{name}", name))
+    links = links.union(_linked(durable(apart.filter("c_a <> c_b").select("a", "b")), named, words, percent))
+
+    # Cells of three sets or more may hold several components yet. In small ones the pairs that are
+    # apart and were not compared go on, each once however many cells they share.
+    small = _open_members(members.filter(F.col("rows").between(3, SMALL)), components(links))
+    left, right = (small.select("cell", F.col("id").alias(x), F.col("component").alias(f"c_{x}")) for x in ("a", "b"))
+    rest = left.join(right, "cell").filter("a < b AND c_a <> c_b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("cells"))
+    rest = _bounded(durable(rest.join(pairs.select("a", "b"), ["a", "b"], "left_anti")), reps, percent)
+    links = links.union(_linked(rest.select("a", "b"), named, words, percent))
+
+    # In large ones, members outside the largest component meet some of its members first.
+    tested = pairs.select("a", "b")
+    for salt in range(CENTRE_ROUNDS):
+        labelled = _open_members(members.filter(F.col("rows") > SMALL), components(links))
+        new = durable(_recentred(labelled, salt).join(tested, ["a", "b"], "left_anti"))
+        tested = tested.union(new)
+        near = _bounded(new.withColumn("cells", F.lit(1)), reps, percent)
+        links = links.union(_linked(near.select("a", "b"), named, words, percent))
+
+    # What is still open is compared wholly: the members outside a cell's largest component with each other
+    # and with that component, in pairs of blocks; cells with the same members once.
+    labelled = _open_members(members.filter(F.col("rows") > SMALL), components(links))
+    parts = labelled.groupBy("cell", "component").agg(
+        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("size"),
+        F.sum(F.xxhash64("id", "d").cast("decimal(20,0)")).alias("who"),
+    )
+    largest = F.max(F.struct("sets", "component", "size"))
+    open_cells = durable(
+        parts.groupBy("cell")
         .agg(
-            F.count(F.lit(1)).alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"),
-            F.sum(F.xxhash64("id", "d").cast("decimal(20,0)")).alias("who"),
+            F.sum("sets").alias("rows"), F.sum("who").alias("who"), F.sum("size").alias("size"), largest.alias("l")
+        )
+        .groupBy("rows", "who", "size")
+        .agg(F.min(F.struct("cell", "l")).alias("c"))
+        .select(
+            "c.cell", F.col("c.l.component").alias("largest"),
+            _blocks(F.col("rows") - F.col("c.l.sets"), F.col("size") - F.col("c.l.size")).alias("outside"),
+            _blocks(F.col("c.l.sets"), F.col("c.l.size")).alias("inside"),
         )
-        .filter("low <> high")
-        .groupBy("rows", "who")
-        .agg(F.min("cell").alias("cell"))
     )
-    blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
-    dealt = (
-        durable(labelled)
-        .join(durable(open_cells.select("cell", "rows")), "cell")
-        .withColumn("own", F.pmod(F.xxhash64("id", "d"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "d", "component")
+    block = F.pmod(F.xxhash64("id", "d"), F.when(F.col("component") == F.col("largest"), F.col("inside")).otherwise(F.col("outside"))).cast("int")
+
+    def pair(i: Column, j: Column) -> Column:
+        return F.struct(i.alias("i"), j.alias("j"))
+
+    to_outside = F.sequence(F.lit(0), F.col("outside") - 1)
+    met = F.when(
+        F.col("component") == F.col("largest"),
+        F.transform(to_outside, lambda o: pair(o, F.col("outside") + F.col("block"))),
+    ).otherwise(
+        F.concat(
+            F.transform(to_outside, lambda o: pair(F.least(o, "block"), F.greatest(o, "block"))),
+            F.transform(F.sequence(F.lit(0), F.col("inside") - 1), lambda k: pair(F.col("block"), F.col("outside") + k)),
+        )
+    )
+    dealt = durable(
+        labelled.join(open_cells, "cell")
+        .withColumn("block", block)
+        .select("cell", "id", "d", "component", F.inline(met))
     )
-    full = dealt.join(sets, "id")
-    more = full.groupBy("cell", "i", "j").applyInPandas(
-        lambda rows: _block_links(percent, rows), "a bigint, b bigint"
+    wanted = durable(dealt.select(F.col("id").alias("_key")).distinct())
+    texts = named.join(broadcast_if_small(wanted), "_key", "left_semi").withColumnRenamed("_key", "id")
+    more = dealt.join(texts, "id").groupBy("cell", "i", "j").applyInPandas(
+        lambda rows: _block_links(words, percent, rows), "a bigint, b bigint"
     )
     found = components(links.union(durable(more)).union(copy_links))
     return (
