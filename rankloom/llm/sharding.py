@@ -68,7 +68,7 @@ def shard(df: DataFrame, key: str = "doc_id", text: str = "text", limit: int = 2
     ``shard`` is the hash prefix in binary digits (empty if all fits in one), ``shard_bytes`` and
     ``shard_rows`` are its size. A shard exceeds ``limit`` only if it is a single row. Rows with
     equal keys have equal hashes: where they alone exceed the limit, they are dealt over pages
-    (``prefix.page``) by running totals of bytes. A null text has 0 bytes, null keys hash alike,
+    (``prefix.page``, ``prefix.Lpage`` for one too long row) by running totals of bytes. A null text has 0 bytes, null keys hash alike,
     an empty table gives an empty result, columns named like a new one are replaced.
     """
     keep = kept_columns(df, (*MADE, "_hash", "_bytes"))
@@ -111,29 +111,31 @@ def _pages(rows: DataFrame, keep: list[str], known: int, limit: int) -> DataFram
 
     Totals run over the pieces in which the rows lie, then inside each piece, so no task needs
     all rows of a hash. A page takes the rows that start in its stretch, which is shorter than the
-    limit by the longest row.
+    limit by the longest row. Rows above the limit have pages of their own.
     """
+    rows = rows.withColumn("_large", F.col("_bytes") > limit)
     rows = durable(rows.withColumn("_piece", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
-    pieces = rows.groupBy("_hash", "_piece").agg(F.sum("_bytes").alias("_sum"), F.max("_bytes").alias("_most"))
-    by_hash = W.partitionBy("_hash")
+    pieces = rows.groupBy("_hash", "_large", "_piece").agg(F.sum("_bytes").alias("_sum"), F.max("_bytes").alias("_most"))
+    by_hash = W.partitionBy("_hash", "_large")
     before = by_hash.orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
     offsets = pieces.select(
-        "_hash", "_piece", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"),
+        "_hash", "_large", "_piece", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"),
         F.max("_most").over(by_hash).alias("_longest"),
     )
-    inside = W.partitionBy("_hash", "_piece").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("_hash", "_large", "_piece").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
     start = F.col("_before") + F.coalesce(F.sum("_bytes").over(inside), F.lit(0))
     stretch = F.greatest(F.lit(limit) - F.col("_longest") + 1, F.lit(1))
     paged = durable(
-        rows.join(offsets, ["_hash", "_piece"]).withColumn("_page", F.floor(start / stretch).cast("long"))
+        rows.join(offsets, ["_hash", "_large", "_piece"]).withColumn("_page", F.floor(start / stretch).cast("long"))
     )
-    sizes = paged.groupBy("_hash", "_page").agg(
+    sizes = paged.groupBy("_hash", "_large", "_page").agg(
         F.sum("_bytes").alias("shard_bytes"), F.count(F.lit(1)).alias("shard_rows")
     )
     bits = F.lpad(F.conv(F.shiftright("_hash", HASH_BITS - known), 10, 2), known, "0")
-    return paged.join(sizes, ["_hash", "_page"]).select(
+    kind = F.when(F.col("_large"), ".L").otherwise(".")
+    return paged.join(sizes, ["_hash", "_large", "_page"]).select(
         *keep, F.col("_bytes").alias("n_bytes"), F.lit(known).alias("depth"),
-        F.concat(bits, F.lit("."), "_page").alias("shard"), "shard_bytes", "shard_rows",
+        F.concat(bits, kind, "_page").alias("shard"), "shard_bytes", "shard_rows",
     )
 
 
