@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import checks, gains, measures, ranking, summary
-from ..operators.ordered import OrderedGroups
 from ..plans.evaluate import evaluate, evaluate_groups, report
 from ..sources.reports import report_lines
 from . import inputs

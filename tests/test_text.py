@@ -3,7 +3,6 @@
 import time
 
 import pytest
-from pyspark.sql import functions as F
 
 from rankloom.functions.stem import stemmed
 from rankloom.operators import analysis, queries
