@@ -207,7 +207,7 @@ def _phone(m: re.Match, key: bytes) -> str | None:
     return text[:start] + _refill(text[start:], out)
 
 
-# All repeats are bounded, so a search takes time in proportion to the text.
+# All repeats are bounded but that of RUN, which scans one class, so a search takes time in proportion to the text.
 EMAIL_BEFORE = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])")
 SECRET_WORDS = ("password", "passwd", "secret", "token", "api_key", "api-key", "apikey")
@@ -216,8 +216,8 @@ SECRET = re.compile(
 )
 ACCESS_KEY = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)(?P<value>[A-Z0-9]{16})(?![A-Za-z0-9])")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-#: Stretches in which the kinds made of digits are looked for.
-RUN = re.compile(r"[+(]?[0-9](?:[0-9() .+/-]{0,200}[0-9])?")
+#: Whole stretches in which the kinds made of digits are looked for; none of these values leaves one.
+RUN = re.compile(r"[+(]?[0-9](?:[0-9() .+/-]*[0-9])?")
 DIGITS: dict[str, tuple[re.Pattern, Callable[[re.Match, bytes], str | None]]] = {
     "card": (
         re.compile(r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})(?![0-9A-Za-z])"),

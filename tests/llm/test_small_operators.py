@@ -191,6 +191,23 @@ def test_clean_texts_stay(text):
     assert pii.pseudonymised(text, b"k")[0] == text
 
 
+@pytest.mark.parametrize("between", [" ", "  ", " / ", " - "])
+def test_long_stretches_of_numbers_are_searched_wholly(between):
+    cards = ["4111 1111 1111 1111", "5500-0000-0000-0004", "378282246310005"]
+    values = {
+        "phone": [f"415-555-{i:04d}" for i in range(1000, 1400)],
+        "ssn": [f"123-45-{i:04d}" for i in range(1000, 1400)],
+        "date": [f"{1950 + i % 80}-{1 + i % 12:02d}-{1 + i % 28:02d}" for i in range(400)],
+        "ip": [f"10.{i % 250}.{i % 199}.{i % 99}" for i in range(400)],
+        "card": cards * 100,
+    }
+    for kind, found in values.items():
+        _, counts = pii.pseudonymised(between.join(found), b"k")
+        assert counts == dict.fromkeys(pii.KINDS, 0) | {kind: len(found)}
+    for text in ("1" + " " * 1_000_000, "1 " * 500_000, "(" * 1_000_000, "9" * 1_000_000):
+        assert pii.pseudonymised(text, b"k")[0] == text
+
+
 def test_pseudonymise_rows(spark):
     rows = [(1, "a@example.com", 5), (1, "a@example.com", 5), (2, None, 5), (None, "", 5)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, n_email int")
