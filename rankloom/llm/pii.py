@@ -120,8 +120,7 @@ def _secret(m: re.Match, key: bytes) -> str | None:
     return m.group()[: m.start("value") - m.start()] + _letters(value, key, "secret") + m.group()[m.end("value") - m.start() :]
 
 
-def _iban(m: re.Match, key: bytes) -> str | None:
-    text = m.group()
+def _iban(text: str, key: bytes) -> str | None:
     plain = text.replace(" ", "")
 
     def remainder(body: str) -> int:
@@ -134,6 +133,25 @@ def _iban(m: re.Match, key: bytes) -> str | None:
     return "".join(c if c == " " else next(new) for c in text)
 
 
+def _ibans(text: str, key: bytes) -> Iterator[tuple[int, int, str]]:
+    """Place and pseudonym of every account.
+
+    Words and years behind an account look like groups of it, so it may end at any border of groups:
+    first where its country's accounts do, then from the longest one on.
+    """
+    start = 0
+    while m := IBAN.search(text, start):
+        start = m.start() + 1
+        long = m.group()
+        ends = [i for i, c in enumerate(long) if c == " "] + [len(long)]
+        length = IBAN_LENGTHS.get(long[:2])
+        for end in sorted(ends, key=lambda e: (e - long.count(" ", 0, e) != length, -e)):
+            if new := _iban(long[:end], key):
+                start = m.start() + end
+                yield m.start(), start, new
+                break
+
+
 def _card(m: re.Match, key: bytes) -> str | None:
     digits = re.sub(r"\D", "", m.group())
     if not 13 <= len(digits) <= 19 or not luhn(digits) or len(set(digits)) == 1:
@@ -216,6 +234,17 @@ SECRET = re.compile(
 )
 ACCESS_KEY = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)(?P<value>[A-Z0-9]{16})(?![A-Za-z0-9])")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+#: Characters of an account in each country of the registry.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+    }.items()
+    for country in countries.split()
+}
 #: Whole stretches in which the kinds made of digits are looked for; none of these values leaves one.
 RUN = re.compile(r"[+(]?[0-9](?:[0-9() .+/-]*[0-9])?")
 DIGITS: dict[str, tuple[re.Pattern, Callable[[re.Match, bytes], str | None]]] = {
@@ -227,7 +256,8 @@ DIGITS: dict[str, tuple[re.Pattern, Callable[[re.Match, bytes], str | None]]] =
     "ssn": (re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"), _ssn),
     "date": (
         re.compile(
-            r"(?<![0-9A-Za-z/.-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?![0-9A-Za-z/-])"
+            r"(?<![0-9A-Za-z/.-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})"
+            r"(?![0-9A-SU-Za-su-z/-]|[Tt](?![0-9]))"  # a time of day may follow
         ),
         _date,
     ),
@@ -256,13 +286,13 @@ def _found(text: str, key: bytes) -> Iterator[tuple[str, int, int, str]]:
         for m in pattern.finditer(text) if there else ():
             if any(c.isdigit() for c in m.group("value")) or pattern is ACCESS_KEY:
                 yield "secret", m.start(), m.end(), _secret(m, key)
-    for m in IBAN.finditer(text):
-        if new := _iban(m, key):
-            yield "iban", m.start(), m.end(), new
+    for start, end, new in _ibans(text, key):
+        yield "iban", start, end, new
     runs = [m.span() for m in RUN.finditer(text) if m.end() - m.start() > 6]
     for kind, (pattern, change) in DIGITS.items():
+        behind = 2 if kind == "date" else 1  # characters that its pattern looks at
         for start, end in runs:
-            while m := pattern.search(text, start, min(end + 1, len(text))):
+            while m := pattern.search(text, start, min(end + behind, len(text))):
                 new = change(m, key)
                 if new:
                     yield kind, m.start(), m.end(), new

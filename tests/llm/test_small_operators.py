@@ -208,6 +208,30 @@ def test_long_stretches_of_numbers_are_searched_wholly(between):
         assert pii.pseudonymised(text, b"k")[0] == text
 
 
+@pytest.mark.parametrize(
+    ("before", "value", "behind", "kind"),
+    [
+        ("at ", "2021-03-04", "T05:06:07Z", "date"),
+        ("at ", "2021-03-04", "t05:06", "date"),
+        *[("", "BE68 5390 0754 7034", x, "iban") for x in (" EUR", " 2024", " EURO PAID", " OK.", " to", "")],
+        ("", "DE89 3704 0044 0532 0130 00", " EUR", "iban"),
+        ("", "BE68539007547034", " 2024 EUR", "iban"),
+        ("REF AB13 3456 7890 ", "BE68 5390 0754 7034", " 2024", "iban"),
+    ],
+)
+def test_values_in_usual_surroundings(before, value, behind, kind):
+    new, counts = pii.pseudonymised(before + value + behind, b"k")
+    assert counts == dict.fromkeys(pii.KINDS, 0) | {kind: 1}
+    assert new == before + pii.pseudonymised(value, b"k")[0] + behind and value not in new
+
+
+def test_accounts_in_a_row():
+    two = ["BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00"]
+    new, counts = pii.pseudonymised(" ".join(two * 50), b"k")
+    assert counts["iban"] == 100 and new == " ".join(pii.pseudonymised(x, b"k")[0] for x in two * 50)
+    assert pii.pseudonymised("2021-03-04Tuesday", b"k")[0] == "2021-03-04Tuesday"
+
+
 def test_pseudonymise_rows(spark):
     rows = [(1, "a@example.com", 5), (1, "a@example.com", 5), (2, None, 5), (None, "", 5)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, n_email int")
