@@ -1,10 +1,10 @@
 """Language-model scores from a hierarchical Pitman-Yor model of word pairs.
 
-Words that hold a fixed share of all training tokens, and the start of a text, have a restaurant
-for what follows them; all share the restaurant of single words as parent, whose own parent is
-uniform over the vocabulary and one unknown word. Tokens behind other words are customers of the
-parent. Words are dealt over shards, so a word's customers in every restaurant meet in one task;
-tasks share only the numbers of tables of the restaurants. A Gibbs sweep takes customers from
+Every word seen in training, and the start of a text, has a restaurant for what follows it; all share
+the restaurant of single words as parent, whose own parent is uniform over the vocabulary and one
+unknown word. Words are dealt over shards, so a word's customers in every restaurant meet in one
+task; the customers and tables of the restaurants are added up over shards by ranges of context
+hashes, and each shard gets back the sums of its own contexts. A Gibbs sweep takes customers from
 their tables and seats them anew; predictive probabilities are averaged over several sweeps.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import ceil
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from rankloom.llm.common import bounded_batches, stored, text_slices
 
-#: Share of the training tokens from which a word has a restaurant: so there are 1 / SHARE at most.
+#: Not read any more, since every word has a restaurant; tests still set it.
 SHARE = 1e-4
 #: Tokens of a shard; text bytes of a chunk of documents.
 SHARD_TOKENS = 4_000_000
@@ -59,41 +59,28 @@ def token_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return flat, counts
 
 
-def contexts_of(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Sorted hashes of the words with a restaurant (the start among them), and all training tokens.
-
-    A word that holds a share of all tokens holds it in some slice; slices report those that hold
-    half of it, and reports are added up. The driver gets the words that reach the share.
-    """
+def training_tokens(docs: DataFrame) -> int:
+    """All tokens of the documents that are not held out, ends among them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches, "_text"):
             train = [t for i, t in zip(part.column(0).to_pylist(), texts, strict=True) if not held_out(i)]
-            flat, _ = token_hashes(train)
-            word, n = np.unique(flat, return_counts=True)
-            often = (n >= SHARE / 2 * len(flat)) & (word != END)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.r_[word[often].view(np.int64), 0]), pa.array(np.r_[n[often], 0]), pa.array(np.r_[n[often] * 0, len(flat)])],
-                names=["word", "n", "total"],
-            )
+            total = sum(len(t.encode().split()) + 1 for t in train)
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], names=["total"])
 
-    found = stored(bounded_batches(docs).mapInArrow(count, "word bigint, n bigint, total bigint"), "pitman_yor")
-    total = found.agg(F.sum("total")).first()[0] or 0
-    rows = found.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(1.0, SHARE * total)).collect()
-    words = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
-    return np.unique(np.append(words, START)), total
+    return bounded_batches(docs).mapInArrow(count, "total bigint").agg(F.sum("total")).first()[0] or 0
 
 
 def _compressed(array: np.ndarray) -> bytes:
     return zlib.compress(array.tobytes(), 1)
 
 
-def _chunks(docs: DataFrame, contexts: np.ndarray, shards: int) -> DataFrame:
+def _chunks(docs: DataFrame, shards: int) -> DataFrame:
     """Rows (chunk, shard, blob): what each chunk of documents orders from each shard of words.
 
     The row of shard -1 keeps the chunk's documents and, for each token, the place of its entry.
-    An entry is a word with a context (0: none), sorted by word and context; shards are
-    ranges of word hashes, so entries of successive shards follow each other.
+    An entry is a word with the word before it, sorted by word; shards are ranges of word hashes,
+    so entries of successive shards follow each other.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,13 +92,12 @@ def _chunks(docs: DataFrame, contexts: np.ndarray, shards: int) -> DataFrame:
             held = np.array([held_out(i) for i in ids])
             flat, counts = token_hashes(texts)
             word, index = np.unique(flat, return_inverse=True)
-            at = np.minimum(np.searchsorted(contexts, word), len(contexts) - 1)
-            number_of = np.where(contexts[at] == word, at + 1, 0)  # contexts are numbered from 1
-            before = np.r_[0, number_of[index[:-1]]]
-            before[np.cumsum(counts) - counts] = np.searchsorted(contexts, START) + 1
-            entry, place = np.unique(index * (len(contexts) + 1) + before, return_inverse=True)
+            contexts = np.append(word, START)
+            before = np.r_[0, index[:-1]]
+            before[np.cumsum(counts) - counts] = len(word)
+            entry, place = np.unique(index * len(contexts) + before, return_inverse=True)
             n = np.bincount(place[np.repeat(~held, counts)], minlength=len(entry))
-            owner, context = entry // (len(contexts) + 1), entry % (len(contexts) + 1)
+            owner, context = entry // len(contexts), entry % len(contexts)
             k = np.bincount(owner, minlength=len(word))
             shard = ((word >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
             ends = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
@@ -121,11 +107,12 @@ def _chunks(docs: DataFrame, contexts: np.ndarray, shards: int) -> DataFrame:
             rows = [(-1, _compressed(place.astype("<i4")))]
             for s in np.flatnonzero(np.diff(ends)).tolist():
                 w, e = slice(ends[s], ends[s + 1]), slice(stops[s], stops[s + 1])
-                head = np.array([w.stop - w.start, e.stop - e.start], "<i8").tobytes()
-                rows.append((s, b"".join([
-                    head, word[w].astype("<u8").tobytes(), k[w].astype("<i4").tobytes(),
-                    context[e].astype("<i4").tobytes(), n[e].astype("<i4").tobytes(),
-                ])))
+                own, at = np.unique(context[e], return_inverse=True)
+                head = np.array([w.stop - w.start, e.stop - e.start, len(own)], "<i8").tobytes()
+                rows.append((s, zlib.compress(b"".join([
+                    head, word[w].astype("<u8").tobytes(), contexts[own].astype("<u8").tobytes(), k[w].astype("<i4").tobytes(),
+                    at.astype("<i4").tobytes(), n[e].astype("<i4").tobytes(),
+                ]), 1)))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([chunk] * len(rows), pa.int64()),
@@ -143,38 +130,48 @@ def _chunks(docs: DataFrame, contexts: np.ndarray, shards: int) -> DataFrame:
 
 
 def _orders(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words, entries of each, and contexts and training counts of the entries."""
-    words, entries = np.frombuffer(blob, "<i8", 2).tolist()
-    at = 16
-    word = np.frombuffer(blob, "<u8", words, at)
-    k = np.frombuffer(blob, "<i4", words, at + 8 * words)
-    context = np.frombuffer(blob, "<i4", entries, at + 12 * words)
-    n = np.frombuffer(blob, "<i4", entries, at + 12 * words + 4 * entries)
+    """Words, entries of each, and hashes of contexts and training counts of the entries."""
+    blob = zlib.decompress(blob)
+    words, entries, contexts = np.frombuffer(blob, "<i8", 3).tolist()
+    at = 24 + 8 * (words + contexts)
+    word = np.frombuffer(blob, "<u8", words, 24)
+    k = np.frombuffer(blob, "<i4", words, at)
+    context = np.frombuffer(blob, "<u8", contexts, 24 + 8 * words)
+    context = context[np.frombuffer(blob, "<i4", entries, at + 4 * words)]
+    n = np.frombuffer(blob, "<i4", entries, at + 4 * (words + entries))
     return word, k, context, n
 
 
 @dataclass
 class Orders:
-    """All entries of a shard, sorted by word and context; ``lookup`` finds those of a chunk."""
+    """All entries of a shard, sorted by word and context; ``lookup`` finds those of a chunk.
+
+    Contexts are numbered from 1 in the order of their hashes, ``contexts``.
+    """
 
     word: np.ndarray
     owner: np.ndarray  # index of each entry's word
     context: np.ndarray
     count: np.ndarray
+    contexts: np.ndarray
     width: int
 
     @classmethod
-    def gathered(cls, blobs: list[bytes], width: int) -> Orders:
+    def gathered(cls, blobs: list[bytes], width: int = 0) -> Orders:
         parts = [_orders(b) for b in blobs]
         word = np.unique(np.concatenate([p[0] for p in parts]))
-        keys = np.concatenate([np.repeat(np.searchsorted(word, w), k) * width + c for w, k, c, _ in parts])
+        contexts = np.unique(np.concatenate([np.unique(p[2]) for p in parts]))
+        width = max(width, len(contexts) + 1)
+        keys = np.concatenate(
+            [np.repeat(np.searchsorted(word, w), k) * width + np.searchsorted(contexts, c) + 1 for w, k, c, _ in parts]
+        )
         entry, place = np.unique(keys, return_inverse=True)
         count = np.bincount(place, np.concatenate([p[3] for p in parts]), len(entry)).astype(np.int64)
-        return cls(word, entry // width, entry % width, count, width)
+        return cls(word, entry // width, entry % width, count, contexts, width)
 
     def lookup(self, blob: bytes) -> np.ndarray:
         word, k, context, _ = _orders(blob)
-        keys = np.repeat(np.searchsorted(self.word, word), k) * self.width + context
+        keys = np.repeat(np.searchsorted(self.word, word), k) * self.width + np.searchsorted(self.contexts, context) + 1
         return np.searchsorted(self.owner * self.width + self.context, keys)
 
 
@@ -275,44 +272,83 @@ class Seats:
 
     def dump(self) -> bytes:
         head = np.array([len(self.tables), len(self.sizes)], "<i8").tobytes()
-        return head + self.tables.astype("<i4").tobytes() + self.sizes.astype("<i8").tobytes()
+        return _compressed(np.frombuffer(head + self.tables.astype("<i4").tobytes() + self.sizes.astype("<i8").tobytes(), np.uint8))
 
     @classmethod
     def load(cls, blob: bytes, rng: np.random.Generator) -> Seats:
+        blob = zlib.decompress(blob)
         dishes, tables = np.frombuffer(blob, "<i8", 2).tolist()
         return cls(np.frombuffer(blob, "<i8", tables, 16 + 4 * dishes), np.frombuffer(blob, "<i4", dishes, 16), rng)
 
 
-def _restaurants(chunks: DataFrame, width: int) -> DataFrame:
-    """One row per shard: the dishes that have several customers, and numbers of those that don't."""
+#: Columns of a shard's counts of contexts, cut by ranges of context hashes.
+PIECE = ["bucket", "contexts", "counts"]
+
+
+def _pieces(contexts: np.ndarray, counts: np.ndarray, buckets: int) -> list[tuple[int, bytes, bytes]]:
+    """PIECE rows of the columns of ``counts``, whose contexts are sorted."""
+    at = ((contexts >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    ends = np.searchsorted(at, np.arange(buckets + 1, dtype=np.uint64))
+    return [
+        (b, contexts[x:y].astype("<u8").tobytes(), _compressed(counts[:, x:y].astype("<i8")))
+        for b, (x, y) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)) if y > x
+    ]
+
+
+def _summed_pieces(pieces: DataFrame) -> DataFrame:
+    """(shard, bucket, own, sums): for each piece the sums over all shards, and its contexts counted once."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        orders = Orders.gathered(rows["orders"].tolist(), width)
-        hot = orders.context > 0
+        contexts = [np.frombuffer(b, "<u8") for b in rows["contexts"]]
+        counts = [np.frombuffer(zlib.decompress(b), "<i8").reshape(-1, len(c)) for b, c in zip(rows["counts"], contexts, strict=True)]
+        known, place = np.unique(np.concatenate(contexts), return_inverse=True)
+        sums = np.stack([np.bincount(place, x, len(known)).astype("<i8") for x in np.concatenate(counts, axis=1)])
+        ends = np.cumsum([len(c) for c in contexts])[:-1]
+        out = [_compressed(sums[:, at]) for at in np.split(place, ends)]
+        return pd.DataFrame({"shard": rows["shard"].to_numpy(), "bucket": key[0], "own": [len(known)] + [0] * (len(out) - 1), "sums": out})
+
+    own = pieces.filter("bucket >= 0").select("shard", *PIECE)
+    return stored(own.groupBy("bucket").applyInPandas(run, "shard bigint, bucket bigint, own bigint, sums binary"), "pitman_yor")
+
+
+def _joined(sums: pd.DataFrame, kinds: int) -> np.ndarray:
+    """A shard's sums of all buckets, one column for each of its contexts behind an empty one."""
+    rows = sums.sort_values("bucket")["sums"]
+    parts = [np.frombuffer(zlib.decompress(b), "<i8").reshape(kinds, -1) for b in rows]
+    return np.concatenate([np.zeros((kinds, 1), np.int64), *parts], axis=1)
+
+
+def _restaurants(chunks: DataFrame, shards: int) -> DataFrame:
+    """One row per shard (bucket -1): the dishes that have several customers, and numbers of those
+    that don't; and its pieces, of the customers and the least tables of contexts."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        orders = Orders.gathered(rows["orders"].tolist())
+        size = len(orders.contexts) + 1
         total = np.bincount(orders.owner, orders.count, len(orders.word)).astype(np.int64)
         several = total > 1  # words with one customer in all have one table everywhere
-        single = hot & (orders.count == 1)
-        alone = np.bincount(orders.owner, orders.count * ~hot + single, len(orders.word)).astype(np.int64)
-        dish = hot & (orders.count > 1)
+        single, dish = orders.count == 1, orders.count > 1
+        alone = np.bincount(orders.owner, single, len(orders.word)).astype(np.int64)
         new = np.cumsum(several) - 1
-        once = alone + np.bincount(orders.owner, dish, len(orders.word)).astype(np.int64)
+        once = np.bincount(orders.owner, orders.count > 0, len(orders.word)).astype(np.int64)
         stats = [
-            int(total.sum()), int((total > 0).sum()), int((total == 1).sum()),
-            int(single.sum()), int((hot & (orders.count == 2)).sum()), int((once == 1).sum()), int((once == 2).sum()),
+            int(total.sum()), int((total > 0).sum()), int((total == 1).sum()), int(single.sum()), int(dish.sum()),
+            int((orders.count == 2).sum()), int((once == 1).sum()), int((once == 2).sum()),
         ]
-        return pd.DataFrame({
-            "shard": [key[0]], "stats": [stats],
-            "customers": [np.bincount(orders.context, orders.count, width).astype(np.int64)],
-            "singles": [np.bincount(orders.context, single, width).astype(np.int64)],
-            "pairs": [np.bincount(orders.context, dish, width).astype(np.int64)],
-            "dishes": [np.stack([new[orders.owner[dish]], orders.context[dish], orders.count[dish]]).astype("<i8").tobytes()],
-            "alone": [alone[several].astype("<i8").tobytes()],
-        })
-
-    schema = (
-        "shard bigint, stats array<bigint>, customers array<bigint>, singles array<bigint>, pairs array<bigint>, "
-        "dishes binary, alone binary"
-    )
+        singles = np.bincount(orders.context, single, size).astype(np.int64)
+        customers = np.bincount(orders.context, orders.count, size).astype(np.int64)
+        least = singles + np.bincount(orders.context, dish, size).astype(np.int64)
+        dishes = np.stack([new[orders.owner[dish]], orders.context[dish], orders.count[dish]])
+        room = {
+            "shard": key[0], "bucket": -1, "stats": stats, "dishes": _compressed(dishes.astype("<i8")),
+            "alone": _compressed(alone[several].astype("<i8")), "contexts": orders.contexts.astype("<u8").tobytes(),
+            "counts": _compressed(singles.astype("<i8")),
+        }
+        pieces = _pieces(orders.contexts, np.stack([customers, least])[:, 1:], shards)
+        empty = {"shard": key[0], "stats": None, "dishes": None, "alone": None}
+        return pd.DataFrame([room, *(empty | dict(zip(PIECE, p, strict=True)) for p in pieces)])
+
+    schema = "shard bigint, bucket bigint, stats array<bigint>, dishes binary, alone binary, contexts binary, counts binary"
     orders = chunks.filter("shard >= 0").select("shard", "orders")
     return stored(orders.groupBy("shard").applyInPandas(run, schema), "pitman_yor")
 
@@ -325,12 +361,32 @@ def _summed(df: DataFrame, column: str, width: int) -> np.ndarray:
     return found
 
 
+class Counts:
+    """Sums of all contexts, in the order of their hashes, for a look at the model: read when asked for.
+
+    Tasks get those of their own contexts instead.
+    """
+
+    def __init__(self, rooms: DataFrame, sums: DataFrame, kinds: int, kind: int) -> None:
+        self.rooms, self.sums, self.kinds, self.kind = rooms, sums, kinds, kind
+        self.known: np.ndarray | None = None
+
+    def __getitem__(self, context: np.ndarray) -> np.ndarray:
+        if self.known is None:
+            found, sums = {}, self.sums.toPandas()
+            for r in self.rooms.filter("bucket = -1").select("shard", "contexts").collect():
+                own = _joined(sums[sums["shard"] == r["shard"]], self.kinds)[self.kind, 1:]
+                found |= dict(zip(np.frombuffer(r["contexts"], "<u8").tolist(), own.tolist(), strict=True))
+            self.known = np.array([0, *(found[c] for c in sorted(found))])
+        return self.known[context]
+
+
 @dataclass
 class Model:
-    """Numbers that all tasks share: of the size of the contexts, whatever the input."""
+    """Numbers that all tasks share, and counts of contexts: those of a shard in its task."""
 
-    customers: np.ndarray
-    tables: np.ndarray  # of each restaurant
+    customers: np.ndarray | Counts | None
+    tables: np.ndarray | Counts | None  # of each restaurant
     root_customers: int
     root_tables: int
     vocabulary: int
@@ -338,6 +394,9 @@ class Model:
     discount: float
     root_discount: float
 
+    def of_shard(self, customers: np.ndarray | None, tables: np.ndarray | None) -> Model:
+        return replace(self, customers=customers, tables=tables)
+
     def parent(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
         """Probability of words by their customers and tables in the parent restaurant."""
         d = self.root_discount
@@ -351,90 +410,106 @@ class Model:
 
 
 def _dishes(row: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    owner, context, count = np.frombuffer(row["dishes"], "<i8").reshape(3, -1)
-    return owner, context, count, np.frombuffer(row["alone"], "<i8")
-
-
-def _sweep(rooms: DataFrame, model: Model, number: int, shards: int) -> DataFrame:
-    """Rooms after one more Gibbs sweep, with their tables: child seats, then the parent's."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            out = []
-            for _, row in rows.iterrows():
-                rng = np.random.default_rng([int(row["shard"]), number])
-                owner, context, count, alone = _dishes(row)
-                first = row["seats"] is None
-                fresh_root = np.full(len(alone), (STRENGTH + model.root_discount * model.root_tables) / (model.vocabulary + 1))
-                if first:  # at first every dish has one table, in the parent too
-                    none = np.zeros(0, np.int64)
-                    seats = Seats(none, np.zeros(len(count), np.int64), rng)
-                    root = Seats(none, np.zeros(len(alone), np.int64), rng)
-                    guests = alone + np.bincount(owner, minlength=len(alone)).astype(np.int64)
-                    parent = model.parent(guests, np.minimum(guests, 1))
-                else:
-                    seats, root = Seats.load(row["seats"], rng), Seats.load(row["root"], rng)
-                    guests = alone + np.bincount(owner, seats.tables, len(alone)).astype(np.int64)
-                    parent = model.parent(guests, root.tables)
-                fresh = (STRENGTH + model.discount * model.tables[context]) * parent[owner]
-                if first:
-                    seats.seat(count, fresh, model.discount)
-                everyone = np.arange(len(count))
-                for _ in range(MOVES):
-                    seats.remove(everyone)
-                    seats.add(everyone, fresh, model.discount)
-                # Each table of a child is a customer of the parent: those that came or went, then moves.
-                wanted = alone + np.bincount(owner, seats.tables, len(alone)).astype(np.int64)
-                if first:
-                    root.seat(wanted, fresh_root, model.root_discount)
-                else:
-                    root.follow(guests, wanted, fresh_root, model.root_discount)
-                guests = wanted
-                movable = np.flatnonzero(guests > 1)
-                for _ in range(MOVES):
-                    root.remove(movable)
-                    root.add(movable, fresh_root[movable], model.root_discount)
-                tables = np.bincount(context, seats.tables, len(model.tables)).astype(np.int64)
-                out.append(
-                    (row["shard"], row["dishes"], row["alone"], seats.dump(), root.dump(), tables, int(guests.sum()), int(root.tables.sum()))
-                )
-            yield pd.DataFrame(out, columns=["shard", "dishes", "alone", "seats", "root", "tables", "root_customers", "root_tables"])
+    owner, context, count = np.frombuffer(zlib.decompress(row["dishes"]), "<i8").reshape(3, -1)
+    return owner, context, count, np.frombuffer(zlib.decompress(row["alone"]), "<i8")
+
+
+def _sweep(rooms: DataFrame, before: DataFrame | None, sums: DataFrame, kinds: int, model: Model, number: int, shards: int) -> DataFrame:
+    """One row per shard (bucket -1): its seats after one more Gibbs sweep, child seats, then the
+    parent's; and its pieces, of the tables of contexts. ``sums`` are those after the sweep before."""
+    plain = model.of_shard(None, None)
 
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        model = plain
+        room = rows[rows["part"] == 0].iloc[0]
+        state = rows[rows["part"] == 1]
+        tables = _joined(rows[rows["part"] == 2], kinds)[-1]
+        rng = np.random.default_rng([int(key[0]), number])
+        owner, context, count, alone = _dishes(room)
+        first = not len(state)
+        fresh_root = np.full(len(alone), (STRENGTH + model.root_discount * model.root_tables) / (model.vocabulary + 1))
+        if first:  # at first every dish has one table, in the parent too
+            none = np.zeros(0, np.int64)
+            seats = Seats(none, np.zeros(len(count), np.int64), rng)
+            root = Seats(none, np.zeros(len(alone), np.int64), rng)
+            guests = alone + np.bincount(owner, minlength=len(alone)).astype(np.int64)
+            parent = model.parent(guests, np.minimum(guests, 1))
+        else:
+            seats, root = Seats.load(state["seats"].iloc[0], rng), Seats.load(state["root"].iloc[0], rng)
+            guests = alone + np.bincount(owner, seats.tables, len(alone)).astype(np.int64)
+            parent = model.parent(guests, root.tables)
+        fresh = (STRENGTH + model.discount * tables[context]) * parent[owner]
+        if first:
+            seats.seat(count, fresh, model.discount)
+        everyone = np.arange(len(count))
+        for _ in range(MOVES):
+            seats.remove(everyone)
+            seats.add(everyone, fresh, model.discount)
+        # Each table of a child is a customer of the parent: those that came or went, then moves.
+        wanted = alone + np.bincount(owner, seats.tables, len(alone)).astype(np.int64)
+        if first:
+            root.seat(wanted, fresh_root, model.root_discount)
+        else:
+            root.follow(guests, wanted, fresh_root, model.root_discount)
+        guests = wanted
+        movable = np.flatnonzero(guests > 1)
+        for _ in range(MOVES):
+            root.remove(movable)
+            root.add(movable, fresh_root[movable], model.root_discount)
+        contexts, singles = np.frombuffer(room["contexts"], "<u8"), np.frombuffer(zlib.decompress(room["counts"]), "<i8")
+        tables = singles + np.bincount(context, seats.tables, len(singles)).astype(np.int64)
+        done = (key[0], -1, seats.dump(), root.dump(), int(guests.sum()), int(root.tables.sum()), None, None)
+        pieces = [(key[0], b, None, None, 0, 0, c, n) for b, c, n in _pieces(contexts, tables[None, 1:], shards)]
+        return pd.DataFrame([done, *pieces], columns=["shard", "bucket", "seats", "root", "root_customers", "root_tables", "contexts", "counts"])
+
+    parts = rooms.filter("bucket = -1").select("shard", F.lit(0).alias("part"), "dishes", "alone", "contexts", "counts")
+    if before is not None:
+        parts = parts.unionByName(before.select("shard", F.lit(1).alias("part"), "seats", "root"), allowMissingColumns=True)
+    else:
+        parts = parts.withColumn("seats", F.lit(None).cast("binary")).withColumn("root", F.lit(None).cast("binary"))
+    parts = parts.unionByName(sums.select("shard", F.lit(2).alias("part"), "bucket", "sums"), allowMissingColumns=True)
     schema = (
-        "shard bigint, dishes binary, alone binary, seats binary, root binary, tables array<bigint>, "
-        "root_customers bigint, root_tables bigint"
+        "shard bigint, bucket bigint, seats binary, root binary, root_customers bigint, root_tables bigint, "
+        "contexts binary, counts binary"
     )
-    # Shards are small files or rows: deal them out, so that each is a task's whole work.
-    dealt = rooms.select("shard", "dishes", "alone", "seats", "root").repartition(shards, "shard")
-    return stored(dealt.mapInPandas(run, schema), "pitman_yor")
+    # Shards are few rows: deal them out, so that each is a task's whole work.
+    return stored(parts.repartition(shards, "shard").groupBy("shard").applyInPandas(run, schema), "pitman_yor")
+
 
+def _answers(chunks: DataFrame, first: DataFrame, samples: list[DataFrame], sums: list[DataFrame], models: list[Model]) -> DataFrame:
+    """(chunk, shard, answer): of each entry, log10 of the averaged probability and the word's count.
 
-def _answers(chunks: DataFrame, samples: list[DataFrame], models: list[Model], width: int) -> DataFrame:
-    """(chunk, shard, answer): of each entry, log10 of the averaged probability and the word's count."""
-    orders = chunks.filter("shard >= 0").select("shard", "chunk", "orders", F.lit(None).cast("binary").alias("seats"), F.lit(None).cast("binary").alias("root"))
+    ``first`` are the sums of customers, ``sums`` the tables of each sample.
+    """
+    rows = chunks.filter("shard >= 0").select("shard", "chunk", "orders")
+    empty = F.lit(None).cast("binary")
+    rows = rows.withColumns({"seats": empty, "root": empty, "bucket": F.lit(None).cast("bigint"), "sums": empty})
     for i, s in enumerate(samples):
-        orders = orders.unionByName(s.select("shard", F.lit(-1 - i).cast("long").alias("chunk"), F.lit(None).cast("binary").alias("orders"), "seats", "root"))
-    sent = chunks.sparkSession.sparkContext.broadcast(models)
+        rows = rows.unionByName(s.select("shard", F.lit(-1 - i).cast("long").alias("chunk"), "seats", "root"), allowMissingColumns=True)
+    for i, s in enumerate([*sums, first]):
+        number = F.lit(-1 - len(samples) - i).cast("long").alias("chunk")
+        rows = rows.unionByName(s.select("shard", number, "bucket", "sums"), allowMissingColumns=True)
+    orders = rows
+    sent = [m.of_shard(None, None) for m in models]
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rng = np.random.default_rng(0)
         asked = rows[rows["chunk"] >= 0]
-        orders = Orders.gathered(asked["orders"].tolist(), width)
-        hot = orders.context > 0
+        orders = Orders.gathered(asked["orders"].tolist())
         total = np.bincount(orders.owner, orders.count, len(orders.word)).astype(np.int64)
-        several, dish = total > 1, hot & (orders.count > 1)
-        single = hot & (orders.count == 1)
-        alone = np.bincount(orders.owner, orders.count * ~hot + single, len(orders.word))
+        several, dish, single = total > 1, orders.count > 1, orders.count == 1
+        customers = _joined(rows[rows["chunk"] == -1 - 2 * len(sent)], 2)[0]
         mean = np.zeros(len(orders.owner))
-        for i, model in enumerate(sent.value):
+        for i, model in enumerate(sent):
+            model = model.of_shard(customers, _joined(rows[rows["chunk"] == -1 - len(sent) - i], 1)[0])
             state = rows[rows["chunk"] == -1 - i].iloc[0]
             tables = single.astype(float)
             tables[dish] = Seats.load(state["seats"], rng).tables
-            guests = alone + np.bincount(orders.owner, tables * dish, len(orders.word))
+            guests = np.bincount(orders.owner, tables, len(orders.word))
             root = (total == 1).astype(float)
             root[several] = Seats.load(state["root"], rng).tables
             parent = model.parent(guests, root)[orders.owner]
-            mean += np.where(hot, model.child(orders.context, orders.count, tables, parent), parent) / len(sent.value)
+            mean += model.child(orders.context, orders.count, tables, parent) / len(sent)
         logs = np.log10(mean).astype("<f4")
         counts = total[orders.owner].astype("<i8")
         out = []
@@ -446,38 +521,43 @@ def _answers(chunks: DataFrame, samples: list[DataFrame], models: list[Model], w
     return orders.groupBy("shard").applyInPandas(run, "chunk bigint, shard bigint, logs binary, known binary")
 
 
-def fitted(docs: DataFrame) -> tuple[DataFrame, list[DataFrame], list[Model], int]:
-    """Chunks, sampled seatings, their models, and the contexts' number and one."""
-    contexts, tokens = contexts_of(docs)
-    width = len(contexts) + 1
-    shards = max(1, ceil(tokens / SHARD_TOKENS))
-    chunks = _chunks(docs, contexts, shards)
-    rooms = _restaurants(chunks, width)
-    tokens, vocabulary, hapaxes, ones, twos, root_ones, root_twos = _summed(rooms, "stats", 7).tolist()
-    customers, singles = _summed(rooms, "customers", width), _summed(rooms, "singles", width)
-    tables = singles + _summed(rooms, "pairs", width)
+def _fitted(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, list[DataFrame], list[DataFrame], list[Model]]:
+    """Chunks, rooms, their first sums, and sampled seatings with their sums and models."""
+    shards = max(1, ceil(training_tokens(docs) / SHARD_TOKENS))
+    chunks = _chunks(docs, shards)
+    rooms = _restaurants(chunks, shards)
+    first = _summed_pieces(rooms)
+    tokens, vocabulary, hapaxes, ones, pairs, twos, root_ones, root_twos = _summed(rooms, "stats", 8).tolist()
 
     def ney(n1: int, n2: int) -> float:
         return min(0.95, max(0.1, n1 / (n1 + 2 * n2))) if n1 else 0.5
 
-    # At first every dish has one table; tokens without a restaurant are the parent's own.
+    # At first every dish has one table.
+    customers = Counts(rooms, first, 2, 0)
     model = Model(
-        customers, tables, int(customers[0] + tables[1:].sum()), vocabulary, vocabulary, tokens,
+        customers, Counts(rooms, first, 2, 1), ones + pairs, vocabulary, vocabulary, tokens,
         ney(ones, twos), ney(root_ones, root_twos),
     )
-    state = rooms.withColumn("seats", F.lit(None).cast("binary")).withColumn("root", F.lit(None).cast("binary"))
-    samples, models = [], []
+    state, now, kinds, samples, sums, models = None, first, 2, [], [], []
     for number in range(BURN_IN + SAMPLES):
-        state = _sweep(state, model, number, shards)
-        sums = state.agg(F.sum("root_customers").alias("c"), F.sum("root_tables").alias("t")).first()
+        swept = _sweep(rooms, state, now, kinds, model, number, shards)
+        state, now, kinds = swept.filter("bucket = -1"), _summed_pieces(swept), 1
+        root = state.agg(F.sum("root_customers").alias("c"), F.sum("root_tables").alias("t")).first()
         model = Model(
-            customers, singles + _summed(state, "tables", width), (sums["c"] or 0) + hapaxes, (sums["t"] or 0) + hapaxes,
+            customers, Counts(rooms, now, 1, 0), (root["c"] or 0) + hapaxes, (root["t"] or 0) + hapaxes,
             vocabulary, tokens, model.discount, model.root_discount,
         )
         if number >= BURN_IN:
             samples.append(state)
+            sums.append(now)
             models.append(model)
-    return chunks, samples, models, width
+    return chunks, rooms, first, samples, sums, models
+
+
+def fitted(docs: DataFrame) -> tuple[DataFrame, list[DataFrame], list[Model], int]:
+    """Chunks, sampled seatings, their models, and the contexts' number and one."""
+    chunks, _, first, samples, _, models = _fitted(docs)
+    return chunks, samples, models, (first.agg(F.sum("own")).first()[0] or 0) + 1
 
 
 def score_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -489,9 +569,9 @@ def score_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     empty result; other columns are not read.
     """
     docs = df.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
-    chunks, samples, models, width = fitted(docs)
+    chunks, _, first, samples, sums, models = _fitted(docs)
     tokens, vocabulary = models[-1].tokens, models[-1].vocabulary
-    answers = _answers(chunks, samples, models, width)
+    answers = _answers(chunks, first, samples, sums, models)
     kept = chunks.filter("shard < 0").select("chunk", "places", "ids", "counts")
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

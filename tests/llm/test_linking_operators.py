@@ -247,6 +247,26 @@ def test_probabilities_sum_to_one(spark, monkeypatch):
         assert p + model.child(np.array([c]), np.zeros(1), np.zeros(1), np.array([unknown]))[0] == pytest.approx(1)
 
 
+def test_every_word_has_a_restaurant(spark, monkeypatch):
+    """Pairs of words that hold a small share of the tokens count, in any layout and number of shards."""
+    r = random.Random(5)
+    follow = {i: r.randrange(6000) for i in range(6000)}
+    rows = [(i, " ".join(f"a{j} b{follow[j]}" for j in r.sample(range(6000), 300))) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    gains = []
+    for parts, tokens in ((1, 4_000_000), (7, 4_000_000), (3, 9_000)):
+        monkeypatch.setattr(pitman_yor, "SHARD_TOKENS", tokens)
+        found = pitman_yor.score_documents(df.repartition(parts)).collect()
+        held = [x for x in found if x.held_out]
+        gains.append(sum(x.score - x.base_score for x in held) / sum(x.n_tokens for x in held))
+    assert min(gains) > 0.5 and max(gains) - min(gains) < 0.05
+    docs = df.select(df.doc_id.alias("_key"), df.text.alias("_text"))
+    words = {w for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1 for w in t.split()}
+    _, _, models, width = pitman_yor.fitted(docs)
+    customers = models[-1].customers[np.arange(1, width)]
+    assert (customers > 0).sum() == len(words) + 1 and customers.sum() == models[-1].tokens
+
+
 def test_seats_stay_whole():
     rng = np.random.default_rng(1)
     guests = rng.integers(1, 3000, 200)
