@@ -4,8 +4,9 @@ Every word seen in training, and the start of a text, has a restaurant for what
 the restaurant of single words as parent, whose own parent is uniform over the vocabulary and one
 unknown word. Words are dealt over shards, so a word's customers in every restaurant meet in one
 task; the customers and tables of the restaurants are added up over shards by ranges of context
-hashes, and each shard gets back the sums of its own contexts. A Gibbs sweep takes customers from
-their tables and seats them anew; predictive probabilities are averaged over several sweeps.
+hashes, and each shard gets back the sums of its own contexts. A Gibbs sweep seats all customers of
+every dish anew, which a Metropolis step accepts or not; predictive probabilities are averaged over
+several sweeps.
 """
 
 from __future__ import annotations
@@ -23,14 +24,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import bounded_batches, stored, text_slices
+from rankloom.llm.common import bounded_batches, ranges, stored, text_slices
 
 #: Not read any more, since every word has a restaurant; tests still set it.
 SHARE = 1e-4
 #: Tokens of a shard; text bytes of a chunk of documents.
 SHARD_TOKENS = 4_000_000
 CHUNK_BYTES = 32 << 20
-#: Sweeps before and while probabilities are averaged, and customers reseated per dish and sweep.
+#: Sweeps before and while probabilities are averaged, and times that all customers of a dish are reseated in each.
 BURN_IN, SAMPLES, MOVES = 1, 3, 2
 #: Strength of both levels; their discounts are estimated from how many dishes were ordered once and twice.
 STRENGTH = 1.0
@@ -176,7 +177,10 @@ class Orders:
 
 
 class Seats:
-    """Tables of many dishes: sizes of all tables, dish by dish, and the number of each dish's."""
+    """Tables of many dishes: sizes of all tables, dish by dish, and the number of each dish's.
+
+    A model needs the numbers only; its sweeps keep, in place of sizes, which customers opened tables.
+    """
 
     def __init__(self, sizes: np.ndarray, tables: np.ndarray, rng: np.random.Generator) -> None:
         self.sizes, self.tables, self.rng = sizes.astype(np.int64), tables.astype(np.int64), rng
@@ -241,35 +245,6 @@ class Seats:
             self.party(rows, party, fresh[rows], discount)
             done[rows] += party
 
-    def reseat(self, rows: np.ndarray, guests: np.ndarray, fresh: np.ndarray, discount: float) -> None:
-        """All customers of some dishes leave and as many as ``guests`` are seated."""
-        new = Seats(np.zeros(0, np.int64), np.zeros(len(rows), np.int64), self.rng)
-        new.seat(guests, fresh, discount)
-        owner = np.repeat(np.arange(len(self.tables)), self.tables)
-        stay = ~np.isin(owner, rows)
-        owner = np.r_[owner[stay], np.repeat(rows, new.tables)]
-        order = np.argsort(owner, kind="stable")
-        self.sizes = np.r_[self.sizes[stay], new.sizes][order]
-        self.tables[rows] = new.tables
-
-    def follow(self, guests: np.ndarray, wanted: np.ndarray, fresh: np.ndarray, discount: float) -> None:
-        """Customers come and go until every dish has as many as wanted.
-
-        Where many do, the dish is seated anew.
-        """
-        many = np.flatnonzero(np.abs(wanted - guests) > ONE_BY_ONE)
-        if len(many):
-            self.reseat(many, wanted[many], fresh[many], discount)
-            guests = guests.copy()
-            guests[many] = wanted[many]
-        while (more := np.flatnonzero(wanted != guests)).size:
-            gone, came = more[wanted[more] < guests[more]], more[wanted[more] > guests[more]]
-            if len(gone):
-                self.remove(gone)
-            if len(came):
-                self.add(came, fresh[came], discount)
-            guests = guests + np.sign(wanted - guests)
-
     def dump(self) -> bytes:
         head = np.array([len(self.tables), len(self.sizes)], "<i8").tobytes()
         return _compressed(np.frombuffer(head + self.tables.astype("<i4").tobytes() + self.sizes.astype("<i8").tobytes(), np.uint8))
@@ -281,6 +256,69 @@ class Seats:
         return cls(np.frombuffer(blob, "<i8", tables, 16 + 4 * dishes), np.frombuffer(blob, "<i4", dishes, 16), rng)
 
 
+def opened(guests: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> Seats:
+    """All customers of every dish seated one after the other, and which of them opened tables.
+
+    Customer k opens a table with probability fresh / (fresh + k - discount * tables), which falls
+    until one does. So the next to do so is drawn by its probability now, and kept by the ratio
+    of that at its turn; a step goes on to twice the customers at most, so few are not kept.
+    """
+    seated, tables = np.minimum(guests, 1), np.minimum(guests, 1)
+    dishes, places = [np.flatnonzero(guests)], [np.zeros(int((guests > 0).sum()), np.int64)]
+    rows = np.flatnonzero(guests > 1)
+    while len(rows):
+        now = seated[rows]
+        weight = fresh[rows] + now - discount * tables[rows]
+        with np.errstate(divide="ignore"):
+            jump = np.floor(np.log1p(-rng.random(len(rows))) / np.log1p(-fresh[rows] / weight))
+        stop = np.minimum(guests[rows], 2 * now)
+        at = np.minimum(now + jump, stop).astype(np.int64)
+        new = (at < stop) & (rng.random(len(rows)) * (weight + at - now) < weight)
+        dishes.append(rows[new])
+        places.append(at[new])
+        tables[rows[new]] += 1
+        seated[rows] = np.minimum(at + 1, stop)
+        rows = rows[seated[rows] < guests[rows]]
+    dish, place = np.concatenate(dishes), np.concatenate(places)
+    return Seats(place[np.lexsort((place, dish))], tables, rng)
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    y = x + 8
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) - np.log(
+        x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5) * (x + 6) * (x + 7)
+    )
+
+
+def log_weight(seats: Seats, guests: np.ndarray, fresh: np.ndarray, discount: float) -> np.ndarray:
+    """Log of what ``opened`` divides by at each dish: seatings count by it against the way they are drawn."""
+    owner = np.repeat(np.arange(len(guests)), seats.tables)
+    number = ranges(seats.tables) + 1
+    last = number == seats.tables[owner]
+    until = np.where(last, guests[owner] - 1, np.r_[seats.sizes[1:], 0][: len(owner)])
+    base = fresh[owner] - discount * number + 1
+    return np.bincount(owner, _log_gamma(base + until) - _log_gamma(base + seats.sizes), len(guests))
+
+
+def reseated(seats: Seats | None, guests: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> Seats:
+    """MOVES whole reseatings of every dish, each accepted by its weight against the seating before.
+
+    The seating of each dish with p(tables) in proportion to the discounted Stirling number times
+    fresh ** tables is what this leaves as it is. Without a seating one is drawn first.
+    """
+    seats = seats or opened(guests, fresh, discount, rng)
+    for _ in range(MOVES):
+        new = opened(guests, fresh, discount, rng)
+        gain = log_weight(new, guests, fresh, discount) - log_weight(seats, guests, fresh, discount)
+        keep = np.log1p(-rng.random(len(guests))) >= gain
+        owner = np.r_[np.repeat(np.arange(len(guests)), seats.tables), np.repeat(np.arange(len(guests)), new.tables)]
+        wanted = np.r_[keep[owner[: len(seats.sizes)]], ~keep[owner[len(seats.sizes) :]]]
+        place = np.r_[seats.sizes, new.sizes][wanted]
+        order = np.argsort(owner[wanted], kind="stable")
+        seats = Seats(place[order], np.where(keep, seats.tables, new.tables), rng)
+    return seats
+
+
 #: Columns of a shard's counts of contexts, cut by ranges of context hashes.
 PIECE = ["bucket", "contexts", "counts"]
 
@@ -429,9 +467,7 @@ def _sweep(rooms: DataFrame, before: DataFrame | None, sums: DataFrame, kinds: i
         first = not len(state)
         fresh_root = np.full(len(alone), (STRENGTH + model.root_discount * model.root_tables) / (model.vocabulary + 1))
         if first:  # at first every dish has one table, in the parent too
-            none = np.zeros(0, np.int64)
-            seats = Seats(none, np.zeros(len(count), np.int64), rng)
-            root = Seats(none, np.zeros(len(alone), np.int64), rng)
+            seats = None
             guests = alone + np.bincount(owner, minlength=len(alone)).astype(np.int64)
             parent = model.parent(guests, np.minimum(guests, 1))
         else:
@@ -439,23 +475,10 @@ def _sweep(rooms: DataFrame, before: DataFrame | None, sums: DataFrame, kinds: i
             guests = alone + np.bincount(owner, seats.tables, len(alone)).astype(np.int64)
             parent = model.parent(guests, root.tables)
         fresh = (STRENGTH + model.discount * tables[context]) * parent[owner]
-        if first:
-            seats.seat(count, fresh, model.discount)
-        everyone = np.arange(len(count))
-        for _ in range(MOVES):
-            seats.remove(everyone)
-            seats.add(everyone, fresh, model.discount)
-        # Each table of a child is a customer of the parent: those that came or went, then moves.
-        wanted = alone + np.bincount(owner, seats.tables, len(alone)).astype(np.int64)
-        if first:
-            root.seat(wanted, fresh_root, model.root_discount)
-        else:
-            root.follow(guests, wanted, fresh_root, model.root_discount)
-        guests = wanted
-        movable = np.flatnonzero(guests > 1)
-        for _ in range(MOVES):
-            root.remove(movable)
-            root.add(movable, fresh_root[movable], model.root_discount)
+        seats = reseated(seats, count, fresh, model.discount, rng)
+        # Each table of a child is a customer of the parent, whose numbers have changed: all sit down anew.
+        guests = alone + np.bincount(owner, seats.tables, len(alone)).astype(np.int64)
+        root = reseated(None, guests, fresh_root, model.root_discount, rng)
         contexts, singles = np.frombuffer(room["contexts"], "<u8"), np.frombuffer(zlib.decompress(room["counts"]), "<i8")
         tables = singles + np.bincount(context, seats.tables, len(singles)).astype(np.int64)
         done = (key[0], -1, seats.dump(), root.dump(), int(guests.sum()), int(root.tables.sum()), None, None)
@@ -515,7 +538,7 @@ def _answers(chunks: DataFrame, first: DataFrame, samples: list[DataFrame], sums
         out = []
         for chunk, blob in zip(asked["chunk"], asked["orders"], strict=True):
             at = orders.lookup(blob)
-            out.append((chunk, key[0], logs[at].tobytes(), counts[at].tobytes()))
+            out.append((chunk, key[0], logs[at].tobytes(), _compressed(counts[at])))
         return pd.DataFrame(out, columns=["chunk", "shard", "logs", "known"])
 
     return orders.groupBy("shard").applyInPandas(run, "chunk bigint, shard bigint, logs binary, known binary")
@@ -577,7 +600,7 @@ def score_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         right = right.sort_values("shard")
         logs = np.concatenate([np.frombuffer(b, "<f4") for b in right["logs"]]).astype(float)
-        known = np.concatenate([np.frombuffer(b, "<i8") for b in right["known"]])
+        known = np.concatenate([np.frombuffer(zlib.decompress(b), "<i8") for b in right["known"]])
         base = np.log10((known + 0.5) / (tokens + 0.5 * (vocabulary + 1)))
         out = []
         for _, row in left.iterrows():

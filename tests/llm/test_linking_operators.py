@@ -267,6 +267,29 @@ def test_every_word_has_a_restaurant(spark, monkeypatch):
     assert (customers > 0).sum() == len(words) + 1 and customers.sum() == models[-1].tokens
 
 
+def test_sweeps_pass_over_all_customers():
+    """Numbers of tables follow their exact distribution, and those of large dishes change with every sweep."""
+    rng, d, f = np.random.default_rng(3), 0.7, 0.9
+    for c in (2, 3, 6, 12):
+        stirling = np.zeros((c + 1, c + 2))
+        stirling[0, 0] = 1
+        for n in range(c):
+            for k in range(1, n + 2):
+                stirling[n + 1, k] = stirling[n, k - 1] + max(n - d * k, 0) * stirling[n, k]
+        exact = stirling[c, : c + 1] * f ** np.arange(c + 1)
+        guests, fresh = np.full(40000, c), np.full(40000, f)
+        seats = None
+        for _ in range(12):
+            seats = pitman_yor.reseated(seats, guests, fresh, d, rng)
+        got = np.bincount(seats.tables, minlength=c + 1) / 40000
+        assert np.abs(got - exact / exact.sum()).max() < 0.012
+    guests, fresh = np.full(300, 200_000), np.full(300, 2.0)
+    one = pitman_yor.reseated(None, guests, fresh, d, rng)
+    two = pitman_yor.reseated(one, guests, fresh, d, rng)
+    changed = (one.tables != two.tables).mean()
+    assert changed > 0.25, changed  # two customers of 200,000 would change hardly any
+
+
 def test_seats_stay_whole():
     rng = np.random.default_rng(1)
     guests = rng.integers(1, 3000, 200)
