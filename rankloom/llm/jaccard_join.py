@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,17 +139,18 @@ def digest(shingles: np.ndarray, seed: int = 0) -> int:
     return int(mixed(shingles + np.uint64(seed)).sum(dtype=np.uint64).view(np.int64))
 
 
-def _shared_cells(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
-    """(cell, d) of all cells with two different sets or more, each set by its digest.
+def _packed_cells(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
+    """(bucket, packed): cells and digests of the sets of slices, as one array for each bucket of cells.
 
-    Tasks pack cells and digests into one array for each bucket of cells, so a row travels for
-    thousands of cells. A cell that a task sees several times sends one entry to its bucket; all its
-    entries are known to be wanted and pass by the buckets, so a common cell fills none.
+    So a row travels for thousands of cells. A cell that a slice sees several times sends one entry to
+    its bucket; all its entries are known to be wanted and pass by the buckets, so a common cell
+    fills none. They go to numbers from ``buckets`` on, dealt by task and slice.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker = Cells(percent)
-        flushes = 0
+        task = TaskContext.get()
+        base, flushes = (task.partitionId() if task else 0) << 32, 0
         for _, texts in text_slices(batches, "_text"):
             cells, sets = [], []
             for text in texts:
@@ -162,7 +164,8 @@ def _shared_cells(docs: DataFrame, words: int, percent: int, buckets: int) -> Da
             cell, d = cell[new], d[new]
             first = np.r_[True, cell[1:] != cell[:-1]][: len(cell)]
             several = ~(first & np.r_[first[1:], True][: len(cell)])
-            out = [(buckets + flushes % buckets, cell[several], d[several])]
+            spread = int(mixed(np.array([base + flushes], np.uint64))[0] % np.uint64(buckets))
+            out = [(buckets + spread, cell[several], d[several])]
             flushes += 1
             cell, d = cell[first], d[first]
             at = ((mixed(cell.view(np.uint64)) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
@@ -180,6 +183,12 @@ def _shared_cells(docs: DataFrame, words: int, percent: int, buckets: int) -> Da
                 names=["bucket", "packed"],
             )
 
+    return bounded_batches(docs.select("_text")).mapInArrow(pack, "bucket bigint, packed binary")
+
+
+def _shared_cells(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
+    """(cell, d) of all cells with two different sets or more, each set by its digest."""
+
     def match(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         parts = [np.frombuffer(x, np.int64).reshape(2, -1) for x in rows["packed"]]
         cell, d = np.concatenate(parts, axis=1)
@@ -193,8 +202,7 @@ def _shared_cells(docs: DataFrame, words: int, percent: int, buckets: int) -> Da
             cell, d = cell[several], d[several]
         return pd.DataFrame({"cell": cell, "d": d})
 
-    packed = bounded_batches(docs.select("_text")).mapInArrow(pack, "bucket bigint, packed binary")
-    return packed.groupBy("bucket").applyInPandas(match, "cell bigint, d bigint").distinct()
+    return _packed_cells(docs, words, percent, buckets).groupBy("bucket").applyInPandas(match, "cell bigint, d bigint").distinct()
 
 
 def durable(df: DataFrame) -> DataFrame:

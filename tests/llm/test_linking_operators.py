@@ -95,6 +95,16 @@ def test_jaccard_blocks(spark, monkeypatch):
     assert jaccard_join.jaccard_components(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_common_cells_of_small_partitions_are_spread(spark):
+    """Entries that pass by the buckets don't meet in one group where every task has one slice."""
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(f"{text} {i}",) for i in range(640)], "_text string").repartition(64)
+    packed = jaccard_join._packed_cells(docs, 5, 80, 16).filter("bucket >= 16").collect()
+    groups = Counter(x.bucket for x in packed)
+    assert groups.total() == 64 and len(groups) > 8 and max(groups.values()) <= 16
+    assert jaccard_join._packed_cells(docs, 5, 80, 16).filter("bucket >= 32").count() == 0
+
+
 def test_cells_never_part_similar_sets():
     r = np.random.default_rng(3)
     for percent in (60, 80, 85, 95):
