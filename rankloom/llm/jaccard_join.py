@@ -66,8 +66,8 @@ class Cells:
 
     Sets of a and b shingles with 100 * overlap >= percent * union differ in at most
     (a + b) * (100 - percent) / (100 + percent) shingles. Band i holds the sizes from its edge to
-    the next one; a set has the cells of its own band, and of the band below if the smallest
-    partner lies there. A band has more groups than differences, so one group that isn't empty
+    the next one; a set has the cells of its own band, and of every band below down to that of the
+    smallest partner. A band has more groups than differences, so one group that isn't empty
     is equal, unless a set has too few groups that aren't; such sets meet in a cell of their own.
     """
 
@@ -95,8 +95,10 @@ class Cells:
         sums = np.r_[np.uint64(0), np.cumsum(mixed(shingles))]
         own = self.band(size)
         bands = [(own, self.differences(size, size * 100 / self.percent))]
-        if own and size * self.percent <= 100 * (self.edges[own] - 1):
-            bands.append((own - 1, self.differences(size, self.edges[own] - 1)))
+        below = own
+        while below and size * self.percent <= 100 * (self.edges[below] - 1):
+            below -= 1
+            bands.append((below, self.differences(size, self.edges[below + 1] - 1)))
         found = []
         for band, most in bands:
             count = self.groups(band)

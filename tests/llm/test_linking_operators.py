@@ -119,6 +119,24 @@ def test_cells_never_part_similar_sets():
                 assert set(cells.keys(x).tolist()) & set(cells.keys(y).tolist())
 
 
+@pytest.mark.parametrize("percent", [50, 55, 60, 66, 67, 80])
+def test_subsets_at_the_limit_share_cells(percent):
+    """The smallest subset that links, whatever bands the sizes lie in."""
+    r = np.random.default_rng(percent)
+    for size in [*range(1, 60), *range(60, 900, 7), 500]:
+        large = np.unique(r.integers(0, 1 << 63, size).astype(np.uint64) << np.uint64(1))
+        small = np.sort(r.choice(large, -(-size * percent // 100), replace=False))
+        cells = jaccard_join.Cells(percent)
+        assert np.intersect1d(cells.keys(large), cells.keys(small)).size, (size, len(small))
+
+
+def test_small_subset_is_linked(spark):
+    rows = [(1, " ".join(f"x{i}" for i in range(300))), (2, " ".join(f"x{i}" for i in range(500)))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = jaccard_join.jaccard_components(df, 1, 60).collect()
+    assert {x.doc_id: x.component_id for x in found} == {1: 1, 2: 1}
+
+
 def vectors(r, n, dims=16):
     rows, label = [], 0
     while len(rows) < n:
