@@ -199,3 +199,57 @@ def op10_pitman_yor_scores(spark: SparkSession, folder: str) -> DataFrame:
     from rankloom.llm.pitman_yor import score_documents
 
     return score_documents(table(spark, folder, "documents"))
+
+
+#: crc32 of a string s in DuckDB, with the table of byte steps in ``crc_table``.
+CRC_TABLE = """crc_bits AS (
+  SELECT i, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_bits WHERE k < 8
+), crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc_bits WHERE k = 8
+)"""
+CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(range(1, 2 * strlen(s), 2),
+         lambda i: CAST('0x' || substr(hex(encode(s)), i, 2) AS BIGINT))),
+       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    from rankloom.llm.importance import resample
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    drawn = resample(docs, table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLES["op11_importance_resampling"] = rf"""
+WITH RECURSIVE {CRC_TABLE}, cut AS (
+  SELECT src, row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT 0 AS src, doc_id, text FROM documents UNION ALL SELECT 1, NULL, text FROM benchmark)
+), features AS (
+  SELECT src, r, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))])) AS s FROM cut
+), crcs AS (SELECT s, {CRC} % 10000 AS b FROM (SELECT DISTINCT s FROM features), crc_table
+), counted AS (SELECT src, r, b, count(*) AS n FROM features JOIN crcs USING (s) GROUP BY ALL
+), sizes AS (
+  SELECT b, CAST(coalesce(sum(n) FILTER (src = 0), 0) AS DOUBLE) AS s, CAST(coalesce(sum(n) FILTER (src = 1), 0) AS DOUBLE) AS t
+  FROM counted GROUP BY b
+), totals AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM sizes
+), gains AS (
+  SELECT b, CAST(floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000)))) AS BIGINT) AS gain FROM sizes, totals
+), weighed AS (
+  SELECT r, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS gained
+  FROM counted JOIN gains USING (b) WHERE src = 0 GROUP BY r
+), scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+         coalesce((gained - ((gained % n_features) + n_features) % n_features) // n_features, 0) AS weight,
+         CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM cut LEFT JOIN weighed USING (r) WHERE src = 0
+), noised AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM scored
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM noised WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank
+FROM noised LEFT JOIN ranked USING (doc_id)
+"""
