@@ -253,3 +253,87 @@ WITH RECURSIVE {CRC_TABLE}, cut AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank
 FROM noised LEFT JOIN ranked USING (doc_id)
 """
+
+
+@query
+def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    from rankloom.llm.turn_repair import repair_digests
+
+    return repair_digests(table(spark, folder, "conversations"))
+
+
+ORACLES["op12_turn_repair"] = rf"""
+WITH RECURSIVE {CRC_TABLE}, source AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations
+), coded AS (SELECT *, {CRC} % 20 AS code FROM source, crc_table
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+         CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM coded JOIN (VALUES (0), (1)) copies(i) ON code <> 0 AND (i = 0 OR code = 3)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM damaged
+), told AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) AS again FROM placed
+), faulty AS (
+  SELECT conv_id, n, turn, role, text, substr(role, 1, 1) AS ini,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY n) || substr(role, 1, 1) AS pair,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM told
+), counted AS (
+  SELECT conv_id, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (n > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id
+), costed AS (
+  SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000 WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more
+  FROM faulty
+), walk AS (
+  SELECT conv_id, 0 AS n, {{'c': 0, 'a': ''}} AS p, {{'c': 1000000, 'a': ''}} AS s, {{'c': 1000000, 'a': ''}} AS u,
+         {{'c': 1000000, 'a': ''}} AS x FROM counted
+  UNION ALL
+  SELECT w.conv_id, w.n + 1, {{'c': p.c + 2, 'a': p.a || 'D'}},
+         least({{'c': s.c + 2, 'a': s.a || 'D'}},
+               {{'c': p.c + more + CASE WHEN ini = 's' THEN 0 ELSE 1000000 END, 'a': p.a || 'K'}}),
+         least({{'c': u.c + 2, 'a': u.a || 'D'}}, {{'c': p.c + more + wrong_u, 'a': p.a || mark_u}},
+               {{'c': s.c + more + wrong_u, 'a': s.a || mark_u}}, {{'c': x.c + more + wrong_u, 'a': x.a || mark_u}}),
+         least({{'c': x.c + 2, 'a': x.a || 'D'}}, {{'c': u.c + more + wrong_x, 'a': u.a || mark_x}})
+  FROM (
+    SELECT conv_id, n, p, s, u, least(x, {{'c': u.c + 5, 'a': u.a || 'I'}}) AS x FROM (
+      SELECT conv_id, n, p, s, x, least(u, {{'c': p.c + 5, 'a': p.a || 'I'}}, {{'c': s.c + 5, 'a': s.a || 'I'}},
+                                        {{'c': x.c + 5, 'a': x.a || 'I'}}) AS u FROM walk
+    )
+  ) w JOIN (
+    SELECT conv_id, n, ini, more, CASE WHEN ini = 'u' THEN 0 ELSE 1 END AS wrong_u,
+           CASE WHEN ini = 'u' THEN 'K' ELSE 'R' END AS mark_u, CASE WHEN ini = 'a' THEN 0 ELSE 1 END AS wrong_x,
+           CASE WHEN ini = 'a' THEN 'K' ELSE 'R' END AS mark_x
+    FROM costed
+  ) f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n + 1
+), ended AS (
+  SELECT w.conv_id, p, x, s, least(u, {{'c': p.c + 5, 'a': p.a || 'I'}}, {{'c': s.c + 5, 'a': s.a || 'I'}}) AS u
+  FROM walk w JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.rows = w.n
+), edits AS (
+  SELECT conv_id, best.c AS cost, best.a AS audit
+  FROM (SELECT conv_id, least(p, x, {{'c': u.c + 5, 'a': u.a || 'I'}}) AS best FROM ended)
+), marks AS (
+  SELECT conv_id, unnest(string_split(audit, '')) AS mark, unnest(range(1, length(audit) + 1)) AS j FROM edits
+), spots AS (
+  SELECT conv_id, mark, j, sum(CASE WHEN mark = 'I' THEN 0 ELSE 1 END) OVER w AS n,
+         sum(CASE WHEN mark = 'D' THEN 0 ELSE 1 END) OVER w AS place,
+         sum(CASE WHEN mark = 'D' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id) AS places
+  FROM marks WINDOW w AS (PARTITION BY conv_id ORDER BY j)
+), repaired AS (
+  SELECT s.conv_id, sha256(string_agg(
+           CASE WHEN mark = 'K' THEN f.role WHEN (place + places) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+           CASE WHEN mark = 'I' THEN '' ELSE f.text END, chr(10) ORDER BY j)) AS hash
+  FROM spots s LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.n = s.n
+  WHERE mark <> 'D' GROUP BY s.conv_id
+)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, coalesce(hash, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN edits e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
