@@ -337,3 +337,12 @@ LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN edits e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
 """
+
+
+@query
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    from rankloom.llm.token_files import file_digests
+    from rankloom.session import new_folder
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return file_digests(docs, vocabulary("word_bpe_49k.json"), new_folder(spark, "token-files"))
