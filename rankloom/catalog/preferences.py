@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import checks, summary
-from ..operators.prefs import Preferences, pref_documents
+from ..operators import summary
+from ..operators.prefs import Preferences, pref_documents, preference_errors
 from ..plans.evaluate import evaluate_prefs
 from . import inputs
 from .evaluation import TOPICS_AND_ALL, Query, rounded
@@ -270,8 +270,8 @@ def pref_docids(spark, folder):
 
 
 @query("pref_pairs", with_ctes(pref_ctes("prefs")[:5], """
-SELECT a.qid, a.jg, a.jsg, a.rel_level::DOUBLE AS level, b.rel_level::DOUBLE AS below, count(*) AS pairs
-FROM p a JOIN p b ON a.qid = b.qid AND a.jg = b.jg AND a.jsg = b.jsg AND a.rel_level > b.rel_level
+SELECT a.qid, a.jg, a.jsg, a.rel_level::DOUBLE AS level, count(DISTINCT a.dr) AS docs, count(b.dr) AS pairs
+FROM p a LEFT JOIN p b ON a.qid = b.qid AND a.jg = b.jg AND a.jsg = b.jsg AND a.rel_level > b.rel_level
 GROUP BY ALL"""))
 def pref_pairs(spark, folder):
     return _tables(spark, folder).explicit()
@@ -315,12 +315,36 @@ MIXED_SQL = """
          l_linestatus AS jsg, CAST(l_quantity AS FLOAT) % 5 AS rel_level FROM lineitem"""
 
 
-@query("pref_conflicts", with_ctes([("m", MIXED_SQL)], """
+@query("pref_reach", with_ctes([*pref_ctes("prefs")[:7], ("own", """
+  SELECT p.qid, p.jg, p.jsg, rel_level::DOUBLE AS level, dr FROM p JOIN g ON g.qid = p.qid AND g.jg = p.jg AND NOT single"""),
+    ("reach", """
+  SELECT qid, jg, dr, jsg, level FROM own
+  UNION
+  SELECT r.qid, r.jg, r.dr, t.jsg, t.level FROM reach r
+  JOIN own b ON b.qid = r.qid AND b.jg = r.jg AND b.jsg = r.jsg AND b.level < r.level
+  JOIN own t ON t.qid = b.qid AND t.jg = b.jg AND t.dr = b.dr AND t.jsg <> b.jsg""")], """
+SELECT qid, jg, dr AS doc_rank, jsg, max(level) AS level FROM reach GROUP BY ALL""", recursive=True))
+def pref_reach(spark, folder):
+    """The level of each sub-group under which everything is below a document."""
+    tables = _tables(spark, folder)
+    return tables.reach_levels()
+
+
+@query("pref_conflicts", with_ctes([("m", MIXED_SQL), ("state", """
+  SELECT qid, jg, docno, jsg, rel_level AS level FROM m
+  UNION
+  SELECT s.qid, s.jg, s.docno, b.to_jsg, b.to_level FROM state s
+  JOIN (SELECT DISTINCT a.qid, a.jg, a.jsg, a.rel_level, t.jsg AS to_jsg, t.rel_level AS to_level
+        FROM m a JOIN m t ON a.qid = t.qid AND a.jg = t.jg AND a.docno = t.docno) b
+    ON b.qid = s.qid AND b.jg = s.jg AND b.jsg = s.jsg AND b.rel_level < s.level""")], """
 SELECT DISTINCT qid, jg, docno, 'two levels' AS rule FROM m
 GROUP BY qid, jg, jsg, docno HAVING count(DISTINCT rel_level) > 1
 UNION ALL
 SELECT qid, jg, docno, 'zero and non-zero' AS rule FROM m
-GROUP BY qid, jg, docno HAVING bool_or(rel_level = 0) AND bool_or(rel_level > 0)"""))
+GROUP BY qid, jg, docno HAVING bool_or(rel_level = 0) AND bool_or(rel_level > 0)
+UNION ALL
+SELECT DISTINCT m.qid, m.jg, m.docno, 'contradiction' AS rule FROM m JOIN state s
+ON s.qid = m.qid AND s.jg = m.jg AND s.docno = m.docno AND s.jsg = m.jsg AND m.rel_level < s.level""", recursive=True))
 def pref_conflicts(spark, folder):
     lines = inputs.table(spark, folder, "lineitem").select(
         F.concat(F.lit("S"), "l_suppkey").alias("qid"),
@@ -329,4 +353,4 @@ def pref_conflicts(spark, folder):
         F.col("l_linestatus").alias("jsg"),
         (F.col("l_quantity").cast("float") % 5).alias("rel_level"),
     )
-    return checks.preference_conflicts(lines.distinct())
+    return preference_errors(lines.distinct())

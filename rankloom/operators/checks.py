@@ -25,16 +25,16 @@ def require_none(found: DataFrame, what: str) -> None:
 
 
 def once(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
-    """``df`` grouped by ``keys``; reading a row whose keys occur again is an error.
+    """``df`` grouped by ``keys``; a row whose keys occur again is an error, whatever is read of it.
 
-    A join on the same keys that follows needs no further shuffle, so the check costs no pass.
+    The error hangs on a filter, which no plan leaves out, unlike a column that nobody asks for. A
+    join on the same keys that follows needs no further shuffle, so the check costs no pass.
     """
     others = [c for c in df.columns if c not in keys]
     counted = df.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in others])
     message = F.concat(F.lit(f"duplicate {what}: "), F.concat_ws(" ", *[F.col(k).cast("string") for k in keys]))
-    return counted.select(
-        *keys, *[F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col(c)).alias(c) for c in others]
-    )
+    alone = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return counted.filter(alone).select(*keys, *others)
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:

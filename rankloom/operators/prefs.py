@@ -4,15 +4,22 @@ A judgement group (jg) states, per sub-group (jsg), that documents of a higher l
 preferred to those of a lower one. Listing the preferred pairs grows with the square of
 the group, so pairs are only ever counted:
 
-* Documents of a group that carry the same judgements form one *class*. Pairs whose count
-  does not depend on rank (possible, implied, none retrieved) come from class sizes.
-* Fulfilled pairs among retrieved documents are inversion counts: running sums in rank
-  order. With one sub-group the classes are totally ordered, and each preferred pair
-  differs first in exactly one bit of its level number, so one running sum per bit counts
-  every pair once: rows grow with documents x log(levels).
-* With several sub-groups preferences are transitive across them. The closure is a
-  fixpoint over (class, sub-group) -> highest level reached, again without pairs; it
-  yields which class is preferred to which class.
+* Documents of a group that carry the same judgements form one *class*; levels of a sub-group
+  are numbered from 0.
+* With several sub-groups preferences are transitive across them. The closure keeps, for each class
+  and sub-group, the level below which everything is below the class (its *reach*). It is
+  found on (sub-group, level) nodes by doubling: rounds grow with the logarithm of the longest chain.
+* A document is below a class when one of its levels is under the class's reach. Then all its levels are
+  at most the reach, so the first such sub-group, with equal levels before it, is found once.
+  A level is under a reach when the two numbers differ first in a bit that the reach has. So a
+  class gets *tags* (sub-groups, place, levels before, bit, higher bits), those it has as the
+  upper and those it has as the lower document, and a pair is preferred exactly
+  when the upper tags of one meet the lower tags of the other, in one tag.
+* Pairs are then counted by running sums per tag in rank order: rows grow with documents x log(levels).
+* Agreement over groups counts pairs that are preferred in p groups and dispreferred in q others,
+  by the same sums over combinations of tags; binomial inversion gives the pairs of each
+  exact count. Topics with so many groups that combinations outnumber documents x profiles compare
+  profiles instead.
 """
 
 from __future__ import annotations
@@ -24,12 +31,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .checks import InputError, preference_conflicts, require_none
+from .checks import InputError, once, preference_conflicts, require_none
 from .measures import long_form, ratio
 from .ordered import GroupSize, OrderedGroups, group_size
 from .ranking import Size, rank_run, run_order, topics_in_both, with_key
 
 _JG = ["qid", "jg"]
+# Pairs of documents that are both retrieved, of which one is, and of which none is.
+AREAS = ("ret", "imp", "none")
 
 
 def pref_documents(
@@ -44,8 +53,9 @@ def pref_documents(
         run = rank_run(run, ties="asc", max_docs=max_docs)
     if size is None:
         size = group_size(prefs, ["qid"])
+    run = once(run.select("qid", "docno", "score"), ["qid", "docno"], "result")
     judged = topics_in_both(prefs, run).select("qid", "docno").distinct()
-    scored = judged.join(run.select("qid", "docno", "score"), ["qid", "docno"], "left")
+    scored = judged.join(run, ["qid", "docno"], "left")
     rows = scored.withColumn("retrieved", F.col("score").isNotNull())
     order = [F.col("retrieved").desc(), *run_order("asc")]
     numbered = OrderedGroups(with_key(rows), ["qid"], order, size).number("doc_rank").df
@@ -63,105 +73,195 @@ class Preferences:
         size: Size = None,
     ) -> None:
         documents = pref_documents(run, prefs, max_docs, size)
-        classes = prefs.groupBy("qid", "jg", "docno").agg(
-            F.array_sort(
-                F.collect_set(F.struct("jsg", F.col("rel_level").cast("double").alias("level")))
-            ).alias("members"),
-            F.max(F.col("rel_level").cast("double")).alias("level"),
-        )
-        groups = prefs.groupBy("qid", "jg").agg(
-            (F.min("jsg") == F.max("jsg")).alias("single")
-        )
-        # (qid, jg, docno, class, members, level, single, doc_rank, retrieved). Every table
-        # below starts from these rows, so they are written once.
-        self.judged = durable(
-            classes.withColumn("class", F.to_json("members"))
-            .join(groups, _JG)
+        level = F.col("rel_level").cast("double")
+        members = F.array_sort(F.collect_set(F.struct("jsg", level.alias("level")))).alias("members")
+        rows = durable(
+            prefs.groupBy("qid", "jg", "docno")
+            .agg(members, F.max(level).alias("level"))
             .join(documents, ["qid", "docno"])
         )
         retrieved = F.col("retrieved")
+        first, last = F.min(F.col("members")[0]["jsg"]), F.max(F.element_at("members", -1)["jsg"])
+        alone = F.max(F.size("members")) == 1
+        groups = rows.groupBy(*_JG).agg(((first == last) & alone).alias("single"))
+        # A class is named by the first of its documents.
+        self.classes = durable(
+            rows.groupBy(*_JG, "members")
+            .agg(
+                F.min("doc_rank").alias("class"),
+                F.first("level").alias("level"),
+                F.count_if(retrieved).alias("n_ret"),
+                F.count_if(~retrieved).alias("n_un"),
+            )
+            .join(groups, _JG)
+        )
+        named = self.classes.select(*_JG, "members", "class", "single")
+        #: (qid, jg, docno, class, level, single, doc_rank, retrieved)
+        self.judged = durable(rows.join(named, [*_JG, "members"]).drop("members"))
         self.group_size = group_size(self.judged, _JG)
         self.topic_size = group_size(self.judged, ["qid"])
-        self.classes = durable(self.judged.groupBy("qid", "jg", "class").agg(
-            F.first("members").alias("members"),
-            F.first("single").alias("single"),
-            F.first("level").alias("level"),
-            F.count_if(retrieved).alias("n_ret"),
-            F.count_if(~retrieved).alias("n_un"),
-        ))
-        self._closure: DataFrame | None = None
+        self._reach: DataFrame | None = None
+        self._tags: DataFrame | None = None
+        self._profiles: DataFrame | None = None
+        self._agreement: DataFrame | None = None
 
     # -- relations between classes ------------------------------------------------
 
-    def members(self, single: bool) -> DataFrame:
-        rows = self.classes.filter(F.col("single") == single)
-        return rows.select("qid", "jg", "class", F.inline("members"))
-
     def explicit(self) -> DataFrame:
-        """(qid, jg, jsg, level, below, pairs): judged levels of a sub-group, preferred over
-        unpreferred, with the number of document pairs they stand for."""
+        """(qid, jg, jsg, level, docs, pairs): the judged levels of a sub-group, their documents, and
+        the document pairs in which these are preferred to a lower level."""
         levels = (
-            self.classes.select("qid", "jg", (F.col("n_ret") + F.col("n_un")).alias("n"), F.inline("members"))
-            .groupBy("qid", "jg", "jsg", "level")
-            .agg(F.sum("n").alias("n"))
+            self.classes.select(*_JG, (F.col("n_ret") + F.col("n_un")).alias("docs"), F.inline("members"))
+            .groupBy(*_JG, "jsg", "level")
+            .agg(F.sum("docs").alias("docs"))
+        )
+        size = GroupSize(self.group_size.largest, self.group_size.total)
+        seen = OrderedGroups(levels, [*_JG, "jsg"], [F.col("level")], size).running({"seen": F.col("docs")}).df
+        pairs = F.col("docs") * (F.col("seen") - F.col("docs"))
+        return seen.select(*_JG, "jsg", "level", "docs", pairs.alias("pairs"))
+
+    def numbered_members(self) -> DataFrame:
+        """(qid, jg, class, single, jsg, no, bits): level numbers of each class, and their bits."""
+        members = self.classes.select(*_JG, "class", "single", F.inline("members"))
+        levels = members.select(*_JG, "jsg", "level").distinct()
+        numbered = OrderedGroups(levels, [*_JG, "jsg"], [F.col("level")], self.group_size).number("no").df
+        numbered = durable(numbered.withColumn("no", F.col("no") - 1))
+        bits = numbered.groupBy(*_JG, "jsg").agg(F.length(F.bin(F.max("no"))).alias("bits"))
+        return members.join(numbered.join(bits, [*_JG, "jsg"]), [*_JG, "jsg", "level"]).drop("level")
+
+    def reach(self) -> DataFrame:
+        """(qid, jg, class, single, jsg, no, reach, bits): the level number of each sub-group under
+        which everything is below the class; ``no`` is its own level there, if it has one."""
+        if self._reach is not None:
+            return self._reach
+        members = durable(self.numbered_members())
+        highest = Window.partitionBy(*_JG, "class", "jsg")
+        own = members.withColumn("reach", F.max("no").over(highest))
+        several = members.filter("NOT single")
+        other = several.select(*_JG, "class", F.col("jsg").alias("to"), F.col("no").alias("to_no"))
+        bridges = (
+            several.join(other, [*_JG, "class"])
+            .filter("jsg <> to OR no < to_no")
+            .groupBy(*_JG, "jsg", "to", "no")
+            .agg(F.max("to_no").alias("to_no"))
         )
-        lower = levels.select(*_JG, "jsg", F.col("level").alias("below"), F.col("n").alias("n_below"))
+        bridges = durable(bridges)
+        if bridges.isEmpty():
+            self._reach = own
+            return own
+        # From below level ``no`` of a sub-group one gets to the highest level that a document there
+        # has in another: a running maximum over the lower levels.
+        nodes = several.select(*_JG, "jsg", "no").distinct()
+        ways = bridges.select(*_JG, "jsg", "to").distinct()
+        steps = nodes.join(ways, [*_JG, "jsg"]).join(bridges, [*_JG, "jsg", "to", "no"], "left")
+        steps = OrderedGroups(steps, [*_JG, "jsg", "to"], [F.col("no")], self.group_size)
+        steps = steps.running_max({"up_to": F.col("to_no")}).df.filter("up_to IS NOT NULL")
+        direct = steps.select(*_JG, "jsg", (F.col("no") + 1).alias("no"), "to", F.col("up_to").alias("reach"))
+        state = durable(
+            nodes.select(*_JG, "jsg", "no", F.col("jsg").alias("to"), F.col("no").alias("reach"))
+            .unionByName(direct.join(nodes, [*_JG, "jsg", "no"], "left_semi"))
+            .withColumn("grew", F.lit(True))
+        )
+        while True:  # paths of twice the length in each round
+            onward = state.select(
+                *_JG, F.col("jsg").alias("to"), F.col("no").alias("reach"), F.col("to").alias("to2"), F.col("reach").alias("reach2")
+            )
+            longer = state.join(onward, [*_JG, "to", "reach"]).select(
+                *_JG, "jsg", "no", F.col("to2").alias("to"), F.col("reach2").alias("reach"), F.lit(None).cast("long").alias("old")
+            )
+            grown = (
+                state.select(*_JG, "jsg", "no", "to", "reach", F.col("reach").alias("old"))
+                .unionByName(longer)
+                .groupBy(*_JG, "jsg", "no", "to")
+                .agg(F.max("reach").alias("reach"), F.max("old").alias("old"))
+            )
+            grew = F.col("old").isNull() | (F.col("reach") > F.col("old"))
+            state = durable(grown.withColumn("grew", grew).drop("old"))
+            if state.filter("grew").isEmpty():
+                break
+        bits = members.groupBy(*_JG, "jsg").agg(F.first("bits").alias("bits"))
+        reached = (
+            several.select(*_JG, "class", "jsg", "no")
+            .join(state.drop("grew"), [*_JG, "jsg", "no"])
+            .groupBy(*_JG, "class", F.col("to").alias("jsg"))
+            .agg(F.max("reach").alias("reach"))
+            .join(bits, [*_JG, "jsg"])
+            .join(several.select(*_JG, "class", "jsg", "no"), [*_JG, "class", "jsg"], "left")
+            .withColumn("single", F.lit(False))
+        )
+        self._reach = durable(own.filter("single").unionByName(reached.select(own.columns)))
+        return self._reach
+
+    def reach_levels(self) -> DataFrame:
+        """(qid, jg, doc_rank, jsg, level): the reach of every document in groups with several
+        sub-groups, as levels."""
+        own = self.classes.select(*_JG, "class", F.inline("members")).join(
+            self.numbered_members().select(*_JG, "class", "jsg", "no").distinct(), [*_JG, "class", "jsg"]
+        )
+        levels = own.select(*_JG, "jsg", F.col("no").alias("reach"), "level").distinct()
+        reach = self.reach().filter("NOT single").select(*_JG, "class", "jsg", "reach").distinct()
+        documents = self.judged.select(*_JG, "class", "doc_rank")
         return (
-            levels.join(lower, [*_JG, "jsg"])
-            .filter("level > below")
-            .select(*_JG, "jsg", "level", "below", (F.col("n") * F.col("n_below")).alias("pairs"))
+            reach.join(levels, [*_JG, "jsg", "reach"])
+            .join(documents, [*_JG, "class"])
+            .select(*_JG, "doc_rank", "jsg", "level")
         )
 
-    def closure(self) -> DataFrame:
-        """(qid, jg, class, below): class preferred to class, for groups with several sub-groups.
+    def tags(self) -> DataFrame:
+        """(qid, jg, class, tag, hi): the tags a class has as the preferred document and as the other.
 
-        State: the highest level of each sub-group that a class reaches; everything lower in
-        that sub-group is then below the class. A document judged in two sub-groups carries
-        the reach from one into the other. The state has one row per class and sub-group
-        and only grows, so it reaches a fixpoint.
+        Two classes are preferred exactly when an upper tag of one is a lower tag of the other, and then in
+        one tag.
         """
-        if self._closure is not None:
-            return self._closure
-        members = self.members(single=False)
-        other = members.select(
-            *_JG, "class", F.col("jsg").alias("to_jsg"), F.col("level").alias("to_level")
-        )
-        bridges = (
-            members.join(other, [*_JG, "class"])
-            .filter("jsg != to_jsg")
-            .groupBy(*_JG, "jsg", "level", "to_jsg")
-            .agg(F.max("to_level").alias("to_level"))
-        )
-        bridges = durable(bridges)
-        state = members.groupBy(*_JG, "class", "jsg").agg(F.max("level").alias("reach"))
-        if not bridges.isEmpty():
-            while True:
-                carried = (
-                    state.join(bridges, [*_JG, "jsg"])
-                    .filter("level < reach")
-                    .select(*_JG, "class", F.col("to_jsg").alias("jsg"), F.col("to_level").alias("reach"))
-                )
-                grown = durable(
-                    state.unionByName(carried)
-                    .groupBy(*_JG, "class", "jsg")
-                    .agg(F.max("reach").alias("reach"))
-                )
-                same = grown.join(state, [*_JG, "class", "jsg", "reach"], "left_anti").isEmpty()
-                state = grown
-                if same:
-                    break
-        below = members.withColumnRenamed("class", "below")
-        self._closure = durable(
-            state.join(below, [*_JG, "jsg"])
-            .filter("level < reach")
-            .select(*_JG, "class", "below")
-            .distinct()
-        )
-        return self._closure
+        if self._tags is not None:
+            return self._tags
+        place = F.struct("jsg", "reach", "no", "bits")
+        classes = (
+            self.reach()
+            .groupBy(*_JG, "class")
+            .agg(F.array_sort(F.collect_list(place)).alias("all"))
+            .withColumn("own", F.filter("all", lambda x: x["no"].isNotNull()))
+            .withColumn("subs", F.transform("own", lambda x: x["jsg"]))
+        )
+        kinds = classes.groupBy(*_JG, "subs").agg(F.min("class").alias("kind"))
+        classes = durable(classes)
+        lower = classes.join(kinds, [*_JG, "subs"]).select(
+            *_JG, "class", "kind", F.lit(False).alias("hi"),
+            F.transform("own", lambda x: F.struct(x["no"].alias("value"), x["bits"].alias("bits"))).alias("path"),
+        )
+        reached = F.map_from_entries(F.transform("all", lambda x: F.struct(x["jsg"], F.struct(x["reach"].alias("value"), x["bits"].alias("bits")))))
+        upper = classes.withColumn("reached", reached).drop("subs").join(kinds, _JG).select(
+            *_JG, "class", "kind", F.lit(True).alias("hi"),
+            F.transform("subs", lambda s: F.try_element_at("reached", s)).alias("path"),
+        )
+        paths = lower.unionByName(upper).select("*", F.posexplode("path").alias("at", "x"))
+        before = F.slice("path", 1, F.col("at"))
+        # All sub-groups before this one must be reached, and this one.
+        paths = paths.filter(F.col("x").isNotNull() & F.forall(before, lambda y: y.isNotNull()))
+        prefix = F.array_join(F.transform(before, lambda y: y["value"].cast("string")), ",")
+        bit = F.explode(F.sequence(F.lit(0), F.col("x.bits") - 1)).alias("bit")
+        cut = paths.select(*_JG, "class", "hi", "kind", "at", prefix.alias("prefix"), F.col("x.value").alias("value"), bit)
+        has = F.expr("shiftright(value, bit) & 1") == 1
+        tag = F.concat_ws(":", "kind", "at", "prefix", "bit", F.expr("shiftright(value, bit + 1)"))
+        self._tags = durable(cut.filter(has == F.col("hi")).select(*_JG, "class", tag.alias("tag"), "hi"))
+        return self._tags
+
+    def relation(self) -> DataFrame:
+        """(qid, jg, class, below): class preferred to class, one row per pair of classes."""
+        tags = self.tags()
+        lower = tags.filter("NOT hi").select(*_JG, "tag", F.col("class").alias("below"))
+        return tags.filter("hi").join(lower, [*_JG, "tag"]).select(*_JG, "class", "below")
+
+    def closure(self) -> DataFrame:
+        """(qid, jg, class, below) of groups with several sub-groups; classes as their judgements."""
+        names = self.classes.filter("NOT single").select(*_JG, "class", F.to_json("members").alias("name"))
+        below = names.select(*_JG, F.col("class").alias("below"), F.col("name").alias("below_name"))
+        pairs = self.relation().join(names, [*_JG, "class"]).join(below, [*_JG, "below"])
+        return pairs.select(*_JG, F.col("name").alias("class"), F.col("below_name").alias("below"))
 
     def contradictions(self) -> DataFrame:
         """Classes preferred to themselves after closure: the judgements form a cycle."""
-        return self.closure().filter(F.col("class") == F.col("below"))
+        return self.reach().filter("no < reach").select(*_JG, "class")
 
     def check(self) -> Preferences:
         example = self.contradictions().limit(1).collect()
@@ -169,13 +269,6 @@ class Preferences:
             raise InputError(f"contradictory preferences: {example[0].asDict()}")
         return self
 
-    def relation(self) -> DataFrame:
-        """(qid, jg, class, below) for all groups."""
-        one = self.classes.filter("single").select(*_JG, "class", "level")
-        lower = one.select(*_JG, F.col("class").alias("below"), F.col("level").alias("low"))
-        direct = one.join(lower, _JG).filter("level > low").select(*_JG, "class", "below")
-        return direct.unionByName(self.closure())
-
     # -- counts per judgement group -----------------------------------------------
 
     def doc_counts(self) -> DataFrame:
@@ -197,101 +290,22 @@ class Preferences:
             total(nonrel, both).alias("num_nonrel"),
         )
 
-    @staticmethod
-    def _inversions(
-        rows: DataFrame, keys: list[str], by: list[str], total: Column, size: GroupSize
-    ) -> DataFrame:
-        """Sum ``total`` (over ``lo`` rows, with ``hi_seen`` preferred rows ranked above).
-
-        A group of ``keys`` holds a document at most once, so ``size`` bounds it.
-        """
-        counted = OrderedGroups(rows, keys, [F.col("doc_rank").asc(), F.col("hi").desc()], size)
-        return counted.running({"hi_seen": F.col("hi")}).df.groupBy(*by).agg(total.alias("ful_ret"))
-
-    def _single_fulfilled(self, above_lowest: bool = False) -> DataFrame:
-        """Fulfilled pairs of retrieved documents, groups with one sub-group."""
-        w = Window.partitionBy(*_JG).orderBy("level")
-        numbered = self.classes.filter("single").select(
-            *_JG, "class", (F.dense_rank().over(w) - 1).alias("no")
+    def counted(self, documents: DataFrame) -> DataFrame:
+        """Fulfilled and possible preferences among ``documents`` (rows of ``judged``), per group."""
+        tagged = documents.select(*_JG, "class", "doc_rank", "retrieved").join(self.tags(), [*_JG, "class"])
+        seen = _pairs_in_order(tagged, [*_JG, "tag"], self.group_size)
+        sums = seen.groupBy(*_JG).agg(
+            *[F.sum(f"{way}_{area}").alias(f"{way}_{area}") for way in ("ful", "back") for area in AREAS]
         )
-        sizes = numbered.groupBy(*_JG).agg(F.length(F.bin(F.max("no").cast("long"))).alias("bits"))
-        rows = (
-            self.judged.filter("single AND retrieved")
-            .select(*_JG, "class", "doc_rank")
-            .join(numbered.join(sizes, _JG), [*_JG, "class"])
-            .select(*_JG, "doc_rank", "no", F.explode(F.sequence(F.lit(0), F.col("bits") - 1)).alias("bit"))
-            .select(
-                *_JG,
-                "doc_rank",
-                "no",
-                "bit",
-                F.expr("shiftright(no, bit + 1)").alias("prefix"),
-                F.expr("shiftright(no, bit) & 1").alias("hi"),
-            )
-        )
-        counted = F.col("hi") == 0
-        if above_lowest:
-            counted = counted & (F.col("no") > 0)
-        total = F.sum(F.when(counted, F.col("hi_seen")).otherwise(0))
-        return self._inversions(rows, [*_JG, "bit", "prefix"], _JG, total, self.group_size)
-
-    def _multi_fulfilled(self, documents: DataFrame) -> DataFrame:
-        """Fulfilled pairs of retrieved documents, groups with several sub-groups."""
-        retrieved = documents.filter("retrieved").select(*_JG, "class", "doc_rank")
-        closure = self.closure()
-        hi = retrieved.join(closure, [*_JG, "class"]).select(
-            *_JG, F.col("below").alias("low"), "doc_rank", F.lit(1).alias("hi")
-        )
-        lows = closure.select(*_JG, F.col("below").alias("class")).distinct()
-        lo = retrieved.join(lows, [*_JG, "class"]).select(
-            *_JG, F.col("class").alias("low"), "doc_rank", F.lit(0).alias("hi")
-        )
-        total = F.sum(F.when(F.col("hi") == 0, F.col("hi_seen")).otherwise(0))
-        return self._inversions(hi.unionByName(lo), [*_JG, "low"], _JG, total, self.group_size)
-
-    @staticmethod
-    def _pair_sums() -> list[Column]:
-        """Pair counts from preferred class sizes and the sizes below them."""
-        up_ret, up_un = F.col("n_ret"), F.col("n_un")
-        low_ret, low_un = F.col("low_ret"), F.col("low_un")
-        return [
-            F.sum(up_ret * low_ret).alias("poss_ret"),
-            F.sum(up_ret * low_un).alias("ful_imp"),
-            F.sum(up_ret * low_un + up_un * low_ret).alias("poss_imp"),
-            F.sum(up_un * low_un).alias("poss_none"),
-        ]
-
-    def _single_sizes(self) -> DataFrame:
-        lower = (
-            Window.partitionBy(*_JG)
-            .orderBy("level")
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        w = Window.partitionBy(*_JG).orderBy("level")
-        return self.classes.filter("single").select(
-            *_JG,
-            "n_ret",
-            "n_un",
-            F.row_number().over(w).alias("no"),
-            F.coalesce(F.sum("n_ret").over(lower), F.lit(0)).alias("low_ret"),
-            F.coalesce(F.sum("n_un").over(lower), F.lit(0)).alias("low_un"),
-            F.first("n_ret").over(w).alias("lowest_ret"),
-            F.first("n_un").over(w).alias("lowest_un"),
-        )
-
-    def _multi_counts(self, documents: DataFrame) -> DataFrame:
-        retrieved = F.col("retrieved")
-        sizes = documents.groupBy(*_JG, "class").agg(
-            F.count_if(retrieved).alias("n_ret"), F.count_if(~retrieved).alias("n_un")
-        )
-        low = sizes.select(
+        c = F.col
+        return sums.select(
             *_JG,
-            F.col("class").alias("below"),
-            F.col("n_ret").alias("low_ret"),
-            F.col("n_un").alias("low_un"),
+            c("ful_ret"),
+            (c("ful_ret") + c("back_ret")).alias("poss_ret"),
+            c("ful_imp"),
+            (c("ful_imp") + c("back_imp")).alias("poss_imp"),
+            (c("ful_none") + c("back_none")).alias("poss_none"),
         )
-        pairs = self.closure().join(sizes, [*_JG, "class"]).join(low, [*_JG, "below"])
-        return pairs.groupBy(*_JG).agg(*self._pair_sums())
 
     def group_counts(self) -> DataFrame:
         """Fulfilled and possible preferences per group.
@@ -299,17 +313,7 @@ class Preferences:
         ``ful_ret poss_ret`` both documents retrieved, ``ful_imp poss_imp`` one of them,
         ``poss_none`` neither; possible counts include the fulfilled ones.
         """
-        multi = self.judged.filter("NOT single")
-        pairs = (
-            self._single_sizes().groupBy(*_JG).agg(*self._pair_sums())
-        ).unionByName(self._multi_counts(multi))
-        fulfilled = self._single_fulfilled().unionByName(self._multi_fulfilled(multi))
-        return (
-            self.doc_counts()
-            .join(pairs, _JG, "left")
-            .join(fulfilled, _JG, "left")
-            .na.fill(0)
-        )
+        return self.doc_counts().join(self.counted(self.judged), _JG, "left").na.fill(0)
 
     def balanced_counts(self, strict: bool = False) -> DataFrame:
         """Preferences with as many non-relevant as relevant documents, per group.
@@ -348,7 +352,7 @@ class Preferences:
         lowest = self.classes.filter("single").groupBy(*_JG).agg(F.min("level").alias("lowest"))
         rows = (
             self.judged.filter("single")
-            .select(*_JG, "doc_rank", "retrieved", "level")
+            .select(*_JG, "class", "doc_rank", "retrieved", "level")
             .join(counts.join(lowest, _JG), _JG)
             .withColumn("low", c("level") == c("lowest"))
         )
@@ -370,34 +374,34 @@ class Preferences:
             F.sum(F.when(in_cut, c("above")).otherwise(0)).alias("kept_ful"),
             F.sum(F.when(in_cut_r, c("above")).otherwise(0)).alias("kept_ful_r"),
         )
-        sizes = self._single_sizes()
-        upper_low_ret = c("low_ret") - c("lowest_ret")
-        upper_low_un = c("low_un") - c("lowest_un")
-        all_low = upper_low_ret + upper_low_un
-        upper_rows = c("no") > 1
-        among = sizes.groupBy(*_JG).agg(
-            F.sum(F.when(upper_rows, c("n_ret") * upper_low_un).otherwise(0)).alias("up_ful_imp"),
-            F.sum(F.when(upper_rows, (c("n_ret") + c("n_un")) * all_low).otherwise(0)).alias("up_poss"),
-            F.sum(F.when(upper_rows, c("n_ret") * upper_low_ret).otherwise(0)).alias("up_poss_r"),
-            F.sum(F.when(upper_rows | F.lit(not strict), c("n_ret") + c("n_un")).otherwise(0)).alias("n_all"),
-            F.sum(F.when(upper_rows | F.lit(not strict), c("n_ret")).otherwise(0)).alias("n_all_ret"),
-            F.max(c("lowest_ret") + c("lowest_un")).alias("n_lowest"),
-            F.max("lowest_ret").alias("n_lowest_ret"),
-        )
-        upper_ful = self._single_fulfilled(above_lowest=True)
+        upper_class = ~c("low") | F.lit(not strict)
+        sizes = (
+            self.classes.filter("single")
+            .join(lowest, _JG)
+            .withColumn("low", c("level") == c("lowest"))
+            .groupBy(*_JG)
+            .agg(
+                F.sum(F.when(upper_class, c("n_ret") + c("n_un")).otherwise(0)).alias("n_all"),
+                F.sum(F.when(upper_class, c("n_ret")).otherwise(0)).alias("n_all_ret"),
+                F.sum(F.when(c("low"), c("n_ret") + c("n_un"))).alias("n_lowest"),
+                F.sum(F.when(c("low"), c("n_ret"))).alias("n_lowest_ret"),
+            )
+        )
+        among = self.counted(rows.filter(~c("low")))
         joined = (
-            among.join(counts, _JG)
+            sizes.join(counts, _JG)
             .join(to_kept, _JG, "left")
-            .join(upper_ful, _JG, "left")
+            .join(among, _JG, "left")
             .na.fill(0)
         )
+        up_poss = c("poss_ret") + c("poss_imp") + c("poss_none")
         return joined.select(
             *_JG,
-            (c("ful_ret") + c("up_ful_imp") + c("kept_ful")).alias("ful_cut"),
+            (c("ful_ret") + c("ful_imp") + c("kept_ful")).alias("ful_cut"),
             # Several non-relevant levels: the lowest class may hold fewer documents.
-            (c("up_poss") + c("n_all") * F.least("num_rel", "n_lowest")).alias("poss_cut"),
+            (up_poss + c("n_all") * F.least("num_rel", "n_lowest")).alias("poss_cut"),
             (c("ful_ret") + c("kept_ful_r")).alias("ful_r_cut"),
-            (c("up_poss_r") + c("n_all_ret") * F.least("num_rel_ret", "n_lowest_ret")).alias("poss_r_cut"),
+            (c("poss_ret") + c("n_all_ret") * F.least("num_rel_ret", "n_lowest_ret")).alias("poss_r_cut"),
         )
 
     def _cut_multi(self) -> DataFrame:
@@ -412,7 +416,7 @@ class Preferences:
             .df
         )
         kept = seen.filter(~c("nonrel") | (c("nonrel_seen") <= c("num_rel")))
-        pairs = self._multi_counts(kept).join(self._multi_fulfilled(kept), _JG, "left").na.fill(0)
+        pairs = self.counted(kept)
         groups = counts.join(self.classes.filter("NOT single").select(*_JG).distinct(), _JG)
         return (
             groups.join(pairs, _JG, "left")
@@ -428,23 +432,123 @@ class Preferences:
 
     # -- agreement over judgement groups ------------------------------------------
 
-    def pair_classes(self) -> tuple[DataFrame, DataFrame]:
-        """Documents by their classes in all groups of a topic, and how often one such
-        class is preferred to another: ((qid, who, docno...), (qid, who, low, c, c_back))."""
-        documents = self.judged.groupBy("qid", "docno").agg(
-            F.to_json(F.array_sort(F.collect_list(F.struct("jg", "class")))).alias("who"),
-            F.first("doc_rank").alias("doc_rank"),
-            F.first("retrieved").alias("retrieved"),
+    def profiles(self) -> DataFrame:
+        """(qid, docno, who, doc_rank, retrieved): documents with the name of their profile, the
+        classes that they have in all groups of the topic."""
+        if self._profiles is None:
+            documents = self.judged.groupBy("qid", "docno").agg(
+                F.array_sort(F.collect_list(F.struct("jg", "class"))).alias("profile"),
+                F.first("doc_rank").alias("doc_rank"),
+                F.first("retrieved").alias("retrieved"),
+            )
+            names = documents.groupBy("qid", "profile").agg(
+                F.min("doc_rank").alias("who"), F.count("*").alias("n")
+            )
+            self._names = durable(names)
+            self._profiles = durable(documents.join(self._names.drop("n"), ["qid", "profile"]).drop("profile"))
+        return self._profiles
+
+    def _by_profiles(self) -> tuple[DataFrame, DataFrame]:
+        """Group tags of every profile, and the topics in which comparing profiles is cheaper.
+
+        (qid, who, n, groups): per group the tags of the profile. Combinations of tags
+        take a row for each document and combination, profiles one for each document and profile.
+        """
+        self.profiles()
+        tags = self.tags().groupBy(*_JG, "class").agg(
+            F.collect_list(F.struct("tag", F.when(F.col("hi"), "+").otherwise("-").alias("side"))).alias("tags")
+        )
+        groups = (
+            self._names.select("qid", "who", "n", F.inline("profile"))
+            .join(tags, [*_JG, "class"])
+            .groupBy("qid", "who", "n")
+            .agg(F.array_sort(F.collect_list(F.struct("jg", "tags"))).alias("groups"))
+        )
+        groups = durable(groups)
+        sizes = F.aggregate(F.transform("groups", lambda g: F.size(g["tags"]) + 1.0), F.lit(1.0), lambda x, y: x * y)
+        costs = groups.groupBy("qid").agg(
+            F.sum(F.col("n") * sizes).alias("tag_rows"), (F.sum("n") * F.count("*")).alias("profile_rows")
+        )
+        return groups, costs.filter("tag_rows > greatest(profile_rows, 1000)").select("qid")
+
+    def agreement(self) -> DataFrame:
+        """(qid, c, c_back, ret, imp, none): ordered pairs of documents of which the first ranks above,
+        is preferred by ``c`` groups and dispreferred by ``c_back``, per area; pairs without any
+        preference are left out."""
+        if self._agreement is None:
+            groups, crossed = self._by_profiles()
+            crossed = durable(crossed)
+            none = crossed.isEmpty()
+            combined = groups if none else groups.join(crossed, "qid", "left_anti")
+            counts = self._exact_counts(self._moments(combined))
+            if not none:
+                counts = counts.unionByName(self._compared(crossed))
+            self._agreement = durable(counts)
+        return self._agreement
+
+    def _moments(self, groups: DataFrame) -> DataFrame:
+        """(qid, p, q, areas): over all pairs, in how many ways p groups that prefer the first and q others
+        that prefer the second can be picked."""
+        start = F.array(F.struct(F.lit("").alias("key"), F.lit("").alias("sides")))
+
+        def extended(found: Column, group: Column) -> Column:
+            more = F.transform(
+                found,
+                lambda f: F.transform(
+                    group["tags"],
+                    lambda t: F.struct(
+                        F.concat(f["key"], F.lit("|"), group["jg"], F.lit("="), t["tag"]).alias("key"),
+                        F.concat(f["sides"], t["side"]).alias("sides"),
+                    ),
+                ),
+            )
+            return F.concat(found, F.flatten(more))
+
+        combinations = groups.select(
+            "qid", "who", F.inline(F.aggregate("groups", start, extended))
+        ).filter("key <> ''")
+        # Partners have the opposite sides; the first side tells the two apart.
+        hi = F.col("sides").startswith("+")
+        opposite = F.translate("sides", "+-", "-+")
+        rows = (
+            self.profiles()
+            .select("qid", "who", "doc_rank", "retrieved")
+            .join(combinations, ["qid", "who"])
+            .select(
+                "qid", "key", F.when(hi, F.col("sides")).otherwise(opposite).alias("sides"), "doc_rank", "retrieved", hi.alias("hi")
+            )
         )
-        memberships = (
-            self.judged.select("qid", "docno", "jg", "class")
-            .join(documents.select("qid", "docno", "who"), ["qid", "docno"])
-            .select("qid", "who", "jg", "class")
-            .distinct()
+        seen = _pairs_in_order(rows, ["qid", "key", "sides"], self.topic_size)
+        sums = seen.groupBy("qid", "sides").agg(
+            *[F.sum(f"{way}_{area}").alias(f"{way}_{area}") for way in ("ful", "back") for area in AREAS]
         )
-        lower = memberships.select(
-            "qid", "jg", F.col("who").alias("low"), F.col("class").alias("below")
+        up = F.length(F.regexp_replace("sides", "-", ""))
+        down = F.length("sides") - up
+        both = F.array(
+            F.struct(up.alias("p"), down.alias("q"), *[F.col(f"ful_{a}").alias(a) for a in AREAS]),
+            F.struct(down.alias("p"), up.alias("q"), *[F.col(f"back_{a}").alias(a) for a in AREAS]),
         )
+        flat = sums.select("qid", F.inline(both))
+        return flat.groupBy("qid", "p", "q").agg(*[F.sum(a).alias(a) for a in AREAS])
+
+    @staticmethod
+    def _exact_counts(moments: DataFrame) -> DataFrame:
+        """Pairs of exact counts from the numbers of ways to pick groups (binomial inversion)."""
+        c, d = F.col("c"), F.col("c_back")
+        rows = moments.select("*", F.explode(F.sequence(F.lit(0), F.col("p"))).alias("c"))
+        rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("q"))).alias("c_back")).filter("c + c_back > 0")
+        sign = F.when((F.col("p") - c + F.col("q") - d) % 2 == 0, 1).otherwise(-1)
+        factor = sign * _choose(F.col("p"), c) * _choose(F.col("q"), d)
+        exact = rows.groupBy("qid", "c", "c_back").agg(*[F.sum(factor * F.col(a)).alias(a) for a in AREAS])
+        return exact.select(
+            "qid", c.cast("long").alias("c"), d.cast("long").alias("c_back"), *[F.col(a).cast("long").alias(a) for a in AREAS]
+        ).filter(" + ".join(AREAS) + " > 0")
+
+    def _compared(self, topics: DataFrame) -> DataFrame:
+        """The same as :meth:`agreement` by comparing the profiles of the topics."""
+        documents = self.profiles().join(topics, "qid", "left_semi")
+        memberships = self._names.join(topics, "qid", "left_semi").select("qid", "who", F.inline("profile"))
+        lower = memberships.select("qid", "jg", F.col("who").alias("low"), F.col("class").alias("below"))
         counted = (
             memberships.join(self.relation(), ["qid", "jg", "class"])
             .join(lower, ["qid", "jg", "below"])
@@ -454,63 +558,77 @@ class Preferences:
         back = counted.select(
             "qid", F.col("who").alias("low"), F.col("low").alias("who"), F.col("c").alias("c_back")
         )
-        both = counted.join(back, ["qid", "who", "low"], "left").na.fill({"c_back": 0})
-        return documents, both
+        both = counted.join(back, ["qid", "who", "low"], "full").na.fill(0)
+        hi = documents.join(both, ["qid", "who"]).select(
+            "qid", "low", "c", "c_back", "doc_rank", "retrieved", F.lit(True).alias("hi")
+        )
+        lows = both.select("qid", F.col("low").alias("who"), "c", "c_back").distinct()
+        lo = documents.join(lows, ["qid", "who"]).select(
+            "qid", F.col("who").alias("low"), "c", "c_back", "doc_rank", "retrieved", F.lit(False).alias("hi")
+        )
+        seen = _pairs_in_order(hi.unionByName(lo), ["qid", "low", "c", "c_back"], None)
+        counts = seen.groupBy("qid", "c", "c_back").agg(*[F.sum(f"ful_{a}").alias(a) for a in AREAS])
+        return counts.filter(" + ".join(AREAS) + " > 0")
 
     def pair_counts(self) -> DataFrame:
         """(qid, c, c_back, pairs): how many ordered document pairs are preferred by ``c``
         groups and dispreferred by ``c_back``."""
-        documents, both = self.pair_classes()
-        sizes = documents.groupBy("qid", "who").agg(F.count("*").alias("n"))
-        low = sizes.select("qid", F.col("who").alias("low"), F.col("n").alias("n_low"))
-        return (
-            both.join(sizes, ["qid", "who"])
-            .join(low, ["qid", "low"])
-            .groupBy("qid", "c", "c_back")
-            .agg(F.sum(F.col("n") * F.col("n_low")).alias("pairs"))
-        )
+        n = F.expr(" + ".join(AREAS)).alias("pairs")
+        found = self.agreement().select("qid", "c", "c_back", n)
+        back = found.select("qid", F.col("c_back").alias("c"), F.col("c").alias("c_back"), "pairs")
+        both = found.unionByName(back).filter("c > 0")
+        return both.groupBy("qid", "c", "c_back").agg(F.sum("pairs").alias("pairs"))
 
     def pair_sums(self) -> DataFrame:
         """Per topic: sums of pair ratios and numbers of judged pairs, by retrieval area."""
-        c = F.col
-        documents, both = self.pair_classes()
-        retrieved = c("retrieved")
-        sizes = documents.groupBy("qid", "who").agg(
-            F.count_if(retrieved).alias("n_ret"), F.count_if(~retrieved).alias("n_un")
-        )
-        low = sizes.select(
-            "qid",
-            c("who").alias("low"),
-            c("n_ret").alias("low_ret"),
-            c("n_un").alias("low_un"),
-        )
-        weighted = both.withColumn("weight", c("c") / (c("c") + c("c_back")))
-        # A pair of classes preferred both ways appears twice; count its documents once.
-        once = F.when((c("c_back") == 0) | (c("who") < c("low")), 1).otherwise(0)
-        static = (
-            weighted.join(sizes, ["qid", "who"])
-            .join(low, ["qid", "low"])
-            .groupBy("qid")
-            .agg(
-                F.sum(once * c("n_ret") * c("low_ret")).alias("pairs_ret"),
-                F.sum(once * (c("n_ret") * c("low_un") + c("n_un") * c("low_ret"))).alias("pairs_imp"),
-                F.sum(once * c("n_un") * c("low_un")).alias("pairs_none"),
-                F.sum(c("weight") * c("n_ret") * c("low_un")).alias("sum_imp"),
-            )
-        )
-        ranked = documents.filter(retrieved).select("qid", "who", "doc_rank")
-        hi = ranked.join(weighted, ["qid", "who"]).select(
-            "qid", "low", "doc_rank", c("weight").alias("hi"), F.lit(0).alias("lo")
+        weight = F.col("c") / (F.col("c") + F.col("c_back"))
+        return self.agreement().groupBy("qid").agg(
+            *[F.sum(a).alias(f"pairs_{a}") for a in AREAS],
+            F.sum(weight * F.col("ret")).alias("sum_ret"),
+            F.sum(weight * F.col("imp")).alias("sum_imp"),
         )
-        lows = weighted.select("qid", c("low").alias("who")).distinct()
-        lo = ranked.join(lows, ["qid", "who"]).select(
-            "qid", c("who").alias("low"), "doc_rank", F.lit(0.0).alias("hi"), F.lit(1).alias("lo")
-        )
-        total = F.sum(F.when(c("lo") == 1, c("hi_seen")).otherwise(0.0))
-        fulfilled = self._inversions(
-            hi.unionByName(lo), ["qid", "low"], ["qid"], total, self.topic_size
-        ).withColumnRenamed("ful_ret", "sum_ret")
-        return static.join(fulfilled, "qid", "left").na.fill(0)
+
+
+def preference_errors(prefs: DataFrame) -> DataFrame:
+    """(qid, jg, docno, rule): documents judged inconsistently. To the rules of
+    ``preference_conflicts`` comes ``contradiction``: preferred to itself after closure."""
+    every = prefs.select("qid", "docno").distinct().withColumn("score", F.lit(0.0))
+    tables = Preferences(every, prefs)
+    cycles = tables.contradictions().distinct().join(tables.judged, [*_JG, "class"])
+    rows = cycles.select(*_JG, "docno", F.lit("contradiction").alias("rule"))
+    return preference_conflicts(prefs).unionByName(rows)
+
+
+def _choose(n: Column, k: Column) -> Column:
+    """Binomial coefficient; exact while it fits a double."""
+    product = F.aggregate(F.sequence(F.lit(1), k), F.lit(1.0), lambda x, i: x * (n - k + i) / i)
+    return F.when(k == 0, 1.0).otherwise(F.round(product))
+
+
+def _pairs_in_order(rows: DataFrame, keys: list[str], size: Size) -> DataFrame:
+    """Pairs of an upper (``hi``) and a lower row of a group, counted at the one that ranks below.
+
+    Adds ``ful_*`` (the upper row ranks above) and ``back_*`` (the lower one does) per area: both
+    retrieved, the first alone, none. Retrieved documents rank above others.
+    """
+    hi, ret = F.col("hi"), F.col("retrieved")
+    sums = {
+        f"{side}_{kind}": F.when(is_side & is_kind, 1).otherwise(0)
+        for side, is_side in (("hi", hi), ("lo", ~hi))
+        for kind, is_kind in (("ret", ret), ("un", ~ret))
+    }
+    df = OrderedGroups(rows, keys, [F.col("doc_rank")], size).running(sums).df
+
+    def at(is_side: Column, is_kind: Column, seen: str) -> Column:
+        return F.when(is_side & is_kind, F.col(seen)).otherwise(0)
+
+    return df.withColumns(
+        {
+            f"{way}_{area}": at(here, is_kind, f"{side}_{kind}")
+            for way, here, side in (("ful", ~hi, "hi"), ("back", hi, "lo"))
+            for area, is_kind, kind in (("ret", ret, "ret"), ("imp", ~ret, "ret"), ("none", ~ret, "un"))
+        }
+    )
 
 
 def _mean_ratio(top: str, bottom: str) -> str:

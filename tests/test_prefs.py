@@ -126,3 +126,84 @@ def test_strict_leaves_out_pairs_of_the_lowest_class(spark):
     run = spark.createDataFrame([("q", d, s) for d, s in (("d0", 3.0), ("d1", 2.0), ("d2", 1.0))], RUN)
     assert evaluate_prefs(run, prefs, [name]).first().value == pytest.approx(1 / 4)
     assert evaluate_prefs(run, prefs, [name], strict=True).first().value == 1.0
+
+
+def _random_levels(n, groups, subs, seed):
+    """Levels of one hidden order per group, so distinct that every document is a class."""
+    rng = random.Random(seed)
+    rows = []
+    for jg in groups:
+        hidden = list(range(n))
+        rng.shuffle(hidden)
+        for i in range(n):
+            for jsg in subs[: 1 + i % len(subs)]:
+                rows.append(("q", jg, jsg, f"d{i:06d}", float(hidden[i] + 1)))
+    return rows
+
+
+def test_closure_stays_linear(spark):
+    n = 4000  # every document is a class of its own, half of them join the two sub-groups
+    prefs = spark.createDataFrame(_random_levels(n, ["j"], ["s1", "s2"], 1), PREFS)
+    run = spark.createDataFrame([("q", f"d{i:06d}", float(n - i)) for i in range(0, n, 2)], RUN)
+    tables = Preferences(run, prefs)
+    assert tables.classes.count() == n
+    assert tables.reach().count() <= 2 * n
+    assert tables.tags().count() <= 60 * n  # 13 bits, up to four places: no pairs of classes
+    counts = tables.group_counts().first()
+    # All pairs of a chain through both sub-groups: s1 alone orders all documents.
+    assert counts.poss_ret + counts.poss_imp + counts.poss_none == n * (n - 1) // 2
+
+
+def test_agreement_over_groups_stays_linear(spark):
+    n = 3000  # distinct levels in two groups: every document has a profile of its own
+    rows = _random_levels(n, ["j1", "j2"], ["s"], 2)
+    prefs = spark.createDataFrame(rows, PREFS)
+    run = spark.createDataFrame([("q", f"d{i:06d}", float(n - i)) for i in range(n)], RUN)
+    tables = Preferences(run, prefs)
+    groups, crossed = tables._by_profiles()
+    assert crossed.isEmpty() and tables._names.count() == n
+    levels = [{d: level for _, jg, _, d, level in rows if jg == j} for j in ("j1", "j2")]
+    order = sorted(levels[0])
+    # Pairs in rank order on which both groups agree, by counting inversions.
+    expected = {(2, 0): 0, (0, 2): 0, (1, 1): 0}
+    a, b = ([level[d] for d in order] for level in levels)
+    for i in range(n):
+        for j in range(i + 1, n):
+            up = (a[i] > a[j]) + (b[i] > b[j])
+            expected[up, 2 - up] += 1
+    found = {(r.c, r.c_back): r.ret for r in tables.agreement().collect()}
+    assert found == expected
+
+
+def test_profiles_are_compared_when_groups_are_many(spark):
+    rng = random.Random(5)
+    docs = [f"d{i:02d}" for i in range(14)]
+    prefs = [("q", f"j{g}", "s", d, float(rng.randint(0, 3))) for g in range(9) for d in docs]
+    run = [("q", d, float(rng.randint(0, 9))) for d in docs[:9]]
+    run_df, prefs_df = spark.createDataFrame(run, RUN), spark.createDataFrame(prefs, PREFS)
+    tables = Preferences(run_df, prefs_df)
+    assert not tables._by_profiles()[1].isEmpty()
+    expected = brute_force(run, prefs)
+    values = {r.measure: r.value for r in evaluate_prefs(run_df, prefs_df, ["prefs_pair", "prefs_pair_ret", "prefs_pair_imp"]).collect()}
+    for name, value in values.items():
+        assert value == pytest.approx(expected[name]), name
+
+
+def test_long_chains_settle_in_few_rounds(spark):
+    # Documents alternate between two sub-groups: each is known to be above the next one only.
+    rows = []
+    for i in range(120):
+        s = ("a", "b")[i % 2]
+        rows += [("q", "j", s, f"d{i:03d}", float(1000 - i)), ("q", "j", s, f"d{i + 1:03d}", float(999 - i))]
+        rows[-1] = ("q", "j", s, f"d{i + 1:03d}", float(999 - i))
+    run = spark.createDataFrame([("q", "d000", 1.0)], RUN)
+    tables = Preferences(run, spark.createDataFrame(sorted(set(rows)), PREFS)).check()
+    counts = tables.group_counts().first()
+    assert counts.poss_imp + counts.poss_none == 121 * 120 // 2
+
+
+def test_duplicate_results_are_an_error(spark):
+    run = spark.createDataFrame([("q", "d1", 1.0), ("q", "d1", 2.0)], RUN)
+    prefs = spark.createDataFrame([("q", "j", "s", "d1", 1.0), ("q", "j", "s", "d2", 0.0)], PREFS)
+    with pytest.raises(Exception, match="duplicate result"):
+        evaluate_prefs(run, prefs, ["prefs_simp"]).collect()
