@@ -7,13 +7,14 @@ by an equi-join on (topic, position), a key with one row each: no group is ever
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .measures import DOC_CUTS, doc_cuts, ratio
-from .ordered import OrderedGroups, first_rows
+from .measures import ratio
+from .ordered import OrderedGroups
 
 GAIN_MEASURES = ("ndcg", "ndcg_rel", "Rndcg", "G")
 
@@ -60,92 +61,82 @@ def _gain_levels(ideal: DataFrame) -> DataFrame:
     return ends.select("qid", "gain", F.sum(1.0 / F.col("end_idcg")).over(lower).alias("weight"))
 
 
-def _ideal_totals(ideal: DataFrame) -> DataFrame:
-    return ideal.groupBy("qid").agg(
-        F.max("idcg").alias("idcg_all"),
-        F.max("ideal_gain").alias("gain_all"),
-        F.max("cost").alias("cost_all"),
-        F.max("pos").alias("num_gain"),
-        F.count_distinct("gain").alias("num_levels"),
-    )
-
+class GainSheet:
+    """What the gain measures of one gain table need of rows and topics, as columns named by ``no``.
 
-def gain_values(
-    groups: OrderedGroups,
-    qrels: DataFrame,
-    gains: dict[int, float] | None = None,
-    wanted: Sequence[str] = GAIN_MEASURES,
-    level: int = 1,
-    size=None,
-) -> DataFrame:
-    """One row per judged topic with a column per wanted measure."""
-    groups.with_columns({"gain": F.expr(gain_sql(gains))})
-    groups.with_columns({"dg": F.expr("gain / log2(rank + 1)")})
-    judged = qrels.groupBy("qid").agg(F.count_if(F.col("rel") >= level).alias("num_rel"))
-    ideal = ideal_ranking(qrels, gains, size)
-    if set(wanted) == {"ndcg"}:
-        found = groups.df.groupBy("qid").agg(F.sum("dg").alias("dcg_all"))
-        best = ideal.groupBy("qid").agg(F.max("idcg").alias("idcg_all"))
-        topics = found.join(judged, "qid").join(best, "qid", "left").na.fill(0)
-        return topics.selectExpr("qid", f"{ratio('dcg_all', 'idcg_all')} AS ndcg")
-
-    at = ideal.join(_gain_levels(ideal), ["qid", "gain"]).selectExpr(
-        "qid", "pos AS rank", "idcg", "cost", "weight"
-    )
-    totals = _ideal_totals(ideal)
-    rows = groups.running({"dcg": F.col("dg"), "gain_seen": F.col("gain")}).df
-    counts = rows.groupBy("qid").agg(F.count("*").alias("num_ret"), F.sum("dg").alias("dcg_all"))
-    useful = rows.filter("gain != 0").join(at, ["qid", "rank"], "left").join(totals, "qid")
-    sums = useful.groupBy("qid").agg(
-        F.expr("sum(if(gain > 0, dcg / coalesce(idcg, idcg_all), null)) AS rel_sum"),
-        F.expr("count_if(gain > 0) AS num_gain_ret"),
-        F.expr("sum(dg * coalesce(weight, 0D)) AS boundary_sum"),
-        F.expr(
-            "sum(gain / log2(2 + coalesce(cost, cost_all + (rank - num_gain)) - gain_seen)) AS g_sum"
-        ),
-    )
-    topics = (
-        counts.join(judged, "qid")
-        .join(totals, "qid", "left")
-        .join(sums, "qid", "left")
-        .na.fill(0)
-    )
-    tail = ratio("dcg_all", "idcg_all")
-    past_ideal = "num_ret > num_gain + 1"
-    rel_total = f"(rel_sum + (num_gain - num_gain_ret) * {tail})"
-    boundary_total = f"(boundary_sum + if({past_ideal}, {tail}, 0D))"
-    boundaries = f"(num_levels + if({past_ideal}, 1, 0))"
-    formulas = {
-        "ndcg": tail,
-        "ndcg_rel": f"if({rel_total} > 0, {ratio(rel_total, 'num_gain')}, 0D)",
-        "Rndcg": f"if(num_rel = 0 OR num_gain = 0, 0D, {ratio(boundary_total, boundaries)})",
-        "G": ratio("g_sum", "gain_all"),
-    }
-    return topics.selectExpr("qid", *[f"{formulas[name]} AS {name}" for name in wanted])
-
-
-def ndcg_cut_values(
-    run_ranked: DataFrame, qrels: DataFrame, cuts: Sequence = DOC_CUTS
-) -> DataFrame:
-    """One row per judged topic with ``ndcg_cut_k`` columns; gain is the level itself.
-
-    Only the first ``max(cuts)`` ideal positions count.
+    ``running`` are sums along the ranking, ``lookup`` joins ideal positions to ranks, ``totals`` has a
+    row per judged topic, ``aggregates`` are sums over a topic's ranked rows, and ``values`` names
+    the measures. Several tables and the plain measures share one ranked list.
     """
-    ks = doc_cuts(cuts)
-    order = [F.col("rel").desc(), F.col("docno").asc()]
-    first = first_rows(qrels.filter("rel > 0"), ["qid"], order, ks[-1], "pos")
-    ideal = first.groupBy("qid").agg(
-        *[F.expr(f"sum(if(pos <= {k}, rel / log2(pos + 1), null)) AS idcg_{k}") for k in ks]
-    )
-    found = run_ranked.groupBy("qid").agg(
-        *[
-            F.expr(f"sum(if(rel > 0 AND rank <= {k}, rel / log2(rank + 1), 0D)) AS dcg_{k}")
-            for k in ks
-        ]
-    )
-    judged = qrels.select("qid").distinct()
-    return (
-        found.join(judged, "qid", "left_semi")
-        .join(ideal, "qid", "left")
-        .selectExpr("qid", *[f"coalesce(dcg_{k} / idcg_{k}, 0D) AS ndcg_cut_{k}" for k in ks])
-    )
+
+    def __init__(
+        self, no: int, judged: DataFrame, gains: dict[int, float] | None, wanted: Sequence[str], cuts: Sequence[int] = (),
+        size=None,
+    ) -> None:
+        self.no, self.gains, self.wanted, self.cuts = no, gains, wanted, list(cuts)
+        self.steps = bool(set(wanted) - {"ndcg"})
+        self.ideal = ideal_ranking(judged, gains, size)
+
+    def named(self, text: str) -> str:
+        """``text`` with {name} replaced by the sheet's column of that name."""
+        return re.sub(r"{(\w+)}", rf"\1_{self.no}", text)
+
+    def columns(self) -> dict[str, Column]:
+        return {self.named("{gain}"): F.expr(gain_sql(self.gains))}
+
+    def discounted(self) -> dict[str, Column]:
+        return {self.named("{dg}"): F.expr(self.named("{gain} / log2(rank + 1)"))}
+
+    def running(self) -> dict[str, Column]:
+        if not self.steps:
+            return {}
+        return {self.named("{dcg}"): F.col(self.named("{dg}")), self.named("{gain_seen}"): F.col(self.named("{gain}"))}
+
+    def lookup(self) -> DataFrame | None:
+        """(qid, rank, ...) of ideal positions, for measures that compare step by step."""
+        if not self.steps:
+            return None
+        at = self.ideal.join(_gain_levels(self.ideal), ["qid", "gain"])
+        columns = [self.named(f"{c} AS {{{c}}}") for c in ("idcg", "cost", "weight")]
+        return at.selectExpr("qid", "pos AS rank", *columns)
+
+    def totals(self) -> DataFrame:
+        first = [(f"sum(if(pos <= {k}, gain / log2(pos + 1), null))", f"idcg_{k}") for k in self.cuts]
+        parts = [
+            ("max(idcg)", "idcg_all"), ("max(ideal_gain)", "gain_all"), ("max(cost)", "cost_all"),
+            ("max(pos)", "num_gain"), ("count(DISTINCT gain)", "num_levels"), *first,
+        ]
+        if not self.steps:
+            parts = [parts[0], *first]
+        return self.ideal.groupBy("qid").agg(*[F.expr(f"{e} AS {self.named('{' + n + '}')}") for e, n in parts])
+
+    def aggregates(self) -> list[str]:
+        parts = [("sum({dg})", "dcg_all")]
+        parts += [(f"sum(if(rel > 0 AND rank <= {k}, rel / log2(rank + 1), 0D))", f"dcg_{k}") for k in self.cuts]
+        parts += [(f"first({{idcg_{k}}})", f"best_{k}") for k in self.cuts]
+        parts += [("first({idcg_all})", "best_all")]
+        if self.steps:
+            past = "2 + coalesce({cost}, {cost_all} + (rank - {num_gain})) - {gain_seen}"
+            parts += [
+                ("sum(if({gain} > 0, {dcg} / coalesce({idcg}, {idcg_all}), null))", "rel_sum"),
+                ("count_if({gain} > 0)", "num_gain_ret"),
+                ("sum({dg} * coalesce({weight}, 0D))", "boundary_sum"),
+                ("sum(if({gain} != 0 AND {cost_all} IS NOT NULL, {gain} / log2(" + past + "), null))", "g_sum"),
+                ("first({gain_all})", "best_gain"), ("first({num_gain})", "goods"), ("first({num_levels})", "levels"),
+            ]
+        return [self.named(f"coalesce({e}, 0) AS {{{n}}}") for e, n in parts]
+
+    def values(self) -> dict[str, str]:
+        tail = ratio("{dcg_all}", "{best_all}")
+        past_ideal = "num_ret > {goods} + 1"
+        rel_total = f"({{rel_sum}} + ({{goods}} - {{num_gain_ret}}) * {tail})"
+        boundary_total = f"({{boundary_sum}} + if({past_ideal}, {tail}, 0D))"
+        boundaries = f"({{levels}} + if({past_ideal}, 1, 0))"
+        formulas = {
+            "ndcg": tail,
+            "ndcg_rel": f"if({rel_total} > 0, {ratio(rel_total, '{goods}')}, 0D)",
+            "Rndcg": f"if(num_rel = 0 OR {{goods}} = 0, 0D, {ratio(boundary_total, boundaries)})",
+            "G": ratio("{g_sum}", "{best_gain}"),
+        }
+        found = {name: self.named(formulas[name]) for name in self.wanted}
+        return found | {f"ndcg_cut_{k}": self.named(ratio(f"{{dcg_{k}}}", f"{{best_{k}}}")) for k in self.cuts}

@@ -14,11 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import OrderedGroups
-from .ranking import NOT_POOLED, UNJUDGED, judged_counts, running_counts
+from .ranking import NOT_POOLED, UNJUDGED
 
 # Default cut-offs, points and parameters of the published measures.
 DOC_CUTS = (5, 10, 15, 20, 30, 100, 200, 500, 1000)
@@ -341,52 +340,64 @@ def registered() -> list[str]:
     return list(_REGISTRY)
 
 
-def measure_values(
-    groups: OrderedGroups,
-    qrels: DataFrame,
-    chosen: dict[str, Sequence | None],
-    level: int = 1,
-    collection_size: int = 0,
-    keys: tuple[str, ...] = ("qid",),
-) -> DataFrame:
-    """(keys..., measure, value) of the chosen measures for every judged topic."""
-    sheet = Sheet(level, collection_size)
+def chosen_values(sheet: Sheet, chosen: dict[str, Sequence | None]) -> list[tuple[str, str]]:
+    """(name, SQL text) of the chosen measures; ``sheet`` gets the row sums that they need."""
     values: list[tuple[str, str]] = []
     for name, params in chosen.items():
         function, default = _REGISTRY[name]
         values.extend(function(sheet, default if params is None else params))
+    return values
 
-    rows = (
-        running_counts(groups, level)
-        .df.withColumn("is_rel", F.col("rel") >= level)
-        .join(judged_counts(qrels, level, keys), list(keys))
-    )
-    aggregates = [
-        "count(*) AS num_ret",
-        f"count_if(rel = {NOT_POOLED}) AS num_nonpool",
-        f"count_if(rel = {UNJUDGED}) AS num_unjudged",
-        "count_if(is_rel) AS num_rel_ret",
-        "first(num_rel) AS num_rel",
-        "first(num_nonrel) AS num_nonrel",
-        *sheet.aggregates(),
-    ]
-    topics = rows.groupBy(*keys).agg(*[F.expr(a) for a in aggregates])
-    return long_form(topics, keys, values)
-
-
-def long_form(topics: DataFrame, keys: Sequence[str], values: list[tuple[str, str]]) -> DataFrame:
-    """One row per topic and measure from one row per topic; values are SQL text."""
-    pairs = ", ".join(
-        f"named_struct('measure', '{name}', 'value', cast({value} AS double))"
-        for name, value in values
+
+#: What every sheet counts of a topic.
+TOPIC_COUNTS = (
+    "count(*) AS num_ret",
+    f"count_if(rel = {NOT_POOLED}) AS num_nonpool",
+    f"count_if(rel = {UNJUDGED}) AS num_unjudged",
+    "count_if(is_rel) AS num_rel_ret",
+)
+
+
+def group_values(
+    rows: DataFrame, counts: DataFrame, chosen: dict[str, Sequence | None], keys: tuple[str, ...]
+) -> DataFrame:
+    """(keys..., measure, value) from relevant rows alone (keys, rank, rel, rel_seen) and num_rel per key.
+
+    For measures that are sums over relevant documents.
+    """
+    sheet = Sheet()
+    values = chosen_values(sheet, chosen)
+    sums = (
+        rows.withColumn("is_rel", F.lit(True))
+        .join(counts, list(keys))
+        .groupBy(*keys)
+        .agg(*[F.expr(a) for a in sheet.aggregates()])
     )
-    return topics.selectExpr(*keys, f"inline(array({pairs}))")
+    return long_form(counts.join(sums, list(keys), "left").na.fill(0), keys, values)
 
 
-def relevance_strings(
-    ranked: DataFrame, length: int = RELSTRING_LENGTH
+def long_form(
+    topics: DataFrame, keys: Sequence[str], values: list[tuple[str, str]], texts: list[tuple[str, str]] | None = None
 ) -> DataFrame:
-    """Relevance of the first ``length`` documents as one character each."""
+    """One row per topic and measure from one row per topic; values are SQL text.
+
+    With ``texts`` there is a column ``text`` too, which those measures have in place of a value.
+    """
+    if texts is None:
+        pairs = [f"named_struct('measure', '{name}', 'value', cast({value} AS double))" for name, value in values]
+        return topics.selectExpr(*keys, f"inline(array({', '.join(pairs)}))")
+    rows = [(name, f"cast({value} AS double)", "cast(null AS string)") for name, value in values]
+    rows += [(name, "cast(null AS double)", f"cast({text} AS string)") for name, text in texts]
+    pairs = [f"named_struct('measure', '{n}', 'value', {v}, 'text', {t})" for n, v, t in rows]
+    return topics.selectExpr(*keys, f"inline(array({', '.join(pairs)}))")
+
+
+def relstring_name(length: int) -> str:
+    return "relstring" if length == RELSTRING_LENGTH else f"relstring_{length}"
+
+
+def relstring_aggregate(length: int) -> Column:
+    """Relevance of a topic's first ``length`` documents as one character each."""
     rel = F.col("rel")
     letter = (
         F.when(rel > 9, ">")
@@ -395,13 +406,15 @@ def relevance_strings(
         .when(rel == UNJUDGED, ".")
         .otherwise("<")
     )
-    first = ranked.filter(F.col("rank") <= length).select(
-        "qid", F.struct("rank", letter.alias("letter")).alias("at")
-    )
-    text = F.array_join(F.transform(F.array_sort(F.collect_list("at")), lambda a: a["letter"]), "")
-    name = "relstring" if length == RELSTRING_LENGTH else f"relstring_{length}"
-    return first.groupBy("qid").agg(text.alias("text")).select(
-        "qid", F.lit(name).alias("measure"), "text"
+    first = F.collect_list(F.when(F.col("rank") <= length, F.struct("rank", letter.alias("letter"))))
+    return F.array_join(F.transform(F.array_sort(first), lambda a: a["letter"]), "")
+
+
+def relevance_strings(ranked: DataFrame, length: int = RELSTRING_LENGTH) -> DataFrame:
+    """The relevance string of every topic of a ranked list."""
+    first = ranked.filter(F.col("rank") <= length)
+    return first.groupBy("qid").agg(relstring_aggregate(length).alias("text")).select(
+        "qid", F.lit(relstring_name(length)).alias("measure"), "text"
     )
 
 

@@ -11,6 +11,7 @@ of the pieces before it are added from a table with one row per piece.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from copy import copy
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -60,7 +61,7 @@ class OrderedGroups:
     """Rows of ``df`` grouped by ``keys`` and totally ordered by ``order``.
 
     ``size`` holds sizes counted before and saves the count; a plain number is a bound of rows
-    per group that is checked.
+    per group that is checked. Methods give new objects that share the partitioning.
     """
 
     def __init__(
@@ -94,23 +95,25 @@ class OrderedGroups:
     def df(self) -> DataFrame:
         return self._df.drop(_PIECE) if self.split else self._df
 
+    def _of(self, df: DataFrame) -> OrderedGroups:
+        other = copy(self)
+        other._df = df
+        return other
+
     def with_columns(self, columns: dict[str, Column]) -> OrderedGroups:
         """Add row-wise columns; grouping and order stay as they are."""
-        self._df = self._df.withColumns(columns)
-        return self
+        return self._of(self._df.withColumns(columns))
 
     def join(self, other: DataFrame, on: Sequence[str], how: str = "inner") -> OrderedGroups:
         """Join a table with at most one row per key of ``on``."""
-        self._df = self._df.join(other, list(on), how)
-        return self
+        return self._of(self._df.join(other, list(on), how))
 
     def number(self, name: str) -> OrderedGroups:
         """1-based position in the group, as a long."""
         if self.split:
             return self.running({name: F.lit(1)})
         w = Window.partitionBy(*self.keys).orderBy(*self.order)
-        self._df = self._df.withColumn(name, F.row_number().over(w).cast("long"))
-        return self
+        return self._of(self._df.withColumn(name, F.row_number().over(w).cast("long")))
 
     def running(self, columns: dict[str, Column]) -> OrderedGroups:
         """Running sums in order, the row itself included."""
@@ -128,8 +131,7 @@ class OrderedGroups:
         )
         here = self._df.withColumns({n: function(c).over(w) for n, c in columns.items()})
         if not self.split:
-            self._df = here
-            return self
+            return self._of(here)
         totals = self._df.groupBy(*self._parts).agg(
             *[function(c).alias(f"_{n}_total") for n, c in columns.items()]
         )
@@ -148,7 +150,8 @@ class OrderedGroups:
             ],
         )
         joined = here.join(before, self._parts)
-        self._df = joined.withColumns(
-            {n: combine(F.col(n), F.col(f"_{n}_before")) for n in columns}
-        ).drop(*[f"_{n}_before" for n in columns])
-        return self
+        return self._of(
+            joined.withColumns({n: combine(F.col(n), F.col(f"_{n}_before")) for n in columns}).drop(
+                *[f"_{n}_before" for n in columns]
+            )
+        )

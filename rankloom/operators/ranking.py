@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .checks import once
@@ -50,10 +50,14 @@ def rank_run(
     return groups.df.drop(_KEY)
 
 
+def judgements(qrels: DataFrame) -> DataFrame:
+    """(qid, docno, rel); a document judged twice for a topic is an error."""
+    return once(qrels.select("qid", "docno", F.col("rel").cast("int").alias("rel")), ["qid", "docno"], "judgement")
+
+
 def with_relevance(run: DataFrame, qrels: DataFrame) -> DataFrame:
     """Left join on (qid, docno); -1 not judged at all, -2 judged list member without a value."""
-    judged = qrels.select("qid", "docno", F.col("rel").cast("int").alias("rel"))
-    judged = once(judged, ["qid", "docno"], "judgement")
+    judged = judgements(qrels)
     return run.join(judged, ["qid", "docno"], "left").withColumn(
         "rel",
         F.when(F.col("rel").isNull(), NOT_POOLED)
@@ -92,6 +96,38 @@ def ranked_relevance(run: DataFrame, qrels: DataFrame, **options) -> DataFrame:
     return rows.select("qid", "docno", "rank", "rel")
 
 
+def judged_ranks_by_group(
+    run: DataFrame,
+    qrels_jg: DataFrame,
+    size: Size = None,
+    max_docs: int | None = None,
+    judged_only: bool = False,
+    level: int = 1,
+) -> tuple[DataFrame, DataFrame]:
+    """Relevant documents of the run per judgement group, without a copy of the run per group.
+
+    Returns rows (qid, jg, rank, rel, rel_seen) of the relevant retrieved documents, and (qid, jg,
+    num_rel) of all groups of the topics with results. The run is ranked once; a group's judgements meet
+    the ranks by (qid, docno). With ``judged_only`` the rank counts the documents that the group judged,
+    which are the rows that met.
+    """
+    judged = qrels_jg.select("qid", "jg", "docno", F.col("rel").cast("int").alias("rel"))
+    judged = once(judged, ["qid", "jg", "docno"], "judgement")
+    run = once(run.select("qid", "docno", "score"), ["qid", "docno"], "result")
+    ranked = rank_run(run, max_docs=max_docs, size=size).select("qid", "docno", "rank")
+    met = ranked.join(judged, ["qid", "docno"]).filter("rel >= 0")
+    if not judged_only:
+        met = met.filter(F.col("rel") >= level)
+    groups = OrderedGroups(met, ["qid", "jg"], [F.col("rank").asc()])
+    if judged_only:
+        groups = groups.number("place")
+    seen = groups.running({"rel_seen": F.when(F.col("rel") >= level, 1).otherwise(0)}).df
+    rank = F.col("place" if judged_only else "rank").alias("rank")
+    rows = seen.filter(F.col("rel") >= level).select("qid", "jg", rank, "rel", "rel_seen")
+    counts = judged_counts(topics_in_both(judged, run), level, ("qid", "jg")).select("qid", "jg", "num_rel")
+    return rows, counts
+
+
 def ranked_relevance_by_group(
     run: DataFrame,
     qrels_jg: DataFrame,
@@ -166,11 +202,14 @@ def rel_levels(qrels: DataFrame) -> DataFrame:
     return qrels.filter("rel >= 0").groupBy("qid", "rel").agg(F.count("*").alias("cnt"))
 
 
-def running_counts(groups: OrderedGroups, level: int = 1) -> OrderedGroups:
-    """Add relevant, judged non-relevant and unjudged documents seen so far."""
+def running_counts(
+    groups: OrderedGroups, level: int = 1, others: dict[str, Column] | None = None
+) -> OrderedGroups:
+    """Add relevant, judged non-relevant and unjudged documents seen so far, and ``others``."""
     rel = F.col("rel")
     return groups.running(
-        {
+        (others or {})
+        | {
             "rel_seen": F.when(rel >= level, 1).otherwise(0),
             "nonrel_seen": F.when((rel >= 0) & (rel < level), 1).otherwise(0),
             "unjudged_seen": F.when(rel == UNJUDGED, 1).otherwise(0),

@@ -41,13 +41,24 @@ def topic_count(evals: DataFrame) -> DataFrame:
     return count.select(F.lit("all").alias("qid"), F.lit("num_q").alias("measure"), "value")
 
 
+def _with_count(rows: DataFrame, found: Column, pivot: str | Column) -> DataFrame:
+    """Summary rows (measure, value) with a ``num_q`` row beside that of the measure ``pivot``, which
+    every topic has: no second pass over the values counts the topics."""
+    row = F.struct(F.col("measure"), F.col("value"))
+    count = F.struct(F.lit("num_q").alias("measure"), found.cast("double").alias("value"))
+    pair = F.when(F.col("measure") == pivot, F.array(row, count)).otherwise(F.array(row))
+    others = [c for c in rows.columns if c not in ("measure", "value")]
+    return rows.select(*others, F.inline(pair))
+
+
 def summarize(
-    evals: DataFrame, judgements: DataFrame | None = None, complete: bool = False
+    evals: DataFrame, judgements: DataFrame | None = None, complete: bool = False, pivot: str | None = None
 ) -> DataFrame:
     """The ``all`` rows: one per measure, plus ``num_q``.
 
     ``complete`` averages over all judged topics, a topic without results counting 0 (or the
-    floor of the geometric mean); it needs ``judgements``.
+    floor of the geometric mean); it needs ``judgements``. ``pivot`` names a measure that every topic
+    has, whose values are then counted for ``num_q``.
     """
     totals = evals.groupBy("measure").agg(
         F.sum("value").alias("total"), F.count("*").alias("found")
@@ -61,33 +72,54 @@ def summarize(
         num_q = topic_count(judgements)
     else:
         value = _summary_value(F.col("found"), F.col("found"))
+        if pivot is not None:
+            rows = totals.select(F.lit("all").alias("qid"), "measure", value.alias("value"), "found")
+            return _with_count(rows, F.col("found"), pivot).drop("found")
         num_q = topic_count(evals)
     rows = totals.select(F.lit("all").alias("qid"), "measure", value.alias("value"))
     return rows.unionByName(num_q)
 
 
-def report_rows(evals: DataFrame, per_topic: bool = True, summary: bool = True) -> DataFrame:
-    """Topic rows and ``all`` rows in one result, from one pass over the values."""
+def report_rows(
+    evals: DataFrame, per_topic: bool = True, summary: bool = True, pivot: str | None = None
+) -> DataFrame:
+    """Topic rows and ``all`` rows in one result, from one pass over the values.
+
+    Rows with a ``text`` in place of a value have no summary. ``pivot`` asks for a ``num_q`` row.
+    """
+    texts = "text" in evals.columns
     topic_rows = evals.filter(~_is(GEOMETRIC_MEASURES))
     if not summary:
         return topic_rows
     if not per_topic:
         return summarize(evals)
+    text = [F.max("text").alias("text")] if texts else []
     sets = evals.groupingSets(
         [[F.col("qid"), F.col("measure")], [F.col("measure")]], F.col("qid"), F.col("measure")
     ).agg(
         F.sum("value").alias("total"),
-        F.count("*").alias("found"),
+        F.count("value").alias("found"),
         F.grouping(F.col("qid")).alias("is_summary"),
+        *text,
     )
     is_summary = F.col("is_summary") == 1
-    return sets.filter(is_summary | ~_is(GEOMETRIC_MEASURES)).select(
+    kept = sets.filter(is_summary | ~_is(GEOMETRIC_MEASURES))
+    if texts:
+        kept = kept.filter(~is_summary | F.col("text").isNull())
+    rows = kept.select(
         F.when(is_summary, "all").otherwise(F.col("qid")).alias("qid"),
         "measure",
         F.when(is_summary, _summary_value(F.col("found"), F.col("found")))
         .otherwise(F.col("total"))
         .alias("value"),
+        *(["text"] if texts else []),
+        "found",
+        "is_summary",
     )
+    if pivot is not None:
+        counted = F.when(is_summary, F.lit(pivot))
+        rows = _with_count(rows, F.col("found"), counted)
+    return rows.drop("found", "is_summary")
 
 
 # Relative difference below which values are equal but for rounding.
@@ -100,10 +132,13 @@ def zscore(evals: DataFrame, reference: DataFrame) -> DataFrame:
     equal = F.abs(value - mean) <= TOLERANCE * F.greatest(F.abs(value), F.abs(mean))
     missing = F.lit(MISSING_ZSCORE)
     joined = evals.join(reference, ["qid", "measure"], "left")
+    texts = ["text"] if "text" in evals.columns else []
     return joined.select(
         "qid",
         "measure",
-        F.when(mean.isNull() | sd.isNull(), missing)
+        *texts,
+        F.when(value.isNull(), F.lit(None).cast("double"))
+        .when(mean.isNull() | sd.isNull(), missing)
         .when(sd != 0, (value - mean) / sd)
         .when(equal, F.lit(0.0))
         .otherwise(missing)

@@ -11,8 +11,15 @@ from pyspark.sql import functions as F
 from ..operators import gains as gain_ops
 from ..operators import measures as m
 from ..operators import prefs as pref_ops
-from ..operators.ranking import Size, ranked_groups, ranked_relevance, ranked_relevance_by_group
-from ..operators.summary import report_rows, summarize, topic_count, zscore
+from ..operators.ranking import judgements as checked_judgements
+from ..operators.ranking import (
+    Size,
+    judged_counts,
+    judged_ranks_by_group,
+    ranked_groups,
+    running_counts,
+)
+from ..operators.summary import report_rows, summarize, zscore
 
 # Measures that are texts or counts of topics, not values of one topic.
 _REPORT_ONLY = ("runid", "num_q", "relstring")
@@ -43,10 +50,14 @@ def _gain_label(name: str, gains: Mapping[int, float] | None) -> str:
     return f"{name}_{','.join(f'{level}={gain:g}' for level, gain in gains.items())}"
 
 
-def evaluate(
+def _of_topic(df: DataFrame, qid: str | None) -> DataFrame:
+    return df if qid is None else df.filter(F.col("qid") == qid)
+
+
+def _sheet(
     run: DataFrame,
     qrels: DataFrame,
-    measures: MeasureChoice = "official",
+    chosen: dict[str, object],
     *,
     level: int = 1,
     max_docs: int | None = None,
@@ -54,37 +65,76 @@ def evaluate(
     qid: str | None = None,
     collection_size: int = 0,
     size: Size = None,
-) -> DataFrame:
-    """(qid, measure, value) for the topics that have results and judgements."""
-    chosen = choose(measures)
-    if qid is not None:
-        run, qrels = run.filter(F.col("qid") == qid), qrels.filter(F.col("qid") == qid)
-    options = {"max_docs": max_docs, "judged_only": judged_only, "size": size}
+) -> tuple[DataFrame, list[tuple[str, str]], list[tuple[str, str]]]:
+    """One row per topic with all sums, and the values and texts that they give.
 
-    groups = ranked_groups(run, qrels, **options)
-    parts: list[DataFrame] = []
-    plain = {n: p for n, p in chosen.items() if n in m.registered()}
-    if plain:
-        parts.append(m.measure_values(groups, qrels, plain, level, collection_size))
+    The run is joined, ranked and summed once for all measures: plain ones, those of every gain table,
+    cut-offs and relevance strings. Ideal positions meet the ranks by (qid, rank); everything
+    of the judgements comes from one checked table, whose exchange the plan uses again.
+    """
+    run, qrels = _of_topic(run, qid), _of_topic(qrels, qid)
+    judged = checked_judgements(qrels)
+    sheet = m.Sheet(level, collection_size)
+    values = m.chosen_values(sheet, {n: p for n, p in chosen.items() if n in m.registered()})
 
     by_gains: dict[tuple, list[str]] = {}
     for name in gain_ops.GAIN_MEASURES:
         if name in chosen:
             by_gains.setdefault(tuple((chosen[name] or {}).items()), []).append(name)
-    for pairs, names in by_gains.items():
-        table = dict(pairs)
-        topics = gain_ops.gain_values(groups, qrels, table, names, level)
-        values = [(_gain_label(n, table), n) for n in names]
-        parts.append(m.long_form(topics, ["qid"], values))
-
-    if "ndcg_cut" in chosen:
-        cuts = chosen["ndcg_cut"] or m.DOC_CUTS
-        topics = gain_ops.ndcg_cut_values(groups.df, qrels, cuts)
-        values = [(f"ndcg_cut_{k}", f"ndcg_cut_{k}") for k in m.doc_cuts(cuts)]
-        parts.append(m.long_form(topics, ["qid"], values))
-    if not parts:
+    cuts = m.doc_cuts(chosen["ndcg_cut"] or m.DOC_CUTS) if "ndcg_cut" in chosen else []
+    if cuts:
+        by_gains.setdefault((), [])
+    gains = [
+        gain_ops.GainSheet(i, judged, dict(pairs), names, cuts if not pairs else ())
+        for i, (pairs, names) in enumerate(by_gains.items())
+    ]
+    for g in gains:
+        values += [
+            (_gain_label(n, g.gains) if n in gain_ops.GAIN_MEASURES else n, v) for n, v in g.values().items()
+        ]
+
+    groups = ranked_groups(run, qrels, max_docs=max_docs, judged_only=judged_only, size=size)
+    for add in (gain_ops.GainSheet.columns, gain_ops.GainSheet.discounted):
+        groups = groups.with_columns({k: c for g in gains for k, c in add(g).items()}) if gains else groups
+    running = {k: c for g in gains for k, c in g.running().items()}
+    rows = running_counts(groups, level, running).df.withColumn("is_rel", F.col("rel") >= level)
+
+    topics = judged_counts(judged, level)
+    for g in gains:
+        topics = topics.join(g.totals(), "qid", "left")
+        lookup = g.lookup()
+        if lookup is not None:
+            rows = rows.join(lookup, ["qid", "rank"], "left")
+    length = int((chosen.get("relstring") or [m.RELSTRING_LENGTH])[0])
+    aggregates = [
+        *m.TOPIC_COUNTS,
+        "first(num_rel) AS num_rel",
+        "first(num_nonrel) AS num_nonrel",
+        *sheet.aggregates(),
+        *[a for g in gains for a in g.aggregates()],
+    ]
+    texts = [(m.relstring_name(length), "relstring")] if "relstring" in chosen else []
+    relstring = [m.relstring_aggregate(length).alias("relstring")] if texts else []
+    found = rows.join(topics, "qid").groupBy("qid").agg(*[F.expr(a) for a in aggregates], *relstring)
+    return found, values, texts
+
+
+def evaluate(
+    run: DataFrame,
+    qrels: DataFrame,
+    measures: MeasureChoice = "official",
+    **options,
+) -> DataFrame:
+    """(qid, measure, value) for the topics that have results and judgements.
+
+    Options: ``level``, ``max_docs``, ``judged_only``, ``qid`` (one topic only), ``collection_size``,
+    ``size`` (rows of the largest topic, if known).
+    """
+    chosen = {n: p for n, p in choose(measures).items() if n not in _REPORT_ONLY}
+    found, values, _ = _sheet(run, qrels, chosen, **options)
+    if not values:
         raise ValueError("no measure with values chosen")
-    return reduce(DataFrame.unionByName, parts)
+    return m.long_form(found, ["qid"], values)
 
 
 def evaluate_groups(
@@ -99,12 +149,11 @@ def evaluate_groups(
     size: Size = None,
 ) -> DataFrame:
     """Measures per judgement group, averaged over the groups of a topic."""
-    if qid is not None:
-        run, qrels_jg = run.filter(F.col("qid") == qid), qrels_jg.filter(F.col("qid") == qid)
+    run, qrels_jg = _of_topic(run, qid), _of_topic(qrels_jg, qid)
     inner = {"map_avgjg": "map", "P_avgjg": "P", "Rprec_mult_avgjg": "Rprec_mult"}
     chosen = {inner[n]: p for n, p in choose(measures).items() if n in inner}
-    groups = ranked_relevance_by_group(run, qrels_jg, size, max_docs, judged_only)
-    values = m.measure_values(groups, qrels_jg, chosen, level, keys=("qid", "jg"))
+    rows, counts = judged_ranks_by_group(run, qrels_jg, size, max_docs, judged_only, level)
+    values = m.group_values(rows, counts, chosen, ("qid", "jg"))
     name = F.regexp_replace("measure", r"^(map|P|Rprec_mult)(?=_|$)", "$1_avgjg")
     return values.groupBy("qid", name.alias("measure")).agg(F.avg("value").alias("value"))
 
@@ -123,13 +172,21 @@ def evaluate_prefs(
 
     Judgements that contradict each other are an error.
     """
-    if qid is not None:
-        run, prefs = run.filter(F.col("qid") == qid), prefs.filter(F.col("qid") == qid)
+    run, prefs = _of_topic(run, qid), _of_topic(prefs, qid)
     wanted = [n for n in choose(measures) if n not in _REPORT_ONLY]
     return pref_ops.pref_values(run, prefs, wanted, max_docs=max_docs, strict=strict, size=size)
 
 
-_EVALUATORS = {"qrels": evaluate, "qrels_jg": evaluate_groups, "prefs": evaluate_prefs}
+def _first_label(kind: str, chosen: dict[str, object]) -> str:
+    """A measure that every topic has a value of, by its printed name."""
+    names = [n for n in chosen if n not in _REPORT_ONLY]
+    if kind == "prefs":
+        return names[0]
+    if kind == "qrels_jg":
+        inner = {"map_avgjg": "map", "P_avgjg": "P", "Rprec_mult_avgjg": "Rprec_mult"}
+        label = m.chosen_values(m.Sheet(), {inner[names[0]]: chosen[names[0]]})[0][0]
+        return label.replace(inner[names[0]], names[0], 1)
+    return ""
 
 
 def report(
@@ -142,37 +199,44 @@ def report(
     summary: bool = True,
     complete: bool = False,
     zscores: DataFrame | None = None,
+    qid: str | None = None,
     **options,
 ) -> DataFrame:
     """Report rows (qid, measure, value, text): topic rows if asked for, and ``all`` rows.
 
     ``kind`` names the judgements: ``qrels``, ``qrels_jg`` or ``prefs`` (judgements read as
-    preferences included). ``complete`` averages over all judged topics.
+    preferences included). ``complete`` averages over all judged topics. ``qid`` leaves all
+    other topics out, of every line. Values and texts come from one pass over run and judgements.
     """
     chosen = choose(measures)
-    evals = _EVALUATORS[kind](run, judgements, measures, **options)
+    run, judgements = _of_topic(run, qid), _of_topic(judgements, qid)
+    if kind == "qrels":
+        valued = {n: p for n, p in chosen.items() if n not in ("runid", "num_q")}
+        if not per_topic:
+            valued.pop("relstring", None)
+        found, values, texts = _sheet(run, judgements, valued, **options)
+        evals = m.long_form(found, ["qid"], values, texts)
+        pivot = values[0][0] if values else texts[0][0]
+    else:
+        evals = {"qrels_jg": evaluate_groups, "prefs": evaluate_prefs}[kind](run, judgements, measures, **options)
+        evals = evals.withColumn("text", F.lit(None).cast("string"))
+        pivot = _first_label(kind, chosen)
     if zscores is not None:
         evals = zscore(evals, zscores)
-    parts = []
+    counted = pivot if "num_q" in chosen else None
     if per_topic and summary and not complete:
-        parts.append(report_rows(evals))
-        if "num_q" in chosen:
-            parts.append(topic_count(evals))
+        rows = report_rows(evals, pivot=counted)
     else:
+        parts = []
         if per_topic or not summary:
             parts.append(report_rows(evals, summary=False))
         if summary:
-            rows = summarize(evals, judgements, complete)
-            parts.append(rows if "num_q" in chosen else rows.filter("measure <> 'num_q'"))
-    rows = reduce(DataFrame.unionByName, parts).withColumn("text", F.lit(None).cast("string"))
-    texts = []
-    if per_topic and kind == "qrels" and "relstring" in chosen:
-        ranked_options = {k: options[k] for k in ("max_docs", "judged_only", "size") if k in options}
-        ranked = ranked_relevance(run, judgements, **ranked_options)
-        length = int((chosen["relstring"] or [m.RELSTRING_LENGTH])[0])
-        texts.append(m.relevance_strings(ranked, length))
+            valued = evals.filter("text IS NULL").select("qid", "measure", "value")
+            all_rows = summarize(valued, judgements, complete, pivot)
+            all_rows = all_rows if "num_q" in chosen else all_rows.filter("measure <> 'num_q'")
+            parts.append(all_rows.withColumn("text", F.lit(None).cast("string")))
+        rows = reduce(DataFrame.unionByName, parts)
+    rows = rows.select("qid", "measure", "value", "text")
     if summary and "runid" in chosen and "run_id" in run.columns:
-        texts.append(m.run_id(run))
-    for text in texts:
-        rows = rows.unionByName(text.withColumn("value", F.lit(None).cast("double")))
+        rows = rows.unionByName(m.run_id(run).withColumn("value", F.lit(None).cast("double")))
     return rows

@@ -20,7 +20,10 @@ def _rows(spark):
 
 def _numbered(df):
     groups = OrderedGroups(df, ["k"], [F.col("s").desc(), F.col("d").asc()])
-    groups.number("no").running({"total": F.col("v")}).running_max({"best": F.col("v")})
+    before = groups.df.columns
+    numbered = groups.number("no").running({"total": F.col("v")}).running_max({"best": F.col("v")})
+    assert groups.df.columns == before
+    groups = numbered
     return groups.split, sorted(map(tuple, groups.df.select("k", "d", "no", "total", "best").collect()))
 
 
