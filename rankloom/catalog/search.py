@@ -186,24 +186,25 @@ INDEX = [
 SELECT docno, field, term, count(*) AS tf, string_agg(pos::VARCHAR, ',' ORDER BY pos) AS positions
 FROM tok GROUP BY docno, field, term"""))
 def postings(spark, folder):
-    found = index.postings(_tokens(spark, folder))
+    found = index.text_postings(fields(inputs.docs(spark, folder)), "docno", "field", analyzer=FULL)
     return found.withColumn("positions", F.array_join(F.col("positions").cast("array<string>"), ","))
 
 
 @query("doc_len", with_ctes(INDEX, "SELECT docno, field, dl FROM len"))
 def doc_len(spark, folder):
-    return index.doc_len(_tokens(spark, folder))
+    return analysis.text_lengths(fields(inputs.docs(spark, folder)), "docno", "field", analyzer=FULL)
 
 
 @query("term_stats", with_ctes(INDEX, "SELECT field, term, df, ctf FROM ts"))
 def term_stats(spark, folder):
-    counted = _tokens(spark, folder).groupBy("docno", "field", "term").agg(F.count("*").alias("tf"))
-    return index.term_stats(counted)
+    texts = fields(inputs.docs(spark, folder))
+    return index.term_stats(index.text_postings(texts, "docno", "field", analyzer=FULL))
 
 
 @query("field_stats", with_ctes(INDEX, "SELECT field, n_docs, sum_dl, round(avgdl, 8) AS avgdl FROM fs"))
 def field_stats(spark, folder):
-    return rounded(index.field_stats(index.doc_len(_tokens(spark, folder))), "avgdl")
+    lengths = analysis.text_lengths(fields(inputs.docs(spark, folder)), "docno", "field", analyzer=FULL)
+    return rounded(index.field_stats(lengths), "avgdl")
 
 
 @query("num_docs", "SELECT count(*) AS num_docs FROM documents")

@@ -72,7 +72,7 @@ def elements(text: Column, tag: str) -> Column:
     return F.when(F.size(found) > 0, F.array_join(found, " "))
 
 
-def _once(value: Column, function) -> Column:
+def once_computed(value: Column, function) -> Column:
     """``function`` of a value that is computed once, however often the function uses it."""
     return F.transform(F.array(value), function)[0]
 
@@ -108,7 +108,7 @@ def depths(steps: Column) -> Column:
             F.array(F.lit(0)),
             lambda d, e: F.concat(d, F.array(F.greatest(F.element_at(d, -1) + e["a"], e["b"]))),
         )
-        return _once(
+        return once_computed(
             entered,
             lambda b: F.flatten(
                 F.transform(
@@ -118,7 +118,7 @@ def depths(steps: Column) -> Column:
             ),
         )
 
-    return _once(steps, of)
+    return once_computed(steps, of)
 
 
 def outermost(text: Column, tag: str) -> Column:
@@ -143,7 +143,7 @@ def outermost(text: Column, tag: str) -> Column:
         joined = F.array_join(F.transform(found, kept), "")
         return F.when(F.exists(depth, lambda d: d > 0), joined)
 
-    return _once(pieces, lambda found: _once(depths(F.transform(found, step)), lambda d: content(found, d)))
+    return once_computed(pieces, lambda found: once_computed(depths(F.transform(found, step)), lambda d: content(found, d)))
 
 
 def without_elements(text: Column, tags: list[str]) -> Column:

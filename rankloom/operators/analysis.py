@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stem import stemmed
-from ..functions.text import folded, without_possessive, words
-from ..session import durable
+from ..functions.text import folded, once_computed, without_possessive, words
+from ..session import broadcast_if_small, durable, written
 
 # Shortest and longest word kept.
 MIN_LENGTH, MAX_LENGTH = 2, 20
@@ -114,20 +114,125 @@ def vocabulary_stems(tokens: DataFrame) -> DataFrame:
 
 
 def stem(tokens: DataFrame) -> DataFrame:
-    """Replace terms by their stems through the vocabulary.
+    """Replace the terms of a token table by their stems through the vocabulary.
 
-    A plain equi-join: the planner broadcasts a small vocabulary and splits the partitions of
-    frequent terms otherwise.
+    Texts are better stemmed as entries (:func:`stemmed_entries`): a row per word of a text and not per
+    token then meets the vocabulary.
     """
     columns = tokens.columns
     joined = tokens.join(vocabulary_stems(tokens), "term")
     return joined.withColumn("term", F.col("stem")).select(*columns)
 
 
+def _placed_words(analyzer: Analyzer) -> Column:
+    """The kept words of a text as an array of (term, pos), by length and stop list."""
+    placed = F.transform(
+        words(folded(F.col("text"))),
+        lambda w, i: F.struct(without_possessive(w).alias("term"), i.alias("pos")),
+    )
+    kept = F.filter(placed, lambda x: F.length(x["term"]).between(MIN_LENGTH, MAX_LENGTH))
+    if analyzer.stop is None or isinstance(analyzer.stop, DataFrame):
+        return kept
+    listed = sorted({w.strip().lower() for w in analyzer.stop})
+    return F.filter(kept, lambda x: ~x["term"].isin(listed)) if listed else kept
+
+
+def _grouped_words(placed: Column) -> Column:
+    """(term, positions) of each word of an array of (term, pos), inside the row.
+
+    The array is sorted, runs of one word begin where the word changes, and each run is cut out, so
+    the work of a text is that of sorting its words.
+    """
+
+    def runs(at: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(at) - 1),
+            lambda i: (i == 0) | (F.get(at, i)["term"] != F.get(at, i - 1)["term"]),
+        )
+        return once_computed(
+            starts,
+            lambda s: F.transform(
+                s,
+                lambda i, k: F.struct(
+                    F.get(at, i)["term"].alias("term"),
+                    F.transform(
+                        F.slice(at, i + 1, F.coalesce(F.get(s, k + 1), F.size(at)) - i), lambda x: x["pos"]
+                    ).alias("positions"),
+                ),
+            ),
+        )
+
+    empty = F.filter(F.array(F.struct(F.lit("").alias("term"), F.array(F.lit(0)).alias("positions"))), lambda x: F.lit(False))
+    return F.when(F.size(placed) > 0, once_computed(F.array_sort(placed), runs)).otherwise(empty)
+
+
+def text_words(texts: DataFrame, *keys: str, analyzer: Analyzer | None = None) -> DataFrame:
+    """(keys..., dl, words) of every text: its length in words, and each word with its positions.
+
+    All of it is made in the text's own row, before stemming, which changes neither lengths
+    nor positions. A stop list is applied; stop tables and synonyms are joined by :func:`entries`.
+    """
+    placed = texts.select(*keys, _placed_words(analyzer or Analyzer()).alias("_placed"))
+    return placed.select(*keys, F.size("_placed").cast("long").alias("dl"), _grouped_words(F.col("_placed")).alias("words"))
+
+
+def entries(worded: DataFrame, *keys: str, analyzer: Analyzer | None = None) -> DataFrame:
+    """(keys..., term, positions): a row per word of a text, stop tables and synonyms applied."""
+    analyzer = analyzer or Analyzer()
+    rows = worded.select(*keys, F.inline("words"))
+    if isinstance(analyzer.stop, DataFrame):
+        rows = remove_stop_words(rows, analyzer.stop)
+    if analyzer.synonyms is not None:
+        table = analyzer.synonyms.select("term", F.explode(words(folded(F.col("synonym")))).alias("_synonym")).distinct()
+        added = rows.join(table, "term").select(*keys, F.col("_synonym").alias("term"), "positions")
+        rows = merged(rows.unionByName(added), *keys)
+    return rows
+
+
+def merged(rows: DataFrame, *keys: str) -> DataFrame:
+    """Entries of one term of a text put together; each position counts once."""
+    together = F.array_sort(F.array_distinct(F.flatten(F.collect_list("positions"))))
+    return rows.groupBy(*keys, "term").agg(together.alias("positions"))
+
+
+def stemmed_entries(rows: DataFrame, *keys: str, stems: DataFrame | None = None) -> DataFrame:
+    """Entries by stem. A text's words meet the vocabulary once each, not once per occurrence, and
+    different words of one stem are put together per text.
+
+    A position may hold several words (synonyms) of one stem; it counts once.
+    """
+    stems = vocabulary_stems(rows) if stems is None else stems
+    found = rows.join(broadcast_if_small(stems), "term").select(*keys, F.col("stem").alias("term"), "positions")
+    return merged(found, *keys)
+
+
+def text_entries(texts: DataFrame, *keys: str, analyzer: Analyzer | None = None) -> DataFrame:
+    """(keys..., term, positions) of a table (keys..., text) after the whole chain."""
+    analyzer = analyzer or Analyzer()
+    worded = text_words(texts, *keys, analyzer=analyzer)
+    if not analyzer.stem:
+        return entries(worded, *keys, analyzer=analyzer)
+    rows = entries(written(worded, "words"), *keys, analyzer=analyzer)
+    return stemmed_entries(rows, *keys)
+
+
+def text_lengths(texts: DataFrame, *keys: str, analyzer: Analyzer | None = None) -> DataFrame:
+    """(keys..., dl) of the texts that keep a word; a pass over the texts without a shuffle, unless
+    stop tables or synonyms have to be joined."""
+    analyzer = analyzer or Analyzer()
+    worded = text_words(texts, *keys, analyzer=analyzer)
+    if isinstance(analyzer.stop, DataFrame) or analyzer.synonyms is not None:
+        counted = entries(worded, *keys, analyzer=analyzer).withColumn("n", F.size("positions"))
+        return counted.groupBy(*keys).agg(F.sum("n").cast("long").alias("dl"))
+    return worded.select(*keys, "dl").filter("dl > 0")
+
+
 def analyzed_tokens(texts: DataFrame, *keys: str, analyzer: Analyzer | None = None) -> DataFrame:
     """(keys..., pos, term) of a table (keys..., text) after the whole chain."""
-    chain = unstemmed_tokens(texts, *keys, analyzer=analyzer)
-    return stem(chain) if (analyzer or Analyzer()).stem else chain
+    if not (analyzer or Analyzer()).stem:
+        return unstemmed_tokens(texts, *keys, analyzer=analyzer)
+    rows = text_entries(texts, *keys, analyzer=analyzer)
+    return rows.select(*keys, F.explode("positions").alias("pos"), "term")
 
 
 def unstemmed_tokens(texts: DataFrame, *keys: str, analyzer: Analyzer | None = None) -> DataFrame:
@@ -144,6 +249,6 @@ def unstemmed_tokens(texts: DataFrame, *keys: str, analyzer: Analyzer | None = N
 
 def analyze(texts: DataFrame, *keys: str, analyzer: Analyzer | None = None) -> DataFrame:
     """(keys..., terms): the analysed terms of each text as an ordered array."""
-    tokens = analyzed_tokens(texts, *keys, analyzer=analyzer)
-    at = F.array_sort(F.collect_list(F.struct("pos", "term")))
-    return tokens.groupBy(*keys).agg(at.alias("at")).select(*keys, F.col("at.term").alias("terms"))
+    rows = text_entries(texts, *keys, analyzer=analyzer)
+    placed = F.flatten(F.collect_list(F.transform("positions", lambda p: F.struct(p.alias("pos"), F.col("term")))))
+    return rows.groupBy(*keys).agg(F.array_sort(placed).alias("at")).select(*keys, F.col("at.term").alias("terms"))

@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, durable
-from .analysis import DOC_KEY, FIELDS, Analyzer, document_columns, fields, keyed, unstemmed_tokens
-from .analysis import analyzed_tokens, vocabulary_stems
+from ..session import broadcast_if_small, durable, written
+from .analysis import (
+    DOC_KEY,
+    FIELDS,
+    Analyzer,
+    document_columns,
+    entries,
+    fields,
+    keyed,
+    merged,
+    text_entries,
+    text_words,
+    vocabulary_stems,
+)
 
 # Buckets of terms in a stored index.
 TERM_BUCKETS = 64
@@ -25,6 +36,12 @@ def postings(tokens: DataFrame) -> DataFrame:
     )
 
 
+def text_postings(texts: DataFrame, *keys: str, analyzer: Analyzer | None = None) -> DataFrame:
+    """(keys..., term, tf, positions) of a table (keys..., text); no token is shuffled by its term."""
+    rows = text_entries(texts, *keys, analyzer=analyzer)
+    return rows.select(*keys, "term", F.size("positions").cast("long").alias("tf"), "positions")
+
+
 def doc_len(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy(*document_columns(tokens), "field").agg(F.count("*").alias("dl"))
 
@@ -69,52 +86,43 @@ def matched_index(
 ) -> Index:
     """Index tables restricted to the terms of ``vocabulary`` (column ``term``).
 
-    One pass over the texts: words outside the vocabulary are counted under a null term, so
-    the first shuffle carries a few rows per document instead of its words, and lengths come
-    out of the same rows, and so do the positions that phrases need. These rows are written once;
-    statistics and scores start from them. Every row of ``docs`` is a document of its own, also
-    without docno or with one that occurs again.
+    The words of every text are made in its own row and written once: lengths and field statistics
+    are read from there, the distinct words too, whose stems say which words the query terms
+    stand for, and only those words leave the row. Every row of ``docs`` is a document of its own,
+    also without docno or with one that occurs again.
     """
     analyzer = analyzer or Analyzer()
+    keys = [DOC_KEY, "docno", "field"]
     texts = fields(keyed(docs), FIELDS, DOC_KEY, "docno")
-    tokens = unstemmed_tokens(texts, DOC_KEY, "docno", "field", analyzer=analyzer)
+    worded = written(text_words(texts, *keys, analyzer=analyzer), "words")
+    rows = entries(worded, *keys, analyzer=analyzer)
     if analyzer.stem:
-        # Words are not stemmed one by one: the stems of the distinct words say which words
-        # the query terms stand for.
-        stems = vocabulary_stems(tokens).join(
+        stems = vocabulary_stems(rows).join(
             vocabulary.select(F.col("term").alias("stem")).distinct(), "stem"
         )
         wanted = stems.select("term", F.col("stem").alias("hit"))
     else:
         wanted = vocabulary.select("term", F.col("term").alias("hit")).distinct()
-    counted = (
-        tokens.join(broadcast_if_small(wanted), "term", "left")
-        .groupBy(DOC_KEY, "docno", "field", F.col("hit").alias("term"))
-        .agg(
-            F.count("*").alias("tf"),
-            # Those of one term in one document; none of words outside the vocabulary.
-            F.array_sort(F.collect_list(F.when(F.col("hit").isNotNull(), F.col("pos")))).alias("positions"),
-        )
-    )
-    whole = Window.partitionBy(DOC_KEY, "field")
-    first = F.row_number().over(whole.orderBy("term")) == 1
-    rows = durable(
-        counted.withColumns({"dl": F.sum("tf").over(whole), "first": first})
-    )
-    lengths = rows.filter("first").select(DOC_KEY, "docno", "field", "dl")
-    matched = rows.filter("term IS NOT NULL").drop("first")
-    return Index(matched, term_stats(matched), field_stats(lengths))
+    if isinstance(analyzer.stop, DataFrame) or analyzer.synonyms is not None:
+        lengths = rows.groupBy(*keys).agg(F.sum(F.size("positions")).cast("long").alias("dl"))
+    else:
+        lengths = worded.select(*keys, "dl").filter("dl > 0")
+    hits = rows.join(broadcast_if_small(wanted), "term").select(*keys, F.col("hit").alias("term"), "positions")
+    found = merged(hits, *keys) if analyzer.stem else hits
+    counted = found.withColumn("tf", F.size("positions").cast("long"))
+    matched = durable(counted.join(lengths.drop("docno"), [DOC_KEY, "field"]))
+    return Index(matched, term_stats(matched), durable(field_stats(lengths)))
 
 
 def full_index(docs: DataFrame, analyzer: Analyzer | None = None) -> dict[str, DataFrame]:
     """All index tables of a collection, for writing and reuse."""
     texts = fields(keyed(docs), FIELDS, DOC_KEY, "docno")
-    entries = postings(analyzed_tokens(texts, DOC_KEY, "docno", "field", analyzer=analyzer))
-    lengths = entries.groupBy(DOC_KEY, "docno", "field").agg(F.sum("tf").alias("dl"))
+    found = text_postings(texts, DOC_KEY, "docno", "field", analyzer=analyzer)
+    lengths = found.groupBy(DOC_KEY, "docno", "field").agg(F.sum("tf").alias("dl"))
     return {
-        "postings": entries,
+        "postings": found,
         "doc_len": lengths,
-        "term_stats": term_stats(entries),
+        "term_stats": term_stats(found),
         "field_stats": field_stats(lengths),
     }
 

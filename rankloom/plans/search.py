@@ -59,7 +59,8 @@ def _parts(index: Index, terms: DataFrame, words: DataFrame | None, model: str,
     wanted = broadcast_if_small(words.select("field", "term").distinct())
     rows = index.matched.join(wanted, ["field", "term"], "left_semi")
     tokens = rows.select(*document_columns(rows), "field", "term", F.explode("positions").alias("pos"))
-    lengths = index.matched.select(*document_columns(rows), "field", "dl").distinct()
+    # A phrase's documents are matched ones; their lengths come with any of the phrase's words.
+    lengths = rows.groupBy(*document_columns(rows), "field").agg(F.first("dl").alias("dl"))
     found = phrase_match(words, tokens)
     return parts.unionByName(phrase_contributions(words, found, lengths, index, model, **params))
 

@@ -73,6 +73,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to a new folder of the shared place; readers take the columns they need."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """Add a broadcast hint after counting that the side stays below the limit."""
     limit = setting(df.sparkSession, BROADCAST_ROWS_CONF, BROADCAST_ROWS)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.analysis import DOC_KEY, FIELDS, Analyzer, analyzed_tokens, fields, keyed
-from ..operators.index import field_stats, postings, term_bucket, term_stats
+from ..operators.analysis import DOC_KEY, FIELDS, Analyzer, fields, keyed
+from ..operators.index import field_stats, term_bucket, term_stats, text_postings
 from ..session import durable
 
 
@@ -18,25 +19,53 @@ def append_index(
 ) -> None:
     """Append the postings and lengths of ``docs`` below ``path`` as the batch named ``batch``.
 
-    Every row of ``docs`` becomes a document of its own. A batch is complete once its lengths are
-    there; a complete batch of that name is an error, unless ``replay`` says that the same rows
-    come again, which then replace it. Texts are analysed once: lengths come from the postings.
+    Every row of ``docs`` becomes a document of its own. A batch counts once its mark is among the
+    finished ones, which is written last; readers leave other batches out, so one that stopped half-way
+    changes nothing. A finished batch of that name is an error, unless ``replay`` says that the
+    same rows come again, which then replace it: its mark goes first. Texts are analysed
+    once: lengths come from the postings.
     """
-    if not replay and _exists(docs.sparkSession, f"{path}/doc_len/batch={batch}"):
-        raise ValueError(f"batch {batch} is in the index already")
+    spark = docs.sparkSession
+    if _exists(spark, _mark(path, batch)):
+        if not replay:
+            raise ValueError(f"batch {batch} is in the index already")
+        _file_system(spark, path)[0].delete(_path(spark, _mark(path, batch)), False)
     named = keyed(docs).withColumn(DOC_KEY, F.concat(F.lit(f"{batch}:"), DOC_KEY))
-    tokens = analyzed_tokens(fields(named, FIELDS, DOC_KEY, "docno"), DOC_KEY, "docno", "field", analyzer=analyzer)
-    entries = durable(postings(tokens).withColumns({"batch": F.lit(batch), "bucket": term_bucket("term")}))
+    found = text_postings(fields(named, FIELDS, DOC_KEY, "docno"), DOC_KEY, "docno", "field", analyzer=analyzer)
+    entries = durable(found.withColumns({"batch": F.lit(batch), "bucket": term_bucket("term")}))
     # Ranges of term and document: a frequent term is spread over tasks, and few terms lie close together.
     order = ["bucket", "term", DOC_KEY]
     _replace(entries.repartitionByRange(*order).sortWithinPartitions(*order), f"{path}/postings", "batch", "bucket")
     lengths = entries.groupBy(DOC_KEY, "docno", "field").agg(F.sum("tf").alias("dl"))
     _replace(lengths.withColumn("batch", F.lit(batch)), f"{path}/doc_len", "batch")
+    _file_system(spark, path)[0].create(_path(spark, _mark(path, batch)), True).close()
+
+
+def _mark(path: str, batch: str) -> str:
+    """An empty file of the batch's name; creating it is one step of the file system."""
+    return f"{path}/finished/{quote(batch, safe='')}"
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    at = _path(spark, path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    system, at = _file_system(spark, path)
+    return system.exists(at)
+
+
+def finished_batches(spark: SparkSession, path: str) -> list[str]:
+    """Names of the batches that were written to their end."""
+    system, at = _file_system(spark, f"{path}/finished")
+    if not system.exists(at):
+        return []
+    return sorted(unquote(f.getPath().getName()) for f in system.listStatus(at))
 
 
 def _replace(rows: DataFrame, path: str, *parts: str) -> None:
@@ -85,10 +114,12 @@ def stream_into_index(
 def stored_index(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Index tables below ``path`` with statistics over all batches.
 
-    Postings keep the column by whose values their files are cut, for pruning.
+    Only finished batches are read. Postings keep the column by whose values their files are cut,
+    for pruning.
     """
-    entries = spark.read.parquet(f"{path}/postings").drop("batch")
-    lengths = spark.read.parquet(f"{path}/doc_len").drop("batch")
+    whole = F.col("batch").cast("string").isin(finished_batches(spark, path))
+    entries = spark.read.parquet(f"{path}/postings").filter(whole).drop("batch")
+    lengths = spark.read.parquet(f"{path}/doc_len").filter(whole).drop("batch")
     return {
         "postings": entries,
         "doc_len": lengths,
