@@ -114,10 +114,20 @@ def qrels_as_prefs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a scan of fewer splits than cores (one small file) over the cores.
+
+    Only for plain scans of small inputs: a large table has more splits than that and is left
+    alone, so its rows are not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def docs(spark: SparkSession, folder: str) -> DataFrame:
     """The first line of a document is its headline, the rest its text."""
     text = F.col("text")
-    rows = table(spark, folder, "documents").select("doc_id", "source", "text")
+    rows = spread(table(spark, folder, "documents").select("doc_id", "source", "text"))
     return rows.select(
         F.concat(F.lit("D"), "doc_id").alias("docno"),
         "source",

@@ -198,7 +198,7 @@ def doc_len(spark, folder):
 @query("term_stats", with_ctes(INDEX, "SELECT field, term, df, ctf FROM ts"))
 def term_stats(spark, folder):
     texts = fields(inputs.docs(spark, folder))
-    return index.term_stats(index.text_postings(texts, "docno", "field", analyzer=FULL))
+    return index.term_stats(analysis.text_frequencies(texts, "docno", "field", analyzer=FULL))
 
 
 @query("field_stats", with_ctes(INDEX, "SELECT field, n_docs, sum_dl, round(avgdl, 8) AS avgdl FROM fs"))

@@ -216,6 +216,21 @@ def text_entries(texts: DataFrame, *keys: str, analyzer: Analyzer | None = None)
     return stemmed_entries(rows, *keys)
 
 
+def text_frequencies(texts: DataFrame, *keys: str, analyzer: Analyzer | None = None) -> DataFrame:
+    """(keys..., term, tf) after the whole chain, for statistics: positions stay in their rows."""
+    analyzer = analyzer or Analyzer()
+    if analyzer.synonyms is not None or not analyzer.stem:
+        rows = text_entries(texts, *keys, analyzer=analyzer)
+        return rows.select(*keys, "term", F.size("positions").cast("long").alias("tf"))
+    worded = text_words(texts, *keys, analyzer=analyzer)
+    counts = F.transform("words", lambda w: F.struct(w["term"].alias("term"), F.size(w["positions"]).alias("n")))
+    rows = written(worded.select(*keys, F.inline(counts)), "words")
+    if isinstance(analyzer.stop, DataFrame):
+        rows = remove_stop_words(rows, analyzer.stop)
+    found = rows.join(broadcast_if_small(vocabulary_stems(rows)), "term")
+    return found.groupBy(*keys, F.col("stem").alias("term")).agg(F.sum("n").alias("tf"))
+
+
 def text_lengths(texts: DataFrame, *keys: str, analyzer: Analyzer | None = None) -> DataFrame:
     """(keys..., dl) of the texts that keep a word; a pass over the texts without a shuffle, unless
     stop tables or synonyms have to be joined."""
