@@ -79,26 +79,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b): the smallest id reachable from it.
 
-    Labels travel along links, then jump to their label's label, until none changes. What is
-    joined is written first, so that both sides of a join are shuffled for it and a hub's rows can
-    be split over tasks; the groupings add up inside tasks before they shuffle. Files, unlike
+    In a round a label travels along links; the smallest one that any member of a tree sees goes to the
+    tree's root as well, so whole trees move; then labels jump to their label's label. Rounds
+    grow with the logarithm of the longest chain (20 for a million links in a row), without a limit.
+    What is joined is written first, so that both sides of a join are shuffled for it and a hub's
+    rows can be split over tasks; the groupings add up inside tasks before they shuffle. Files, unlike
     checkpoints, start with fresh size estimates: those of joined checkpoints multiply each round.
     """
     pairs = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
     edges = stored(pairs.union(pairs.select("b", "a")).distinct(), "links")
     labels = stored(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("c")), "links")
-    for _ in range(rounds):
+    while True:
         near = edges.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("c").alias("m"))
         step = stored(
-            labels.join(near, F.col("id") == F.col("a")).select("id", "c", F.least("c", "m").alias("c1")),
+            labels.join(near, F.col("id") == F.col("a")).select("id", "c", F.least("c", "m").alias("c0")),
             "links",
         )
-        jump = step.select(F.col("id").alias("r"), F.col("c1").alias("c2"))
+        hooks = step.filter("c0 < c").groupBy(F.col("c").alias("root")).agg(F.min("c0").alias("h"))
+        hooked = stored(
+            step.join(hooks, F.col("id") == F.col("root"), "left").select(
+                "id", "c", F.least("c0", F.coalesce("h", "c0")).alias("c1")
+            ),
+            "links",
+        )
+        jump = hooked.select(F.col("id").alias("r"), F.col("c1").alias("c2"))
         new = stored(
-            step.join(jump, F.col("c1") == F.col("r")).select(
+            hooked.join(jump, F.col("c1") == F.col("r")).select(
                 "id", F.least("c1", "c2").alias("n"), (F.least("c1", "c2") < F.col("c")).alias("moved")
             ),
             "links",
@@ -106,4 +115,3 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         labels = new.select("id", F.col("n").alias("c"))
         if not new.filter("moved").agg(F.count(F.lit(1))).first()[0]:
             return labels.select("id", F.col("c").alias("component"))
-    raise RuntimeError("components did not settle")

@@ -2,9 +2,11 @@
 
 Vectors of a label are cut into overlapping cluster shards. Each shard builds a pruned neighbour
 graph, the adjacency lists of a vector are united over its shards, and every vector is searched
-for from the medoids of its home shard: greedily until it is reached, then on along all
-edges inside the range. Every cosine is computed in double precision before it counts, and a
-sample is audited against brute force; if too little was found, shards overlap more.
+for from the medoids of its home shard: greedily, then on from all places reached, its own
+included, along the edges inside the range. Every cosine is computed in double precision before it
+counts, and a sample is audited against brute force: the share of its links that a vector got, on average
+over vectors and per label. If too little was found, shards overlap more; if that does not
+help, shards overlap by the angle that no link can exceed and are compared wholly.
 """
 
 from __future__ import annotations
@@ -34,8 +36,10 @@ NEAREST, RANDOM, DEGREE, SLACK = 64, 8, 24, 1.2
 BEAM, AT_ONCE = 16, 4
 #: Expansion goes on at vectors this much below the range.
 BELOW = 0.03
-#: Vectors audited, at most, and the recall they must show.
-AUDIT, LEAST_RECALL = 1024, 0.99
+#: Vectors audited, about, the recall they must show, and those a label needs to be looked at alone.
+AUDIT, LEAST_RECALL, LABEL_SAMPLE = 1024, 0.999, 20
+#: How often shards are widened before they are compared wholly.
+WIDENED = 1
 
 TASK = ["label", "dim", "cluster", "i", "j"]
 
@@ -79,8 +83,13 @@ def _medoids(reps: DataFrame) -> dict[tuple[str, int], np.ndarray]:
     return {k: np.array([v for _, v in sorted(x)]) for k, x in found.items() if len(x) > 1}
 
 
-def _shards(reps: DataFrame, medoids: dict, widen: int) -> DataFrame:
-    """Rows (TASK, rep, weight, v, own, other): members of every shard; own: searched for here."""
+def _shards(reps: DataFrame, medoids: dict, widen: int | None, threshold: float) -> DataFrame:
+    """Rows (TASK, rep, weight, v, own, other): members of every shard; own: searched for here.
+
+    Without ``widen`` a vector is in every shard that may be the home of a partner: if two vectors are
+    at most an angle apart, each is as near to the other's medoid as to its own but for twice the angle.
+    """
+    angle = 2 * np.arccos(min(1.0, threshold)) + 1e-6
     sent = reps.sparkSession.sparkContext.broadcast(medoids)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,8 +101,13 @@ def _shards(reps: DataFrame, medoids: dict, widen: int) -> DataFrame:
                     places.append([0])
                     continue
                 cos = known @ v
-                near = np.argsort(-cos, kind="stable")[: widen * OVERLAP]
-                places.append(near[cos[near] >= cos[near[0]] - widen * MARGIN].tolist())
+                near = np.argsort(-cos, kind="stable")
+                if widen is None:
+                    least = np.cos(min(np.pi, np.arccos(min(1.0, cos[near[0]])) + angle))
+                else:
+                    near = near[: widen * OVERLAP]
+                    least = cos[near[0]] - widen * MARGIN
+                places.append(near[cos[near] >= least].tolist())
             out = rows.assign(cluster=places, home=[p[0] for p in places]).explode("cluster", ignore_index=True)
             yield out.assign(cluster=out["cluster"].astype("int64"), home=out["home"] == out["cluster"])
 
@@ -227,7 +241,8 @@ def range_search(x: np.ndarray, graph: tuple[np.ndarray, np.ndarray], queries: n
             beam = np.take_along_axis(both, top, axis=1)
             beam = np.where(beam < 0, beam[:, :1], beam)
             beam = np.where(beam < 0, entries[0], beam)
-        # Then over all places inside the range, or a little below it.
+        # Then over all places inside the range, or a little below it; the vector's own is one of them.
+        cos[rows, q] = 1.0
         while True:
             r, at = np.nonzero((cos >= threshold - BELOW) & ~done)
             if not len(r):
@@ -238,17 +253,30 @@ def range_search(x: np.ndarray, graph: tuple[np.ndarray, np.ndarray], queries: n
         yield q, found
 
 
-def _search(threshold: float, rows: pd.DataFrame) -> pd.DataFrame:
+def whole_search(x: np.ndarray, queries: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same as :func:`range_search`, by comparing the queries with all vectors."""
+    step = max(16, min(1024, (16 << 20) // (8 * len(x))))
+    for start in range(0, len(queries), step):
+        q = queries[start : start + step]
+        found = x[q] @ x.T >= threshold
+        found[np.arange(len(q)), q] = False
+        yield q, found
+
+
+def _search(threshold: float, rows: pd.DataFrame, whole: bool = False) -> pd.DataFrame:
     """Links of the vectors at home here: weight of those found, and the smallest reachable rep."""
     rows = rows.sort_values("rep", ignore_index=True)
     ids, weight = rows["rep"].to_numpy(), rows["weight"].to_numpy(float)
     x = np.stack(rows["v"].to_numpy())
-    graph = both_ways(ids, rows["near"].tolist())
     i, j = int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
     block, home = rows["block"].to_numpy(), rows["home"].to_numpy(bool)
     links, root = np.zeros(len(ids)), np.arange(len(ids))
     a, b = [], []
-    for q, found in range_search(x, graph, np.flatnonzero(home), threshold):
+    if whole:
+        searched = whole_search(x, np.flatnonzero(home), threshold)
+    else:
+        searched = range_search(x, both_ways(ids, rows["near"].tolist()), np.flatnonzero(home), threshold)
+    for q, found in searched:
         if i != j:  # partners of the own block are counted where the block is alone
             found &= block[q][:, None] != block[None, :]
         links[q] += found @ weight
@@ -267,23 +295,25 @@ def _search(threshold: float, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"rep": ids[touched], "links": (links[touched]).astype("int64"), "root": ids[root[touched]]})
 
 
-def _found_links(reps: DataFrame, medoids: dict, widen: int, threshold: float) -> DataFrame:
-    """(rep, links, root) rows of every task."""
-    shards = _shards(reps, medoids, widen)
+def _found_links(reps: DataFrame, medoids: dict, widen: int | None, threshold: float) -> DataFrame:
+    """(rep, links, root) rows of every task; without ``widen`` shards are compared wholly."""
+    shards, schema = _shards(reps, medoids, widen, threshold), "rep bigint, links bigint, root bigint"
+    if widen is None:
+        found = shards.groupBy(*TASK).applyInPandas(lambda rows: _search(threshold, rows, whole=True), schema)
+        return stored(found, "vectors")
     built = shards.groupBy(*TASK).applyInPandas(_build, "rep bigint, near array<bigint>")
     united = durable(built.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))
     return stored(
-        shards.join(united, "rep").groupBy(*TASK).applyInPandas(
-            lambda rows: _search(threshold, rows), "rep bigint, links bigint, root bigint"
-        ),
-        "vectors",
+        shards.join(united, "rep").groupBy(*TASK).applyInPandas(lambda rows: _search(threshold, rows), schema), "vectors"
     )
 
 
 def audited_recall(reps: DataFrame, found: DataFrame, threshold: float) -> float:
-    """Links that a bounded sample of vectors got, as a share of those that brute force finds.
+    """The share of its links that a vector got, on average over a bounded sample of those with links.
 
-    The sample is sent to all tasks, which compare it with every vector they hold.
+    The least of this average and of those of labels with LABEL_SAMPLE such vectors, so that neither one large
+    group nor one large label can hide what others lose. The sample is sent to all tasks, which
+    compare it with every vector they hold.
     """
     share = min(1.0, AUDIT / max(reps.count(), 1))
     sample = (
@@ -313,11 +343,16 @@ def audited_recall(reps: DataFrame, found: DataFrame, threshold: float) -> float
         bounded_batches(reps.select("label", "dim", "rep", "weight", "v"))
         .mapInPandas(brute, "rep bigint, links bigint")
         .groupBy("rep")
-        .agg(F.sum("links").alias("true"))
+        .agg(F.sum("links").alias("all"))
+        .filter(F.col("all") > 0)
     )
     got = found.groupBy("rep").agg(F.sum("links").alias("got"))
-    sums = broadcast_if_small(durable(true)).join(got, "rep").agg(F.sum("true").alias("t"), F.sum("got").alias("g")).first()
-    return float(sums["g"]) / float(sums["t"]) if sums["t"] else 1.0
+    share_of = F.least(F.coalesce(F.col("got"), F.lit(0)) / F.col("all"), F.lit(1.0))
+    each = broadcast_if_small(durable(true)).join(got, "rep", "left").join(reps.select("rep", "label"), "rep")
+    sums = each.groupBy("label").agg(F.sum(share_of).alias("s"), F.count(F.lit(1)).alias("n")).collect()
+    parts = [r["s"] / r["n"] for r in sums if r["n"] >= LABEL_SAMPLE]
+    total = sum(r["n"] for r in sums)
+    return min([sum(r["s"] for r in sums) / total, *parts]) if total else 1.0
 
 
 def vector_neardups(
@@ -340,15 +375,10 @@ def vector_neardups(
         "vectors",
     )
     medoids = _medoids(reps)
-    most = max((len(m) for m in medoids.values()), default=1)
-    widen = 1
-    while True:
+    for widen in [*(1 << n for n in range(WIDENED + 1)), None]:
         found = _found_links(reps, medoids, widen, threshold)
-        # Shards that overlap wholly hold all vectors of a label: nothing is left to widen.
-        whole = widen * OVERLAP >= most and widen * MARGIN >= 2
-        if most == 1 or whole or audited_recall(reps, found, threshold) >= LEAST_RECALL:
+        if widen is None or audited_recall(reps, found, threshold) >= LEAST_RECALL:
             break
-        widen *= 2
     copies = unit.select("id", *same).join(durable(reps.filter("weight > 1").select("rep", *same)), same)
     links = found.filter("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b"))
     reached = components(links.union(copies.filter("id <> rep").select("id", "rep")))
