@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.functions.text import depths
+
 START, SEPARATOR, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
 
 
@@ -73,18 +75,6 @@ def format_chats(df: DataFrame, key: str = "conv_id", learn: str = "assistant")
             ),
         )
 
-    empty = F.lit(None).cast("struct<at:int,spans:array<struct<start:int,length:int>>>")
-    zero = F.coalesce(
-        empty, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-    )
-
-    def advance(acc: Column, p: Column) -> Column:
-        span = F.struct((acc["at"] + p["head"]).alias("start"), p["size"].alias("length"))
-        return F.struct(
-            (acc["at"] + p["head"] + p["size"] + p["tail"]).alias("at"),
-            F.when(p["learn"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
-        )
-
     text = F.array_join(
         F.transform(
             "blocks",
@@ -94,8 +84,20 @@ def format_chats(df: DataFrame, key: str = "conv_id", learn: str = "assistant")
         ),
         "",
     )
-    mask = F.aggregate(F.flatten(F.transform("blocks", parts)), zero, advance, lambda acc: acc["spans"])
-    return blocks.select(key, text.alias("formatted"), mask.alias("loss_mask"))
+    # Where each part ends: running sums, made in chunks, so long conversations take time in proportion.
+    placed = blocks.select(key, text.alias("formatted"), F.flatten(F.transform("blocks", parts)).alias("parts"))
+    ends = depths(F.transform("parts", lambda p: p["head"] + p["size"] + p["tail"]))
+    spans = F.zip_with(
+        "parts",
+        ends,
+        lambda p, end: F.struct(
+            (end - p["size"] - p["tail"]).alias("start"), p["size"].alias("length"), p["learn"].alias("learn")
+        ),
+    )
+    learned = F.transform(
+        F.filter(spans, lambda s: s["learn"]), lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length"))
+    )
+    return placed.select(key, "formatted", learned.alias("loss_mask"))
 
 
 def parse_chats(formatted: DataFrame, key: str = "conv_id") -> DataFrame:

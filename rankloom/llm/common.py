@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.session import new_folder
@@ -55,6 +55,15 @@ def kept_columns(df: DataFrame, made: Iterable[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in lower]
 
 
+def set_aside(columns: Iterable[str]) -> tuple[list[str], list[Column], list[Column]]:
+    """Place names for columns that an operator only passes on, whatever they are called: the names,
+    the columns under them, and the way back."""
+    columns = list(columns)
+    places = [f"_c{i}" for i in range(len(columns))]
+    there = [F.col(f"`{c}`").alias(p) for c, p in zip(columns, places, strict=True)]
+    return places, there, [F.col(p).alias(c) for c, p in zip(columns, places, strict=True)]
+
+
 def ranges(lengths: np.ndarray) -> np.ndarray:
     """0..n-1 for each n of ``lengths``, one after the other."""
     total = int(lengths.sum())

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import bounded_batches, kept_columns, ranges, text_slices
+from rankloom.llm.common import bounded_batches, kept_columns, ranges, set_aside, text_slices
 from rankloom.llm.token_count import PROBE
 
 MARK = "▁"
@@ -231,9 +231,9 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     No begin or end ids. A null or empty text has no ids. Repeated rows stay, an empty table
     gives an empty one, a column named ``ids`` is replaced.
     """
-    keep = [c for c in kept_columns(df, ("ids",)) if c.lower() != text.lower()]
-    source = df.select(*keep, F.col(text).alias("_text"))
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema if f.name in keep)
+    keep, there, back = set_aside(c for c in kept_columns(df, ("ids",)) if c.lower() != text.lower())
+    source = df.select(*there, F.col(text).alias("_text"))
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in source.schema if f.name in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
@@ -246,7 +246,7 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
             lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), lists], names=[*keep, "ids"])
 
-    return bounded_batches(source).mapInArrow(run, f"{schema}ids array<int>")
+    return bounded_batches(source).mapInArrow(run, f"{schema}ids array<int>").select(*back, "ids")
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import kept_columns
+from rankloom.llm.common import kept_columns, set_aside
 from rankloom.session import durable
 
 #: Bits of a hash.
@@ -68,12 +68,12 @@ def shard(df: DataFrame, key: str = "doc_id", text: str = "text", limit: int = 2
     ``shard`` is the hash prefix in binary digits (empty if all fits in one), ``shard_bytes`` and
     ``shard_rows`` are its size. A shard exceeds ``limit`` only if it is a single row. Rows with
     equal keys have equal hashes: where they alone exceed the limit, they are dealt over pages
-    (``prefix.page``, ``prefix.Lpage`` for one too long row) by running totals of bytes. A null text has 0 bytes, null keys hash alike,
+    (``prefix.page``, ``prefix.Lpage`` for one row above half the limit) by running totals of bytes. A null text has 0 bytes, null keys hash alike,
     an empty table gives an empty result, columns named like a new one are replaced.
     """
-    keep = kept_columns(df, (*MADE, "_hash", "_bytes"))
+    keep, there, back = set_aside(kept_columns(df, MADE))
     sized = df.select(
-        *keep, hash_bits(F.col(key)).alias("_hash"),
+        *there, hash_bits(F.col(key)).alias("_hash"),
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("_bytes"),
     )
     thin = sized.select("_hash", "_bytes")
@@ -103,7 +103,7 @@ def shard(df: DataFrame, key: str = "doc_id", text: str = "text", limit: int = 2
         if False not in kinds:
             break
         rest = beyond.filter("NOT _same").drop("_same")
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).select(*back, *MADE)
 
 
 def _pages(rows: DataFrame, keep: list[str], known: int, limit: int) -> DataFrame:
@@ -111,9 +111,10 @@ def _pages(rows: DataFrame, keep: list[str], known: int, limit: int) -> DataFram
 
     Totals run over the pieces in which the rows lie, then inside each piece, so no task needs
     all rows of a hash. A page takes the rows that start in its stretch, which is shorter than the
-    limit by the longest row. Rows above the limit have pages of their own.
+    limit by the longest row. Rows above half the limit have pages of their own, so a stretch is
+    half the limit at least.
     """
-    rows = rows.withColumn("_large", F.col("_bytes") > limit)
+    rows = rows.withColumn("_large", F.col("_bytes") > limit // 2)
     rows = durable(rows.withColumn("_piece", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()))
     pieces = rows.groupBy("_hash", "_large", "_piece").agg(F.sum("_bytes").alias("_sum"), F.max("_bytes").alias("_most"))
     by_hash = W.partitionBy("_hash", "_large")

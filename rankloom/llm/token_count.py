@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import bounded_batches, kept_columns, text_slices
+from rankloom.llm.common import bounded_batches, kept_columns, set_aside, text_slices
 
 #: Bytes of text in one call of the library, and characters from which a text is cut up.
 CALL_BYTES = 1 << 20
@@ -79,21 +79,20 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", limit: int = 4096
     model that only marks spaces are cut at spaces when long; with other models they stay whole.
     """
     made = ("n_bytes", "n_tokens", "over_limit")
-    keep = [c for c in kept_columns(df, made) if c.lower() != text.lower()]
-    source = df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name in keep)
+    keep, there, back = set_aside(c for c in kept_columns(df, made) if c.lower() != text.lower())
+    source = df.select(*there, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     load = _sentencepiece if path.endswith(".model") else _tokenizers
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, safe = load(path)
         for part, texts in text_slices(batches, "_text", CALL_BYTES):
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(i) for i in range(len(keep))), pa.array(lengths(texts, encode, safe), pa.int64())],
-                names=[*keep, "n_tokens"],
+                [*(part.column(i) for i in range(len(keep) + 1)), pa.array(lengths(texts, encode, safe), pa.int64())],
+                names=[*keep, "n_bytes", "n_tokens"],
             )
 
     # Bytes are counted beside the tokens, before the text is dropped.
     sized = source.select(*keep, F.octet_length("_text").cast("long").alias("n_bytes"), "_text")
-    keep = [*keep, "n_bytes"]
-    schema = f"{schema}, n_bytes bigint, n_tokens bigint" if schema else "n_bytes bigint, n_tokens bigint"
-    return bounded_batches(sized).mapInArrow(count, schema).withColumn("over_limit", F.col("n_tokens") > limit)
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in source.schema if f.name in keep)
+    counted = bounded_batches(sized).mapInArrow(count, schema + "n_bytes bigint, n_tokens bigint")
+    return counted.select(*back, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -57,3 +57,43 @@ def test_low_recall_leads_to_whole_comparison(spark, monkeypatch):
     near = unit @ unit.T >= 0.98
     np.fill_diagonal(near, False)
     assert used == [1, 2, None] and [found[i] for i in range(len(x))] == near.sum(axis=1).tolist()
+
+
+CLASHES = ["cell", "bytes", "rows", "prefix", "_hash", "_bytes", "_page", "_text", "_c0", "ids2", "part", "parent"]
+
+
+@pytest.mark.parametrize("limit", [50, 10**9])
+def test_columns_of_any_name_are_passed_on(spark, limit):
+    from rankloom.llm import importance, piece_codec, sharding, token_count
+    from rankloom.llm.queries import vocabulary
+
+    rows = [(i % 20, f"some words {i} " * (1 + i % 3), *[f"{c}{i}" for c in CLASHES]) for i in range(60)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", *CLASHES])
+    expected = sorted(r[2:] for r in rows)
+    model = vocabulary("piece_bpe_32k.model")
+    for done in (
+        sharding.shard(df, limit=limit),
+        token_count.count_tokens(df, model),
+        piece_codec.encode(df, model),
+        piece_codec.decode(piece_codec.encode(df, model), model),
+        importance.resample(df, df.select("text")),
+    ):
+        assert sorted(tuple(r[c] for c in CLASHES) for r in done.collect()) == expected
+
+
+def test_pages_fill_beside_a_long_row(spark):
+    from rankloom.llm import sharding
+
+    rows = [(1, "x" * 300), *[(1, "y")] * 299, *[(1, "z" * 100)] * 3]
+    found = sharding.shard(spark.createDataFrame(rows, "doc_id bigint, text string"), limit=300).collect()
+    assert len(found) == len(rows) and all(r.shard_bytes <= 300 for r in found)
+    assert len({r.shard for r in found}) <= 6
+
+
+def test_long_conversation_formats_in_proportion(spark):
+    from rankloom.llm import chat
+
+    rows = [(1, i, ("user", "assistant")[i % 3 > 0], f"text {i}") for i in range(3000)]
+    out = chat.format_chats(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).first()
+    learned = [out.formatted[s.start : s.start + s.length] for s in out.loss_mask]
+    assert learned == [t for _, _, r, t in rows if r == "assistant"]
