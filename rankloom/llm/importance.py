@@ -78,12 +78,13 @@ def feature_counts(texts: DataFrame, text: str = "text", buckets: int = 10_000,
 def bucket_gains(corpus: DataFrame, target: DataFrame, buckets: int) -> np.ndarray:
     """Gain of every bucket in thousandths, from two tables (bucket, n): one number per bucket."""
     spark = corpus.sparkSession
-    counts = (
+    counts = stored(  # read twice, made by a pass over all texts
         spark.range(buckets)
         .select(F.col("id").cast("int").alias("bucket"))
         .join(corpus.withColumnRenamed("n", "s"), "bucket", "left")
         .join(target.withColumnRenamed("n", "t"), "bucket", "left")
-        .fillna(0, ["s", "t"])
+        .fillna(0, ["s", "t"]),
+        "counts",
     )
     gains = np.zeros(buckets, np.int64)
     totals = counts.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
