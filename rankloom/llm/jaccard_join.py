@@ -8,8 +8,9 @@
    several components are compared wholly. Pairs of small cells go on if the
    summed minima of their counts reach the overlap needed. The members of large cells are cut into
    blocks, of which those outside the largest component meet all, their points packed into an
-   R-tree, and leaves are bounded by their largest counts.
-4. Every pair that survives a bound is verified with its whole sets of 64-bit shingle hashes.
+   R-tree that is searched from its root, nodes bounded by the summed minima of their largest counts.
+4. Every pair that survives a bound is verified with its whole sets of 64-bit shingle hashes. The
+   sets that share a cell are hashed and written once; pairs and blocks meet these, no text travels.
 """
 
 from __future__ import annotations
@@ -226,58 +227,103 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     return durable(both.groupBy("a", "b").agg(F.max("cells").alias("cells")))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by their whole texts. Only texts of pairs travel."""
-    wanted = durable(pairs.select(F.col("a").alias("_key")).union(pairs.select("b")).distinct())
-    texts = docs.join(broadcast_if_small(wanted), "_key", "left_semi")
-    both = pairs.join(texts.select(F.col("_key").alias("b"), F.col("_text").alias("text_b")), "b").join(
-        texts.select(F.col("_key").alias("a"), F.col("_text").alias("text_a")), "a"
+def _member_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """(id, d, point, set) of every member: its sorted shingle hashes as bytes, written once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_slices(batches, "_text", 1 << 20):
+            found = [shingle_hashes(t, words) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0), pa.array([digest(x) for x in found], pa.int64()),
+                    pa.array([point_of(x).astype(np.int32) for x in found], pa.list_(pa.int32())),
+                    pa.array([x.tobytes() for x in found], pa.binary()),
+                ],
+                names=["id", "d", "point", "set"],
+            )
+
+    wanted = durable(members.select("id", "d").distinct())
+    texts = docs.select(F.col("_key").alias("id"), "_text").join(broadcast_if_small(wanted.select("id").distinct()), "id", "left_semi")
+    hashed = bounded_batches(texts).mapInArrow(run, "id bigint, d bigint, point array<int>, set binary")
+    # Repeated rows give equal sets, of which one stays.
+    kept = hashed.join(broadcast_if_small(wanted), ["id", "d"], "left_semi").groupBy("id", "d")
+    return durable(kept.agg(F.any_value("point").alias("point"), F.any_value("set").alias("set")))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by their whole sets."""
+    both = pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b").join(
+        sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, known = None, np.zeros(0, np.uint64)
         for batch in batches:
             found = []
-            for a, b, text_a, text_b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if text_a != last:  # rows come sorted by a, so its set is made once
-                    last, known = text_a, shingle_hashes(text_a, words)
-                other = shingle_hashes(text_b, words)
-                shared = len(np.intersect1d(known, other, assume_unique=True))
-                if shared * (100 + percent) >= percent * (len(known) + len(other)):
+            for a, b, one, two in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                x, y = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+                if overlap(x, y) * (100 + percent) >= percent * (len(x) + len(y)):
                     found.append((a, b))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"]
             )
 
-    return durable(bounded_batches(both.select("a", "b", "text_a", "text_b")).mapInArrow(run, "a bigint, b bigint"))
+    # An id may have several sets: the pair counts once.
+    checked = bounded_batches(both.select("a", "b", "set_a", "set_b")).mapInArrow(run, "a bigint, b bigint")
+    return durable(checked)
+
+
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Common members of two sorted arrays of distinct numbers; the smaller is looked up in the other."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int((y[at] == x).sum()) if len(y) else 0
 
 
 class RTree:
-    """Points packed by sorting on their sizes and counts; each leaf knows its largest counts."""
+    """Points in packed leaves under packed inner nodes; every node knows the largest counts and the range of
+    sizes of the points below it.
+
+    Two sets share at most the sum of the smaller counts of their groups. What a point shares with any point
+    below a node is at most its summed minima with the node's largest counts, so a search goes down
+    from the root into the nodes whose bound reaches the overlap needed.
+    """
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray) -> None:
-        order = np.lexsort((points.argmax(axis=1), sizes))
-        self.leaves = [order[i : i + FANOUT] for i in range(0, len(order), FANOUT)]
-        self.top = np.array([points[x].max(axis=0) for x in self.leaves])
-        self.least = np.array([sizes[x].min() for x in self.leaves])
-        self.most = np.array([sizes[x].max() for x in self.leaves])
         self.points, self.sizes = points, sizes
+        self.order = np.lexsort((*(points[:, k] for k in range(points.shape[1] - 1, -1, -1)), sizes // 4))
+        top, low, high = points[self.order], sizes[self.order], sizes[self.order]
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        while len(low) > 1 or not self.levels:  # from the leaves to the root
+            starts = np.arange(0, len(low), FANOUT)
+            top = np.maximum.reduceat(top, starts, axis=0)
+            low, high = np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)
+            self.levels.append((top, low, high))
 
     def candidates(self, point: np.ndarray, size: int, percent: int) -> np.ndarray:
         """Indices of points whose summed minima with ``point`` reach the overlap needed."""
-        near = (100 * self.most >= percent * size) & (percent * self.least <= 100 * size)
-        near &= np.minimum(self.top, point).sum(axis=1) >= needed(size, np.maximum(self.least, -(-percent * size // 100)), percent)
-        if not near.any():
-            return np.zeros(0, np.int64)
-        at = np.concatenate([self.leaves[i] for i in np.flatnonzero(near)])
+        least = -(-percent * size // 100)
+        nodes = np.zeros(1, np.int64)
+        for depth in range(len(self.levels) - 1, -1, -1):
+            top, low, high = (x[nodes] for x in self.levels[depth])
+            near = (100 * high >= percent * size) & (percent * low <= 100 * size)
+            near &= np.minimum(top, point).sum(axis=1) >= needed(size, np.maximum(low, least), percent)
+            nodes = nodes[near]
+            if not len(nodes):
+                return nodes
+            below = len(self.levels[depth - 1][1]) if depth else len(self.order)
+            nodes = (nodes[:, None] * FANOUT + np.arange(FANOUT)).ravel()
+            nodes = nodes[nodes < below]
+        at = self.order[nodes]
         return at[np.minimum(self.points[at], point).sum(axis=1) >= needed(size, self.sizes[at], percent)]
 
 
-def _block_links(words: int, percent: int, rows: pd.DataFrame) -> pd.DataFrame:
+def _block_links(percent: int, rows: pd.DataFrame) -> pd.DataFrame:
     """Links between components that the members of two blocks (or one) have; one per join."""
-    rows = rows.drop_duplicates(["id", "_text"]).sort_values(["id", "_text"], ignore_index=True)
-    sets = [shingle_hashes(t, words) for t in rows["_text"]]
-    points, sizes = np.stack([point_of(x) for x in sets]), np.array([len(x) for x in sets])
+    rows = rows.drop_duplicates(["id", "d"]).sort_values(["id", "d"], ignore_index=True)
+    sets = [np.frombuffer(x, np.uint64) for x in rows["set"]]
+    points, sizes = np.stack(rows["point"].to_numpy()).astype(np.int64), np.array([len(x) for x in sets])
     ids, root = rows["id"].to_numpy(np.int64), {}
 
     def find(x: int) -> int:
@@ -288,11 +334,10 @@ def _block_links(words: int, percent: int, rows: pd.DataFrame) -> pd.DataFrame:
     comp = rows["component"].tolist()
     tree, links = RTree(points, sizes), []
     for i in range(len(rows)):
-        for j in tree.candidates(points[i], int(sizes[i]), percent):
+        for j in tree.candidates(points[i], int(sizes[i]), percent).tolist():
             if j <= i or find(comp[i]) == find(comp[j]):
                 continue
-            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if shared * (100 + percent) >= percent * (sizes[i] + sizes[j]):
+            if overlap(sets[i], sets[j]) * (100 + percent) >= percent * (sizes[i] + sizes[j]):
                 links.append((ids[i], ids[j]))
                 root[find(comp[i])] = find(comp[j])
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
@@ -390,16 +435,17 @@ def jaccard_components(
         .agg(F.count(F.lit(1)).alias("cells"))
     )
     pairs = _bounded(pairs, reps, percent)
+    sets = _member_sets(named, members, words)
 
     # First each set and the one that it shares most cells with, then pairs that are still apart.
     best = durable(pairs.groupBy("b").agg(F.max_by("a", F.struct("cells", -F.col("a"))).alias("a")).select("a", "b"))
-    links = _linked(best, named, words, percent)
+    links = _linked(best, sets, percent)
     labels = components(links)
     apart = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
     for name in ("a", "b"):
         own = labels.select(F.col("id").alias(name), F.col("component").alias(f"c_{name}"))
         apart = apart.join(own, name, "left").withColumn(f"c_{name}", F.coalesce(f"c_{name}", name))
-    links = links.union(_linked(durable(apart.filter("c_a <> c_b").select("a", "b")), named, words, percent))
+    links = links.union(_linked(durable(apart.filter("c_a <> c_b").select("a", "b")), sets, percent))
 
     # Cells of three sets or more may hold several components yet. In small ones the pairs that are
     # apart and were not compared go on, each once however many cells they share.
@@ -407,7 +453,7 @@ def jaccard_components(
     left, right = (small.select("cell", F.col("id").alias(x), F.col("component").alias(f"c_{x}")) for x in ("a", "b"))
     rest = left.join(right, "cell").filter("a < b AND c_a <> c_b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("cells"))
     rest = _bounded(durable(rest.join(pairs.select("a", "b"), ["a", "b"], "left_anti")), reps, percent)
-    links = links.union(_linked(rest.select("a", "b"), named, words, percent))
+    links = links.union(_linked(rest.select("a", "b"), sets, percent))
 
     # In large ones, members outside the largest component meet some of its members first.
     tested = pairs.select("a", "b")
@@ -416,7 +462,7 @@ def jaccard_components(
         new = durable(_recentred(labelled, salt).join(tested, ["a", "b"], "left_anti"))
         tested = tested.union(new)
         near = _bounded(new.withColumn("cells", F.lit(1)), reps, percent)
-        links = links.union(_linked(near.select("a", "b"), named, words, percent))
+        links = links.union(_linked(near.select("a", "b"), sets, percent))
 
     # What is still open is compared wholly: the members outside a cell's largest component with each other
     # and with that component, in pairs of blocks; cells with the same members once.
@@ -459,10 +505,8 @@ def jaccard_components(
         .withColumn("block", block)
         .select("cell", "id", "d", "component", F.inline(met))
     )
-    wanted = durable(dealt.select(F.col("id").alias("_key")).distinct())
-    texts = named.join(broadcast_if_small(wanted), "_key", "left_semi").withColumnRenamed("_key", "id")
-    more = dealt.join(texts, "id").groupBy("cell", "i", "j").applyInPandas(
-        lambda rows: _block_links(words, percent, rows), "a bigint, b bigint"
+    more = dealt.join(sets, ["id", "d"]).groupBy("cell", "i", "j").applyInPandas(
+        lambda rows: _block_links(percent, rows), "a bigint, b bigint"
     )
     found = components(links.union(durable(more)).union(copy_links))
     return (

@@ -97,3 +97,65 @@ def test_long_conversation_formats_in_proportion(spark):
     out = chat.format_chats(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).first()
     learned = [out.formatted[s.start : s.start + s.length] for s in out.loss_mask]
     assert learned == [t for _, _, r, t in rows if r == "assistant"]
+
+
+def test_tree_finds_what_all_pairs_find():
+    from rankloom.llm import jaccard_join
+
+    rng = np.random.default_rng(6)
+    base = [np.unique(rng.integers(0, 1 << 64, int(rng.integers(1, 300)), dtype=np.uint64)) for _ in range(60)]
+    sets = [np.sort(rng.permutation(b)[: max(1, len(b) - int(rng.integers(0, 1 + len(b) // 8)))]) for b in base for _ in range(6)]
+    points, sizes = np.stack([jaccard_join.point_of(x) for x in sets]), np.array([len(x) for x in sets])
+    tree = jaccard_join.RTree(points, sizes)
+    assert len(tree.levels) >= 2 and len(tree.levels[-1][1]) == 1
+    for i, x in enumerate(sets):
+        found = set(tree.candidates(points[i], int(sizes[i]), 85).tolist())
+        near = {j for j, y in enumerate(sets) if 100 * len(np.intersect1d(x, y)) >= 85 * len(np.union1d(x, y))}
+        assert near <= found and all(jaccard_join.overlap(x, sets[j]) == len(np.intersect1d(x, sets[j])) for j in found)
+        assert len(found) < len(sets) // 3
+
+
+def test_long_chain_of_texts(spark):
+    from rankloom.llm import jaccard_join
+
+    words = [f"w{i}" for i in range(60 + 80 * 4)]
+    texts = [" ".join(words[4 * k : 4 * k + 60]) for k in range(80)]
+    order = [*range(1, 80), 0]
+    df = spark.createDataFrame(list(zip(order, texts)), "doc_id bigint, text string")
+    found = jaccard_join.jaccard_components(df, words=4, percent=80).collect()
+    assert {r.component_id for r in found} == {0} and len(found) == 80
+
+
+def test_near_duplicates_goes_by_rows(spark):
+    import corpus_pipeline
+
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(2, one), (1, one + " x"), (2, two), (3, three), (3, three), (None, three), (None, one), (4, None), (5, ""), (5, ""), (None, "alone in this")]
+    df = spark.createDataFrame([(i, t, "n", 7) for i, t in rows], "doc_id bigint, text string, _row string, component_id int").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, df, "")
+    assert kept.columns == df.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert found == sorted([(1, one + " x"), (2, two), (3, three), (4, None), (5, ""), (5, ""), (None, "alone in this")], key=repr)
+    assert corpus_pipeline.near_duplicates(spark, df.limit(0), "").count() == 0
+
+
+@pytest.mark.parametrize("stage", ["quality", "pseudonyms", "packing"])
+def test_stages_take_odd_tables(spark, stage):
+    import corpus_pipeline
+
+    rows = [(1, "Plain words make up this text, which has more than ten of them, mail a@example.com", 1, "s"),
+            (1, "Plain words make up this text, which has more than ten of them, mail a@example.com", 1, "s"),
+            (None, None, None, None), (2, "", 0, "s"), (3, "word " * 30_000, 5, "s"), (4, None, None, "s")]
+    df = spark.createDataFrame([(*r, "y") for r in rows], "doc_id bigint, text string, n_chars bigint, source string, kept string")
+    run = getattr(corpus_pipeline, stage)
+    done = run(spark, df, "/root/testdata/sf0.001")
+    found = done.collect()
+    assert run(spark, df.limit(0), "/root/testdata/sf0.001").count() == 0
+    if stage == "packing":
+        assert sorted((r.doc_id is None, r.doc_id or 0) for r in found if r.piece == 0) == sorted((i is None, i or 0) for i, *_ in rows)
+    else:
+        assert done.columns == df.columns
+        assert [r.kept for r in found] == ["y"] * len(found)
+    if stage == "pseudonyms":
+        assert len(found) == len(rows) and len({r.text for r in found if r.doc_id == 1}) == 1
+        assert all("a@example.com" not in (r.text or "") for r in found)
