@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stem import stem_steps
-from ..functions.text import LIGATURES, WORD, accent_table
+from ..functions.text import WORD, fold_tables
 from ..operators import analysis, index, queries, scoring
 from ..operators.analysis import Analyzer, fields
 from ..plans import search as plans
@@ -49,17 +49,19 @@ def _quoted(text: str) -> str:
 
 
 def folded_sql(text: str) -> str:
-    accented, base = accent_table()
-    sql = f"translate(lower({text}), {_quoted(accented)}, {_quoted(base)})"
-    for ligature, letters in LIGATURES.items():
-        sql = f"replace({sql}, '{ligature}', '{letters}')"
-    return sql
+    single, plain, several = fold_tables()
+    sql = f"translate(lower({text}), {_quoted(single)}, {_quoted(plain)})"
+    spelled = sql
+    for letter, letters in several.items():
+        spelled = f"replace({spelled}, '{letter}', '{letters}')"
+    return f"CASE WHEN regexp_matches({sql}, '[{''.join(several)}]') THEN {spelled} ELSE {sql} END"
 
 
 def words_sql(source: str, keys: str, text: str) -> str:
     return f"""
   SELECT {keys}, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS term
-  FROM (SELECT {keys}, regexp_extract_all({text}, {_quoted(WORD)}) AS w FROM {source})"""
+  FROM (SELECT {keys}, regexp_extract_all(regexp_replace({text}, '([\\p{{Han}}\\p{{Hiragana}}])', ' \\1 ', 'g'), {_quoted(WORD)}) AS w
+        FROM {source})"""
 
 
 POSSESSIVE = "CASE WHEN lower(right(term, 2)) = '''s' THEN left(term, length(term) - 2) ELSE term END"
@@ -77,13 +79,13 @@ DOCS = [
 RAW = [*DOCS, ("raw", words_sql("flds", "docno, field", "replace(text, '’', '''')"))]
 
 
-def chain_sql(source: str, keys: str, name: str, stem: bool) -> list[tuple[str, str]]:
-    """CTE ``name`` (keys, pos, term): the chain with the stop list above."""
+def chain_sql(source: str, keys: str, name: str, stem: bool, stop: bool = True) -> list[tuple[str, str]]:
+    """CTE ``name`` (keys, pos, term): the chain, with the stop list above if asked for."""
     plain = f"""
   SELECT {keys}, pos, term FROM (
     SELECT {keys}, pos, {POSSESSIVE} AS term
     FROM ({words_sql(source, keys, folded_sql('text'))}))
-  WHERE length(term) BETWEEN 2 AND 20 AND term NOT IN ({STOP_LIST})"""
+  WHERE length(term) BETWEEN 2 AND 20{f" AND term NOT IN ({STOP_LIST})" if stop else ""}"""
     if not stem:
         return [(name, plain)]
     return [
@@ -446,12 +448,31 @@ def phrase_ctes(analyzed: bool = True) -> list[tuple[str, str]]:
     ]
 
 
-@query("phrase_match", with_ctes(
-    [*TOKENS, *query_ctes(True), *phrase_ctes(analyzed=False)], "SELECT qid, clause, docno, freq FROM ph",
-))
+# Raw phrases are matched as they are written, in texts whose words are neither stopped nor stemmed. The
+# first two neighbouring plain words of every document's headline are a topic.
+AS_WRITTEN = Analyzer(stem=False)
+TWO_WORDS = "[a-z]{2,20} [a-z]{2,20}"
+
+
+def _written_topics(spark: SparkSession, folder: str) -> DataFrame:
+    pair = F.regexp_extract(F.lower("headline"), TWO_WORDS, 0)
+    return inputs.docs(spark, folder).select(
+        F.concat(F.lit("T"), "docno").alias("qid"), pair.alias("title"),
+        F.lit("").alias("description"), F.lit("").alias("narrative"),
+    )
+
+
+@query("phrase_match", with_ctes([
+    *DOCS,
+    *chain_sql("flds", "docno, field", "tok", stem=False, stop=False),
+    ("clauses", f"""
+  SELECT 'T' || docno AS qid, 'title' AS clause, regexp_extract(lower(headline), '{TWO_WORDS}') AS text FROM docs
+  WHERE regexp_extract(lower(headline), '{TWO_WORDS}') <> ''"""),
+    *phrase_ctes(analyzed=False),
+], "SELECT qid, clause, docno, freq FROM ph"))
 def phrase_match(spark, folder):
-    words = queries.phrase_terms(inputs.topics(spark, folder), analyzed=False)
-    return queries.phrase_match(words, plans.phrase_tokens(inputs.docs(spark, folder), words, FULL))
+    words = queries.phrase_terms(_written_topics(spark, folder), analyzed=False)
+    return queries.phrase_match(words, plans.phrase_tokens(inputs.docs(spark, folder), words, AS_WRITTEN))
 
 
 @query("phrase_match_analyzed", with_ctes(

@@ -2,51 +2,109 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A word is letters and digits, with single inner apostrophes or full stops.
-WORD = r"[\p{L}\p{N}]+(?:['.][\p{L}\p{N}]+)*"
-# Latin letters that have no accent to remove.
-SINGLE_FOLDS = {"’": "'", "ø": "o", "đ": "d", "ð": "d", "ħ": "h", "ı": "i", "ł": "l", "ŧ": "t"}
-LIGATURES = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ĳ": "ij"}
+# What may stand inside a word between two letters, and between two digits (word breaking
+# of Unicode's annex 29). An underscore joins anything.
+BETWEEN_LETTERS = ":.'··՟״‧‘’․︓﹕：﹒＇．"
+BETWEEN_DIGITS = ",;.'‘’․﹒＇．;։،؍٬߸⁄︐︔﹐﹔，；"
+_PART = r"[\p{L}\p{M}\p{N}_]"
+_JOINT = (
+    rf"(?:\p{{L}}\p{{M}}*(?:[{BETWEEN_LETTERS}]\p{{L}}\p{{M}}*)+|\p{{N}}(?:[{BETWEEN_DIGITS}]\p{{N}})+)"
+)
+#: A word: letters, marks, digits and underscores, joined by the signs above; not underscores alone.
+WORD = rf"(?:{_PART}*{_JOINT})+{_PART}*|_*[\p{{L}}\p{{N}}]{_PART}*"
+#: Scripts that are written without blanks; each of their characters is a word of its own.
+SINGLE = r"([\p{IsHan}\p{IsHiragana}])"
+
+# Letters whose names do not tell the ASCII letters they stand for.
+NAMED_FOLDS = {
+    "ð": "d", "þ": "th", "ß": "ss", "ı": "i", "ȷ": "j", "ŋ": "n", "ĸ": "q", "ſ": "s", "ƿ": "w", "ə": "a", "ɛ": "e",
+    "ɩ": "i", "ɪ": "i", "ʃ": "s", "ʒ": "z", "ɣ": "g", "ƨ": "s", "ƽ": "5", "ɔ": "o", "ʊ": "u", "ʋ": "v", "ȣ": "ou", "ƣ": "oi", "ŉ": "n",
+}
+# Punctuation that looks like an ASCII sign.
+SIGN_FOLDS = {
+    '"': "«»“”„‟″‶❝❞❮❯", "'": "‘’‚‛′‵‹›❛❜", "-": "‐‑‒–—⁻₋", "[": "⁅❲", "]": "⁆❳", "(": "⁽₍❨❪", ")": "⁾₎❩❫",
+    "<": "❬❰", ">": "❭❱", "{": "❴", "}": "❵", "+": "⁺₊", "=": "⁼₌", "*": "⁎", ";": "⁏", "/": "⁄",
+    "%": "⁒", "~": "⁓", "^": "‸",
+}
+#: Blocks in which characters are folded: Latin letters of all kinds, phonetic letters, raised and lowered ones,
+#: circled and bracketed ones, ligatures and full-width forms.
+FOLDED_BLOCKS = (
+    (0x00A0, 0x02AF), (0x1D00, 0x1DBF), (0x1E00, 0x1EFF), (0x2070, 0x209C), (0x2184, 0x2184), (0x2460, 0x24FF),
+    (0x2776, 0x2793), (0x2C60, 0x2C7F), (0xA722, 0xA7FF), (0xFB00, 0xFB06), (0xFF01, 0xFF5E),
+)
 # Block tags separate words, other tags do not.
 BLOCK_TAGS = "p|div|br|li|ul|ol|tr|td|th|table|h[1-6]|article|section|header|footer|nav|title|hr"
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
 
 
-def accent_table() -> tuple[str, str]:
-    """Lower-case accented Latin letters and their base letters, derived by decomposition."""
-    accented, base = [], []
-    for first, last in ((0x00C0, 0x024F), (0x1E00, 0x1EFF)):
+def _plain(letter: str) -> str | None:
+    """The lower-case ASCII letters, digits or signs that a character stands for, derived from its
+    decomposition or its name; None if there are none."""
+    if letter in NAMED_FOLDS:
+        return NAMED_FOLDS[letter]
+    name = unicodedata.name(letter, "")
+    parts = "".join(c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c))
+    parts = parts.replace("⁄", "/")
+    if letter.isalpha() or re.match("CIRCLED|PARENTHESIZED|DOUBLE CIRCLED|NEGATIVE|DINGBAT|FULLWIDTH|SUPER|SUB", name) or re.search(r"(FULL STOP|COMMA)$", name):
+        if parts and parts.isascii() and parts != letter and " " not in parts:
+            return parts.lower()
+        found = re.match(r"(?:MODIFIER LETTER |LATIN )(?:SMALL|CAPITAL|LETTER SMALL CAPITAL) (?:LETTER |LIGATURE )?([A-Z]{1,2})(?: WITH .*)?$", name)
+        if found:
+            return found[1].lower()
+        digits = re.match(r"(?:DINGBAT )?(?:NEGATIVE |DOUBLE )?(?:CIRCLED|SANS-SERIF)[A-Z -]*(?:DIGIT|NUMBER) ([A-Z -]+)$", name)
+        value = unicodedata.numeric(letter, None)
+        if digits and value is not None:
+            return str(int(value))
+    return None
+
+
+@lru_cache(maxsize=1)
+def fold_tables() -> tuple[str, str, dict[str, str]]:
+    """Characters and the single ASCII ones they stand for, and those that stand for several.
+
+    Lower-case forms only, as texts are lower-cased before.
+    """
+    single, several = {}, {}
+    for first, last in FOLDED_BLOCKS:
         for code in range(first, last + 1):
             letter = chr(code)
-            parts = unicodedata.normalize("NFD", letter)
-            if letter == letter.lower() and len(parts) > 1 and parts[0].isascii():
-                accented.append(letter)
-                base.append(parts[0])
-    for letter, plain in SINGLE_FOLDS.items():
-        accented.append(letter)
-        base.append(plain)
-    return "".join(accented), "".join(base)
+            if letter != letter.lower() or unicodedata.category(letter) == "Cn":
+                continue
+            found = _plain(letter)
+            if found and len(found) == 1:
+                single[letter] = found
+            elif found:
+                several[letter] = found
+    for sign, letters in SIGN_FOLDS.items():
+        single |= dict.fromkeys(letters, sign)
+    several |= {"‼": "!!", "⁇": "??", "⁈": "?!", "⁉": "!?", "‖": "||"}
+    return "".join(single), "".join(single.values()), several
 
 
 def folded(text: Column) -> Column:
-    """Lower case without accents and ligatures.
+    """Lower case, with the ASCII characters that letters, digits and signs of all kinds stand for.
 
-    Applied to the whole text before it is cut into words: one pass per text, not per word.
+    Applied to the whole text before it is cut into words: one pass per text, not per word. Characters
+    that stand for several are looked for first, as few texts have one.
     """
-    plain = F.translate(F.lower(text), *accent_table())
-    for ligature, letters in LIGATURES.items():
-        plain = F.replace(plain, F.lit(ligature), F.lit(letters))
-    return plain
+    single, plain, several = fold_tables()
+    lowered = F.translate(F.lower(text), single, plain)
+    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in several.items()])
+    spelled = F.aggregate(pairs, lowered, lambda t, p: F.replace(t, p["k"], p["v"]))
+    return F.when(lowered.rlike(f"[{''.join(several)}]"), spelled).otherwise(lowered)
 
 
 def words(text: Column) -> Column:
-    """The words of ``text`` in order."""
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    """The words of ``text`` in order, by the rules of Unicode's word breaking; ideographs singly."""
+    apart = F.when(text.rlike(SINGLE), F.regexp_replace(text, SINGLE, " $1 ")).otherwise(text)
+    return F.regexp_extract_all(apart, F.lit(WORD), F.lit(0))
 
 
 def without_possessive(word: Column) -> Column:

@@ -129,3 +129,50 @@ def test_depth_of_long_markup(spark):
     found = [r.text for r in corpus.extract_fields(df, "html", "title", ["div"], []).collect()]
     assert found[0] == "in x" and found[1].split() == ["a"] * 150_000
     assert time.monotonic() - start < 60
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("1,000 a_b", ["1,000", "a_b"]),
+        ("3.14 1.a a.1", ["3.14", "1", "a", "a", "1"]),
+        ("a.b.c. ab.c.de", ["a.b.c", "ab.c.de"]),
+        ("can't won’t o'", ["can't", "won't", "o"]),
+        ("key:value 12:30", ["key:value", "12", "30"]),
+        ("well-known x/y", ["well", "known", "x", "y"]),
+        ("1,5a 2;3 a,b", ["1,5a", "2;3", "a", "b"]),
+        ("__ _x_ _", ["_x_"]),
+        ("東京abc タワー", ["東", "京", "abc", "タワー"]),
+        ("ひらがな", ["ひ", "ら", "が", "な"]),
+        ("l·l été", ["l·l", "été"]),
+        ("  ", []),
+    ],
+)
+def test_word_breaking(spark, text, expected):
+    from pyspark.sql import functions as F
+
+    from rankloom.functions.text import words
+
+    df = spark.createDataFrame([(text.replace("’", "'"),)], "t string")
+    assert df.select(words(F.col("t")).alias("w")).first().w == expected
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("Ｆｕｌｌ－ｗｉｄｔｈ １２", "full-width 12"),
+        ("① ⑩ ⑴ ⒈ ⓐ Ⓑ ❶", "1 10 (1) 1. a b 1"),
+        ("ﬁne ﬄ Œuvre Æon straße Þór", "fine ffl oeuvre aeon strasse thor"),
+        ("Łódź đ ħ ŧ ø ı ŋ ſ ɓ ᴀ", "lodz d h t o i n s b a"),
+        ("x² H₂O 2ª", "x2 h2o 2a"),
+        ("“a” ‘b’ «c» d–e", "\"a\" 'b' \"c\" d-e"),
+        ("ǆ ꜳ ẞ ﬆ", "dz aa ss st"),
+        ("日本 Привет ñ", "日本 привет n"),
+    ],
+)
+def test_folding(spark, text, expected):
+    from pyspark.sql import functions as F
+
+    from rankloom.functions.text import folded
+
+    assert spark.createDataFrame([(text,)], "t string").select(folded(F.col("t")).alias("f")).first().f == expected
