@@ -382,19 +382,6 @@ def scores_ctes(model: str) -> list[tuple[str, str]]:
     ]
 
 
-def _score_query(model: str) -> Query:
-    def run_query(spark: SparkSession, folder: str) -> DataFrame:
-        docs, topics = inputs.docs(spark, folder), inputs.topics(spark, folder)
-        return plans.scores(docs, topics, model, FULL, phrases=None)
-
-    return run_query
-
-
-for _model in scoring.MODELS:
-    query(f"score_{_model.lower()}", with_ctes([*SEARCH, *scores_ctes(_model)], """
-SELECT qid, docno, score FROM sc"""))(_score_query(_model))
-
-
 @query("score_multifield", with_ctes([*SEARCH, ("halved", f"""
   SELECT qid, p.docno,
     round(sum(CASE WHEN q.field = 'headline' THEN weight * ({SIMILARITY['BM25']}) ELSE 0 END), 6) AS headline,
@@ -484,19 +471,50 @@ def phrase_match_analyzed(spark, folder):
     return queries.phrase_match(words, plans.phrase_tokens(inputs.docs(spark, folder), words, FULL))
 
 
-WITH_PHRASES = [*SEARCH, *scores_ctes("BM25")[:1], *phrase_ctes(), ("pidf", """
-  SELECT qid, clause, p.field, any_value(p.weight) AS weight, any_value(fs.avgdl) AS avgdl,
-         sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5))) AS idf
+# Phrases: frequency as tf, the sum of their words' idf as idf, the rarest word's counts.
+IDF = {"BM25": "ln(1 + (n_docs - df + 0.5) / (df + 0.5))"}
+PHRASE_SIMILARITY = {
+    "BM25": "idf * freq / (freq + 1.2 * (0.25 + 0.75 * dl / avgdl))",
+    "BOOLEAN": "1.0",
+    "CLASSIC": "sqrt(freq) * idf / sqrt(dl)",
+    "LM_DIRICHLET": """greatest(0, ln(1 + freq / (2000.0::DOUBLE * ((ctf + 1) / (sum_dl + 1)::DOUBLE)))
+      + ln(2000.0::DOUBLE / (dl + 2000.0::DOUBLE)))""",
+    "SWEET_SPOT": "sqrt(freq) * idf / sqrt(0.5::DOUBLE * (abs(dl - 1) + abs(dl - 1)) + 1)",
+}
+
+
+def with_phrases(model: str) -> list[tuple[str, str]]:
+    """All scores of a model, phrase clauses included, as CTE ``sc``."""
+    idf = IDF.get(model, "1 + ln((n_docs + 1) / (df + 1)::DOUBLE)")
+    return [*SEARCH, *scores_ctes(model)[:1], *phrase_ctes(), ("pidf", f"""
+  SELECT qid, clause, p.field, any_value(p.weight) AS weight, any_value(fs.avgdl) AS avgdl, any_value(sum_dl) AS sum_dl,
+         sum({idf}) AS idf, min(ctf) AS ctf
   FROM pw p JOIN ts ON ts.field = p.field AND ts.term = p.term JOIN fs ON fs.field = p.field
-  GROUP BY qid, clause, p.field"""), ("both_parts", """
+  GROUP BY qid, clause, p.field"""), ("both_parts", f"""
   SELECT qid, docno, part FROM parts
   UNION ALL
-  SELECT h.qid, h.docno, weight * idf * freq / (freq + 1.2 * (0.25 + 0.75 * dl / avgdl)) AS part
+  SELECT h.qid, h.docno, weight * ({PHRASE_SIMILARITY[model]}) AS part
   FROM ph h JOIN pidf i ON i.qid = h.qid AND i.clause = h.clause
   JOIN len l ON l.docno = h.docno AND l.field = i.field"""), (
     "sc", "SELECT qid, docno, round(sum(part), 6) AS score FROM both_parts GROUP BY qid, docno")]
 
 
+WITH_PHRASES = with_phrases("BM25")
+
+
+def _score_query(model: str) -> Query:
+    def run_query(spark: SparkSession, folder: str) -> DataFrame:
+        docs, topics = inputs.docs(spark, folder), inputs.topics(spark, folder)
+        return plans.scores(docs, topics, model, FULL, phrases="analyzed")
+
+    return run_query
+
+
+for _model in scoring.MODELS:
+    query(f"score_{_model.lower()}", with_ctes(with_phrases(_model), """
+SELECT qid, docno, score FROM sc"""))(_score_query(_model))
+
+
 @query("score_with_phrase", with_ctes(WITH_PHRASES, "SELECT qid, docno, score FROM sc"))
 def score_with_phrase(spark, folder):
     return plans.scores(
@@ -510,10 +528,10 @@ SELECT qid, docno, rank, score FROM (
 WHERE rank <= {k}"""
 
 
-@query("topk_run", with_ctes([*SEARCH, *scores_ctes("CLASSIC")], TOP.format(k=10)))
+@query("topk_run", with_ctes(with_phrases("CLASSIC"), TOP.format(k=10)))
 def topk_run(spark, folder):
     docs, topics = inputs.docs(spark, folder), inputs.topics(spark, folder)
-    return plans.search(docs, topics, "CLASSIC", k=10, analyzer=FULL, phrases=None)
+    return plans.search(docs, topics, "CLASSIC", k=10, analyzer=FULL)
 
 
 @query("search_bm25", with_ctes(WITH_PHRASES, TOP.format(k=1000)))
@@ -522,13 +540,13 @@ def search_bm25(spark, folder):
     return plans.search(docs, topics, "BM25", k=1000, analyzer=FULL)
 
 
-@query("run_lines", with_ctes([*SEARCH, *scores_ctes("BOOLEAN")], f"""
+@query("run_lines", with_ctes(with_phrases("BOOLEAN"), f"""
 SELECT qid, CAST(rank AS INTEGER) AS rank,
        printf('%s Q0 %s %d %.6f %s', qid, docno, rank, score, 'CustomBoolean') AS line
 FROM ({TOP.format(k=1000)})"""))
 def run_lines(spark, folder):
     docs, topics = inputs.docs(spark, folder), inputs.topics(spark, folder)
-    scores = plans.scores(docs, topics, "BOOLEAN", FULL, phrases=None)
+    scores = plans.scores(docs, topics, "BOOLEAN", FULL)
     tag = tag_of_run(FULL.name, scoring.MODEL_TAGS["BOOLEAN"])
     return lines_of_run(scores, tag, k=1000)
 
