@@ -51,8 +51,13 @@ def rank_run(
 
 
 def judgements(qrels: DataFrame) -> DataFrame:
-    """(qid, docno, rel); a document judged twice for a topic is an error."""
-    return once(qrels.select("qid", "docno", F.col("rel").cast("int").alias("rel")), ["qid", "docno"], "judgement")
+    """(qid, docno, rel); a document judged twice for a topic is an error.
+
+    Rows without topic or document say nothing. They are left out here, where every reader of the table
+    asks the same of the scan, so that one exchange serves all.
+    """
+    named = qrels.filter("qid IS NOT NULL AND docno IS NOT NULL")
+    return once(named.select("qid", "docno", F.col("rel").cast("int").alias("rel")), ["qid", "docno"], "judgement")
 
 
 def with_relevance(run: DataFrame, qrels: DataFrame) -> DataFrame:

@@ -48,3 +48,30 @@ def test_raw_phrases_can_be_asked_for(spark):
     assert with_raw > without
     with pytest.raises(ValueError):
         search(docs, topics, phrases="other")
+
+
+def test_unfinished_batches_change_nothing(spark, tmp_path, monkeypatch):
+    from rankloom.streaming import append
+
+    path = str(tmp_path / "index")
+    docs = spark.createDataFrame([("d1", "one", "alpha beta"), ("d2", "two", "beta gamma")], "docno string, headline string, text string")
+    append.append_index(docs, path, "first")
+    before = {n: sorted(map(tuple, t.collect()), key=repr) for n, t in append.stored_index(spark, path).items() if n != "postings"}
+    real = append._replace
+
+    def stopped(rows, at, *parts):
+        if at.endswith("doc_len"):
+            raise RuntimeError("lost")
+        real(rows, at, *parts)
+
+    monkeypatch.setattr(append, "_replace", stopped)
+    with pytest.raises(RuntimeError):
+        append.append_index(docs, path, "second/half")
+    monkeypatch.undo()
+    after = {n: sorted(map(tuple, t.collect()), key=repr) for n, t in append.stored_index(spark, path).items() if n != "postings"}
+    assert after == before and append.finished_batches(spark, path) == ["first"]
+    append.append_index(docs, path, "second/half")
+    assert append.finished_batches(spark, path) == ["first", "second/half"]
+    assert append.stored_index(spark, path)["doc_len"].count() == 2 * len(before["doc_len"])
+    with pytest.raises(ValueError):
+        append.append_index(docs, path, "first")
