@@ -251,7 +251,10 @@ def _member_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets."""
+    """The pairs (a, b) that link, by their whole sets. Only sets of pairs travel."""
+    pairs = durable(pairs.select("a", "b"))
+    wanted = durable(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    sets = sets.join(broadcast_if_small(wanted), "id", "left_semi")
     both = pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b").join(
         sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a"
     )
