@@ -21,12 +21,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def bounded_batches(df: DataFrame) -> DataFrame:
-    """Ask for Arrow batches of bounded bytes, so that many long texts don't meet in one batch."""
+def bounded_batches(df: DataFrame, limit: int = SLICE_BYTES) -> DataFrame:
+    """Ask for Arrow batches of bounded bytes, so that many long texts don't meet in one batch.
+
+    A task holds a few copies of a batch outside of the heap, and its Python worker some more.
+    """
     spark = df.sparkSession
     current = spark.conf.get(ARROW_BYTES_CONF, None)
-    if current is not None and not 0 < int(str(current).rstrip("bB")) <= 4 * SLICE_BYTES:
-        spark.conf.set(ARROW_BYTES_CONF, str(4 * SLICE_BYTES))
+    if current is not None and not 0 < int(str(current).rstrip("bB")) <= limit:
+        spark.conf.set(ARROW_BYTES_CONF, str(limit))
     return df
 
 

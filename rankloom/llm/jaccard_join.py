@@ -245,9 +245,14 @@ def _member_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
     wanted = durable(members.select("id", "d").distinct())
     texts = docs.select(F.col("_key").alias("id"), "_text").join(broadcast_if_small(wanted.select("id").distinct()), "id", "left_semi")
     hashed = bounded_batches(texts).mapInArrow(run, "id bigint, d bigint, point array<int>, set binary")
-    # Repeated rows give equal sets, of which one stays.
-    kept = hashed.join(broadcast_if_small(wanted), ["id", "d"], "left_semi").groupBy("id", "d")
-    return durable(kept.agg(F.any_value("point").alias("point"), F.any_value("set").alias("set")))
+    hashed = durable(hashed.join(broadcast_if_small(wanted), ["id", "d"], "left_semi"))
+    # Repeated rows give equal sets, of which one stays. Only these are shuffled.
+    again = durable(hashed.groupBy("id", "d").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("id", "d"))
+    if again.isEmpty():
+        return hashed
+    one = hashed.join(broadcast_if_small(again), ["id", "d"], "left_semi").groupBy("id", "d")
+    one = one.agg(F.any_value("point").alias("point"), F.any_value("set").alias("set"))
+    return durable(hashed.join(broadcast_if_small(again), ["id", "d"], "left_anti").unionByName(one))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -262,8 +267,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for a, b, one, two in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                x, y = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+            for a, b, one, two in zip(batch[0].to_pylist(), batch[1].to_pylist(), batch[2], batch[3], strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, two))  # no copies
                 if overlap(x, y) * (100 + percent) >= percent * (len(x) + len(y)):
                     found.append((a, b))
             yield pa.RecordBatch.from_arrays(

@@ -69,7 +69,7 @@ def training_tokens(docs: DataFrame) -> int:
             total = sum(len(t.encode().split()) + 1 for t in train)
             yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], names=["total"])
 
-    return bounded_batches(docs).mapInArrow(count, "total bigint").agg(F.sum("total")).first()[0] or 0
+    return bounded_batches(docs, CHUNK_BYTES).mapInArrow(count, "total bigint").agg(F.sum("total")).first()[0] or 0
 
 
 def _compressed(array: np.ndarray) -> bytes:
@@ -127,7 +127,7 @@ def _chunks(docs: DataFrame, shards: int) -> DataFrame:
             )
 
     schema = "chunk bigint, shard bigint, orders binary, places binary, ids array<bigint>, counts array<bigint>"
-    return stored(bounded_batches(docs).mapInArrow(run, schema), "pitman_yor")
+    return stored(bounded_batches(docs, CHUNK_BYTES).mapInArrow(run, schema), "pitman_yor")
 
 
 def _orders(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
