@@ -159,3 +159,16 @@ def test_stages_take_odd_tables(spark, stage):
     if stage == "pseudonyms":
         assert len(found) == len(rows) and len({r.text for r in found if r.doc_id == 1}) == 1
         assert all("a@example.com" not in (r.text or "") for r in found)
+
+
+def test_member_sets_of_repeated_rows(spark):
+    from rankloom.llm import jaccard_join
+
+    words = [f"w{i}" for i in range(40)]
+    one, near, other = " ".join(words), " ".join([*words[:39], "zz"]), " ".join(f"q{i}" for i in range(30))
+    rows = [(1, one), (1, one), (1, one), (2, near), (2, other), (3, other), (4, None)]
+    docs = spark.createDataFrame(rows, "_key long, _text string")
+    members = jaccard_join._described(docs, 5).filter("n > 0").selectExpr("id", "d1 AS d")
+    sets = jaccard_join._member_sets(docs, members, 5).collect()
+    found = sorted((r["id"], len(r["set"]) // 8, sum(r["point"])) for r in sets)
+    assert found == [(1, 36, 36), (2, 26, 26), (2, 36, 36), (3, 26, 26)]
