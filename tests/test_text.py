@@ -176,3 +176,16 @@ def test_folding(spark, text, expected):
     from rankloom.functions.text import folded
 
     assert spark.createDataFrame([(text,)], "t string").select(folded(F.col("t")).alias("f")).first().f == expected
+
+
+def test_folding_looks_only_for_letters_that_occur(spark):
+    from pyspark.sql import functions as F
+
+    from rankloom.functions.text import folded, words
+
+    rows = spark.createDataFrame([("Ab É‼ ﬃ 中ö’s a.b a., x_'y", "ab e!! ffi 中o's a.b a., x_'y")], "text string, want string")
+    found = rows.select(folded(F.col("text")).alias("got"), "want")
+    assert "translate(" not in found._jdf.queryExecution().analyzed().toString()
+    row = found.select("got", "want", words(F.col("got")).alias("w")).first()
+    assert row["got"] == row["want"]
+    assert row["w"] == ["ab", "e", "ffi", "中o's", "a.b", "a", "x_", "y"]
