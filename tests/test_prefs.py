@@ -207,3 +207,45 @@ def test_duplicate_results_are_an_error(spark):
     prefs = spark.createDataFrame([("q", "j", "s", "d1", 1.0), ("q", "j", "s", "d2", 0.0)], PREFS)
     with pytest.raises(Exception, match="duplicate result"):
         evaluate_prefs(run, prefs, ["prefs_simp"]).collect()
+
+
+def test_conflicts_come_from_the_members(spark):
+    """The judgements grouped once say the same as two groupings of their own."""
+    from pyspark.sql import functions as F
+
+    from rankloom.operators.checks import preference_conflicts
+    from rankloom.operators.prefs import Preferences, _member_conflicts
+
+    rng = random.Random(5)
+    levels = [0.0, -0.0, 1.0, 2.0, -1.0, None]
+    rows = [("q", rng.choice("ab"), rng.choice("xyz"), f"d{rng.randrange(12)}", rng.choice(levels)) for _ in range(60)]
+    rows += [("q", "a", None, "n", 1.0), ("q", "a", None, "n", 0.0), ("q", "c", "x", "m", None), ("q", "c", "x", "o", -0.0), ("q", "c", "x", "o", 0.0)]
+    prefs = spark.createDataFrame(rows, "qid string, jg string, jsg string, docno string, rel_level float")
+    members = F.array_sort(F.collect_set(F.struct("jsg", F.col("rel_level").cast("double").alias("level"))))
+    found = _member_conflicts(prefs.groupBy("qid", "jg", "docno").agg(members.alias("members")))
+    assert sorted(found.collect()) == sorted(preference_conflicts(prefs).collect())
+
+
+def test_only_retrieved_documents_get_places(spark, monkeypatch):
+    """Pairs with a document that was not retrieved are products of counts; no window sees it."""
+    from rankloom.operators import prefs as module
+
+    prefs = spark.createDataFrame(
+        [("q", "g", "s", f"d{i}", float(i % 3)) for i in range(9)], "qid string, jg string, jsg string, docno string, rel_level float"
+    )
+    run = spark.createDataFrame([("q", f"d{i}", float(10 - i)) for i in range(4)], "qid string, docno string, score double")
+    tables, seen = module.Preferences(run, prefs), []
+    tables.tags()
+    plain = module.OrderedGroups
+
+    def watched(df, keys, order, size=None):
+        if "tag" in keys:
+            seen.extend(r["doc_rank"] for r in df.select("doc_rank").distinct().collect())
+        return plain(df, keys, order, size)
+
+    monkeypatch.setattr(module, "OrderedGroups", watched)
+    got = tables.counted(tables.judged).first()
+    assert sorted(seen) == [0, 1, 2, 3]
+    # Ranked d0 d1 d2 d3 (levels 0 1 2 0), then d4 to d8 (1 2 0 1 2).
+    assert (got["ful_ret"], got["poss_ret"]) == (2, 5)
+    assert (got["ful_imp"], got["poss_imp"], got["poss_none"]) == (4, 14, 8)
