@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import collapsed, element, elements, outermost, plain_text, without_elements
+from ..functions.text import collapsed, element, elements, once_computed, outermost, plain_text, without_elements
 
 # Elements left out of the text, per collection.
 FR94_DROPPED = "DOCTITLE ADDRESS SIGNER SIGNJOB BILLING FRFILING DATE CRFNO RINDOCK".split()
@@ -31,16 +31,16 @@ _CONTAINER = (
 
 
 def _trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.regexp_replace(text, r"^\s++|\s++$", "")
 
 
 def _joined_lines(text: Column) -> Column:
     """Trimmed lines joined by one blank."""
-    return _trimmed(F.regexp_replace(text, r"\s*\n\s*", " "))
+    return _trimmed(F.regexp_replace(text, r"[^\S\n]*+\n\s*+", " "))
 
 
 def _not_empty(text: Column) -> Column:
-    return F.when(text != "", text)
+    return once_computed(text, lambda t: F.when(t != "", t))
 
 
 def _records(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:

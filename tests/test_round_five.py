@@ -1,7 +1,9 @@
 from pyspark.sql import functions as F
 
+from rankloom.functions.text import collapsed, element, elements, plain_text
 from rankloom.operators.analysis import Analyzer
 from rankloom.operators.index import matched_index
+from rankloom.sources.corpus import _joined_lines, _not_empty
 
 
 def test_matched_rows_of_a_document_lie_together(spark):
@@ -25,3 +27,29 @@ def test_matched_rows_without_stemming_are_one_per_term(spark):
     vocabulary = spark.createDataFrame([("fig",)], "term string")
     rows = matched_index(docs, vocabulary, Analyzer(stem=False)).matched.drop("doc_key").collect()
     assert [r.asDict() for r in rows] == [{"docno": "D0", "field": "text", "dl": 3, "term": "fig", "positions": [0, 2], "tf": 2}]
+
+
+def test_readers_compute_each_text_once(spark):
+    value = F.col("value")
+    found = _not_empty(plain_text(elements(value, "TEXT")))._jc.toString()
+    assert found.count("regexp_extract_all(") == 1  # four times before
+    assert _not_empty(_joined_lines(element(value, "TEXT")))._jc.toString().count("regexp_extract(") == 1
+
+
+def test_blanks_and_elements_of_all_kinds(spark):
+    texts = ["a b", " a  b\t", "a\tb\n\nc", "\n", "", None, "a \x0b\fb\r\n c  ", "a  b  ", "  \n \n x  y \n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select(
+        collapsed(F.col("t")), F.trim(F.regexp_replace("t", r"\s+", " ")),
+        _joined_lines(F.col("t")), F.regexp_replace(F.regexp_replace("t", r"\s*\n\s*", " "), r"^\s+|\s+$", ""),
+        plain_text(F.col("t")),
+    ).collect()
+    assert all(r[0] == r[1] == r[4] and r[2] == r[3] for r in rows)
+    marked = ["<T>x</T><t a='1'>y </T >", "<T></T>", "<TT>x</TT>", "<T>x", None, "<!-- <p> -->a<br/>b<i>c</i> 1 < 2"]
+    df = spark.createDataFrame([(t,) for t in marked], "t string")
+    t = F.col("t")
+    rows = [tuple(r) for r in df.select(elements(t, "T"), element(t, "T"), _not_empty(element(t, "T")), plain_text(t)).collect()]
+    assert rows == [
+        ("x y ", "x", "x", "xy"), ("", "", None, ""), (None, None, None, "x"), (None, None, None, "x"), (None,) * 4,
+        (None, None, None, "a bc 1 < 2"),
+    ]
