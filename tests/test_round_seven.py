@@ -1,6 +1,32 @@
+from pyspark.sql import functions as F
+
 import __spark_entry__ as contract
+from rankloom.functions.stem import STEP_2, STEP_3, STEP_4, stem_of, stemmed
+from rankloom.operators import analysis, index
+from rankloom.operators.analysis import Analyzer
 from rankloom.plans.search import MAX_RESULTS
 
+CHAIN = Analyzer(stop=["the"])
+TEXTS = [
+    ("D1", "text", "The apples apple, the Apple's PEARS relational"), ("D1", "headline", "apples"),
+    ("D2", "text", "pears pear the apples"), ("D2", "text", "pear the apple apple plum"),
+    (None, "text", "plums"), (None, "text", "plum fig"), ("D3", "text", "the"), ("D4", "text", ""),
+]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def table(spark, rows=TEXTS):
+    return spark.createDataFrame(rows, "docno string, field string, text string")
+
+
+def by_vocabulary(texts):
+    """Entries as before: words meet the stems in a join, and those of one stem in a shuffle."""
+    keys = ["docno", "field"]
+    return analysis.stemmed_entries(analysis.entries(analysis.text_words(texts, *keys, analyzer=CHAIN), *keys), *keys)
+
 
 def test_topk_run_keeps_the_results_of_the_reference(spark, tmp_path):
     """Ten per topic were kept before, of a thousand."""
@@ -10,3 +36,29 @@ def test_topk_run_keeps_the_results_of_the_reference(spark, tmp_path):
     found = contract.queries()["topk_run"](spark, str(tmp_path)).collect()
     assert sorted(r["rank"] for r in found) == list(range(1, 13))
     assert f"rank <= {MAX_RESULTS}" in contract.oracle_sql()["topk_run"]
+
+
+def test_stems_of_words_are_those_of_the_expressions(spark):
+    starts = ["", "a", "y", "by", "sky", "rel", "hopp", "fall", "agr", "crée", "b漢", "x_", "o'n"]
+    ends = [*STEP_2, *STEP_3, *STEP_4.split("|"), "s", "es", "ies", "sses", "ed", "ing", "eed", "y", "e", "ll", "sion", "tion", "at", ""]
+    words = {a + b + c for a in starts for b in ends for c in ("", "s", "ed", "ing", "e", "ly") if a + b + c}
+    found = stemmed(spark.createDataFrame([(w,) for w in sorted(words)], "term string")).collect()
+    assert [(w, s) for w, s in found if stem_of(w) != s] == [] and len(found) == len(words)
+
+
+def test_postings_leave_their_text_without_a_shuffle(spark):
+    """All words of all texts were shuffled; now only those of texts that share their keys."""
+    alone = table(spark, TEXTS[:2])
+    found = index.text_postings(alone, "docno", "field", analyzer=CHAIN)
+    assert "Exchange" not in plan_of(found)
+    rows = {(r.field, r.term, r.tf, tuple(r.positions)) for r in found.collect()}
+    assert rows == {("text", "appl", 3, (1, 2, 4)), ("text", "pear", 1, (5,)), ("text", "relat", 1, (6,)), ("headline", "appl", 1, (0,))}
+    found = index.text_postings(table(spark), "docno", "field", analyzer=CHAIN).drop("tf")
+    assert sorted(map(str, found.collect())) == sorted(map(str, by_vocabulary(table(spark)).collect()))
+
+
+def test_a_full_index_keeps_the_keys_it_made(spark):
+    docs = spark.createDataFrame([(None, "fig", "apples"), (None, "fig", "apples pears")], "docno string, headline string, text string")
+    tables = index.full_index(docs.repartition(3), CHAIN)
+    joined = tables["postings"].join(tables["doc_len"], ["doc_key", "field"])
+    assert joined.filter("field = 'text'").agg(F.sum("tf"), F.max("dl")).first() == (3, 2)
