@@ -62,3 +62,15 @@ def test_a_full_index_keeps_the_keys_it_made(spark):
     tables = index.full_index(docs.repartition(3), CHAIN)
     joined = tables["postings"].join(tables["doc_len"], ["doc_key", "field"])
     assert joined.filter("field = 'text'").agg(F.sum("tf"), F.max("dl")).first() == (3, 2)
+
+
+def test_analysed_texts_are_not_shuffled(spark):
+    """Every token went through two shuffles."""
+    found = analysis.analyze(table(spark, TEXTS[:2]), "docno", "field", analyzer=CHAIN)
+    assert "Exchange" not in plan_of(found)
+    assert {(r.field, tuple(r.terms)) for r in found.collect()} == {("text", ("appl", "appl", "appl", "pear", "relat")), ("headline", ("appl",))}
+    found = {(r.docno, r.field): r.terms for r in analysis.analyze(table(spark), "docno", "field", analyzer=CHAIN).collect()}
+    expected = {}
+    for r in by_vocabulary(table(spark)).collect():
+        expected.setdefault((r.docno, r.field), []).extend((p, r.term) for p in r.positions)
+    assert found == {k: [t for _, t in sorted(v)] for k, v in expected.items()}
