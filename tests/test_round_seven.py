@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from rankloom.functions.stem import STEP_2, STEP_3, STEP_4, stem_of, stemmed
-from rankloom.operators import analysis, index
+from rankloom.operators import analysis, index, queries
 from rankloom.operators.analysis import Analyzer
 from rankloom.plans.search import MAX_RESULTS
 
@@ -74,3 +74,24 @@ def test_analysed_texts_are_not_shuffled(spark):
     for r in by_vocabulary(table(spark)).collect():
         expected.setdefault((r.docno, r.field), []).extend((p, r.term) for p in r.positions)
     assert found == {k: [t for _, t in sorted(v)] for k, v in expected.items()}
+
+
+def test_phrases_of_common_words_start_from_neighbours(spark, monkeypatch):
+    """With many phrases of common words, every text with a phrase's rarest word was a row for that phrase."""
+    texts = [(f"d{i}", "text", w) for i in range(30) for w in (f"a b c d a b{' e' * (i % 3)} c a",)]
+    texts += [("d1", "text", "c a b"), (None, "text", "a b c"), ("d9", "headline", "a b"), ("e", "text", "c a b a a b c d")]
+    tokens = [(d, f, p, t) for d, f, w in texts for p, t in enumerate(w.split())]
+    tokens = spark.createDataFrame(tokens, "docno string, field string, pos int, term string")
+    phrases = [[(0, a), (n, b)] for a in "abcd" for b in "abcd" for n in (0, 1, 2)]
+    phrases += [[(0, "a")], [(0, "zz"), (1, "a")], [(0, "c"), (1, "a"), (2, "b")], [(0, "a"), (1, "b"), (3, "d"), (4, "a")], phrases[0]]
+    phrases = [(f"q{i}", "title", "text", 1.0, p, t, len(x)) for i, x in enumerate(phrases) for p, t in x]
+    phrases = spark.createDataFrame(phrases, "qid string, clause string, field string, weight double, pos int, term string, size long")
+    made = []
+    paired = queries.neighbours
+    monkeypatch.setattr(queries, "neighbours", lambda *a: made.append(paired(*a)) or made[-1])
+    found = sorted(map(str, queries.phrase_match(phrases, tokens).collect()))
+    words = phrases.select("qid", "clause", "field", F.col("pos").alias("offset"), "term", "size")
+    met = tokens.join(words, ["field", "term"]).groupBy("qid", "clause", "size", "docno", F.expr("pos - offset")).count()
+    expected = met.filter("count = size").groupBy("qid", "clause", "docno").agg(F.count("*").alias("freq"))
+    assert found == sorted(map(str, expected.collect()))
+    assert made and made[0].filter("apart = 1").count() < tokens.count()
