@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.analysis import DOC_KEY, FIELDS, Analyzer, fields, keyed
 from ..operators.index import field_stats, term_bucket, term_stats, text_postings
-from ..session import durable
+from ..session import new_folder
 
 
 def append_index(
@@ -30,14 +30,20 @@ def append_index(
         if not replay:
             raise ValueError(f"batch {batch} is in the index already")
         _file_system(spark, path)[0].delete(_path(spark, _mark(path, batch)), False)
-    named = keyed(docs).withColumn(DOC_KEY, F.concat(F.lit(f"{batch}:"), DOC_KEY))
-    found = text_postings(fields(named, FIELDS, DOC_KEY, "docno"), DOC_KEY, "docno", "field", analyzer=analyzer)
-    entries = durable(found.withColumns({"batch": F.lit(batch), "bucket": term_bucket("term")}))
+    texts = fields(keyed(docs), FIELDS, DOC_KEY, "docno")
+    found = text_postings(texts, DOC_KEY, "docno", "field", analyzer=analyzer, unique=DOC_KEY not in docs.columns)
+    found, made = found.withColumn("bucket", term_bucket("term")), new_folder(spark, "entries")
+    found.write.parquet(made)
+    entries = spark.read.schema(found.schema).parquet(made)
+    # What all rows of a batch share is added when they lie where they are written.
+    of_batch = {DOC_KEY: F.concat(F.lit(f"{batch}:"), DOC_KEY), "batch": F.lit(batch)}
     # Ranges of term and document: a frequent term is spread over tasks, and few terms lie close together.
     order = ["bucket", "term", DOC_KEY]
-    _replace(entries.repartitionByRange(*order).sortWithinPartitions(*order), f"{path}/postings", "batch", "bucket")
+    dealt = entries.repartitionByRange(*order).sortWithinPartitions(*order)
+    _replace(dealt.withColumns(of_batch), f"{path}/postings", "batch", "bucket")
     lengths = entries.groupBy(DOC_KEY, "docno", "field").agg(F.sum("tf").alias("dl"))
-    _replace(lengths.withColumn("batch", F.lit(batch)), f"{path}/doc_len", "batch")
+    _replace(lengths.withColumns(of_batch), f"{path}/doc_len", "batch")
+    _file_system(spark, made)[0].delete(_path(spark, made), True)
     _file_system(spark, path)[0].create(_path(spark, _mark(path, batch)), True).close()
 
 

@@ -1,6 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from rankloom.catalog import search
 from rankloom.functions.stem import STEP_2, STEP_3, STEP_4, stem_of, stemmed
 from rankloom.operators import analysis, index, queries
 from rankloom.operators.analysis import Analyzer
@@ -95,3 +97,35 @@ def test_phrases_of_common_words_start_from_neighbours(spark, monkeypatch):
     expected = met.filter("count = size").groupBy("qid", "clause", "docno").agg(F.count("*").alias("freq"))
     assert found == sorted(map(str, expected.collect()))
     assert made and made[0].filter("apart = 1").count() < tokens.count()
+
+
+def test_halves_of_a_stream_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Each half was one file, whose texts one task analysed."""
+    spark.range(100).selectExpr("id AS doc_id", "concat('wool ', id) AS text").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def arrived(spark, source, schema, to_docs, *others, files_per_batch, **more):
+        assert files_per_batch >= 4 and spark.read.parquet(source).count() == 100
+        assert len(spark.read.parquet(source).inputFiles()) == 2 * files_per_batch
+        raise InterruptedError
+
+    monkeypatch.setattr(search, "stream_into_index", arrived)
+    with pytest.raises(InterruptedError):
+        search.append_index(spark, str(tmp_path))
+
+
+def test_stored_rows_of_a_document_lie_together(spark):
+    """Scores of a document were summed after a shuffle, as its rows were joined with lengths by field."""
+    rows = [(f"k{i}", f"d{i % 3}", f, t, 1, [p]) for i in range(6) for p, t in enumerate("abcdx") for f in ("headline", "text")]
+    lengths = [(f"k{i}", f"d{i % 3}", f, 5) for i in range(6) for f in ("headline", "text")]
+    rows = spark.createDataFrame(rows, "doc_key string, docno string, field string, term string, tf long, positions array<int>")
+    lengths = spark.createDataFrame(lengths, "doc_key string, docno string, field string, dl long")
+    vocabulary = spark.createDataFrame([(t,) for t in "abcdz"], "term string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = index.index_of_tables(rows.repartition(8), lengths, vocabulary)
+        places = found.matched.select("doc_key", F.spark_partition_id().alias("at")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert places == 6
+    assert sorted(map(tuple, found.matched.drop("dl").collect())) == sorted(map(tuple, rows.filter("term <> 'x'").collect()))
+    assert {r.dl for r in found.matched.collect()} == {5} and {(r.df, r.ctf) for r in found.term_stats.collect()} == {(6, 6)}
